@@ -12,8 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numeric import long_out, money_out
-from . import reports, variants
+from ..functions.numeric import long_out, money_out, rnd
+from ..operators.clean import clean_transactions
+from ..operators.dedupe import insert_or_ignore
+from ..operators.ordering import ranked
+from . import insights, kpis, reports, variants
 from .star import FACT_COLUMNS, Star, load_star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +54,111 @@ def revenue_by_region(star: Star) -> DataFrame:
             .orderBy(F.desc("net_revenue")))
 
 
+def clean_with_defects(star: Star) -> DataFrame:
+    """The cleaner on sales lines with defects injected by rule: net revenue
+    missing on line 7, zero quantity on line 6, missing profit on line 5."""
+    ln = F.col("line_number")
+    dirty = (star.fact
+             .withColumn("net_revenue", F.when(ln == 7, F.lit(None)).otherwise(F.col("net_revenue")))
+             .withColumn("quantity", F.when(ln == 6, F.lit(0).cast("bigint")).otherwise(F.col("quantity")))
+             .withColumn("profit", F.when(ln == 5, F.lit(None)).otherwise(F.col("profit"))))
+    c = clean_transactions(dirty)
+    return c.select("order_id", "line_number", "customer_id", "product_id",
+                    F.date_format("order_date", "yyyy-MM-dd").alias("order_date"), "quantity",
+                    money_out("net_revenue").alias("net_revenue"), money_out("profit").alias("profit"))
+
+
+def _empty_like(df: DataFrame) -> DataFrame:
+    return df.sparkSession.createDataFrame([], df.schema)
+
+
+def dim_customer_load(star: Star) -> DataFrame:
+    batch = star.dim_customer
+    out = insert_or_ignore(_empty_like(batch), batch, ["customer_id"])
+    return out.withColumn("joined_date", F.date_format("joined_date", "yyyy-MM-dd"))
+
+
+def dim_product_load(star: Star) -> DataFrame:
+    batch = star.dim_product
+    out = insert_or_ignore(_empty_like(batch), batch, ["product_id"])
+    return out.select("product_id", "product_name", "category", money_out("unit_price").alias("unit_price"),
+                      money_out("cost_price").alias("cost_price"), "margin_pct")
+
+
+def fact_insert_or_ignore(star: Star) -> DataFrame:
+    """Load the sales lines into an empty fact keyed by (order_id,
+    line_number): the key repeats in the data, the first row in the order
+    of the remaining columns wins."""
+    batch = star.fact
+    keys = ["order_id", "line_number"]
+    order = [c for c in FACT_COLUMNS if c not in keys]
+    return fact_output(insert_or_ignore(_empty_like(batch), batch, keys, order))
+
+
+def new_keys_only(star: Star) -> DataFrame:
+    """Customers arriving in a full re-delivery, against a dimension that
+    already holds the customers first seen before 1998."""
+    early = star.fact.where(F.col("order_date") < F.lit("1998-01-01").cast("date")).select("customer_id")
+    target = star.dim_customer.join(early, "customer_id", "left_semi")
+    out = insert_or_ignore(target, star.dim_customer, ["customer_id"])
+    return out.withColumn("joined_date", F.date_format("joined_date", "yyyy-MM-dd"))
+
+
+def _customers(star: Star) -> DataFrame:
+    return reports.customer_transactions(star).select("customer_id", "region", "spend", "orders")
+
+
+def rank_distributed(star: Star) -> DataFrame:
+    c = _customers(star)
+    c = ranked(c, [("spend", False)], tie=["customer_id"],
+               outputs={"spend_rank": "rank", "spend_dense_rank": "dense_rank",
+                        "spend_row_number": "row_number", "spend_percent_rank": "percent_rank"})
+    c = ranked(c, [("orders", False)], tie=["customer_id"], partition=["region"],
+               outputs={"region_orders_rank": "rank", "region_orders_dense_rank": "dense_rank",
+                        "region_customers": "count"})
+    return c.select("customer_id", "region", money_out("spend").alias("total_spend"),
+                    long_out("orders").alias("total_orders"), "spend_rank", "spend_dense_rank",
+                    "spend_row_number", "spend_percent_rank", "region_orders_rank",
+                    "region_orders_dense_rank", "region_customers")
+
+
+def ntile_distributed(star: Star) -> DataFrame:
+    c = _customers(star)
+    c = ranked(c, [("spend", True)], tie=["customer_id"], outputs={"spend_quintile": "ntile5"})
+    c = ranked(c, [("orders", False)], tie=["customer_id"], outputs={"orders_quartile": "ntile4"})
+    c = ranked(c, [("spend", False)], tie=["customer_id"], partition=["region"],
+               outputs={"region_spend_decile": "ntile10"})
+    return c.select("customer_id", "region", money_out("spend").alias("total_spend"),
+                    long_out("orders").alias("total_orders"), "spend_quintile", "orders_quartile",
+                    "region_spend_decile")
+
+
+def running_total_distributed(star: Star) -> DataFrame:
+    c = _customers(star)
+    c = ranked(c, [("spend", False)], tie=["customer_id"], sums=["spend"], outputs={"cum": "cum_spend"})
+    c = ranked(c, [("orders", False)], tie=["customer_id"], partition=["region"], sums=["spend"],
+               outputs={"region_cum": "cum_spend"})
+    return c.select("customer_id", "region", money_out("spend").alias("total_spend"),
+                    money_out("cum").alias("running_spend"), money_out("region_cum").alias("region_running_spend"))
+
+
+def rank_average_method(star: Star) -> DataFrame:
+    p = star.fact.groupBy("product_id").agg(F.sum("net_revenue").alias("rev"))
+    p = ranked(p, [("rev", False)], tie=["product_id"],
+               outputs={"revenue_rank_average": "average_rank", "revenue_rank_min": "rank"})
+    return p.select("product_id", money_out("rev").alias("total_revenue"), "revenue_rank_average",
+                    "revenue_rank_min")
+
+
+def _kpi_sales(star: Star) -> DataFrame:
+    return clean_transactions(star.fact)
+
+
+def _kpi_customers(star: Star) -> DataFrame:
+    sales = _kpi_sales(star)
+    return kpis.customer_kpis(sales, kpis.rfm_quintiles(sales))
+
+
 def _on_star(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(load_star(spark, sf_dir))
@@ -82,5 +190,31 @@ def queries() -> dict[str, Query]:
         "var_quarterly": _on_star(variants.quarterly_slim),
         "var_payment_share": _on_star(variants.payment_share),
         "var_region_summary": _on_star(variants.region_summary),
+        "clean_transactions": _on_star(clean_with_defects),
+        "dim_date": _on_star(lambda s: s.dim_date.select("date_id", "month", "month_name", "quarter",
+                                                         "year", "is_holiday")),
+        "dim_region": _on_star(lambda s: s.dim_region),
+        "dim_customer": _on_star(dim_customer_load),
+        "dim_product": _on_star(dim_product_load),
+        "fact_insert_or_ignore": _on_star(fact_insert_or_ignore),
+        "new_keys_only": _on_star(new_keys_only),
+        "kpi_monthly": _on_star(lambda s: kpis.monthly_kpis(_kpi_sales(s))),
+        "kpi_regional": _on_star(lambda s: kpis.regional_kpis(_kpi_sales(s))),
+        "kpi_products": _on_star(lambda s: kpis.product_kpis(_kpi_sales(s))),
+        "kpi_categories": _on_star(lambda s: kpis.category_kpis(_kpi_sales(s))),
+        "kpi_rfm_quintile": _on_star(lambda s: kpis.rfm_quintiles(_kpi_sales(s))),
+        "kpi_customers": _on_star(_kpi_customers),
+        "ins_best_month": _on_star(lambda s: insights.best_month(reports.monthly_growth(s))),
+        "ins_region_flags": _on_star(lambda s: insights.region_flags(reports.region_vs_average(s))),
+        "ins_underperformers": _on_star(
+            lambda s: insights.underperformers(kpis.regional_kpis(_kpi_sales(s)))),
+        "ins_category": _on_star(lambda s: insights.category_ranks(variants.categories_slim(s))),
+        "ins_quarters": _on_star(lambda s: insights.quarter_growth(reports.quarterly_growth(s))),
+        "ins_rfm_mix": _on_star(lambda s: insights.rfm_mix(reports.customer_ltv_rfm(s))),
+        "top_products": _on_star(insights.top_products),
+        "rank_distributed": _on_star(rank_distributed),
+        "ntile_distributed": _on_star(ntile_distributed),
+        "running_total_distributed": _on_star(running_total_distributed),
+        "rank_average_method": _on_star(rank_average_method),
     }
     return q
