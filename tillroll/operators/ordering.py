@@ -34,13 +34,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, shuffle_partitions
+from ..session import shuffle_partitions, unique_name, work_path
 
 Order = Sequence[tuple[str, bool]]  # (column, ascending)
 
+LOCAL_ROWS_CONF = "spark.tillroll.ranking.localRows"
+DEFAULT_LOCAL_ROWS = 1_000_000
+
+
+def local_rows_limit(spark) -> int:
+    """Inputs with at most this many rows are ranked with plain windows; the
+    limit bounds what one task sorts, so it does not grow with the data."""
+    return int(spark.conf.get(LOCAL_ROWS_CONF, str(DEFAULT_LOCAL_ROWS)))
+
+
+def materialize(df: DataFrame, label: str = "table") -> tuple[DataFrame, int]:
+    """Write ``df`` once as Parquet in the shared checkpoint folder and return
+    a reader over it plus its exact row count (observed during the write, no
+    extra pass).  Cuts the lineage and makes later reads deterministic."""
+    spark = df.sparkSession
+    path = work_path(spark, "tables", unique_name(label))
+    obs = Observation(unique_name("rows"))
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path), int(obs.get["rows"])
+
 _P0 = "_part0"
 
 
@@ -50,9 +70,16 @@ def _sorted(col: str, asc: bool) -> Column:
 
 def global_order(df: DataFrame, order: Order, tie: Sequence[str] = (),
                  partition: Sequence[str] = (), sums: Sequence[str] = (),
-                 buckets: int | None = None) -> DataFrame:
-    """Add ``_pos, _rank, _rank_last, _dense, _n`` and ``_cum_<c>`` columns."""
+                 buckets: int | None = None, rows: int | None = None) -> DataFrame:
+    """Add ``_pos, _rank, _rank_last, _dense, _n`` and ``_cum_<c>`` columns.
+
+    ``rows`` is an upper bound on the input's row count when the caller knows
+    one (see :func:`materialize`); at or below :func:`local_rows_limit` plain
+    windows are used, otherwise -- and whenever the size is unknown -- the
+    distributed bucketed computation."""
     spark = df.sparkSession
+    if rows is not None and rows <= local_rows_limit(spark):
+        return _local_order(df, order, tie, partition, sums)
     nb = int(buckets or shuffle_partitions(spark))
     part = list(partition)
     if not part:
@@ -66,12 +93,10 @@ def global_order(df: DataFrame, order: Order, tie: Sequence[str] = (),
 
     # The range partitioner samples its input with a seed tied to the RDD, so
     # two evaluations could cut different buckets.  The bucket assignment is
-    # therefore written once (reliable checkpoint in the shared checkpoint
-    # folder) and both the per-bucket summary and the rows read that copy.
-    ensure_checkpoint_dir(spark)
-    bucketed = (df.repartitionByRange(nb, *full_sort)
-                .withColumn("_b", F.spark_partition_id())
-                .checkpoint(eager=True))
+    # therefore written once to the shared checkpoint folder and both the
+    # per-bucket summary and the rows read that copy.
+    bucketed, _ = materialize(df.repartitionByRange(nb, *full_sort)
+                              .withColumn("_b", F.spark_partition_id()), "buckets")
 
     w_b = Window.partitionBy("_b").orderBy(*full_sort)
     w_bp = Window.partitionBy("_b", *part)
@@ -182,6 +207,29 @@ def global_order(df: DataFrame, order: Order, tie: Sequence[str] = (),
     return out
 
 
+def _local_order(df: DataFrame, order: Order, tie: Sequence[str], partition: Sequence[str],
+                 sums: Sequence[str]) -> DataFrame:
+    """The same columns from plain windows, for inputs of bounded size."""
+    part = list(partition)
+    keys = [c for c, _ in order]
+    k_sort = [_sorted(c, a) for c, a in order]
+    full = k_sort + [F.col(c).asc() for c in tie]
+    w_all = Window.partitionBy(*part)
+    w_keys = Window.partitionBy(*part).orderBy(*k_sort)
+    w_full = Window.partitionBy(*part).orderBy(*full)
+    rank = F.rank().over(w_keys)
+    return df.select(
+        "*",
+        F.row_number().over(w_full).cast("long").alias("_pos"),
+        rank.cast("long").alias("_rank"),
+        (rank + F.count(F.lit(1)).over(Window.partitionBy(*part, *keys)) - 1).cast("long").alias("_rank_last"),
+        F.dense_rank().over(w_keys).cast("long").alias("_dense"),
+        F.count(F.lit(1)).over(w_all).cast("long").alias("_n"),
+        *[F.sum(c).over(w_full.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(f"_cum_{c}")
+          for c in sums],
+    )
+
+
 def ntile(n: int, pos: str = "_pos", count: str = "_n") -> Column:
     """NTILE(n) from a 1-based row position and the partition size: the
     first ``count % n`` tiles hold one row more."""
@@ -208,11 +256,11 @@ def average_rank_int(rank: str = "_rank", last: str = "_rank_last") -> Column:
 
 def ranked(df: DataFrame, order: Order, tie: Sequence[str] = (), partition: Sequence[str] = (),
            outputs: dict[str, str] | None = None, sums: Sequence[str] = (),
-           buckets: int | None = None) -> DataFrame:
+           buckets: int | None = None, rows: int | None = None) -> DataFrame:
     """Convenience wrapper: ``outputs`` maps a new column name to one of
     ``rank, dense_rank, row_number, percent_rank, average_rank, count,
     ntile<N>`` or ``cum_<c>``."""
-    out = global_order(df, order, tie=tie, partition=partition, sums=sums, buckets=buckets)
+    out = global_order(df, order, tie=tie, partition=partition, sums=sums, buckets=buckets, rows=rows)
     cols = {}
     for name, what in (outputs or {}).items():
         if what == "rank":

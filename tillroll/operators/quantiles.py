@@ -27,11 +27,11 @@ QUINTILES = (0.2, 0.4, 0.6, 0.8)
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], tie: Sequence[str],
-                    prefix: str = "q", buckets: int | None = None) -> DataFrame:
+                    prefix: str = "q", buckets: int | None = None, rows: int | None = None) -> DataFrame:
     """One row: ``{prefix}0 .. {prefix}k`` (the quantiles), ``{prefix}_min``,
     ``{prefix}_max``."""
     o = global_order(df.select(col, *tie).where(F.col(col).isNotNull()), [(col, True)],
-                     tie=tie, buckets=buckets)
+                     tie=tie, buckets=buckets, rows=rows)
     pos, n, x = F.col("_pos"), F.col("_n"), F.col(col).cast("double")
     aggs = []
     for i, p in enumerate(probs):
@@ -58,10 +58,10 @@ def edges_below(x: Column, edge_cols: Sequence[str]) -> Column:
 
 
 def quintile_score(df: DataFrame, col: str, tie: Sequence[str], out: str, reverse: bool = False,
-                   mode: str = "collapse", buckets: int | None = None) -> DataFrame:
+                   mode: str = "collapse", buckets: int | None = None, rows: int | None = None) -> DataFrame:
     """Add a 1..5 score (5..1 when ``reverse``) of ``col`` over all rows."""
     prefix = f"_{out}_e"
-    edges = exact_quantiles(df, col, QUINTILES, tie, prefix=prefix, buckets=buckets)
+    edges = exact_quantiles(df, col, QUINTILES, tie, prefix=prefix, buckets=buckets, rows=rows)
     names = [f"{prefix}{i}" for i in range(len(QUINTILES))]
     if mode == "strict":
         row = edges.first()  # one row with six numbers

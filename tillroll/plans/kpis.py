@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import labels
 from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct, ratio, rnd)
 from ..operators.clean import clean_transactions
-from ..operators.ordering import ranked
+from ..operators.ordering import materialize, ranked
 from ..operators.quantiles import quintile_score
 from .reports import ROWS_TO_HERE
 from .star import Star
@@ -76,8 +76,9 @@ def product_kpis(sales: DataFrame, buckets: int | None = None) -> DataFrame:
         F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
         F.sum("quantity").alias("units"), F.countDistinct("order_id").alias("orders"),
         F.sum("is_returned").alias("returns"), mean("unit_price").alias("avg_price"))
+    p, n = materialize(p, "product_kpis")
     p = ranked(p, [("rev", False)], tie=["product_id"], outputs={"revenue_rank": "average_rank"},
-               buckets=buckets)
+               buckets=buckets, rows=n)
     return p.select(
         "product_id", "product_name", "category",
         money_out("rev").alias("total_revenue"), money_out("prof").alias("total_profit"),
@@ -113,10 +114,12 @@ def rfm_quintiles(sales: DataFrame, mode: str = "collapse", buckets: int | None
     c = (c.crossJoin(F.broadcast(snapshot))
          .select("customer_id", F.datediff("snapshot", "last").cast("long").alias("recency"),
                  long_out("frequency").alias("frequency"), money_out("monetary_dec").alias("monetary")))
+    c, n = materialize(c, "rfm_input")
+    kw = dict(mode=mode, buckets=buckets, rows=n)
     t = ["customer_id"]
-    c = quintile_score(c, "recency", t, "r_score", reverse=True, mode=mode, buckets=buckets)
-    c = quintile_score(c, "frequency", t, "f_score", mode=mode, buckets=buckets)
-    c = quintile_score(c, "monetary", t, "m_score", mode=mode, buckets=buckets)
+    c = quintile_score(c, "recency", t, "r_score", reverse=True, **kw)
+    c = quintile_score(c, "frequency", t, "f_score", **kw)
+    c = quintile_score(c, "monetary", t, "m_score", **kw)
     score = F.col("r_score") + F.col("f_score") + F.col("m_score")
     return c.select(
         "customer_id", "recency", "frequency", "monetary", "r_score", "f_score", "m_score",

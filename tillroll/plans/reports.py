@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions import labels
 from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct, pct_scaled, ratio,
                                  rnd)
-from ..operators.ordering import global_order, ntile, ranked
+from ..operators.ordering import global_order, materialize, ntile, ranked
 from .star import Star
 
 ROWS_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
@@ -112,12 +112,15 @@ def product_ranking(star: Star, buckets: int | None = None) -> DataFrame:
     ps = product_stats(star)
     cat = ps.groupBy("category").agg(F.sum("rev").alias("cat_rev"))       # J4
     total = ps.agg(F.sum("rev").alias("grand_total"))                     # one row
-    ps = ps.join(cat, "category").crossJoin(F.broadcast(total))
-    ps = ranked(ps, [("rev", False)], tie=["product_id"], outputs={"revenue_rank": "rank"}, buckets=buckets)
-    ps = ranked(ps, [("prof", False)], tie=["product_id"], outputs={"profit_rank": "rank"}, buckets=buckets)
-    ps = ranked(ps, [("units", False)], tie=["product_id"], outputs={"volume_rank": "rank"}, buckets=buckets)
-    ps = ranked(ps, [("rev", False)], tie=["product_id"], partition=["category"], sums=["rev"],
-                outputs={"category_rank": "rank", "cat_cum": "cum_rev"}, buckets=buckets)
+    # one row per product, written once: the four rankings read it and its
+    # observed size picks plain or distributed windows
+    ps, n = materialize(ps.join(cat, "category").crossJoin(F.broadcast(total)), "product_stats")
+    kw = dict(tie=["product_id"], buckets=buckets, rows=n)
+    ps = ranked(ps, [("rev", False)], outputs={"revenue_rank": "rank"}, **kw)
+    ps = ranked(ps, [("prof", False)], outputs={"profit_rank": "rank"}, **kw)
+    ps = ranked(ps, [("units", False)], outputs={"volume_rank": "rank"}, **kw)
+    ps = ranked(ps, [("rev", False)], partition=["category"], sums=["rev"],
+                outputs={"category_rank": "rank", "cat_cum": "cum_rev"}, **kw)
     return ps.select(
         "product_id", "product_name", "category",
         money_out("list_price").alias("list_price"), rnd("avg_price").alias("avg_selling_price"),
@@ -197,21 +200,21 @@ def customer_ltv_rfm(star: Star, recency_mode: str = "as_published", buckets: in
     score 5, as the report's comment intends."""
     if recency_mode not in ("as_published", "corrected"):
         raise ValueError(recency_mode)
-    ct = customer_transactions(star)
+    ct, n = materialize(customer_transactions(star), "customer_tx")
     t = ["customer_id"]
     ct = ranked(ct, [("last_date", recency_mode == "corrected")], tie=t,
-                outputs={"recency_score": "ntile5"}, buckets=buckets)
-    ct = ranked(ct, [("orders", True)], tie=t, outputs={"frequency_score": "ntile5"}, buckets=buckets)
+                outputs={"recency_score": "ntile5"}, buckets=buckets, rows=n)
+    ct = ranked(ct, [("orders", True)], tie=t, outputs={"frequency_score": "ntile5"}, buckets=buckets, rows=n)
     # one ascending order on spend gives both the monetary tile and the
     # descending spend rank (n - last tied position + 1)
-    g = global_order(ct, [("spend", True)], tie=t, buckets=buckets)
+    g = global_order(ct, [("spend", True)], tie=t, buckets=buckets, rows=n)
     ct = (g.withColumn("monetary_score", ntile(5))
           .withColumn("spend_rank", F.col("_n") - F.col("_rank_last") + 1)
           .drop("_pos", "_rank", "_rank_last", "_dense", "_n"))
     ct = ranked(ct, [("spend", False)], tie=t, partition=["segment"],
-                outputs={"segment_spend_rank": "rank"}, buckets=buckets)
+                outputs={"segment_spend_rank": "rank"}, buckets=buckets, rows=n)
     ct = ranked(ct, [("spend", False)], tie=t, partition=["region"],
-                outputs={"region_spend_rank": "rank"}, buckets=buckets)
+                outputs={"region_spend_rank": "rank"}, buckets=buckets, rows=n)
     score = F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score")
     return ct.select(
         "customer_id", "segment", "region",

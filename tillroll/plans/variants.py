@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels
 from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct, pct_scaled, rnd)
-from ..operators.ordering import ranked
+from ..operators.ordering import materialize, ranked
 from .reports import ROWS_TO_HERE, _calendar, customer_transactions, product_stats
 from .star import Star
 
@@ -57,11 +57,11 @@ def regional_3tier(star: Star) -> DataFrame:
 
 def products_slim(star: Star, buckets: int | None = None) -> DataFrame:
     """V3: product ranking without list price, shares or running totals."""
-    ps = product_stats(star, with_list_price=False)
-    ps = ranked(ps, [("rev", False)], tie=["product_id"], outputs={"revenue_rank": "rank"}, buckets=buckets)
-    ps = ranked(ps, [("prof", False)], tie=["product_id"], outputs={"profit_rank": "rank"}, buckets=buckets)
-    ps = ranked(ps, [("rev", False)], tie=["product_id"], partition=["category"],
-                outputs={"category_rank": "rank"}, buckets=buckets)
+    ps, n = materialize(product_stats(star, with_list_price=False), "product_stats")
+    kw = dict(tie=["product_id"], buckets=buckets, rows=n)
+    ps = ranked(ps, [("rev", False)], outputs={"revenue_rank": "rank"}, **kw)
+    ps = ranked(ps, [("prof", False)], outputs={"profit_rank": "rank"}, **kw)
+    ps = ranked(ps, [("rev", False)], partition=["category"], outputs={"category_rank": "rank"}, **kw)
     return ps.select(
         "product_id", "product_name", "category",
         money_out("rev").alias("total_revenue"), money_out("prof").alias("total_profit"),
