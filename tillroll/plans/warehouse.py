@@ -5,8 +5,10 @@ cluster).  Loads are set based:
 
 * dimensions and facts are *insert-or-ignore*: first row per key from the
   batch, minus keys already present (loading twice equals loading once);
-* facts are cast with ``try_cast``; rows that fail a cast or miss a key go
-  to ``fact_rejects`` with a reason instead of being silently dropped;
+* facts are cast with ``try_cast``; rows that fail a cast, miss a key or
+  name a customer/product the dimensions do not hold go to ``fact_rejects``
+  with a reason instead of being silently dropped (the declared foreign keys
+  are enforced, so every report sees conformed keys);
 * KPI tables are append-only snapshots stamped ``created_at`` (the latest
   snapshot is ``max(created_at)``);
 * ``pipeline_run_log`` gets one row per stage run, the row count coming from
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedupe import insert_or_ignore
+from ..operators.ordering import materialize as _materialize
 
 S, I, L, D, M = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.DecimalType(18, 2)
 
@@ -35,14 +38,14 @@ def _schema(*fields) -> T.StructType:
 
 
 SCHEMAS: dict[str, T.StructType] = {
-    "dim_customer": _schema(("customer_id", L), ("customer_name", S), ("segment", S), ("region", S),
+    "dim_customer": _schema(("customer_id", S), ("customer_name", S), ("segment", S), ("region", S),
                             ("city", S), ("joined_date", T.DateType())),
-    "dim_product": _schema(("product_id", L), ("product_name", S), ("category", S), ("unit_price", M),
+    "dim_product": _schema(("product_id", S), ("product_name", S), ("category", S), ("unit_price", M),
                            ("cost_price", M), ("margin_pct", D)),
     "dim_date": _schema(("date_id", S), ("month", I), ("month_name", S), ("quarter", S), ("year", I),
                         ("is_holiday", I)),
     "dim_region": _schema(("region_name", S), ("performance", S)),
-    "fact_sales": _schema(("order_id", L), ("line_number", I), ("customer_id", L), ("product_id", L),
+    "fact_sales": _schema(("order_id", S), ("line_number", I), ("customer_id", S), ("product_id", S),
                           ("date_id", S), ("region", S), ("quantity", L), ("unit_price", M),
                           ("discount_pct", I), ("discount_amt", M), ("gross_revenue", M),
                           ("net_revenue", M), ("cost", M), ("profit", M), ("is_returned", I),
@@ -60,13 +63,17 @@ SCHEMAS: dict[str, T.StructType] = {
 }
 
 KEYS = {"dim_customer": ["customer_id"], "dim_product": ["product_id"], "dim_date": ["date_id"],
-        "dim_region": ["region_name"], "fact_sales": ["order_id", "line_number"]}
+        "dim_region": ["region_name"]}
 
 
 @dataclass
 class Warehouse:
+    """``fact_keys``: ``("order_id",)`` for one line per order (the raw
+    transaction model), ``("order_id", "line_number")`` for multi-line orders."""
     spark: SparkSession
     root: str
+    fact_keys: tuple[str, ...] = ("order_id", "line_number")
+    enforce_foreign_keys: bool = True
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -116,23 +123,37 @@ class Warehouse:
     def load_fact(self, sales: DataFrame, order=None) -> int:
         """Insert-or-ignore sales lines; returns the number actually added."""
         schema = SCHEMAS["fact_sales"]
+        if "date_id" not in sales.columns and "order_date" in sales.columns:
+            sales = sales.withColumn("date_id", F.date_format(F.to_date("order_date"), "yyyy-MM-dd"))
         typed = sales.select(
             *[F.try_cast(F.col(f.name), f.dataType).alias(f.name) if f.name in sales.columns
               else F.lit(None).cast(f.dataType).alias(f.name)
               for f in schema.fields if f.name != "ingested_at"],
-            F.to_json(F.struct(*sales.columns)).alias("_raw"))
-        required = ["order_id", "line_number", "customer_id", "product_id", "date_id", "net_revenue"]
-        missing = None
-        for c in required:
+            F.struct(*sales.columns).alias("_orig"))
+        required = [*self.fact_keys, "customer_id", "product_id", "date_id", "net_revenue"]
+        reason = None
+        for c in dict.fromkeys(required):
             cond = F.when(F.col(c).isNull(), F.lit(f"missing or invalid {c}"))
-            missing = cond if missing is None else F.coalesce(missing, cond)
-        typed = typed.withColumn("_reason", missing)
+            reason = cond if reason is None else F.coalesce(reason, cond)
+        typed = typed.withColumn("_reason", reason)
+        if self.enforce_foreign_keys:
+            # one semi-join per dimension key, at load time rather than in
+            # every report; the flags ride along with the row
+            for dim, key in (("dim_customer", "customer_id"), ("dim_product", "product_id")):
+                known = self.table(dim).select(F.col(key), F.lit(True).alias(f"_known_{key}"))
+                typed = (typed.join(known, key, "left")
+                         .withColumn("_reason", F.coalesce(
+                             "_reason", F.when(F.col(f"_known_{key}").isNull(), F.lit(f"unknown {key}"))))
+                         .drop(f"_known_{key}"))
+        # the raw text is kept for rejected rows only
+        typed = typed.withColumn("_raw", F.when(F.col("_reason").isNotNull(), F.to_json("_orig"))).drop("_orig")
+        typed, _ = _materialize(typed, "fact_batch")
         rejects = typed.where(F.col("_reason").isNotNull()).select(
             F.col("_reason").alias("reason"), F.col("_raw").alias("row"), F.current_timestamp().alias("rejected_at"))
         self._append("fact_rejects", rejects)
         good = typed.where(F.col("_reason").isNull()).drop("_reason", "_raw")
         new = insert_or_ignore(self.table("fact_sales").select(*good.columns), good,
-                               KEYS["fact_sales"], order)
+                               list(self.fact_keys), order)
         return self._append("fact_sales", new.withColumn("ingested_at", F.current_timestamp()))
 
     # S12-S13 --------------------------------------------------------------
