@@ -187,10 +187,14 @@ def customer_transactions(star: Star, with_returns: bool = True) -> DataFrame:
     aggs = [F.sum("net_revenue").alias("spend"), F.sum("profit").alias("prof"),
             F.countDistinct("order_id").alias("orders"), F.sum("quantity").alias("units"),
             mean("net_revenue").alias("avg_net"),
-            F.min("date_id").alias("first_date"), F.max("date_id").alias("last_date")]
+            # dates aggregate as ``date`` (hash aggregation); ISO text at the edge
+            F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day")]
     if with_returns:
         aggs.append(F.sum("is_returned").alias("returns"))
-    agg = star.fact.groupBy("customer_id").agg(*aggs)
+    agg = (star.fact.groupBy("customer_id").agg(*aggs)
+           .withColumn("first_date", F.date_format("first_day", "yyyy-MM-dd"))
+           .withColumn("last_date", F.date_format("last_day", "yyyy-MM-dd"))
+           .drop("first_day", "last_day"))
     return agg.join(star.dim_customer.select("customer_id", "segment", "region"), "customer_id")
 
 
@@ -318,8 +322,12 @@ def top_customers(star: Star, k: int = 5) -> DataFrame:
     agg = star.fact.groupBy("customer_id", "region").agg(
         F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
         F.countDistinct("order_id").alias("orders"), mean("net_revenue").alias("avg_net"),
-        F.sum("is_returned").alias("returns"), F.max("date_id").alias("last_date"))
-    cr = agg.join(star.dim_customer.select("customer_id", "segment"), "customer_id")
+        F.sum("is_returned").alias("returns"), F.max("order_date").alias("last_day"))
+    # one row per customer, written once and read by the three steps below
+    # (instead of aggregating the fact three times)
+    cr, _ = materialize(agg.join(star.dim_customer.select("customer_id", "segment"), "customer_id")
+                        .withColumn("last_date", F.date_format("last_day", "yyyy-MM-dd")).drop("last_day"),
+                        "customer_revenue")
     top = (cr.withColumn("region_rank", F.rank().over(Window.partitionBy("region").orderBy(F.desc("rev"))))
            .where(F.col("region_rank") <= k))
     sizes = cr.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.sum("rev").alias("region_total"))

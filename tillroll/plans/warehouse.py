@@ -126,7 +126,7 @@ class Warehouse:
         if "date_id" not in sales.columns and "order_date" in sales.columns:
             sales = sales.withColumn("date_id", F.date_format(F.to_date("order_date"), "yyyy-MM-dd"))
         typed = sales.select(
-            *[F.try_cast(F.col(f.name), f.dataType).alias(f.name) if f.name in sales.columns
+            *[F.col(f.name).try_cast(f.dataType).alias(f.name) if f.name in sales.columns
               else F.lit(None).cast(f.dataType).alias(f.name)
               for f in schema.fields if f.name != "ingested_at"],
             F.struct(*sales.columns).alias("_orig"))
