@@ -2,10 +2,11 @@
 
 Runs on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with
 ``local[$BENCH_CPUS]`` and prints one JSON line.  ``star_load`` is the
-one-off materialisation of the star schema (the adapter's joins); every
-other query reads that star and is executed in full into Spark's ``noop``
-sink.  Each query runs ``$BENCH_RUNS`` times (default 2); the best run is
-reported, every run is listed under ``runs``.
+materialisation of the star schema (the adapter's joins and five table
+writes), done once per session in real use; every other query reads that
+star and is executed in full into Spark's ``noop`` sink.  Each query runs
+``$BENCH_RUNS`` times (default 2); the best run is reported, every run is
+listed under ``runs``.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ def main() -> None:
     only = [k for k in os.environ.get("BENCH_QUERIES", "").split(",") if k]
 
     from tillroll.plans.registry import queries
-    from tillroll.plans.star import load_star
-    from tillroll.session import local_session
+    from tillroll.plans.star import build_star, load_star, write_star
+    from tillroll.session import local_session, unique_name, work_path
 
     spark = local_session(cpus, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")),
                           driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
@@ -42,10 +43,17 @@ def main() -> None:
     timings: dict[str, float] = {}
     all_runs: dict[str, list[float]] = {}
 
-    t0 = time.time()
+    # the star load (adapter joins + five table writes) is timed like the
+    # queries (each run builds it into a fresh folder); load_star then builds
+    # the session star the queries read
+    secs = []
+    for _ in range(runs):
+        t0 = time.time()
+        write_star(build_star(spark, sf_dir), work_path(spark, "bench", unique_name("star")))
+        secs.append(round(time.time() - t0, 3))
+    all_runs["star_load"] = secs
+    timings["star_load"] = min(secs)
     load_star(spark, sf_dir)
-    timings["star_load"] = round(time.time() - t0, 3)
-    all_runs["star_load"] = [timings["star_load"]]
 
     for name in (only or HEADLINE):
         secs = []
