@@ -61,6 +61,15 @@ def materialize(df: DataFrame, label: str = "table") -> tuple[DataFrame, int]:
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path), int(obs.get["rows"])
 
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a side whose exact row count is known and small; above the
+    limit leave the join to Spark (shuffle join)."""
+    return F.broadcast(df) if rows <= limit else df
+
+
 _P0 = "_part0"
 
 

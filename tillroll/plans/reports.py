@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions import labels
 from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct, pct_scaled, ratio,
                                  rnd)
-from ..operators.ordering import global_order, materialize, ntile, ranked
+from ..operators.ordering import broadcast_if_small, global_order, materialize, ntile, ranked
 from .star import Star
 
 ROWS_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
@@ -109,12 +109,13 @@ def product_stats(star: Star, with_list_price: bool = True) -> DataFrame:
 
 
 def product_ranking(star: Star, buckets: int | None = None) -> DataFrame:
-    ps = product_stats(star)
-    cat = ps.groupBy("category").agg(F.sum("rev").alias("cat_rev"))       # J4
+    # one row per product, written once: the rollup, the total and the four
+    # rankings read it, and its observed size picks plain or distributed windows
+    ps, n = materialize(product_stats(star), "product_stats")
+    cat, n_cat = materialize(ps.groupBy("category").agg(F.sum("rev").alias("cat_rev")), "category_totals")
     total = ps.agg(F.sum("rev").alias("grand_total"))                     # one row
-    # one row per product, written once: the four rankings read it and its
-    # observed size picks plain or distributed windows
-    ps, n = materialize(ps.join(cat, "category").crossJoin(F.broadcast(total)), "product_stats")
+    ps = (ps.join(broadcast_if_small(cat, n_cat), "category")             # J4, size checked
+          .crossJoin(F.broadcast(total)))
     kw = dict(tie=["product_id"], buckets=buckets, rows=n)
     ps = ranked(ps, [("rev", False)], outputs={"revenue_rank": "rank"}, **kw)
     ps = ranked(ps, [("prof", False)], outputs={"profit_rank": "rank"}, **kw)
