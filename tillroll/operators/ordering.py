@@ -43,6 +43,7 @@ Order = Sequence[tuple[str, bool]]  # (column, ascending)
 
 LOCAL_ROWS_CONF = "spark.tillroll.ranking.localRows"
 DEFAULT_LOCAL_ROWS = 1_000_000
+BUCKET_ROWS = 2_000_000   # target rows per bucket when the input size is known
 
 
 def local_rows_limit(spark) -> int:
@@ -90,6 +91,10 @@ def global_order(df: DataFrame, order: Order, tie: Sequence[str] = (),
     if rows is not None and rows <= local_rows_limit(spark):
         return _local_order(df, order, tie, partition, sums)
     nb = int(buckets or shuffle_partitions(spark))
+    if rows is not None and not buckets:
+        # keep each bucket's sort near BUCKET_ROWS as the data grows; the
+        # summary then has rows / BUCKET_ROWS entries (7,500 for 15e9 rows)
+        nb = max(nb, -(-rows // BUCKET_ROWS))
     part = list(partition)
     if not part:
         df = df.withColumn(_P0, F.lit(0))
