@@ -123,3 +123,24 @@ def test_streaming_ingest_is_exactly_once(spark, wh):
     q = start_fact_ingest(spark, raw, wh, ckpt)
     q.awaitTermination(120)
     assert sorted(r.order_id for r in wh.table("fact_sales").collect()) == ["ORD_000001", "ORD_000002", "ORD_000004"]
+
+
+def test_batch_run_end_to_end_twice(spark):
+    from conftest import SF_SMALL
+    from tillroll.plans.batch import run_batch
+    root = tempfile.mkdtemp(prefix="batch-")
+    first = run_batch(spark, SF_SMALL, root, ts="r1")
+    wh = Warehouse(spark, f"{root}/warehouse")
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    distinct_keys = lines.select("l_orderkey", "l_linenumber").distinct().count()
+    assert first.fact_rows_added == distinct_keys == wh.table("fact_sales").count()
+    assert wh.table("dim_customer").count() == spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
+    assert len(first.exports) == 7 and set(first.kpi_paths) >= {"monthly_kpis", "rfm", "customers"}
+    assert first.insights["best_month"].count() == 3
+    second = run_batch(spark, SF_SMALL, root, ts="r2")
+    assert second.fact_rows_added == 0
+    assert wh.table("fact_sales").count() == distinct_keys
+    months = wh.table("agg_monthly_kpis")
+    assert months.count() == 2 * months.select("year", "month").distinct().count()
+    assert [r.status for r in wh.table("pipeline_run_log").collect()] == ["SUCCESS", "SUCCESS"]
+    assert wh.table("fact_rejects").count() == 0

@@ -103,8 +103,8 @@ class Warehouse:
 
     # S8-S10 ---------------------------------------------------------------
     def load_dimension(self, name: str, batch: DataFrame, order=None) -> int:
-        cols = [f.name for f in SCHEMAS[name].fields]
-        batch = batch.select(*[F.col(c) if c in batch.columns else F.lit(None).alias(c) for c in cols])
+        batch = batch.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) if f.name in batch.columns
+                               else F.lit(None).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields])
         new = insert_or_ignore(self.table(name), batch, KEYS[name], order)
         return self._append(name, new)
 
