@@ -73,3 +73,12 @@ def env_int(name: str, default: int) -> int:
         return int(os.environ.get(name, default))
     except ValueError:
         return default
+
+
+def drop_work(spark: SparkSession, *parts: str) -> bool:
+    """Delete a folder under the shared checkpoint folder (e.g. ``"tables"``
+    for the intermediate ranking inputs) through the cluster's file system."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(work_path(spark, *parts))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(path, True))
