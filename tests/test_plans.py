@@ -26,9 +26,10 @@ def _plan(df) -> str:
 
 
 @pytest.mark.parametrize("key", sorted(entry.queries()))
-def test_no_python_in_plans(spark, key):
+def test_no_python_or_pairwise_joins_in_plans(spark, key):
     plan = _plan(entry.queries()[key](spark, SF_SMALL))
     assert not any(n in plan for n in PYTHON_NODES), key
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, key
 
 
 def test_monthly_scan_is_pruned_and_dates_broadcast(spark):

@@ -71,3 +71,10 @@ def long_out(c) -> Column:
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
+
+
+def with_totals(df, source, **aggs):
+    """Attach one-row aggregates of ``source`` to every row of ``df`` as
+    scalar subqueries (evaluated once, merged when they share a source) --
+    the company totals and averages the reports divide by, without a join."""
+    return df.withColumns({name: source.select(expr).scalar() for name, expr in aggs.items()})

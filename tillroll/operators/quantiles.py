@@ -70,8 +70,8 @@ def quintile_score(df: DataFrame, col: str, tie: Sequence[str], out: str, revers
             raise ValueError(f"quintile edges of {col!r} are not unique: {vals}")
     elif mode != "collapse":
         raise ValueError(f"unknown mode {mode!r}")
-    # ``edges`` is a single row by construction, so this broadcast is bounded.
-    scored = df.crossJoin(F.broadcast(edges.select(*names)))
+    # the four edges are one-row scalar subqueries (merged into one by Spark)
+    scored = df.withColumns({n: edges.select(n).scalar() for n in names})
     base = edges_below(F.col(col), names) + 1
     score = (F.lit(6) - base) if reverse else base
     return scored.withColumn(out, score.cast("long")).drop(*names)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels
-from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct, ratio, rnd)
+from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct, ratio, rnd, with_totals)
 from ..operators.clean import clean_transactions
 from ..operators.ordering import materialize, ranked
 from ..operators.quantiles import quintile_score
@@ -58,8 +58,7 @@ def regional_kpis(sales: DataFrame) -> DataFrame:
         F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
         F.countDistinct("order_id").alias("orders"), F.countDistinct("customer_id").alias("custs"),
         mean("net_revenue").alias("avg_net"), F.sum("is_returned").alias("returns"))
-    avg = r.agg(mean("rev").alias("avg_rev"))
-    x = r.crossJoin(F.broadcast(avg))
+    x = with_totals(r, r, avg_rev=mean("rev"))
     vs_avg = rnd(F.try_divide(dbl("rev") - F.col("avg_rev"), F.col("avg_rev")) * F.lit(100.0))
     return x.select(
         "region", money_out("rev").alias("total_revenue"), money_out("prof").alias("total_profit"),
@@ -94,8 +93,7 @@ def category_kpis(sales: DataFrame) -> DataFrame:
         F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
         F.countDistinct("order_id").alias("orders"), F.sum("quantity").alias("units"),
         F.countDistinct("customer_id").alias("custs"), mean("net_revenue").alias("avg_net"))
-    g = c.agg(F.sum("rev").alias("all_rev"))
-    return c.crossJoin(F.broadcast(g)).select(
+    return with_totals(c, c, all_rev=F.sum("rev")).select(
         "category", money_out("rev").alias("total_revenue"), money_out("prof").alias("total_profit"),
         long_out("orders").alias("total_orders"), long_out("units").alias("total_units"),
         long_out("custs").alias("unique_customers"), rnd("avg_net").alias("avg_order_value"),
@@ -107,11 +105,10 @@ def rfm_quintiles(sales: DataFrame, mode: str = "collapse", buckets: int | None
     """K5: recency in days before the latest sale date, distinct orders,
     revenue; each scored by quintile (recency reversed)."""
     s = _keys_present(sales, ["customer_id"])
-    snapshot = s.agg(F.max("order_date").alias("snapshot"))            # one row
     c = s.groupBy("customer_id").agg(
         F.max("order_date").alias("last"), F.countDistinct("order_id").alias("frequency"),
         F.sum("net_revenue").alias("monetary_dec"))
-    c = (c.crossJoin(F.broadcast(snapshot))
+    c = (with_totals(c, s, snapshot=F.max("order_date"))
          .select("customer_id", F.datediff("snapshot", "last").cast("long").alias("recency"),
                  long_out("frequency").alias("frequency"), money_out("monetary_dec").alias("monetary")))
     c, n = materialize(c, "rfm_input")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels
 from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct, pct_scaled, ratio,
-                                 rnd)
+                                 rnd, with_totals)
 from ..operators.ordering import broadcast_if_small, global_order, materialize, ntile, ranked
 from .star import Star
 
@@ -66,9 +66,8 @@ def region_vs_average(star: Star) -> DataFrame:
         F.countDistinct("order_id").alias("orders"), F.countDistinct("customer_id").alias("custs"),
         mean("net_revenue").alias("avg_net"), F.sum("quantity").alias("units"),
         F.sum("is_returned").alias("returns"))
-    company = r.agg(mean("rev").alias("avg_rev"), F.sum("rev").alias("company_total"))
-    # one-row aggregate: CROSS JOIN with a single broadcast row
-    x = r.crossJoin(F.broadcast(company))
+    # the company row (J5): two scalar subqueries over the regional totals
+    x = with_totals(r, r, avg_rev=mean("rev"), company_total=F.sum("rev"))
     vs_avg = F.try_divide(dbl("rev") - F.col("avg_rev"), F.col("avg_rev")) * F.lit(100.0)
     return x.select(
         "region",
@@ -113,9 +112,8 @@ def product_ranking(star: Star, buckets: int | None = None) -> DataFrame:
     # rankings read it, and its observed size picks plain or distributed windows
     ps, n = materialize(product_stats(star), "product_stats")
     cat, n_cat = materialize(ps.groupBy("category").agg(F.sum("rev").alias("cat_rev")), "category_totals")
-    total = ps.agg(F.sum("rev").alias("grand_total"))                     # one row
-    ps = (ps.join(broadcast_if_small(cat, n_cat), "category")             # J4, size checked
-          .crossJoin(F.broadcast(total)))
+    ps = with_totals(ps.join(broadcast_if_small(cat, n_cat), "category"),  # J4, size checked
+                     ps, grand_total=F.sum("rev"))
     kw = dict(tie=["product_id"], buckets=buckets, rows=n)
     ps = ranked(ps, [("rev", False)], outputs={"revenue_rank": "rank"}, **kw)
     ps = ranked(ps, [("prof", False)], outputs={"profit_rank": "rank"}, **kw)
@@ -152,9 +150,8 @@ def category_metrics(star: Star) -> DataFrame:
 
 def category_share(star: Star) -> DataFrame:
     cm = category_metrics(star)
-    gt = cm.agg(F.sum("rev").alias("c_rev"), F.sum("prof").alias("c_prof"),
-                F.sum("orders").alias("c_orders"))
-    x = cm.crossJoin(F.broadcast(gt)).withColumn("margin", ratio("prof", "rev"))
+    x = (with_totals(cm, cm, c_rev=F.sum("rev"), c_prof=F.sum("prof"), c_orders=F.sum("orders"))
+         .withColumn("margin", ratio("prof", "rev")))
     # categories: a handful of rows, bounded by the product-type domain
     w_rev = Window.orderBy(F.desc("rev"))
     x = (x.withColumn("revenue_rank", F.rank().over(w_rev))
@@ -282,11 +279,9 @@ def payment_discount(star: Star) -> DataFrame:
         F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
         F.countDistinct("order_id").alias("orders"), mean("net_revenue").alias("avg_net"),
         F.sum("is_returned").alias("returns"))
-    total = ps.agg(F.sum("rev").alias("grand_total"))
-
     def shape(df: DataFrame, kind: str, custs, avg_disc) -> DataFrame:
         # a few payment methods / four bands: plain window
-        df = df.crossJoin(F.broadcast(total)).withColumn(
+        df = with_totals(df, ps, grand_total=F.sum("rev")).withColumn(
             "revenue_rank", F.rank().over(Window.orderBy(F.desc("rev"))))
         return df.select(
             F.lit(kind).alias("analysis_type"), "dimension",

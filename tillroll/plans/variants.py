@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels
-from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct, pct_scaled, rnd)
+from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct, pct_scaled, rnd,
+                                 with_totals)
 from ..operators.ordering import materialize, ranked
 from .reports import ROWS_TO_HERE, _calendar, customer_transactions, product_stats
 from .star import Star
@@ -43,8 +44,7 @@ def regional_3tier(star: Star) -> DataFrame:
         F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
         F.countDistinct("order_id").alias("orders"), F.countDistinct("customer_id").alias("custs"),
         mean("net_revenue").alias("avg_net"), F.sum("is_returned").alias("returns"))
-    avg = r.agg(mean("rev").alias("avg_rev"))
-    x = r.crossJoin(F.broadcast(avg))        # implicit comma join with one row (J6)
+    x = with_totals(r, r, avg_rev=mean("rev"))     # the one-row average (J6)
     vs_avg = F.try_divide(dbl("rev") - F.col("avg_rev"), F.col("avg_rev")) * F.lit(100.0)
     return x.select(
         "region", money_out("rev").alias("total_revenue"), money_out("prof").alias("total_profit"),
@@ -80,8 +80,7 @@ def categories_slim(star: Star) -> DataFrame:
         F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
         F.countDistinct("order_id").alias("orders"), F.sum("quantity").alias("units"),
         F.countDistinct("customer_id").alias("custs"))
-    g = c.agg(F.sum("rev").alias("grand_rev"))
-    x = c.crossJoin(F.broadcast(g)).withColumn("revenue_rank", F.rank().over(Window.orderBy(F.desc("rev"))))
+    x = with_totals(c, c, grand_rev=F.sum("rev")).withColumn("revenue_rank", F.rank().over(Window.orderBy(F.desc("rev"))))
     return x.select(
         "category", money_out("rev").alias("total_revenue"), money_out("prof").alias("total_profit"),
         long_out("orders").alias("total_orders"), long_out("units").alias("total_units"),
@@ -102,8 +101,7 @@ def ltv_by_segment(star: Star) -> DataFrame:
         F.count("customer_id").alias("customers"), mean("spend").alias("avg_spend"),
         F.sum("spend").alias("seg_rev"), mean("orders").alias("avg_orders"),
         mean("aov").alias("avg_aov"))
-    total = star.fact.agg(F.sum("net_revenue").alias("all_rev"))
-    x = seg.crossJoin(F.broadcast(total))
+    x = with_totals(seg, star.fact, all_rev=F.sum("net_revenue"))
     return x.select(
         "segment", long_out("customers").alias("customer_count"), rnd("avg_spend").alias("avg_ltv"),
         money_out("seg_rev").alias("segment_revenue"), rnd("avg_orders").alias("avg_orders_per_customer"),
@@ -133,8 +131,7 @@ def payment_share(star: Star) -> DataFrame:
         F.countDistinct("order_id").alias("orders"), F.sum("net_revenue").alias("rev"),
         mean("net_revenue").alias("avg_net"), F.sum("is_returned").alias("returns"),
         F.count("order_id").alias("lines"))
-    total = star.fact.agg(F.count(F.lit(1)).alias("all_lines"))
-    x = p.crossJoin(F.broadcast(total))
+    x = with_totals(p, star.fact, all_lines=F.count(F.lit(1)))
     return x.select(
         "payment_method", long_out("orders").alias("total_orders"), money_out("rev").alias("total_revenue"),
         rnd("avg_net").alias("avg_order_value"), long_out("returns").alias("total_returns"),
