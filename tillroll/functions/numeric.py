@@ -78,3 +78,16 @@ def with_totals(df, source, **aggs):
     scalar subqueries (evaluated once, merged when they share a source) --
     the company totals and averages the reports divide by, without a join."""
     return df.withColumns({name: source.select(expr).scalar() for name, expr in aggs.items()})
+
+
+def whole(expr_fn, *cols):
+    """``expr_fn`` (``F.sum``/``F.count``...) over all rows of a small,
+    domain-bounded aggregate (regions, categories, payment methods): a
+    window without partition, so the totals come from rows already
+    aggregated instead of a second pass over the fact."""
+    from pyspark.sql import Window
+    return expr_fn(*cols).over(Window.partitionBy())
+
+
+def whole_mean(c) -> Column:
+    return F.try_divide(dbl(whole(F.sum, c)), dbl(whole(F.count, c)))

@@ -49,29 +49,23 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], tie: Sequen
         f"{prefix}_min", f"{prefix}_max")
 
 
-def edges_below(x: Column, edge_cols: Sequence[str]) -> Column:
-    """Number of the given edges strictly below ``x``."""
-    total = F.lit(0)
-    for e in edge_cols:
-        total = total + F.when(x.cast("double") > F.col(e), 1).otherwise(0)
-    return total
-
-
 def quintile_score(df: DataFrame, col: str, tie: Sequence[str], out: str, reverse: bool = False,
                    mode: str = "collapse", buckets: int | None = None, rows: int | None = None) -> DataFrame:
     """Add a 1..5 score (5..1 when ``reverse``) of ``col`` over all rows."""
+    if mode not in ("collapse", "strict"):
+        raise ValueError(f"unknown mode {mode!r}")
     prefix = f"_{out}_e"
-    edges = exact_quantiles(df, col, QUINTILES, tie, prefix=prefix, buckets=buckets, rows=rows)
     names = [f"{prefix}{i}" for i in range(len(QUINTILES))]
+    # one row of six numbers: fetched once, then used as literals
+    row = exact_quantiles(df, col, QUINTILES, tie, prefix=prefix, buckets=buckets, rows=rows).first()
     if mode == "strict":
-        row = edges.first()  # one row with six numbers
         vals = [row[f"{prefix}_min"], *[row[n] for n in names], row[f"{prefix}_max"]]
         if len(set(vals)) != len(vals):
             raise ValueError(f"quintile edges of {col!r} are not unique: {vals}")
-    elif mode != "collapse":
-        raise ValueError(f"unknown mode {mode!r}")
-    # the four edges are one-row scalar subqueries (merged into one by Spark)
-    scored = df.withColumns({n: edges.select(n).scalar() for n in names})
-    base = edges_below(F.col(col), names) + 1
-    score = (F.lit(6) - base) if reverse else base
-    return scored.withColumn(out, score.cast("long")).drop(*names)
+    x = F.col(col).cast("double")
+    below = F.lit(0)
+    for n in names:
+        e = row[n]
+        below = below + (F.when(x > F.lit(e), 1).otherwise(0) if e is not None else F.lit(0))
+    score = (F.lit(5) - below) if reverse else (below + 1)
+    return df.withColumn(out, score.cast("long"))

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels
-from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct, ratio, rnd, with_totals)
+from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct, ratio, rnd, whole, whole_mean,
+                                 with_totals)
 from ..operators.clean import clean_transactions
 from ..operators.ordering import materialize, ranked
 from ..operators.quantiles import quintile_score
@@ -58,7 +59,7 @@ def regional_kpis(sales: DataFrame) -> DataFrame:
         F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
         F.countDistinct("order_id").alias("orders"), F.countDistinct("customer_id").alias("custs"),
         mean("net_revenue").alias("avg_net"), F.sum("is_returned").alias("returns"))
-    x = with_totals(r, r, avg_rev=mean("rev"))
+    x = r.withColumn("avg_rev", whole_mean("rev"))
     vs_avg = rnd(F.try_divide(dbl("rev") - F.col("avg_rev"), F.col("avg_rev")) * F.lit(100.0))
     return x.select(
         "region", money_out("rev").alias("total_revenue"), money_out("prof").alias("total_profit"),
@@ -93,7 +94,7 @@ def category_kpis(sales: DataFrame) -> DataFrame:
         F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
         F.countDistinct("order_id").alias("orders"), F.sum("quantity").alias("units"),
         F.countDistinct("customer_id").alias("custs"), mean("net_revenue").alias("avg_net"))
-    return with_totals(c, c, all_rev=F.sum("rev")).select(
+    return c.withColumn("all_rev", whole(F.sum, "rev")).select(
         "category", money_out("rev").alias("total_revenue"), money_out("prof").alias("total_profit"),
         long_out("orders").alias("total_orders"), long_out("units").alias("total_units"),
         long_out("custs").alias("unique_customers"), rnd("avg_net").alias("avg_order_value"),
@@ -108,10 +109,12 @@ def rfm_quintiles(sales: DataFrame, mode: str = "collapse", buckets: int | None
     c = s.groupBy("customer_id").agg(
         F.max("order_date").alias("last"), F.countDistinct("order_id").alias("frequency"),
         F.sum("net_revenue").alias("monetary_dec"))
-    c = (with_totals(c, s, snapshot=F.max("order_date"))
+    c, n = materialize(c, "rfm_customers")
+    # the snapshot (latest sale) is the latest of the customers' last dates:
+    # a scalar subquery over the small written table, not a second fact pass
+    c = (with_totals(c, c, snapshot=F.max("last"))
          .select("customer_id", F.datediff("snapshot", "last").cast("long").alias("recency"),
                  long_out("frequency").alias("frequency"), money_out("monetary_dec").alias("monetary")))
-    c, n = materialize(c, "rfm_input")
     kw = dict(mode=mode, buckets=buckets, rows=n)
     t = ["customer_id"]
     c = quintile_score(c, "recency", t, "r_score", reverse=True, **kw)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels
 from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct, pct_scaled, ratio,
-                                 rnd, with_totals)
+                                 rnd, whole, whole_mean, with_totals)
 from ..operators.ordering import broadcast_if_small, global_order, materialize, ntile, ranked
 from .star import Star
 
@@ -66,8 +66,8 @@ def region_vs_average(star: Star) -> DataFrame:
         F.countDistinct("order_id").alias("orders"), F.countDistinct("customer_id").alias("custs"),
         mean("net_revenue").alias("avg_net"), F.sum("quantity").alias("units"),
         F.sum("is_returned").alias("returns"))
-    # the company row (J5): two scalar subqueries over the regional totals
-    x = with_totals(r, r, avg_rev=mean("rev"), company_total=F.sum("rev"))
+    # the company row (J5): average and total over the handful of region rows
+    x = r.withColumns({"avg_rev": whole_mean("rev"), "company_total": whole(F.sum, "rev")})
     vs_avg = F.try_divide(dbl("rev") - F.col("avg_rev"), F.col("avg_rev")) * F.lit(100.0)
     return x.select(
         "region",
@@ -150,8 +150,8 @@ def category_metrics(star: Star) -> DataFrame:
 
 def category_share(star: Star) -> DataFrame:
     cm = category_metrics(star)
-    x = (with_totals(cm, cm, c_rev=F.sum("rev"), c_prof=F.sum("prof"), c_orders=F.sum("orders"))
-         .withColumn("margin", ratio("prof", "rev")))
+    x = cm.withColumns({"c_rev": whole(F.sum, "rev"), "c_prof": whole(F.sum, "prof"),
+                        "c_orders": whole(F.sum, "orders"), "margin": ratio("prof", "rev")})
     # categories: a handful of rows, bounded by the product-type domain
     w_rev = Window.orderBy(F.desc("rev"))
     x = (x.withColumn("revenue_rank", F.rank().over(w_rev))
@@ -281,7 +281,9 @@ def payment_discount(star: Star) -> DataFrame:
         F.sum("is_returned").alias("returns"))
     def shape(df: DataFrame, kind: str, custs, avg_disc) -> DataFrame:
         # a few payment methods / four bands: plain window
-        df = with_totals(df, ps, grand_total=F.sum("rev")).withColumn(
+        # every sales line falls in exactly one payment method and one band,
+        # so each half's own total equals the payment-method grand total
+        df = df.withColumn("grand_total", whole(F.sum, "rev")).withColumn(
             "revenue_rank", F.rank().over(Window.orderBy(F.desc("rev"))))
         return df.select(
             F.lit(kind).alias("analysis_type"), "dimension",

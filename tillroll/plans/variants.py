@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels
 from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct, pct_scaled, rnd,
-                                 with_totals)
+                                 whole, whole_mean, with_totals)
 from ..operators.ordering import materialize, ranked
 from .reports import ROWS_TO_HERE, _calendar, customer_transactions, product_stats
 from .star import Star
@@ -44,7 +44,7 @@ def regional_3tier(star: Star) -> DataFrame:
         F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
         F.countDistinct("order_id").alias("orders"), F.countDistinct("customer_id").alias("custs"),
         mean("net_revenue").alias("avg_net"), F.sum("is_returned").alias("returns"))
-    x = with_totals(r, r, avg_rev=mean("rev"))     # the one-row average (J6)
+    x = r.withColumn("avg_rev", whole_mean("rev"))     # the one-row average (J6)
     vs_avg = F.try_divide(dbl("rev") - F.col("avg_rev"), F.col("avg_rev")) * F.lit(100.0)
     return x.select(
         "region", money_out("rev").alias("total_revenue"), money_out("prof").alias("total_profit"),
@@ -80,7 +80,7 @@ def categories_slim(star: Star) -> DataFrame:
         F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
         F.countDistinct("order_id").alias("orders"), F.sum("quantity").alias("units"),
         F.countDistinct("customer_id").alias("custs"))
-    x = with_totals(c, c, grand_rev=F.sum("rev")).withColumn("revenue_rank", F.rank().over(Window.orderBy(F.desc("rev"))))
+    x = c.withColumn("grand_rev", whole(F.sum, "rev")).withColumn("revenue_rank", F.rank().over(Window.orderBy(F.desc("rev"))))
     return x.select(
         "category", money_out("rev").alias("total_revenue"), money_out("prof").alias("total_profit"),
         long_out("orders").alias("total_orders"), long_out("units").alias("total_units"),
@@ -131,7 +131,7 @@ def payment_share(star: Star) -> DataFrame:
         F.countDistinct("order_id").alias("orders"), F.sum("net_revenue").alias("rev"),
         mean("net_revenue").alias("avg_net"), F.sum("is_returned").alias("returns"),
         F.count("order_id").alias("lines"))
-    x = with_totals(p, star.fact, all_lines=F.count(F.lit(1)))
+    x = p.withColumn("all_lines", whole(F.sum, "lines"))   # every line has one payment method
     return x.select(
         "payment_method", long_out("orders").alias("total_orders"), money_out("rev").alias("total_revenue"),
         rnd("avg_net").alias("avg_order_value"), long_out("returns").alias("total_returns"),
