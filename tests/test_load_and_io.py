@@ -144,3 +144,13 @@ def test_batch_run_end_to_end_twice(spark):
     assert months.count() == 2 * months.select("year", "month").distinct().count()
     assert [r.status for r in wh.table("pipeline_run_log").collect()] == ["SUCCESS", "SUCCESS"]
     assert wh.table("fact_rejects").count() == 0
+
+
+def test_work_folder_follows_the_session_checkpoint_dir(spark):
+    from tillroll.session import ensure_checkpoint_dir, work_path
+    root = ensure_checkpoint_dir(spark)
+    assert root == spark.sparkContext.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        assert root.removeprefix("file:").startswith(configured.removeprefix("file:"))
+    assert work_path(spark, "tables", "t").startswith(root)

@@ -39,18 +39,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's shared checkpoint folder, creating a scratch one
-    only when the session has none (local runs and tests)."""
+    """Return the session's shared checkpoint folder.
+
+    The cluster names it in ``spark.checkpoint.dir`` (read, never changed);
+    only a session with none at all -- local runs and tests -- gets a scratch
+    folder, registered with ``SparkContext.setCheckpointDir``."""
     sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if current:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(current)
-        return sc.getCheckpointDir() or current
-    scratch = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", scratch)
-    sc.setCheckpointDir(scratch)
-    return sc.getCheckpointDir() or scratch
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tillroll-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def work_path(spark: SparkSession, *parts: str) -> str:
