@@ -8,6 +8,8 @@ from decimal import Decimal
 
 import pandas as pd
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tillroll.operators.clean import clean_transactions, new_clean_counts
 from tillroll.operators.dedupe import first_per_key, insert_or_ignore
@@ -84,3 +86,37 @@ def test_quintiles_equal_pandas_without_ties(spark, rows):
     assert got == exp
     rev = quintile_score(df, "x", ["id"], "r", reverse=True, buckets=4, rows=rows)
     assert [r.r for r in rev.orderBy("id").collect()] == [6 - s for s in exp]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 6), st.integers(0, 9), st.integers(0, 3)), max_size=40),
+       st.lists(st.integers(0, 6), max_size=4))
+def test_property_insert_or_ignore_matches_python(spark, batch, existing):
+    rows = [(f"K{k}", a, f"v{v}") for k, a, v in batch]
+    df = spark.createDataFrame(rows, "k string, arrival int, v string")
+    target = spark.createDataFrame([(f"K{k}", 0, "old") for k in set(existing)], "k string, arrival int, v string")
+    got = sorted(tuple(r) for r in insert_or_ignore(target, df, ["k"], ["arrival", "v"]).collect())
+    first = {}
+    for k, a, v in sorted(rows, key=lambda r: (r[1], r[2])):
+        first.setdefault(k, (k, a, v))
+    exp = sorted(r for k, r in first.items() if k not in {f"K{e}" for e in existing})
+    assert got == exp
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.booleans(), st.one_of(st.none(), st.integers(-3, 5)), st.integers(-1, 3),
+                          st.one_of(st.none(), st.integers(0, 9))), max_size=30))
+def test_property_cleaner_matches_pandas(spark, data):
+    d = dt.date(2025, 1, 1)
+    rows = [(f"O{i}" if has_id else None, "C", "P", d,
+             Decimal(net) if net is not None else None, qty, Decimal(p) if p is not None else None)
+            for i, (has_id, net, qty, p) in enumerate(data)]
+    schema = ("order_id string, customer_id string, product_id string, order_date date, "
+              "net_revenue decimal(18,2), quantity int, profit decimal(18,2)")
+    got = sorted((r.order_id, r.profit) for r in clean_transactions(spark.createDataFrame(rows, schema)).collect())
+    pdf = pd.DataFrame(rows, columns=["order_id", "customer_id", "product_id", "order_date", "net_revenue",
+                                      "quantity", "profit"], dtype=object)
+    pdf = pdf.dropna(subset=["order_id", "customer_id", "product_id", "order_date", "net_revenue"])
+    pdf = pdf[(pdf["net_revenue"] > 0) & (pdf["quantity"] > 0)]
+    exp = sorted((o, Decimal(0) if p is None else p) for o, p in zip(pdf["order_id"], pdf["profit"]))
+    assert got == exp

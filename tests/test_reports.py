@@ -125,3 +125,13 @@ def test_reports_same_on_both_ranking_paths(spark, key):
     finally:
         spark.conf.unset(LOCAL_ROWS_CONF)
     assert distributed == local
+
+
+def test_category_kpi_and_slim_variant_agree(star_small):
+    k4 = {r.category: r for r in kpis.category_kpis(star_small.fact).collect()}
+    v4 = {r.category: r for r in variants.categories_slim(star_small).collect()}
+    assert k4.keys() == v4.keys()
+    for c in k4:
+        assert (k4[c].total_revenue, k4[c].total_orders, k4[c].unique_customers, k4[c].revenue_share_pct,
+                k4[c].profit_margin_pct) == (v4[c].total_revenue, v4[c].total_orders, v4[c].unique_customers,
+                                             v4[c].revenue_share_pct, v4[c].profit_margin_pct)
