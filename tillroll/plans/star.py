@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,14 +89,22 @@ def write_star(star: Star, root: str) -> Star:
     """Write all five tables under ``root`` and return readers over them.
     The fact is partitioned by year so time-bounded reads prune files."""
     spark = star.fact.sparkSession
-    star.fact.select(*FACT_COLUMNS).write.mode("errorifexists").partitionBy("year").parquet(f"{root}/fact_sales")
-    # the date and region dimensions come from the written fact, so the
-    # adapter's joins run exactly once
-    fact = spark.read.parquet(f"{root}/fact_sales").select(*FACT_COLUMNS)
-    star.dim_customer.write.mode("errorifexists").parquet(f"{root}/dim_customer")
-    star.dim_product.write.mode("errorifexists").parquet(f"{root}/dim_product")
-    date_dimension(fact).write.mode("errorifexists").parquet(f"{root}/dim_date")
-    region_dimension(fact).write.mode("errorifexists").parquet(f"{root}/dim_region")
+
+    def write(df: DataFrame, name: str, *partition: str) -> None:
+        df.write.mode("errorifexists").partitionBy(*partition).parquet(f"{root}/{name}")
+
+    # Independent writes are separate Spark jobs submitted together, so they
+    # share the executors instead of queueing.  The date and region dimensions
+    # come from the written fact, so the adapter's joins run exactly once.
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        done = [pool.submit(write, star.fact.select(*FACT_COLUMNS), "fact_sales", "year"),
+                pool.submit(write, star.dim_customer, "dim_customer"),
+                pool.submit(write, star.dim_product, "dim_product")]
+        [f.result() for f in done]
+        fact = spark.read.parquet(f"{root}/fact_sales").select(*FACT_COLUMNS)
+        done = [pool.submit(write, date_dimension(fact), "dim_date"),
+                pool.submit(write, region_dimension(fact), "dim_region")]
+        [f.result() for f in done]
     return read_star(spark, root)
 
 
