@@ -49,23 +49,35 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], tie: Sequen
         f"{prefix}_min", f"{prefix}_max")
 
 
-def quintile_score(df: DataFrame, col: str, tie: Sequence[str], out: str, reverse: bool = False,
-                   mode: str = "collapse", buckets: int | None = None, rows: int | None = None) -> DataFrame:
-    """Add a 1..5 score (5..1 when ``reverse``) of ``col`` over all rows."""
+def quintile_edges(df: DataFrame, col: str, tie: Sequence[str], mode: str = "collapse",
+                   buckets: int | None = None, rows: int | None = None) -> list[float | None]:
+    """The four inner quintile edges of ``col`` (one small row, fetched)."""
     if mode not in ("collapse", "strict"):
         raise ValueError(f"unknown mode {mode!r}")
-    prefix = f"_{out}_e"
-    names = [f"{prefix}{i}" for i in range(len(QUINTILES))]
-    # one row of six numbers: fetched once, then used as literals
-    row = exact_quantiles(df, col, QUINTILES, tie, prefix=prefix, buckets=buckets, rows=rows).first()
+    row = exact_quantiles(df, col, QUINTILES, tie, prefix="e", buckets=buckets, rows=rows).first()
+    edges = [row[f"e{i}"] for i in range(len(QUINTILES))]
     if mode == "strict":
-        vals = [row[f"{prefix}_min"], *[row[n] for n in names], row[f"{prefix}_max"]]
+        vals = [row["e_min"], *edges, row["e_max"]]
         if len(set(vals)) != len(vals):
             raise ValueError(f"quintile edges of {col!r} are not unique: {vals}")
+    return edges
+
+
+def apply_quintile(df: DataFrame, col: str, edges: Sequence[float | None], out: str,
+                   reverse: bool = False) -> DataFrame:
+    """Score 1 + (inner edges below the value), reversed to 5..1 if asked;
+    the edges are literals, so scoring is a plain projection."""
     x = F.col(col).cast("double")
     below = F.lit(0)
-    for n in names:
-        e = row[n]
-        below = below + (F.when(x > F.lit(e), 1).otherwise(0) if e is not None else F.lit(0))
+    for e in edges:
+        if e is not None:
+            below = below + F.when(x > F.lit(float(e)), 1).otherwise(0)
     score = (F.lit(5) - below) if reverse else (below + 1)
     return df.withColumn(out, score.cast("long"))
+
+
+def quintile_score(df: DataFrame, col: str, tie: Sequence[str], out: str, reverse: bool = False,
+                   mode: str = "collapse", buckets: int | None = None, rows: int | None = None) -> DataFrame:
+    """Add a 1..5 score (5..1 when ``reverse``) of ``col`` over all rows."""
+    edges = quintile_edges(df, col, tie, mode=mode, buckets=buckets, rows=rows)
+    return apply_quintile(df, col, edges, out, reverse)

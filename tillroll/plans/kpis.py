@@ -10,6 +10,8 @@ before grouping, as a dataframe ``groupby`` does.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct
                                  with_totals)
 from ..operators.clean import clean_transactions
 from ..operators.ordering import materialize, ranked
-from ..operators.quantiles import quintile_score
+from ..operators.quantiles import apply_quintile, quintile_edges
 from .reports import ROWS_TO_HERE
 from .star import Star
 
@@ -117,9 +119,12 @@ def rfm_quintiles(sales: DataFrame, mode: str = "collapse", buckets: int | None
                  long_out("frequency").alias("frequency"), money_out("monetary_dec").alias("monetary")))
     kw = dict(mode=mode, buckets=buckets, rows=n)
     t = ["customer_id"]
-    c = quintile_score(c, "recency", t, "r_score", reverse=True, **kw)
-    c = quintile_score(c, "frequency", t, "f_score", **kw)
-    c = quintile_score(c, "monetary", t, "m_score", **kw)
+    # the three edge rows are independent small jobs: submit them together
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        r_e, f_e, m_e = pool.map(lambda col: quintile_edges(c, col, t, **kw), ["recency", "frequency", "monetary"])
+    c = apply_quintile(c, "recency", r_e, "r_score", reverse=True)
+    c = apply_quintile(c, "frequency", f_e, "f_score")
+    c = apply_quintile(c, "monetary", m_e, "m_score")
     score = F.col("r_score") + F.col("f_score") + F.col("m_score")
     return c.select(
         "customer_id", "recency", "frequency", "monetary", "r_score", "f_score", "m_score",

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from ..functions import labels
 from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct, pct_scaled, ratio,
                                  rnd, whole, whole_mean, with_totals)
-from ..operators.ordering import broadcast_if_small, global_order, materialize, ntile, ranked
+from ..operators.ordering import (BROADCAST_ROWS, broadcast_if_small, global_order, materialize, ntile,
+                                  ranked)
 from .star import Star
 
 ROWS_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
@@ -111,7 +112,12 @@ def product_ranking(star: Star, buckets: int | None = None) -> DataFrame:
     # one row per product, written once: the rollup, the total and the four
     # rankings read it, and its observed size picks plain or distributed windows
     ps, n = materialize(product_stats(star), "product_stats")
-    cat, n_cat = materialize(ps.groupBy("category").agg(F.sum("rev").alias("cat_rev")), "category_totals")
+    cat = ps.groupBy("category").agg(F.sum("rev").alias("cat_rev"))
+    # the rollup has at most as many rows as products; count it only when
+    # the product table itself is too large to bound it
+    n_cat = n if n <= BROADCAST_ROWS else None
+    if n_cat is None:
+        cat, n_cat = materialize(cat, "category_totals")
     ps = with_totals(ps.join(broadcast_if_small(cat, n_cat), "category"),  # J4, size checked
                      ps, grand_total=F.sum("rev"))
     kw = dict(tie=["product_id"], buckets=buckets, rows=n)
