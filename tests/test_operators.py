@@ -120,3 +120,14 @@ def test_property_cleaner_matches_pandas(spark, data):
     pdf = pdf[(pdf["net_revenue"] > 0) & (pdf["quantity"] > 0)]
     exp = sorted((o, Decimal(0) if p is None else p) for o, p in zip(pdf["order_id"], pdf["profit"]))
     assert got == exp
+
+
+def test_derive_measures(spark):
+    from tillroll.operators.measures import derive_measures
+    df = spark.createDataFrame([("2025-11-03", Decimal("33.33"), 3, 15, Decimal("20.00"), True)],
+                               "order_date string, unit_price decimal(18,2), quantity int, discount_pct int, "
+                               "cost_price decimal(18,2), is_returned boolean")
+    r = derive_measures(df).first()
+    assert (r.gross_revenue, r.discount_amt, r.net_revenue, r.cost, r.profit) == (
+        Decimal("99.99"), Decimal("15.00"), Decimal("84.99"), Decimal("60.00"), Decimal("24.99"))
+    assert (r.year, r.month, r.month_name, r.quarter, r.is_returned) == (2025, 11, "November", "Q4", 1)
