@@ -5,7 +5,7 @@ Runs on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with
 materialisation of the star schema (the adapter's joins and five table
 writes), done once per session in real use; every other query reads that
 star and is executed in full into Spark's ``noop`` sink.  Each query runs
-``$BENCH_RUNS`` times (default 2); the best run is reported, every run is
+``$BENCH_RUNS`` times (default 3); the best run is reported, every run is
 listed under ``runs``.
 """
 
@@ -30,7 +30,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [k for k in os.environ.get("BENCH_QUERIES", "").split(",") if k]
 
     from tillroll.plans.registry import queries
