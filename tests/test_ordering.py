@@ -104,3 +104,14 @@ def test_percent_rank_single_row(spark):
 def test_materialize_counts_rows(spark, skewed):
     df, n = materialize(skewed.where("x > 3"), "t")
     assert n == skewed.where("x > 3").count() == df.count()
+
+
+@pytest.mark.parametrize("part", [[], ["p"]])
+def test_distributed_without_group_ends(skewed, part):
+    # rank / dense rank / row number / running sum only: no reverse pass
+    outs = {"rk": "rank", "dr": "dense_rank", "rn": "row_number", "cm": "cum_m"}
+    got = {r.id: r for r in ranked(skewed, [("x", False)], tie=["id"], partition=part, sums=["m"],
+                                   buckets=7, outputs=outs).collect()}
+    assert "_n" not in ranked(skewed, [("x", False)], tie=["id"], sums=["m"], buckets=3, outputs=outs).columns
+    exp = {r.id: r for r in _expected(skewed, part, False).collect()}
+    assert all((got[i].rk, got[i].dr, got[i].rn, got[i].cm) == (e.rk, e.dr, e.rn, e.cm) for i, e in exp.items())

@@ -80,8 +80,10 @@ def _sorted(col: str, asc: bool) -> Column:
 
 def global_order(df: DataFrame, order: Order, tie: Sequence[str] = (),
                  partition: Sequence[str] = (), sums: Sequence[str] = (),
-                 buckets: int | None = None, rows: int | None = None) -> DataFrame:
-    """Add ``_pos, _rank, _rank_last, _dense, _n`` and ``_cum_<c>`` columns.
+                 buckets: int | None = None, rows: int | None = None,
+                 need_ends: bool = True) -> DataFrame:
+    """Add ``_pos, _rank, _dense``, ``_cum_<c>`` and -- with ``need_ends``
+    (tiles, percent rank, counts, average rank) -- ``_rank_last, _n``.
 
     ``rows`` is an upper bound on the input's row count when the caller knows
     one (see :func:`materialize`); at or below :func:`local_rows_limit` plain
@@ -105,46 +107,58 @@ def global_order(df: DataFrame, order: Order, tie: Sequence[str] = (),
     t_sort = [F.col(c).asc() for c in tie]
     full_sort = p_sort + k_sort + t_sort
 
-    # The range partitioner samples its input with a seed tied to the RDD, so
-    # two evaluations could cut different buckets.  The bucket assignment is
-    # therefore written once to the shared checkpoint folder and both the
-    # per-bucket summary and the rows read that copy.
-    bucketed, _ = materialize(df.repartitionByRange(nb, *full_sort)
-                              .withColumn("_b", F.spark_partition_id()), "buckets")
-
+    p_key = F.struct(*[F.col(c) for c in part])
+    pk_key = F.struct(*[F.col(c) for c in part + keys])
     w_b = Window.partitionBy("_b").orderBy(*full_sort)
-    w_bp = Window.partitionBy("_b", *part)
-    w_bpk = Window.partitionBy("_b", *part, *keys)
-    loc = (bucketed
-           .withColumn("_l", F.row_number().over(w_b))
-           .withColumn("_ld", F.dense_rank().over(Window.partitionBy("_b").orderBy(*p_sort, *k_sort))))
-    loc = loc.select(
-        "*",
-        F.min("_l").over(w_bpk).alias("_lpk_first"),
-        F.max("_l").over(w_bpk).alias("_lpk_last"),
-        F.min("_l").over(w_bp).alias("_lp_first"),
-        F.max("_l").over(w_bp).alias("_lp_last"),
-        F.min("_ld").over(w_bp).alias("_lp_dfirst"),
-        *[F.sum(c).over(w_b.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(f"_lcum_{c}")
-          for c in sums],
-    )
+    run = w_b.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    # One sort per bucket.  Group starts, the dense index and running sums
+    # come from the previous row (lag) and running frames in that order.
+    loc = (df.repartitionByRange(nb, *full_sort)
+           .withColumn("_b", F.spark_partition_id())
+           .withColumn("_l", F.row_number().over(w_b)))
+    prev_p, prev_pk = F.lag(p_key).over(w_b), F.lag(pk_key).over(w_b)
+    loc = loc.withColumns({"_np": prev_p.isNull() | ~p_key.eqNullSafe(prev_p),
+                           "_npk": prev_pk.isNull() | ~pk_key.eqNullSafe(prev_pk)})
+    loc = loc.withColumn("_ld", F.sum(F.col("_npk").cast("long")).over(run))
+    loc = loc.withColumns({
+        "_lp_first": F.max(F.when(F.col("_np"), F.col("_l"))).over(run),
+        "_lpk_first": F.max(F.when(F.col("_npk"), F.col("_l"))).over(run),
+        "_lp_dfirst": F.max(F.when(F.col("_np"), F.col("_ld"))).over(run),
+        **{f"_lcum_{c}": F.sum(c).over(run) for c in sums},
+    })
     for c in sums:
         # running sum just before the partition's first row inside this bucket
-        first_row = F.col("_l") == F.col("_lp_first")
-        loc = loc.withColumn(f"_lcb_{c}",
-                             F.sum(F.when(first_row, F.col(f"_lcum_{c}") - F.col(c))).over(w_bp))
-
-    p_key = F.struct(*[F.col(c) for c in part])
-    pk_key = F.struct(*[F.col(c) for c in part + keys])
+        loc = loc.withColumn(f"_lcb_{c}", F.last(F.when(F.col("_np"), F.col(f"_lcum_{c}") - F.col(c)),
+                                                  ignorenulls=True).over(run))
+    if need_ends:
+        # group ends need one look ahead: a second pass in the reverse order
+        # (directions flipped, so nulls mirror too), where a running minimum
+        # of group-end positions is the end of the current group
+        rev = ([F.col(c).desc() for c in part] + [_sorted(c, not a) for c, a in order]
+               + [F.col(c).desc() for c in tie])
+        w_r = Window.partitionBy("_b").orderBy(*rev)
+        run_r = w_r.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        next_p, next_pk = F.lag(p_key).over(w_r), F.lag(pk_key).over(w_r)
+        loc = loc.withColumns({"_ep": next_p.isNull() | ~p_key.eqNullSafe(next_p),
+                               "_epk": next_pk.isNull() | ~pk_key.eqNullSafe(next_pk)})
+        loc = loc.withColumns({"_lp_last": F.min(F.when(F.col("_ep"), F.col("_l"))).over(run_r),
+                               "_lpk_last": F.min(F.when(F.col("_epk"), F.col("_l"))).over(run_r)})
+    # The range partitioner samples its input with a seed tied to the RDD, so
+    # two evaluations could cut different buckets: the ordered rows are
+    # written once (shared checkpoint folder) and both the per-bucket summary
+    # and the final rows read that copy.
+    loc, _ = materialize(loc.drop("_np", "_npk", "_ep", "_epk"), "ordered")
 
     stats = loc.groupBy("_b").agg(
         F.count(F.lit(1)).alias("n"),
         F.max("_ld").alias("dcount"),
         F.min_by(p_key, "_l").alias("fp"), F.max_by(p_key, "_l").alias("lp"),
         F.min_by(pk_key, "_l").alias("fpk"), F.max_by(pk_key, "_l").alias("lpk"),
-        F.max_by("_lp_first", "_l").alias("lp_first"), F.min_by("_lp_last", "_l").alias("fp_last"),
-        F.max_by("_lpk_first", "_l").alias("lpk_first"), F.min_by("_lpk_last", "_l").alias("fpk_last"),
+        F.max_by("_lp_first", "_l").alias("lp_first"), F.max_by("_lpk_first", "_l").alias("lpk_first"),
         F.max_by("_lp_dfirst", "_l").alias("lp_dfirst"),
+        *([F.min_by("_lp_last", "_l").alias("fp_last"), F.min_by("_lpk_last", "_l").alias("fpk_last")]
+          if need_ends else []),
         *[F.sum(c).alias(f"s_{c}") for c in sums],
         *[F.max_by(f"_lcb_{c}", "_l").alias(f"lcb_{c}") for c in sums],
     )
@@ -173,52 +187,55 @@ def global_order(df: DataFrame, order: Order, tie: Sequence[str] = (),
                .select(F.col("k").alias("fp"), F.col("v.pos").alias("fp_gstart"),
                        F.col("v.dfirst").alias("fp_dfirst"),
                        *[F.col(f"v.cb_{c}").alias(f"fp_cb_{c}") for c in sums]))
-    end_p = (stats.select(F.col("fp").alias("k"), (F.col("off") + F.col("fp_last")).alias("pos"))
-             .unionByName(stats.select(F.col("lp").alias("k"), (F.col("off") + F.col("n")).alias("pos")))
-             .groupBy("k").agg(F.max("pos").alias("lp_gend"))
-             .withColumnRenamed("k", "lp"))
     start_pk = (stats.select(F.col("fpk").alias("k"), (F.col("off") + 1).alias("pos"))
                 .unionByName(stats.select(F.col("lpk").alias("k"), (F.col("off") + F.col("lpk_first")).alias("pos")))
                 .groupBy("k").agg(F.min("pos").alias("fpk_gstart"))
                 .withColumnRenamed("k", "fpk"))
-    end_pk = (stats.select(F.col("fpk").alias("k"), (F.col("off") + F.col("fpk_last")).alias("pos"))
-              .unionByName(stats.select(F.col("lpk").alias("k"), (F.col("off") + F.col("n")).alias("pos")))
-              .groupBy("k").agg(F.max("pos").alias("lpk_gend"))
-              .withColumnRenamed("k", "lpk"))
     per_bucket = (stats.select("_b", "off", "ddoff", "fp", "lp", "fpk", "lpk",
                                *[f"soff_{c}" for c in sums])
-                  .join(start_p, "fp").join(end_p, "lp").join(start_pk, "fpk").join(end_pk, "lpk")
-                  .select("_b", "off", "ddoff",
-                          F.col("fp").alias("_fp"), F.col("lp").alias("_lp"),
-                          F.col("fpk").alias("_fpk"), F.col("lpk").alias("_lpk"),
-                          "fp_gstart", "fp_dfirst", "lp_gend", "fpk_gstart", "lpk_gend",
-                          *[f"soff_{c}" for c in sums], *[f"fp_cb_{c}" for c in sums]))
+                  .join(start_p, "fp").join(start_pk, "fpk"))
+    end_cols = []
+    if need_ends:
+        end_p = (stats.select(F.col("fp").alias("k"), (F.col("off") + F.col("fp_last")).alias("pos"))
+                 .unionByName(stats.select(F.col("lp").alias("k"), (F.col("off") + F.col("n")).alias("pos")))
+                 .groupBy("k").agg(F.max("pos").alias("lp_gend"))
+                 .withColumnRenamed("k", "lp"))
+        end_pk = (stats.select(F.col("fpk").alias("k"), (F.col("off") + F.col("fpk_last")).alias("pos"))
+                  .unionByName(stats.select(F.col("lpk").alias("k"), (F.col("off") + F.col("n")).alias("pos")))
+                  .groupBy("k").agg(F.max("pos").alias("lpk_gend"))
+                  .withColumnRenamed("k", "lpk"))
+        per_bucket = per_bucket.join(end_p, "lp").join(end_pk, "lpk")
+        end_cols = ["lp_gend", "lpk_gend"]
+    per_bucket = per_bucket.select(
+        "_b", "off", "ddoff", F.col("fp").alias("_fp"), F.col("lp").alias("_lp"),
+        F.col("fpk").alias("_fpk"), F.col("lpk").alias("_lpk"), "fp_gstart", "fp_dfirst", "fpk_gstart",
+        *end_cols, *[f"soff_{c}" for c in sums], *[f"fp_cb_{c}" for c in sums])
 
     # per_bucket has at most ``nb`` rows: a proven bound, so broadcasting it
     # never ships data-sized state.
     j = loc.join(F.broadcast(per_bucket), "_b")
     in_fp = p_key.eqNullSafe(F.col("_fp"))
-    in_lp = p_key.eqNullSafe(F.col("_lp"))
     in_fpk = pk_key.eqNullSafe(F.col("_fpk"))
-    in_lpk = pk_key.eqNullSafe(F.col("_lpk"))
     off = F.col("off")
     gstart_p = F.when(in_fp, F.col("fp_gstart")).otherwise(off + F.col("_lp_first"))
-    gend_p = F.when(in_lp, F.col("lp_gend")).otherwise(off + F.col("_lp_last"))
     gstart_pk = F.when(in_fpk, F.col("fpk_gstart")).otherwise(off + F.col("_lpk_first"))
-    gend_pk = F.when(in_lpk, F.col("lpk_gend")).otherwise(off + F.col("_lpk_last"))
     dfirst_p = F.when(in_fp, F.col("fp_dfirst")).otherwise(F.col("ddoff") + F.col("_lp_dfirst"))
-    out = j.select(
+    ends = []
+    if need_ends:
+        gend_p = F.when(p_key.eqNullSafe(F.col("_lp")), F.col("lp_gend")).otherwise(off + F.col("_lp_last"))
+        gend_pk = F.when(pk_key.eqNullSafe(F.col("_lpk")), F.col("lpk_gend")).otherwise(off + F.col("_lpk_last"))
+        ends = [(gend_pk - gstart_p + 1).cast("long").alias("_rank_last"),
+                (gend_p - gstart_p + 1).cast("long").alias("_n")]
+    return j.select(
         *[F.col(c) for c in df.columns if c != _P0],
         (off + F.col("_l") - gstart_p + 1).cast("long").alias("_pos"),
         (gstart_pk - gstart_p + 1).cast("long").alias("_rank"),
-        (gend_pk - gstart_p + 1).cast("long").alias("_rank_last"),
         (F.col("ddoff") + F.col("_ld") - dfirst_p + 1).cast("long").alias("_dense"),
-        (gend_p - gstart_p + 1).cast("long").alias("_n"),
+        *ends,
         *[((F.col(f"soff_{c}") + F.col(f"_lcum_{c}"))
            - F.when(in_fp, F.col(f"fp_cb_{c}")).otherwise(F.col(f"soff_{c}") + F.col(f"_lcb_{c}"))
            ).alias(f"_cum_{c}") for c in sums],
     )
-    return out
 
 
 def _local_order(df: DataFrame, order: Order, tie: Sequence[str], partition: Sequence[str],
@@ -274,7 +291,10 @@ def ranked(df: DataFrame, order: Order, tie: Sequence[str] = (), partition: Sequ
     """Convenience wrapper: ``outputs`` maps a new column name to one of
     ``rank, dense_rank, row_number, percent_rank, average_rank, count,
     ntile<N>`` or ``cum_<c>``."""
-    out = global_order(df, order, tie=tie, partition=partition, sums=sums, buckets=buckets, rows=rows)
+    ends = any(w in ("percent_rank", "average_rank", "count") or w.startswith("ntile")
+               for w in (outputs or {}).values())
+    out = global_order(df, order, tie=tie, partition=partition, sums=sums, buckets=buckets, rows=rows,
+                       need_ends=ends)
     cols = {}
     for name, what in (outputs or {}).items():
         if what == "rank":
