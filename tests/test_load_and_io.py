@@ -154,3 +154,12 @@ def test_work_folder_follows_the_session_checkpoint_dir(spark):
     if configured:
         assert root.removeprefix("file:").startswith(configured.removeprefix("file:"))
     assert work_path(spark, "tables", "t").startswith(root)
+
+
+def test_cli_list_and_show(spark, capsys):
+    from conftest import SF_SMALL
+    from tillroll.__main__ import main
+    assert main(["list"]) == 0
+    assert "rpt_monthly_growth" in capsys.readouterr().out
+    assert main(["show", "var_region_summary", "--sf-dir", SF_SMALL, "-n", "2"]) == 0
+    assert "total_revenue" in capsys.readouterr().out

@@ -115,3 +115,12 @@ def test_distributed_without_group_ends(skewed, part):
     assert "_n" not in ranked(skewed, [("x", False)], tie=["id"], sums=["m"], buckets=3, outputs=outs).columns
     exp = {r.id: r for r in _expected(skewed, part, False).collect()}
     assert all((got[i].rk, got[i].dr, got[i].rn, got[i].cm) == (e.rk, e.dr, e.rn, e.cm) for i, e in exp.items())
+
+
+@pytest.mark.parametrize("asc", [True, False])
+def test_nulls_in_keys_and_partitions(spark, asc):
+    rnd = random.Random(11)
+    rows = [(i, rnd.choice(["A", "B", None]), rnd.choice([None, None, 1, 2, 3, 7, 7, 7]), 1.0) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, p string, x long, m double")
+    got = ranked(df, [("x", asc)], tie=["id"], partition=["p"], sums=["m"], buckets=6, outputs=OUTPUTS)
+    _compare(got, _expected(df, ["p"], asc))
