@@ -163,3 +163,10 @@ def test_cli_list_and_show(spark, capsys):
     assert "rpt_monthly_growth" in capsys.readouterr().out
     assert main(["show", "var_region_summary", "--sf-dir", SF_SMALL, "-n", "2"]) == 0
     assert "total_revenue" in capsys.readouterr().out
+
+
+def test_drop_work_removes_a_work_folder(spark):
+    from tillroll.session import drop_work, work_path
+    spark.range(5).write.parquet(work_path(spark, "drop-test", "t"))
+    assert drop_work(spark, "drop-test") is True
+    assert drop_work(spark, "drop-test") is False

@@ -31,11 +31,6 @@ def r2(c) -> Column:
     return rnd(c, 2)
 
 
-def money_round(c) -> Column:
-    """Exact cents for a decimal expression, kept as decimal(18,2)."""
-    return F.round(_col(c), 2).cast(MONEY)
-
-
 def ratio(num, den) -> Column:
     """num / den in double; NULL when den is 0 or NULL."""
     return F.try_divide(dbl(num), dbl(den))

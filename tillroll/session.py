@@ -7,7 +7,6 @@ pointing at a shared, durable folder).  Local runs and tests call
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -67,13 +66,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
 def drop_work(spark: SparkSession, *parts: str) -> bool:
     """Delete a folder under the shared checkpoint folder (e.g. ``"tables"``
     for the intermediate ranking inputs) through the cluster's file system."""
