@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, fact_row, make_star
@@ -135,3 +138,31 @@ def test_category_kpi_and_slim_variant_agree(star_small):
         assert (k4[c].total_revenue, k4[c].total_orders, k4[c].unique_customers, k4[c].revenue_share_pct,
                 k4[c].profit_margin_pct) == (v4[c].total_revenue, v4[c].total_orders, v4[c].unique_customers,
                                              v4[c].revenue_share_pct, v4[c].profit_margin_pct)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(1, 3), st.integers(1, 3)),
+                min_size=1, max_size=40))
+def test_top_customers_equals_plain_windows_under_ties(spark, data):
+    rows, oid = [], 0
+    for cid, (region, unit, n_orders) in enumerate(data):
+        for _ in range(n_orders):
+            oid += 1
+            rows.append(fact_row(order_id=oid, customer_id=cid, region=region, net=f"{unit * 10}.00"))
+    star = make_star(spark, rows)
+    got = {r.customer_id: r for r in reports.top_customers(star).collect()}
+    cr = star.fact.groupBy("customer_id", "region").agg(F.sum("net_revenue").alias("rev"),
+                                                        F.countDistinct("order_id").alias("orders"))
+    w = Window.partitionBy("region")
+    plain = (cr.select(
+        "customer_id", F.rank().over(w.orderBy(F.desc("rev"))).alias("rk"),
+        F.dense_rank().over(w.orderBy(F.desc("orders"))).alias("dr"),
+        F.round(F.percent_rank().over(w.orderBy("rev")) * 100, 1).alias("pr"),
+        F.sum("rev").over(w.orderBy(F.desc("rev"), "customer_id").rowsBetween(Window.unboundedPreceding, 0)).alias("cum"))
+        .where("rk <= 5"))
+    exp = {r.customer_id: r for r in plain.collect()}
+    assert got.keys() == exp.keys()
+    for c, e in exp.items():
+        g = got[c]
+        assert (g.region_rank, g.order_frequency_rank, g.region_cumulative_revenue) == (e.rk, e.dr, float(e.cum))
+        assert g.revenue_percentile_in_region == pytest.approx(e.pr, abs=1e-9)
