@@ -170,3 +170,20 @@ def test_drop_work_removes_a_work_folder(spark):
     spark.range(5).write.parquet(work_path(spark, "drop-test", "t"))
     assert drop_work(spark, "drop-test") is True
     assert drop_work(spark, "drop-test") is False
+
+
+def test_latest_flat_csv_file(spark):
+    import csv
+    import os
+    raw = tempfile.mkdtemp(prefix="flat-")
+    cols = [f.name for f in files.RAW_TRANSACTIONS.fields]
+    for ts, ids in (("20250101_000000", ["ORD_000001"]), ("20250301_000000", ["ORD_000007", "ORD_000008"]),
+                    ("20250201_000000", ["ORD_000004"])):
+        with open(os.path.join(raw, f"transactions_{ts}.csv"), "w", newline="") as fh:
+            w = csv.writer(fh)
+            w.writerow(cols)
+            for i in ids:
+                w.writerow(_txn(i))
+    df = files.read_latest_csv(spark, raw, "transactions", files.RAW_TRANSACTIONS)
+    assert sorted(r.order_id for r in df.collect()) == ["ORD_000007", "ORD_000008"]
+    assert files.read_latest_csv(spark, raw, "customers", files.RAW_TRANSACTIONS).count() == 0

@@ -1,16 +1,15 @@
 """File sources and sinks.
 
-Raw batches are written as ``{raw}/{name}/batch_ts={ts}/part-*.csv`` so the
-batch stamp is a partition column: "the latest batch" is then a filter on
-that column, which Spark resolves by pruning folders rather than reading
-older batches.  Report exports write folders of CSV parts; only callers that
+Raw batches are written as ``{raw}/{name}/batch_ts={ts}/part-*.csv``: the
+batch stamp is a partition column for readers of all batches, and "the
+latest batch" is found from the folder names alone, so older batches are
+never read.  Flat files named ``{name}_{ts}.csv`` are handled the same way.  Report exports write folders of CSV parts; only callers that
 know a result is small ask for a single file.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BATCH_COL = "batch_ts"
@@ -44,11 +43,33 @@ def read_batches(spark: SparkSession, raw_dir: str, name: str, schema: T.StructT
 
 
 def read_latest_batch(spark: SparkSession, raw_dir: str, name: str, schema: T.StructType) -> DataFrame:
-    """Only the newest batch (largest stamp).  The stamp comes from the
-    folder names; the filter on the partition column prunes older folders."""
-    all_batches = read_batches(spark, raw_dir, name, schema)
-    latest = all_batches.select(F.max(BATCH_COL)).scalar()
-    return all_batches.where(F.col(BATCH_COL) == latest).drop(BATCH_COL)
+    """Only the newest batch (largest stamp).  The stamp is read from the
+    folder names (a listing, no data), and only that folder is scanned."""
+    folder = latest_file(spark, f"{raw_dir.rstrip('/')}/{name}/{BATCH_COL}=*")
+    if folder is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("header", True).csv(folder)
+
+
+def latest_file(spark: SparkSession, pattern: str) -> str | None:
+    """The last path, by name, matching a glob such as
+    ``raw/transactions_*.csv``.  Only names are listed, through the cluster's
+    file system; no file is opened."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(path)
+    names = sorted(str(st.getPath().toString()) for st in (found or []))
+    return names[-1] if names else None
+
+
+def read_latest_csv(spark: SparkSession, raw_dir: str, name: str, schema: T.StructType) -> DataFrame:
+    """S1 for flat files named ``{name}_{timestamp}.csv``: read only the
+    newest one (timestamps sort as text)."""
+    path = latest_file(spark, f"{raw_dir.rstrip('/')}/{name}_*.csv")
+    if path is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("header", True).csv(path)
 
 
 def save_all(dfs: dict[str, DataFrame], out_dir: str, ts: str, fmt: str = "parquet") -> dict[str, str]:
