@@ -9,6 +9,8 @@ know a result is small ask for a single file.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -109,12 +111,9 @@ BI_EXPORTS = [
 
 
 def export_for_bi(results: dict[str, DataFrame], out_dir: str, ts: str) -> dict[str, str]:
-    """Export the named report set; missing or empty results are skipped."""
-    written = {}
-    for key, name in BI_EXPORTS:
-        df = results.get(key)
-        if df is not None:
-            path = export_report(df, out_dir, name, ts)
-            if path:
-                written[name] = path
-    return written
+    """Export the named report set; missing or empty results are skipped.
+    The exports are independent jobs, submitted together."""
+    todo = [(name, results[key]) for key, name in BI_EXPORTS if results.get(key) is not None]
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        paths = list(pool.map(lambda t: export_report(t[1], out_dir, t[0], ts), todo))
+    return {name: path for (name, _), path in zip(todo, paths) if path}
