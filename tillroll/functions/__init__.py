@@ -1,0 +1 @@
+"""Column-level helpers: the numeric contract, CASE labels, calendar parts."""

@@ -1,0 +1 @@
+"""DataFrame operators: cleaner, measures, insert-or-ignore, distributed ordering, quantiles."""
