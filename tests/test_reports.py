@@ -166,3 +166,11 @@ def test_top_customers_equals_plain_windows_under_ties(spark, data):
         g = got[c]
         assert (g.region_rank, g.order_frequency_rank, g.region_cumulative_revenue) == (e.rk, e.dr, float(e.cum))
         assert g.revenue_percentile_in_region == pytest.approx(e.pr, abs=1e-9)
+
+
+def test_load_star_is_reused_and_refreshable(spark):
+    a = load_star(spark, SF_SMALL)
+    assert load_star(spark, SF_SMALL) is a
+    b = load_star(spark, SF_SMALL, refresh=True)
+    assert b is not a and b.fact.count() == a.fact.count()
+    assert load_star(spark, SF_SMALL) is b

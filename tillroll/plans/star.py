@@ -73,11 +73,12 @@ _MEMO: dict[tuple[str, str], Star] = {}
 _LOCK = threading.Lock()
 
 
-def load_star(spark: SparkSession, sf_dir: str) -> Star:
-    """Materialised star for ``sf_dir`` (built on first use in this session)."""
+def load_star(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Star:
+    """Materialised star for ``sf_dir``: built on first use in this session
+    and reused after; ``refresh=True`` rebuilds it (new source data)."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _LOCK:
-        star = _MEMO.get(key)
+        star = None if refresh else _MEMO.get(key)
         if star is None:
             root = work_path(spark, "star", unique_name(hashlib.sha1(key[1].encode()).hexdigest()[:10]))
             star = write_star(build_star(spark, sf_dir), root)
