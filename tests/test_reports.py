@@ -174,3 +174,20 @@ def test_load_star_is_reused_and_refreshable(spark):
     b = load_star(spark, SF_SMALL, refresh=True)
     assert b is not a and b.fact.count() == a.fact.count()
     assert load_star(spark, SF_SMALL) is b
+
+
+def test_star_as_sql_views(spark, star_small):
+    from tillroll.plans.star import register_views
+    from tillroll.plans.variants import region_summary
+    assert "fact_sales" in register_views(star_small)
+    sql = spark.sql("""
+        SELECT f.region, COUNT(DISTINCT f.customer_id) AS unique_customers, COUNT(f.order_id) AS total_orders,
+               CAST(SUM(f.net_revenue) AS DOUBLE) AS total_revenue, SUM(f.is_returned) AS total_returns
+        FROM fact_sales f JOIN dim_date d ON f.date_id = d.date_id
+        GROUP BY f.region""")
+    got = {r.region: r for r in sql.collect()}
+    exp = {r.region: r for r in region_summary(star_small).collect()}
+    assert got.keys() == exp.keys()
+    for k, e in exp.items():
+        assert (got[k].unique_customers, got[k].total_orders, got[k].total_revenue, got[k].total_returns) == \
+            (e.unique_customers, e.total_orders, e.total_revenue, e.total_returns)

@@ -117,3 +117,15 @@ def read_star(spark: SparkSession, root: str) -> Star:
         dim_date=spark.read.parquet(f"{root}/dim_date"),
         dim_region=spark.read.parquet(f"{root}/dim_region"),
     )
+
+
+def register_views(star: Star, prefix: str = "") -> list[str]:
+    """Expose the star to Spark SQL as temp views ``fact_sales``,
+    ``dim_customer``, ``dim_product``, ``dim_date`` and ``dim_region``.
+    Their columns follow the star schema's names, so SQL written against
+    that schema runs on Spark SQL over the written tables."""
+    views = {"fact_sales": star.fact, "dim_customer": star.dim_customer, "dim_product": star.dim_product,
+             "dim_date": star.dim_date, "dim_region": star.dim_region}
+    for name, df in views.items():
+        df.createOrReplaceTempView(prefix + name)
+    return [prefix + n for n in views]
