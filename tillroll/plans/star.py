@@ -102,16 +102,23 @@ def write_star(star: Star, root: str) -> Star:
                 pool.submit(write, star.dim_customer, "dim_customer"),
                 pool.submit(write, star.dim_product, "dim_product")]
         [f.result() for f in done]
-        fact = spark.read.parquet(f"{root}/fact_sales").select(*FACT_COLUMNS)
+        fact = read_fact(spark, root)
         done = [pool.submit(write, date_dimension(fact), "dim_date"),
                 pool.submit(write, region_dimension(fact), "dim_region")]
         [f.result() for f in done]
     return read_star(spark, root)
 
 
+def read_fact(spark: SparkSession, root: str) -> DataFrame:
+    """The written fact; ``year`` is a partition folder, typed here so the
+    result does not depend on partition-type inference settings."""
+    fact = spark.read.parquet(f"{root}/fact_sales").withColumn("year", F.col("year").cast("int"))
+    return fact.select(*FACT_COLUMNS)
+
+
 def read_star(spark: SparkSession, root: str) -> Star:
     return Star(
-        fact=spark.read.parquet(f"{root}/fact_sales").select(*FACT_COLUMNS),
+        fact=read_fact(spark, root),
         dim_customer=spark.read.parquet(f"{root}/dim_customer"),
         dim_product=spark.read.parquet(f"{root}/dim_product"),
         dim_date=spark.read.parquet(f"{root}/dim_date"),
