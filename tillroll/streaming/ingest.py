@@ -1,6 +1,6 @@
 """Incremental ingestion of raw transaction batches with Structured Streaming.
 
-The batch pipeline picks up the newest raw file on every run.  As a stream,
+The batch run picks up the newest raw file each time.  As a stream,
 the file source remembers which batch folders it has already processed (in
 its checkpoint), and each micro-batch is cleaned, measured and loaded with
 the warehouse's insert-or-ignore, so a re-delivered batch or a restarted
