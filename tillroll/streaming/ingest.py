@@ -2,7 +2,7 @@
 
 The batch run picks up the newest raw file each time.  As a stream,
 the file source remembers which batch folders it has already processed (in
-its checkpoint), and each micro-batch is cleaned, measured and loaded with
+its checkpoint), and each micro-batch is cleaned and loaded with
 the warehouse's insert-or-ignore, so a re-delivered batch or a restarted
 query adds nothing twice.  ``availableNow`` processes whatever has arrived
 and stops, which suits scheduled runs; a processing-time trigger keeps it
