@@ -27,7 +27,11 @@ class BatchResult:
     seconds: dict[str, float] = field(default_factory=dict)
 
 
-def run_batch(spark: SparkSession, sf_dir: str, root: str, ts: str | None = None) -> BatchResult:
+def run_batch(spark: SparkSession, sf_dir: str, root: str, ts: str | None = None,
+              save_transactions: bool = False) -> BatchResult:
+    """``save_transactions`` also writes the cleaned sales lines with the KPI
+    datasets; off by default because the star already holds them (at scale
+    it would be a second full copy of the fact)."""
     ts = ts or time.strftime("%Y%m%d_%H%M%S")
     secs: dict[str, float] = {}
     t = time.time()
@@ -36,7 +40,8 @@ def run_batch(spark: SparkSession, sf_dir: str, root: str, ts: str | None = None
 
     t = time.time()
     dfs = kpis.run_transformation(star)
-    kpi_paths = save_all(dfs, f"{root}/processed", ts)
+    to_save = {k: v for k, v in dfs.items() if save_transactions or k != "transactions"}
+    kpi_paths = save_all(to_save, f"{root}/processed", ts)
     secs["transform"] = time.time() - t
 
     t = time.time()
