@@ -8,12 +8,14 @@ computes the same numbers distributed:
 1. ``repartitionByRange`` on the full sort key *including a unique tie
    column*, so bucket ``b`` holds a contiguous slice of the global order and
    even a key shared by a third of all rows is cut into many buckets;
-2. per bucket, ordinary windows give local positions, local ranks, local
-   dense ranks and local running sums (one task per bucket);
+2. per bucket, one sort gives local positions, group starts (lag flags),
+   local dense indexes and running sums (running frames); a second,
+   reverse-order pass adds group ends only when they are needed.  The
+   ordered rows are written once;
 3. a per-bucket summary (one row per bucket, so its size is bounded by the
    bucket count we choose) yields offsets -- rows, sums and distinct keys
    before each bucket -- plus the true start/end of the key groups that cross
-   a bucket edge;
+   a bucket edge.  It is written once as well;
 4. the summary is broadcast back and each row's global value is its local
    value plus the offset.
 
@@ -22,12 +24,13 @@ handled as a leading sort key so few large partitions are also split):
 
 ``_pos``        ROW_NUMBER over (order, tie)
 ``_rank``       RANK over order
-``_rank_last``  position of the last row tied with this one (average rank)
+``_rank_last``  position of the last row tied with this one (average rank) *
 ``_dense``      DENSE_RANK over order
-``_n``          rows in the partition
+``_n``          rows in the partition *
 ``_cum_<c>``    SUM(c) over (order, tie) ROWS UNBOUNDED PRECEDING..CURRENT ROW
 
-Helpers derive NTILE and PERCENT_RANK from these.
+(* only with ``need_ends``.)  Helpers derive NTILE and PERCENT_RANK from
+these.
 """
 
 from __future__ import annotations
