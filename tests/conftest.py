@@ -11,7 +11,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 from tillroll.plans.star import FACT_COLUMNS, Star  # noqa: E402
-from tillroll.session import local_session  # noqa: E402
+from tillroll.session import drop_work, local_session  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_CHECK = "/root/testdata/sf0.01"
@@ -21,6 +21,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     s = local_session("*", 8)
     yield s
+    drop_work(s)   # this session's stars and intermediate tables
     s.stop()
 
 

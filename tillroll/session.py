@@ -67,8 +67,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def drop_work(spark: SparkSession, *parts: str) -> bool:
-    """Delete a folder under the shared checkpoint folder (e.g. ``"tables"``
-    for the intermediate ranking inputs) through the cluster's file system."""
+    """Delete a folder under the session's checkpoint folder (e.g.
+    ``"tables"`` for the intermediate ranking inputs; no argument: everything
+    this session wrote there) through the cluster's file system."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(work_path(spark, *parts))
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
