@@ -52,7 +52,7 @@ def main() -> None:
 
     from tillroll.plans.registry import queries
     from tillroll.plans.star import build_star, load_star, write_star
-    from tillroll.session import local_session, unique_name, work_path
+    from tillroll.session import drop_work, local_session, unique_name, work_path
 
     spark = local_session(cpus, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")),
                           driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
@@ -101,6 +101,7 @@ def main() -> None:
                       "unit": "sec", "queries": timings, "runs": all_runs, "sf": sf,
                       "cpus": cpus, "from_source": {k: min(v) for k, v in from_source.items()},
                       "from_source_runs": from_source}))
+    drop_work(spark)   # the stars and intermediate tables this run wrote
     spark.stop()
 
 
