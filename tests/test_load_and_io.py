@@ -187,3 +187,24 @@ def test_latest_flat_csv_file(spark):
     df = files.read_latest_csv(spark, raw, "transactions", files.RAW_TRANSACTIONS)
     assert sorted(r.order_id for r in df.collect()) == ["ORD_000007", "ORD_000008"]
     assert files.read_latest_csv(spark, raw, "customers", files.RAW_TRANSACTIONS).count() == 0
+
+
+def test_streaming_ingest_flat_files(spark, wh):
+    import csv
+    import os
+    raw = tempfile.mkdtemp(prefix="flatstream-")
+    ckpt = tempfile.mkdtemp(prefix="ckpt-")
+    cols = [f.name for f in files.RAW_TRANSACTIONS.fields]
+
+    def put(ts, ids):
+        with open(os.path.join(raw, f"transactions_{ts}.csv"), "w", newline="") as fh:
+            w = csv.writer(fh)
+            w.writerow(cols)
+            for i in ids:
+                w.writerow(_txn(i))
+
+    put("20250101_000000", ["ORD_000001", "ORD_000002"])
+    start_fact_ingest(spark, raw, wh, ckpt, layout="flat").awaitTermination(120)
+    put("20250102_000000", ["ORD_000002", "ORD_000003"])
+    start_fact_ingest(spark, raw, wh, ckpt, layout="flat").awaitTermination(120)
+    assert sorted(r.order_id for r in wh.table("fact_sales").collect()) == ["ORD_000001", "ORD_000002", "ORD_000003"]

@@ -21,12 +21,20 @@ from ..plans.warehouse import Warehouse
 from ..sources.files import BATCH_COL, RAW_TRANSACTIONS
 
 
-def raw_transaction_stream(spark: SparkSession, raw_dir: str, max_files: int | None = None) -> DataFrame:
-    schema = T.StructType(list(RAW_TRANSACTIONS.fields) + [T.StructField(BATCH_COL, T.StringType())])
-    reader = spark.readStream.schema(schema).option("header", True)
+def raw_transaction_stream(spark: SparkSession, raw_dir: str, max_files: int | None = None,
+                           layout: str = "folders") -> DataFrame:
+    """``layout='folders'``: batches under ``transactions/batch_ts=<ts>/``;
+    ``layout='flat'``: files ``transactions_<ts>.csv`` directly in ``raw_dir``."""
+    if layout not in ("folders", "flat"):
+        raise ValueError(layout)
+    fields = list(RAW_TRANSACTIONS.fields)
+    if layout == "folders":
+        fields.append(T.StructField(BATCH_COL, T.StringType()))
+    reader = spark.readStream.schema(T.StructType(fields)).option("header", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(f"{raw_dir.rstrip('/')}/transactions")
+    root = raw_dir.rstrip("/")
+    return reader.csv(f"{root}/transactions" if layout == "folders" else f"{root}/transactions_*.csv")
 
 
 def to_sales_lines(raw: DataFrame) -> DataFrame:
@@ -37,13 +45,13 @@ def to_sales_lines(raw: DataFrame) -> DataFrame:
 
 
 def start_fact_ingest(spark: SparkSession, raw_dir: str, warehouse: Warehouse, checkpoint: str,
-                      once: bool = True, max_files: int | None = None) -> StreamingQuery:
+                      once: bool = True, max_files: int | None = None, layout: str = "folders") -> StreamingQuery:
     """Start the stream; each micro-batch goes through ``warehouse.load_fact``."""
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         warehouse.load_fact(to_sales_lines(batch.drop(BATCH_COL)))
 
-    writer = (raw_transaction_stream(spark, raw_dir, max_files).writeStream
+    writer = (raw_transaction_stream(spark, raw_dir, max_files, layout).writeStream
               .foreachBatch(load_batch).option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="30 seconds")
     return writer.start()
