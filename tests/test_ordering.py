@@ -124,3 +124,13 @@ def test_nulls_in_keys_and_partitions(spark, asc):
     df = spark.createDataFrame(rows, "id long, p string, x long, m double")
     got = ranked(df, [("x", asc)], tie=["id"], partition=["p"], sums=["m"], buckets=6, outputs=OUTPUTS)
     _compare(got, _expected(df, ["p"], asc))
+
+
+@pytest.mark.parametrize("rows", [None, 0])
+def test_empty_input(spark, rows):
+    from tillroll.operators.quantiles import quintile_score
+    df = spark.createDataFrame([], "id long, p string, x long, m double")
+    got = ranked(df, [("x", False)], tie=["id"], partition=["p"], sums=["m"], buckets=3, rows=rows,
+                 outputs=OUTPUTS)
+    assert got.count() == 0 and "nt" in got.columns
+    assert quintile_score(df, "x", ["id"], "s", buckets=3, rows=rows).count() == 0
