@@ -100,9 +100,14 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders",
                         ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
     cust = customer_attributes(spark, sf_dir).select("customer_id", "segment", "region")
+    # calendar columns belong to the order: derived on the orders side, once
+    # per order instead of once per line
+    d = F.col("o_orderdate").cast("date")
+    cal = calendar_columns(d)
     order_side = (orders.join(cust, orders.o_custkey == cust.customer_id)
                   .select(F.col("o_orderkey").alias("order_id"), "customer_id", "segment", "region",
-                          F.col("o_orderdate").cast("date").alias("order_date"),
+                          d.alias("order_date"), iso_date(d).alias("date_id"),
+                          *[v.alias(k) for k, v in cal.items()],
                           F.col("o_orderpriority").alias("payment_method")))
 
     li = read_table(spark, sf_dir, "lineitem",
@@ -124,14 +129,15 @@ def enrich_lines(df: DataFrame) -> DataFrame:
     cost = F.round(gross * cost_factor(F.col("category")), 2).cast(MONEY)
     unit_price = F.round((gross.cast("double") / qty).cast(SNAP), 2).cast(MONEY)
     d = F.col("order_date")
-    cal = calendar_columns(d)
+    cal = {k: F.col(k) if k in df.columns else v for k, v in calendar_columns(d).items()}
+    date_id = F.col("date_id") if "date_id" in df.columns else iso_date(d)
     return df.select(
         F.col("order_id"),
         F.col("l_linenumber").alias("line_number"),
         F.col("customer_id"),
         F.col("product_id"),
         d.alias("order_date"),
-        iso_date(d).alias("date_id"),
+        date_id.alias("date_id"),
         cal["year"].alias("year"),
         cal["month"].alias("month"),
         cal["month_name"].alias("month_name"),
