@@ -208,3 +208,19 @@ def test_streaming_ingest_flat_files(spark, wh):
     put("20250102_000000", ["ORD_000002", "ORD_000003"])
     start_fact_ingest(spark, raw, wh, ckpt, layout="flat").awaitTermination(120)
     assert sorted(r.order_id for r in wh.table("fact_sales").collect()) == ["ORD_000001", "ORD_000002", "ORD_000003"]
+
+
+def test_reports_over_a_warehouse_loaded_from_raw_transactions(spark, wh):
+    from tillroll.plans import reports
+    from tillroll.streaming.ingest import to_sales_lines
+    raw = _raw(spark, [_txn("ORD_000001", day="2025-01-05"), _txn("ORD_000002", day="2025-02-10", net="45.00"),
+                       _txn("ORD_000003", day="2025-02-11", qty=0)])
+    sales = to_sales_lines(raw)
+    wh.load_dimensions(sales, wh.table("dim_customer"), wh.table("dim_product"))
+    assert wh.load_fact(sales) == 2
+    star = wh.star()
+    months = reports.monthly_growth(star).collect()
+    assert [(m.month_name, m.total_revenue, m.mom_growth_pct) for m in months] == [
+        ("January", 90.0, None), ("February", 45.0, -50.0)]
+    top = reports.top_customers(star).collect()
+    assert [(t.customer_id, t.total_revenue, t.region_rank) for t in top] == [("CUST_0001", 135.0, 1)]

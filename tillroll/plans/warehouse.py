@@ -174,6 +174,24 @@ class Warehouse:
             "run_timestamp", F.current_timestamp())
         self._append("pipeline_run_log", df)
 
+    # reports over the warehouse ---------------------------------------------
+    def star(self, root: str | None = None):
+        """The warehouse as the wide star every report reads: the fact joined
+        once to its dimensions (inner joins on the dimension keys, so the
+        reports see conformed rows), written under ``root`` (default: a fresh
+        folder in the session's checkpoint folder)."""
+        from ..session import unique_name, work_path
+        from .star import Star, write_star
+        f = self.table("fact_sales")
+        dates = self.table("dim_date").select("date_id", "year", "month", "month_name", "quarter")
+        cust = self.table("dim_customer").select("customer_id", "segment")
+        prod = self.table("dim_product").select("product_id", "product_name", "category")
+        wide = (f.join(dates, "date_id").join(cust, "customer_id").join(prod, "product_id")
+                .withColumn("order_date", F.to_date("date_id")))
+        star = Star(fact=wide, dim_customer=self.table("dim_customer"), dim_product=self.table("dim_product"),
+                    dim_date=self.table("dim_date"), dim_region=self.table("dim_region"))
+        return write_star(star, root or work_path(self.spark, "star", unique_name("warehouse")))
+
     # S15 ------------------------------------------------------------------
     def run_load(self, sales: DataFrame, customers: DataFrame, products: DataFrame,
                  monthly: DataFrame, regional: DataFrame) -> int:
