@@ -18,8 +18,9 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 NOTES = {
-    "adapter (sales_lines)": "orders x customers and line items x parts first, then one join on the order "
-                             "key; nation/region broadcast from file statistics; scans read only named columns.",
+    "adapter (sales_lines)": "orders x customers (calendar columns derived per order) and line items x parts "
+                             "first, then one join on the order key; nation/region broadcast from file statistics; "
+                             "scans read only named columns.",
     "rpt_monthly_growth": "date dimension broadcast into the fact scan's stage; two exact distinct counts via "
                           "Expand + partial aggregation; one small window over months.",
     "rpt_top_customers": "WindowGroupLimit below the exchange (partial top-k per task), customer aggregate "
