@@ -11,10 +11,11 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from tillroll.plans import registry
 
 duckdb = pytest.importorskip("duckdb")
 TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date"}
-KEYS = sorted(entry.queries())
+KEYS = sorted(registry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -39,12 +40,12 @@ def _sorted(rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(KEYS) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_matches_oracle(spark, con, key):
-    df = entry.queries()[key](spark, SF_SMALL)
+    df = registry.queries()[key](spark, SF_SMALL)
     got = [tuple(_norm(v) for v in r) for r in df.collect()]
     cur = con.execute(entry.oracle_sql()[key])
     assert [d[0] for d in cur.description] == df.columns

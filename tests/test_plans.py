@@ -8,10 +8,9 @@ import io
 
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
 from tillroll.operators.ordering import global_order
-from tillroll.plans import reports
+from tillroll.plans import registry, reports
 from tillroll.plans.star import load_star
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas",
@@ -25,9 +24,9 @@ def _plan(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(registry.queries()))
 def test_no_python_or_pairwise_joins_in_plans(spark, key):
-    plan = _plan(entry.queries()[key](spark, SF_SMALL))
+    plan = _plan(registry.queries()[key](spark, SF_SMALL))
     assert not any(n in plan for n in PYTHON_NODES), key
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, key
 
