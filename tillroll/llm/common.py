@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import unique_name, work_path
 
@@ -33,6 +34,14 @@ def text_bytes(docs: DataFrame, column: str = "text") -> int:
     return int(docs.agg(F.coalesce(F.sum(F.octet_length(column)), F.lit(0))).first()[0])
 
 
+def with_columns(schema: T.StructType, **kinds: str) -> T.StructType:
+    """The schema with more columns (the given one is left alone)."""
+    out = T.StructType(list(schema.fields))
+    for name, kind in kinds.items():
+        out = out.add(name, kind)
+    return out
+
+
 def pieces(total: int, each: int, least: int = 1) -> int:
     """How many partitions of about ``each`` hold ``total``."""
     return max(least, -(-total // each))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, redirects
+from . import mixing, ordinal, redirects, toxicity
 from .common import table
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -18,10 +19,28 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    ratings = table(spark, sf_dir, "labels", "doc_id", "quality").withColumnRenamed("quality", "grade")
+    graded = ordinal.score(docs, ordinal.train(docs, ratings))
+    return graded.select("doc_id", "expected_grade", "tail_probability",
+                         (F.col("tail_probability") >= 0.5).alias("selected"))
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
     return redirects.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    labels = (table(spark, sf_dir, "labels", "doc_id", "toxic").where(~held_out)
+              .withColumnRenamed("toxic", "label"))
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mixing, op8_url_filters)}
+    return {f.__name__: f for f in (op2_mixing, op5_quality, op8_url_filters, op10_toxicity)}
