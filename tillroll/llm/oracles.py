@@ -68,5 +68,32 @@ SELECT p.page_id, p.host, p.path, own.rule,
 FROM p LEFT JOIN own ON own.n = p.n LEFT JOIN shared ON shared.node = p.bare"""
 
 
+DECONTAMINATION = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, list_slice(w, i, i + least(10, len(w)) - 1) AS terms
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT r, n, i, list_slice(w, i, i + n - 1) AS terms
+  FROM (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d CROSS JOIN lengths WHERE len(w) >= n)),
+m AS (SELECT dw.r, dw.i, dw.n, bw.item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.terms = bw.terms),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT r, i, n FROM m)) GROUP BY r),
+item AS (
+  SELECT r, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS k FROM m) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN item USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": MIXING, "op8_url_filters": URL_FILTERS}
+    return {"op2_mixing": MIXING, "op4_decontamination": DECONTAMINATION, "op8_url_filters": URL_FILTERS}

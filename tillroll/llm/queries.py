@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, ordinal, redirects, toxicity
+from . import decontam, eodscan, mixing, ordinal, redirects, toxicity
 from .common import table
 
+#: Folder of the public tokenizers' vocabulary files, on the driver.
+TOKENIZERS = os.environ.get("TOKENIZERS", "/opt/tokenizers")
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
@@ -19,6 +22,16 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = decontam.build_index(table(spark, sf_dir, "documents", "doc_id", "text"))
+    found = decontam.search(index, table(spark, sf_dir, "benchmark", "item_id", "text"), size=10, slack=12)
+    n_hit = F.expr("cast(aggregate(spans, 0, (a, x) -> a + x.e - x.s) as bigint)")
+    return found.select(F.col("id").cast("bigint").alias("doc_id"), F.col("n_words").cast("bigint").alias("n_words"),
+                        n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (n_hit > 0).alias("contaminated"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     ratings = table(spark, sf_dir, "labels", "doc_id", "quality").withColumnRenamed("quality", "grade")
@@ -27,6 +40,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("tail_probability") >= 0.5).alias("selected"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return eodscan.token_counts(docs, eodscan.byte_pair_encoder(f"{TOKENIZERS}/byte_bpe_50k.tiktoken"), eod=50256)
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
     return redirects.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -43,4 +61,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mixing, op5_quality, op8_url_filters, op10_toxicity)}
+    return {f.__name__: f for f in (op2_mixing, op4_decontamination, op5_quality, op7_token_counts,
+                                      op8_url_filters, op10_toxicity)}
