@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, eodscan, mixing, ordinal, redirects, toxicity
+from . import ann, decontam, eodscan, mixing, ordinal, redirects, toxicity
 from .common import table
 
 #: Folder of the public tokenizers' vocabulary files, on the driver.
@@ -17,6 +17,11 @@ URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow",
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return ann.search(ann.build_index(vectors), vectors.where("vec_id % 100 = 0"), k=10)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -61,5 +66,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mixing, op4_decontamination, op5_quality, op7_token_counts,
+    return {f.__name__: f for f in (op1_neighbours, op2_mixing, op4_decontamination, op5_quality, op7_token_counts,
                                       op8_url_filters, op10_toxicity)}
