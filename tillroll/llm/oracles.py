@@ -95,5 +95,31 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN hit USING (r) LEFT JOIN item USING (r)"""
 
 
+JACCARD = r"""
+WITH RECURSIVE
+d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents),
+c AS MATERIALIZED (
+  SELECT min(r) AS c, w, count(*) AS copies, list(r) AS rows FROM d WHERE len(w) > 0 GROUP BY w),
+s AS MATERIALIZED (
+  SELECT DISTINCT c, list_slice(w, i, i + least(5, len(w)) - 1) AS sh
+  FROM (SELECT c, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM c)),
+z AS (SELECT c, count(*) AS n FROM s GROUP BY c),
+both_in AS (SELECT x.c AS a, y.c AS b, count(*) AS n FROM s x JOIN s y ON x.sh = y.sh AND x.c <> y.c GROUP BY ALL),
+link AS MATERIALIZED (
+  SELECT a, b FROM both_in i JOIN z za ON za.c = i.a JOIN z zb ON zb.c = i.b
+  WHERE 5 * i.n >= 4 * (za.n + zb.n - i.n)),
+reach(a, b) AS (SELECT c, c FROM c UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+grp AS (SELECT a AS c, min(b) AS g FROM reach GROUP BY a),
+deg AS (SELECT a AS c, sum(c.copies) AS n FROM link JOIN c ON c.c = link.b GROUP BY a),
+member AS (SELECT c.c, unnest(c.rows) AS r, c.copies FROM c),
+first_id AS (SELECT g, min(doc_id) AS class_id FROM member JOIN grp USING (c) JOIN d USING (r) GROUP BY g)
+SELECT d.doc_id, CASE WHEN len(d.w) = 0 THEN d.doc_id ELSE class_id END AS class_id,
+       CAST(coalesce(member.copies - 1 + coalesce(deg.n, 0), 0) AS BIGINT) AS n_links
+FROM d LEFT JOIN member USING (r) LEFT JOIN grp USING (c) LEFT JOIN first_id USING (g) LEFT JOIN deg USING (c)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": MIXING, "op4_decontamination": DECONTAMINATION, "op8_url_filters": URL_FILTERS}
+    return {"op2_mixing": MIXING, "op4_decontamination": DECONTAMINATION, "op6_jaccard": JACCARD, "op8_url_filters": URL_FILTERS}

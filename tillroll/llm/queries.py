@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, eodscan, mixing, ordinal, redirects, toxicity
+from . import ann, decontam, eodscan, jaccard, mixing, ordinal, redirects, toxicity
 from .common import table
 
 #: Folder of the public tokenizers' vocabulary files, on the driver.
@@ -45,6 +45,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("tail_probability") >= 0.5).alias("selected"))
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return jaccard.near_duplicates(docs).select("doc_id", "class_id", "n_links")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return eodscan.token_counts(docs, eodscan.byte_pair_encoder(f"{TOKENIZERS}/byte_bpe_50k.tiktoken"), eod=50256)
@@ -66,5 +71,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_neighbours, op2_mixing, op4_decontamination, op5_quality, op7_token_counts,
+    return {f.__name__: f for f in (op1_neighbours, op2_mixing, op4_decontamination, op5_quality, op6_jaccard, op7_token_counts,
                                       op8_url_filters, op10_toxicity)}
