@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, eodscan, jaccard, mixing, ordinal, redirects, toxicity
+from . import ann, ctw, decontam, eodscan, jaccard, mixing, ordinal, redirects, toxicity
 from .common import table
 
 #: Folder of the public tokenizers' vocabulary files, on the driver.
@@ -27,6 +27,14 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2, F.lit(False))
+    scored = ctw.score(docs.withColumn("learn", ~held_out))
+    return scored.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score", "n_bytes")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = decontam.build_index(table(spark, sf_dir, "documents", "doc_id", "text"))
     found = decontam.search(index, table(spark, sf_dir, "benchmark", "item_id", "text"), size=10, slack=12)
@@ -71,5 +79,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_neighbours, op2_mixing, op4_decontamination, op5_quality, op6_jaccard, op7_token_counts,
+    return {f.__name__: f for f in (op1_neighbours, op2_mixing, op3_lm_scoring, op4_decontamination, op5_quality, op6_jaccard, op7_token_counts,
                                       op8_url_filters, op10_toxicity)}
