@@ -12,7 +12,7 @@ import pyarrow as pa
 U64 = np.uint64
 _P = 0x9E3779B97F4A7C15                  # odd: it has an inverse modulo 2**64
 _P_INV = pow(_P, -1, 1 << 64)
-SLICE = 4 << 20                          # bytes handled at a time
+SLICE = 1 << 20                          # bytes handled at a time: the arrays of a slice fit the caches
 
 
 @functools.cache
@@ -127,16 +127,9 @@ def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
 def words(data: np.ndarray, off: np.ndarray, inside: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word in order, and words before each row's start."""
-    starts, ends, counts = word_spans(data, off, inside)
-    return span_hash(prefix_hash(data, lower), starts, ends), counts
-
-
-def row_sums(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    """Sum of ``values`` in each run ``edges[i]:edges[i + 1]``."""
-    total = np.concatenate([np.zeros(1, values.dtype if values.dtype.kind == "f" else np.int64), np.cumsum(values)])
-    return total[edges[1:]] - total[edges[:-1]]
-
-
-def binary_rows(*columns: tuple[str, list, pa.DataType]) -> pa.RecordBatch:
-    """A batch from named Python lists."""
-    return pa.RecordBatch.from_arrays([pa.array(v, t) for _, v, t in columns], names=[n for n, _, _ in columns])
+    hashes, edges = [np.zeros(0, U64)], [np.zeros(1, np.int64)]
+    for _, _, part, at in slices(data, off):
+        starts, ends, counts = word_spans(part, at, inside)
+        hashes.append(span_hash(prefix_hash(part, lower), starts, ends))
+        edges.append(edges[-1][-1] + counts[1:])
+    return np.concatenate(hashes), np.concatenate(edges)

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytesops import SLICE, U64, column_bytes, lowered, slices, word_bytes, words
+from .bytesops import U64, column_bytes, lowered, slices, word_bytes, words
 from .common import pieces, stored
 from .packing import Lookup, count_keys, pack, pack_bytes, pack_sorted, unpack, unpack_bytes, unpack_sorted
 
@@ -46,6 +46,7 @@ SHARDS = 24          #: at least; they grow with the square root of the data
 EDGE = 0xFF          #: stands before a text and at its end; no UTF-8 byte
 END_WORD = U64(0x5DEECE66D)
 _MERGE = 6_000_000
+_AT_ONCE = 2 << 20
 
 
 def edged(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +139,7 @@ def _blocks(docs: DataFrame, shards: int) -> DataFrame:
         for batch in batches:
             data, off = column_bytes(batch.column("text"))
             ids, learn = batch.column("doc_id").to_pylist(), batch.column("learn").to_numpy(zero_copy_only=False)
-            for low, high, part, at in slices(lowered()[data], off, SLICE // 2):
+            for low, high, part, at in slices(lowered()[data], off, _AT_ONCE):
                 for keys, starts, into in (*[(*edged(part, at), strings)], *[(*word_keys(part, at), spoken)]):
                     into.add(keys, np.repeat(learn[low:high], np.diff(starts)))
                 yield _row("text", block, 0, ids[low:high], learn[low:high].tolist(), pack_bytes(part), pack(np.diff(at)))

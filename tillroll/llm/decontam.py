@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .bytesops import U64, column_bytes, slices, word_bytes, words
 from .common import pieces, stored
 
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 CHUNK = 200_000
 _INDEX = "block long, ids array<string>, n_words array<int>, terms binary, starts binary, postings binary"
 
@@ -168,9 +168,10 @@ def search(index: DataFrame, items: DataFrame, size: int = 10, slack: int | None
             for batch in batches:
                 for own, starts in zip(batch.column("terms"), batch.column("starts"), strict=True):
                     own, starts = np.frombuffer(own.as_py(), U64), np.frombuffer(starts.as_py(), np.uint32)
-                    both, at, _ = np.intersect1d(own, terms, assume_unique=True, return_indices=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(both.view(np.int64)), pa.array(np.diff(starts.astype(np.int64))[at])],
-                                                     names=["term", "n"])
+                    at = np.searchsorted(own, terms)
+                    held = np.flatnonzero(own[np.minimum(at, len(own) - 1)] == terms) if len(own) else at[:0]
+                    n = starts[at[held] + 1].astype(np.int64) - starts[at[held]]
+                    yield pa.RecordBatch.from_arrays([pa.array(terms[held].view(np.int64)), pa.array(n)], names=["term", "n"])
 
         counts = {r.term: r.n for r in index.select("terms", "starts").mapInArrow(count, "term long, n long")
                   .groupBy("term").agg(F.sum("n").alias("n")).collect()}   # at most the chunk's terms

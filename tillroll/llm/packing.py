@@ -14,11 +14,11 @@ def pack(values: np.ndarray) -> bytes:
     in small or sorted numbers), compressed."""
     raw = np.ascontiguousarray(values)
     planes = np.ascontiguousarray(raw.view(np.uint8).reshape(len(raw), raw.itemsize).T) if len(raw) else np.zeros(0, np.uint8)
-    return raw.dtype.str.encode() + b"|" + len(raw).to_bytes(8, "little") + (pa.compress(planes.tobytes(), "zstd", asbytes=True) if len(raw) else b"")
+    return raw.dtype.str.encode() + b";" + len(raw).to_bytes(8, "little") + (pa.compress(planes.tobytes(), "zstd", asbytes=True) if len(raw) else b"")
 
 
 def unpack(payload: bytes) -> np.ndarray:
-    at = payload.index(b"|")
+    at = payload.index(b";")
     kind, n = np.dtype(payload[:at].decode()), int.from_bytes(payload[at + 1:at + 9], "little")
     if not n:
         return np.zeros(0, kind)

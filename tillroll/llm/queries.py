@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, ctw, decontam, eodscan, jaccard, mixing, ordinal, redirects, toxicity
+from . import ann, bwt, ctw, decontam, eodscan, jaccard, mixing, ordinal, redirects, toxicity
 from .common import table
 
 #: Folder of the public tokenizers' vocabulary files, on the driver.
@@ -68,6 +68,12 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redirects.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return bwt.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans",
+                                           F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
@@ -80,4 +86,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_neighbours, op2_mixing, op3_lm_scoring, op4_decontamination, op5_quality, op6_jaccard, op7_token_counts,
-                                      op8_url_filters, op10_toxicity)}
+                                      op8_url_filters, op9_repeated_passages, op10_toxicity)}
