@@ -247,9 +247,9 @@ def one_of_each(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, r
     Documents without words stay.  All columns are kept."""
     groups = stored(near_duplicates(docs, n, threshold, recall), "groups")
     winner = (groups.where("group_root is not null").groupBy("group_root")
-              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("w")).select(F.col("w.key").alias("winner_key")))
-    alone = groups.where("group_root is null").select(F.col("key").alias("winner_key"))
-    rows = docs.withColumn("winner_key", row_key("doc_id", "text"))
-    place = F.row_number().over(Window.partitionBy("winner_key").orderBy("winner_key"))
-    kept = rows.join(winner.distinct(), "winner_key").withColumn("winner_row", place).where("winner_row = 1").drop("winner_row")
-    return kept.unionByName(rows.join(alone.distinct(), "winner_key", "left_semi")).select(*docs.columns)
+              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("w")).select(F.col("w.key").alias("__winner")))
+    alone = groups.where("group_root is null").select(F.col("key").alias("__winner"))
+    rows = docs.withColumn("__winner", row_key("doc_id", "text"))
+    place = F.row_number().over(Window.partitionBy("__winner").orderBy("__winner"))
+    kept = rows.join(winner.distinct(), "__winner").withColumn("__winner_row", place).where("__winner_row = 1").drop("__winner_row")
+    return kept.unionByName(rows.join(alone.distinct(), "__winner", "left_semi")).select(*docs.columns)

@@ -158,14 +158,15 @@ def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE, seed: int =
     return fit(x, np.array([r.grade for r in got], float))
 
 
-def score(docs: DataFrame, model: Ordinal, tail: float | None = None, text: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Ordinal, tail: float | None = None, text: str = "text",
+          names: tuple[str, str] = ("expected_grade", "tail_probability")) -> DataFrame:
     """``docs`` with ``expected_grade`` and ``tail_probability`` =
     ``P(grade >= tail)`` (the highest grade, if not given).
 
     Null and empty texts get the values of the thresholds alone; texts of any
     length are read whole; repeated rows get equal values; an empty table
-    stays empty.  Columns of those two names are replaced."""
-    docs = docs.select(*[c for c in docs.columns if c not in ("expected_grade", "tail_probability")])
+    stays empty.  Columns that bear one of the two ``names`` are replaced."""
+    docs = docs.select(*[c for c in docs.columns if c not in names])
     least = model.grades[-1] if tail is None else tail
 
     def scored(batches):
@@ -176,8 +177,7 @@ def score(docs: DataFrame, model: Ordinal, tail: float | None = None, text: str
                 f[low:high] = mean_weights(part, at, model.weights)
             p = model.probabilities(f)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(p @ model.grades), pa.array(p[:, model.grades >= least].sum(axis=1))], names=names)
+                [*batch.columns, pa.array(p @ model.grades), pa.array(p[:, model.grades >= least].sum(axis=1))], names=every)
 
-    names = [*docs.columns, "expected_grade", "tail_probability"]
-    schema = with_columns(docs.schema, expected_grade="double", tail_probability="double")
-    return docs.mapInArrow(scored, schema)
+    every = [*docs.columns, *names]
+    return docs.mapInArrow(scored, with_columns(docs.schema, **dict.fromkeys(names, "double")))
