@@ -10,7 +10,8 @@
    :data:`LONG` or more bytes allow distance 2, others 1, so misspelled terms
    are found.
 3. *Context.*  A match's strength is the log-odds of its spelling in the
-   sample (a spelling seen only in clean texts counts against).  Matches
+   sample (a spelling seen only in clean texts counts against); a spelling not
+   met there has that of the term's spellings at its distance.  Matches
    inside quotation marks are kept apart from the others, and the strongest
    window of :data:`WINDOW` words measures how dense the abuse is.  A logistic
    regression on these three numbers gives the score.
@@ -38,6 +39,8 @@ LONGEST = 24          #: bytes of a term, at most; longer words match none
 WINDOW = 16           #: words
 QUOTE_BYTES = 80      #: a quoted match has marks this near on both sides
 STRONGEST = 6.0
+#: Share of toxic uses assumed of a term's spellings, by distance, as two spellings would show it.
+ASSUMED = (0.95, 0.85, 0.7)
 
 
 @dataclass
@@ -117,11 +120,12 @@ class Lexicon:
 
 @dataclass
 class Hits:
-    """Matches of a slice: row, word number, word hash, distance, quoted, span."""
+    """Matches of a slice: row, word number, word hash, term, distance, quoted, span."""
 
     row: np.ndarray
     place: np.ndarray
     word: np.ndarray
+    term: np.ndarray
     distance: np.ndarray
     quoted: np.ndarray
     start: np.ndarray
@@ -163,7 +167,7 @@ def find_hits(data: np.ndarray, off: np.ndarray, lexicon: Lexicon) -> Hits:
     row = np.searchsorted(edges, at, "right") - 1
     before = np.where(at > edges[row], h[np.maximum(at - 1, 0)], np.uint64(0))
     after = np.where(at + 1 < edges[row + 1], h[np.minimum(at + 1, len(h) - 1)], np.uint64(0)) if len(h) else h[:0]
-    return Hits(row, at - edges[row], h[at], dist[inverse[at]], _quoted(data, off, row, starts[at], ends[at]),
+    return Hits(row, at - edges[row], h[at], found[inverse[at]], dist[inverse[at]], _quoted(data, off, row, starts[at], ends[at]),
                 starts[at], ends[at], before * np.uint64(3) + after)
 
 
@@ -172,11 +176,11 @@ class Model:
     lexicon: Lexicon
     words: np.ndarray          # sorted hashes of spellings met in the sample
     strength: np.ndarray       # their log-odds
-    unseen: np.ndarray         # log-odds of a spelling not met, by distance
+    unseen: np.ndarray         # log-odds of a spelling not met, by term and distance
     coefficients: np.ndarray = field(default_factory=lambda: np.array([-2.0, 0.5, 0.1, 0.2]))
 
-    def of_words(self, word: np.ndarray, distance: np.ndarray) -> np.ndarray:
-        out = self.unseen[distance]
+    def of_words(self, word: np.ndarray, term: np.ndarray, distance: np.ndarray) -> np.ndarray:
+        out = self.unseen[term, distance]
         if len(self.words):
             at = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
             out = np.where(self.words[at] == word, self.strength[at], out)
@@ -190,7 +194,7 @@ class Model:
         hits = find_hits(data, off, self.lexicon)
         if not len(hits.row):
             return out
-        s = self.of_words(hits.word, hits.distance)
+        s = self.of_words(hits.word, hits.term, hits.distance)
         key = np.lexsort((hits.quoted, hits.word, hits.row))
         new = np.ones(len(key), bool)
         new[1:] = (hits.row[key][1:] != hits.row[key][:-1]) | (hits.word[key][1:] != hits.word[key][:-1])
@@ -210,17 +214,19 @@ class Model:
         return 0.5 * (1.0 + np.tanh(0.5 * z))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
-    """Intercept and slopes by Newton steps, with an L2 penalty on the slopes;
-    slopes of matches never turn negative (more abuse is not less toxic)."""
+def logistic(x: np.ndarray, y: np.ndarray, base: float, penalty: float = 10.0) -> np.ndarray:
+    """Intercept and slopes by Newton steps.  An L2 penalty draws them to the
+    sum of log-odds (the prior's, and the matches' in plain text; quoted ones
+    at 0.4), from which few or separable rows don't lead far away; slopes never
+    turn negative (more abuse is not less toxic)."""
     a = np.column_stack([np.ones(len(x)), x])
-    ridge = np.diag([1e-6, *[penalty] * x.shape[1]])
-    w = np.zeros(a.shape[1])
+    usual = np.array([np.log(base / (1 - base)), 1.0, 0.4, 0.0])
+    ridge, w = penalty * np.eye(4), usual.copy()
     for _ in range(30):
         p = 0.5 * (1.0 + np.tanh(0.5 * (a @ w)))
-        g = a.T @ (y - p) - ridge @ w
+        g = a.T @ (y - p) - ridge @ (w - usual)
         step = np.linalg.solve((a * (p * (1 - p) + 1e-9)[:, None]).T @ a + ridge, g)
-        w += np.clip(step, -2, 2)
+        w += np.clip(step, -1, 1)
     w[1:] = np.maximum(w[1:], 0.0)
     return w
 
@@ -296,20 +302,24 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int =
             for low, _, part, at in slices(data, off):
                 hits = find_hits(part, at, lexicon)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hits.word.view(np.int64)), pa.array(hits.distance.astype(np.int32)),
+                    [pa.array(hits.word.view(np.int64)), pa.array(hits.term), pa.array(hits.distance.astype(np.int32)),
                      pa.array(hits.context.view(np.int64)), pa.array(label[low + hits.row].astype(np.int32))],
-                    names=["word", "distance", "context", "label"])
+                    names=["word", "term", "distance", "context", "label"])
 
-    seen = (rows.mapInArrow(spellings, "word long, distance int, context long, label int").distinct()
-            .groupBy("word", "distance").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")).collect()
+    seen = (rows.mapInArrow(spellings, "word long, term int, distance int, context long, label int").distinct()
+            .groupBy("word", "term", "distance").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")).collect()
             if lexicon.terms else [])
     prior = np.log(base / (1 - base))
-    odds = lambda a, b, mean, weight: np.log((a + weight * mean) / (b + weight * (1 - mean)))
-    share = [(sum(r.a for r in seen if r.distance == d) + base) / (sum(r.a + r.b for r in seen if r.distance == d) + 1) for d in range(3)]
+    shown, spellings_of = np.tile(2.0 * np.array(ASSUMED), (max(1, len(lexicon.terms)), 1)), np.full((max(1, len(lexicon.terms)), 3), 2.0)
+    for r in seen:
+        shown[r.term, r.distance] += r.a / (r.a + r.b)
+        spellings_of[r.term, r.distance] += 1
+    share = shown / spellings_of
     seen.sort(key=lambda r: np.int64(r.word).view(np.uint64))
-    strength = np.array([odds(r.a, r.b, share[r.distance], 1.0) - prior for r in seen], float)
-    unseen = np.zeros(10)
-    unseen[:3] = [odds(0, 0, share[d], 1.0) - prior for d in range(3)]
+    mean = np.array([share[r.term, r.distance] for r in seen])
+    a, b = np.array([r.a for r in seen], float), np.array([r.b for r in seen], float)
+    strength = np.log((a + mean) / (b + 1 - mean)) - prior if seen else np.zeros(0)
+    unseen = np.log(share / (1 - share)) - prior
     model = Model(lexicon, np.array([r.word for r in seen], np.int64).view(np.uint64),
                   np.clip(strength, -STRONGEST, STRONGEST), np.clip(unseen, -STRONGEST, STRONGEST))
 
@@ -324,7 +334,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int =
     got = np.array(rows.mapInArrow(features, "x0 double, x1 double, x2 double, y int").collect(), float).reshape(-1, 4)
     got = got[np.lexsort(got.T)]
     if len(got):
-        model.coefficients = logistic(got[:, :3], got[:, 3])
+        model.coefficients = logistic(got[:, :3], got[:, 3], base)
         model.coefficients[2] = min(model.coefficients[2], model.coefficients[1])  # a quoted match never weighs more
     return model
 
