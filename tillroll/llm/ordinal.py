@@ -2,8 +2,9 @@
 
 A text's byte trigrams are hashed into :data:`BUCKETS` buckets, with one more
 for words that repeat the word before them; one weight per bucket is shared by
-all grades.  With ``f`` the mean weight of a text's trigrams (drawn towards 0
-in short texts, as :data:`PRIOR` more trigrams of no weight) plus that of its
+all grades.  With ``f`` the mean weight of a text's trigrams (with
+:data:`PRIOR` more trigrams of the commonest grade's mean weight, so that a
+short text is judged as usual until it shows otherwise) plus that of its
 repeated words, ``P(grade <= k) = 1 / (1 + exp(f - threshold_k))`` with ordered
 thresholds, which gives the expected grade and the probability of the tail,
 ``P(grade >= chosen)``, that selects documents.
@@ -57,21 +58,22 @@ def repeated_words(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return (total[edge[1:]] - total[edge[:-1]]) / (np.diff(edge) + 5)
 
 
-def mean_weights(data: np.ndarray, off: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Each row's mean weight; 0 without words."""
+def mean_weights(data: np.ndarray, off: np.ndarray, weights: np.ndarray, usual: float) -> np.ndarray:
+    """Each row's mean weight; that of PRIOR trigrams is ``usual``."""
     bucket, whole = trigram_buckets(data, off)
     value = np.where(whole, weights[bucket], 0.0)
     total = np.concatenate([[0.0], np.cumsum(value)])
     low, high = (np.minimum(off[:-1], len(value)), np.minimum(off[1:], len(value)))
-    return (total[high] - total[low]) / (np.diff(off) + PRIOR) + weights[BUCKETS] * repeated_words(data, off)
+    many = np.maximum(np.diff(off) - 2, 0)
+    return (total[high] - total[low] + PRIOR * usual) / (many + PRIOR) + weights[BUCKETS] * repeated_words(data, off)
 
 
-def shares(text: bytes) -> np.ndarray:
-    """Share of each bucket in a text."""
+def counts(text: bytes) -> np.ndarray:
+    """Trigrams of each bucket in a text, and its share of repeated words."""
     data = np.frombuffer(text, np.uint8)
     off = np.array([0, len(data)])
     bucket, _ = trigram_buckets(data, off)
-    return np.concatenate([np.bincount(bucket, minlength=BUCKETS) / (len(data) + PRIOR),
+    return np.concatenate([np.bincount(bucket, minlength=BUCKETS),
                            repeated_words(data, off)]).astype(np.float32)
 
 
@@ -86,6 +88,7 @@ class Ordinal:
     grades: np.ndarray
     thresholds: np.ndarray
     weights: np.ndarray
+    usual: float = 0.0
 
     def probabilities(self, f: np.ndarray) -> np.ndarray:
         """``P(grade = k)``, a row for each value of ``f``."""
@@ -95,7 +98,7 @@ class Ordinal:
 
 
 def fit(x: np.ndarray, grade: np.ndarray, steps: int = 300, rate: float = 0.05, penalty: float = 1e-2) -> Ordinal:
-    """Maximum likelihood with an L2 penalty on the scaled trigram weights (none
+    """Fit to rows of :func:`counts` (``x`` is changed in place).  Maximum likelihood with an L2 penalty on the scaled trigram weights (none
     on the last, of repeated words), by Adam from zero (no randomness).  No rows: one grade 0; a single grade: no
     threshold."""
     grades = np.unique(grade) if len(grade) else np.zeros(1)
@@ -103,6 +106,11 @@ def fit(x: np.ndarray, grade: np.ndarray, steps: int = 300, rate: float = 0.05,
     if k == 1:
         return Ordinal(grades.astype(float), np.zeros(0), np.zeros(BUCKETS + 1))
     y = np.searchsorted(grades, grade)
+    many = x[:, :BUCKETS].sum(axis=1, keepdims=True)
+    common = x[y == np.bincount(y).argmax(), :BUCKETS]
+    usual = common.sum(axis=0) / max(1.0, common.sum())
+    x[:, :BUCKETS] += PRIOR * usual
+    x[:, :BUCKETS] /= many + PRIOR
     scale = (1.0 / (x.std(axis=0) + 1e-4)).astype(np.float32)
     middle = x.mean(axis=0) * scale
     z = x * scale - middle
@@ -129,7 +137,7 @@ def fit(x: np.ndarray, grade: np.ndarray, steps: int = 300, rate: float = 0.05,
         move = rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-9)
         w, t = w - move[:len(w)], t - move[len(w):]
     theta = t[0] + np.concatenate([[0.0], np.cumsum(np.exp(t[1:]))])
-    return Ordinal(grades.astype(float), theta + float(middle @ w), scale * w)
+    return Ordinal(grades.astype(float), theta + float(middle @ w), scale * w, float(usual @ (scale * w)[:BUCKETS]))
 
 
 def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE, seed: int = 5) -> Ordinal:
@@ -144,7 +152,7 @@ def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE, seed: int =
     def features(batches):
         for batch in batches:
             text = batch.column("text").cast(pa.large_binary())
-            rows = [shares(x.as_py() or b"") for x in text]
+            rows = [counts(x.as_py() or b"") for x in text]
             at = [np.flatnonzero(r) for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("grade"), pa.array([i.astype(np.uint16).tobytes() for i in at], pa.binary()),
@@ -174,7 +182,7 @@ def score(docs: DataFrame, model: Ordinal, tail: float | None = None, text: str
             data, off = column_bytes(batch.column(text))
             f = np.zeros(batch.num_rows)
             for low, high, part, at in slices(data, off):
-                f[low:high] = mean_weights(part, at, model.weights)
+                f[low:high] = mean_weights(part, at, model.weights, model.usual)
             p = model.probabilities(f)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(p @ model.grades), pa.array(p[:, model.grades >= least].sum(axis=1))], names=every)
