@@ -54,8 +54,43 @@ def test_fact_load_twice_equals_once(spark, wh):
     assert wh.load_fact(sales) == 2
     assert wh.load_fact(sales) == 0
     kept = {r.order_id: r.net_revenue for r in wh.table("fact_sales").collect()}
-    # first wins in the order of the remaining columns: the 1.00 line precedes
-    assert kept == {"ORD_000001": Decimal("1.00"), "ORD_000002": Decimal("90.00")}
+    # the first line to arrive wins, whatever its values
+    assert kept == {"ORD_000001": Decimal("90.00"), "ORD_000002": Decimal("90.00")}
+
+
+def test_first_arrival_wins_in_dimensions(spark, wh):
+    batch = spark.createDataFrame([("CUST_0009", "zed", "Regular", "West", "c", None), ("CUST_0009", "abe", "Regular", "West", "c", None)],
+                                  "customer_id string, customer_name string, segment string, region string, city string, joined_date date")
+    assert wh.load_dimension("dim_customer", batch) == 1
+    assert {r.customer_name for r in wh.table("dim_customer").where("customer_id = 'CUST_0009'").collect()} == {"zed"}
+
+
+def test_null_keys_are_refused_however_often_they_come(spark, wh):
+    batch = spark.createDataFrame([(None, "a", "Regular", "West", "c", None), (None, "b", "Regular", "West", "c", None)],
+                                  "customer_id string, customer_name string, segment string, region string, city string, joined_date date")
+    assert [wh.load_dimension("dim_customer", batch) for _ in range(2)] == [0, 0]
+    sales = _raw(spark, [_txn("ORD_000001", customer=None), _txn("ORD_000002")]).withColumn("date_id", F.col("order_date"))
+    assert [wh.load_fact(sales, batch_id="b") for _ in range(2)] == [1, 0]
+    assert [r.reason for r in wh.table("fact_rejects").collect()] == ["missing or invalid customer_id"]
+
+
+def test_text_dates_are_rejected_not_raised(spark, wh):
+    good, bad = _txn("ORD_000001"), list(_txn("ORD_000002"))
+    bad[3] = "garbage"
+    sales = _raw(spark, [good, tuple(bad)])
+    assert wh.load_fact(sales) == 1
+    assert wh.load_fact(_raw(spark, [_txn("ORD_000003"), _txn("ORD_000004")]).withColumn(
+        "date_id", F.when(F.col("order_id") == "ORD_000003", F.lit("2025-1-5x")).otherwise(F.col("order_date")))) == 1
+    rejects = wh.table("fact_rejects").collect()
+    assert {r.reason for r in rejects} == {"missing or invalid date_id"} and all("ORD_00000" in r.row for r in rejects)
+    assert wh.star().fact.count() == wh.table("fact_sales").count() == 2
+
+
+def test_empty_warehouse_gives_an_empty_star(spark):
+    w = Warehouse(spark, tempfile.mkdtemp(prefix="wh-"), fact_keys=("order_id",))
+    w.create_tables()
+    star = w.star()
+    assert star.fact.count() == 0 and star.dim_date.count() == 0
 
 
 def test_orphans_and_bad_rows_go_to_rejects(spark, wh):
@@ -123,6 +158,25 @@ def test_streaming_ingest_is_exactly_once(spark, wh):
     q = start_fact_ingest(spark, raw, wh, ckpt)
     q.awaitTermination(120)
     assert sorted(r.order_id for r in wh.table("fact_sales").collect()) == ["ORD_000001", "ORD_000002", "ORD_000004"]
+    assert wh.star().fact.count() == 3          # the days of all lines are known
+    logs = [(r.records_processed, r.error_message) for r in wh.table("pipeline_run_log").orderBy("run_timestamp").collect()]
+    assert logs == [(2, "0 of 2 lines dropped by the cleaner"), (1, "1 of 3 lines dropped by the cleaner")]
+
+
+def test_stream_takes_the_older_batch_first_and_replays_once(spark, wh):
+    raw, ckpt = tempfile.mkdtemp(prefix="raw-"), tempfile.mkdtemp(prefix="ckpt-")
+    files.write_raw_batch(_raw(spark, [_txn("ORD_000001", net="10.00", day="2025-02-05"), _txn("ORD_000005", customer="CUST_9999")]),
+                          raw, "transactions", "20250202_000000")
+    files.write_raw_batch(_raw(spark, [_txn("ORD_000001", net="90.00", day="2025-01-05")]), raw, "transactions", "20250101_000000")
+    start_fact_ingest(spark, raw, wh, ckpt).awaitTermination(120)
+    assert [(r.order_id, r.net_revenue, r.date_id) for r in wh.table("fact_sales").collect()] == [("ORD_000001", Decimal("90.00"), "2025-01-05")]
+    assert wh.star().fact.count() == 1 and wh.table("fact_rejects").count() == 1
+    # the same micro-batch once more, as after a crash before the commit
+    from tillroll.streaming.ingest import raw_transaction_stream, to_sales_lines  # noqa: F401
+    again = files.read_batches(spark, raw, "transactions", files.RAW_TRANSACTIONS)
+    batch_id = wh.table("fact_rejects").first().batch_id
+    assert wh.load_fact(to_sales_lines(again), order=[files.BATCH_COL], batch_id=batch_id) == 0
+    assert wh.table("fact_rejects").count() == 1 and wh.star().fact.count() == wh.table("fact_sales").count() == 1
 
 
 def test_batch_run_end_to_end_twice(spark):
@@ -135,7 +189,9 @@ def test_batch_run_end_to_end_twice(spark):
     distinct_keys = lines.select("l_orderkey", "l_linenumber").distinct().count()
     assert first.fact_rows_added == distinct_keys == wh.table("fact_sales").count()
     assert wh.table("dim_customer").count() == spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
-    assert len(first.exports) == 7 and set(first.kpi_paths) >= {"monthly_kpis", "rfm", "customers"}
+    assert len(first.exports) == 8 and first.rows_dropped == 0 and set(first.kpi_paths) >= {"monthly_kpis", "rfm", "customers"}
+    assert all(spark.read.option("header", True).csv(path).count() > 0 for path in first.exports.values())
+    assert [name[:11] for name in first.exports] == [f"PowerBI_0{i}_" for i in range(1, 9)]
     assert first.insights["best_month"].count() == 3
     second = run_batch(spark, SF_SMALL, root, ts="r2")
     assert second.fact_rows_added == 0
@@ -156,6 +212,37 @@ def test_work_folder_follows_the_session_checkpoint_dir(spark):
     assert work_path(spark, "tables", "t").startswith(root)
 
 
+def test_replaced_input_gives_a_new_star(spark):
+    import os
+    import shutil
+
+    import pyarrow.parquet as pq
+    from conftest import SF_SMALL
+    from tillroll.plans.registry import queries
+    d = tempfile.mkdtemp(prefix="sf-")
+    for t in ("region", "nation", "customer", "orders", "lineitem", "part"):
+        shutil.copy(f"{SF_SMALL}/{t}.parquet", d)
+        os.chmod(f"{d}/{t}.parquet", 0o644)
+    totals = lambda: queries()["fact_totals"](spark, d).first().transactions
+    before = totals()
+    pq.write_table(pq.read_table(f"{SF_SMALL}/lineitem.parquet").slice(0, 100), f"{d}/lineitem.parquet")
+    assert before == 6000 and totals() == 100
+
+
+def test_other_masters_need_a_shared_folder():
+    from types import SimpleNamespace
+    from tillroll.session import ensure_checkpoint_dir
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn", setCheckpointDir=lambda d: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None)))
+
+
+def test_an_order_with_two_customers_is_seen(spark):
+    from tillroll.operators.distinct import one_customer_per_order
+    df = spark.createDataFrame([(1, 7), (1, 7), (2, 7), (2, 8), (3, None)], "order_id long, customer_id long")
+    assert one_customer_per_order(df) == 1
+
+
 def test_cli_list_and_show(spark, capsys):
     from conftest import SF_SMALL
     from tillroll.__main__ import main

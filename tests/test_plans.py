@@ -54,7 +54,15 @@ def test_distributed_order_final_plan_is_a_scan_and_a_broadcast(spark):
     assert "RangePartitioning" not in plan and "Window" not in tree and "Exchange SinglePartition" not in plan
 
 
-def test_small_known_input_uses_plain_windows(spark):
-    df = spark.range(0, 50).selectExpr("id", "id % 7 as x")
-    plan = _plan(global_order(df, [("x", True)], tie=["id"], rows=50))
-    assert "_b" not in plan
+def test_one_exchange_per_order_and_no_sorted_aggregate(spark):
+    df = spark.range(0, 500).selectExpr("id", "id % 7 as x", "id % 3 as p")
+    plan = _plan(global_order(df, [("x", True)], tie=["id"], partition=["p"], buckets=4))
+    tree = plan.split("\n\n\n")[0]
+    # the rows' one exchange, by range, was spent on the written table; its windows read buckets
+    assert "Exchange hashpartitioning" not in plan and "RangePartitioning" not in plan and "SortAggregate" not in tree
+
+
+@pytest.mark.parametrize("key", ["rpt_monthly_growth", "rpt_region_vs_average", "rpt_product_ranking", "rpt_category_share",
+                                 "rpt_quarterly_growth", "rpt_payment_discount", "var_monthly", "kpi_monthly"])
+def test_distinct_counts_do_not_expand_the_rows(spark, key):
+    assert "Expand" not in _plan(registry.queries()[key](spark, SF_SMALL))

@@ -115,19 +115,27 @@ def test_recency_modes(star_small):
     assert pub[oldest.customer_id].recency_score == 5 and cor[oldest.customer_id] == 1
 
 
-@pytest.mark.parametrize("key", ["rpt_product_ranking", "rpt_customer_ltv_rfm", "kpi_rfm_quintile",
-                                 "kpi_products", "var_products"])
-def test_reports_same_on_both_ranking_paths(spark, key):
-    import __spark_entry__ as entry
-    from tillroll.operators.ordering import LOCAL_ROWS_CONF
-    q = entry.queries()[key]
-    local = sorted(map(tuple, q(spark, SF_SMALL).collect()))
-    spark.conf.set(LOCAL_ROWS_CONF, "0")
+@pytest.mark.parametrize("key", ["rpt_product_ranking", "rpt_customer_ltv_rfm", "rpt_customer_ltv_rfm_corrected",
+                                 "kpi_rfm_quintile", "kpi_products", "kpi_customers", "ins_rfm_mix", "var_products"])
+def test_ranking_does_not_depend_on_the_buckets(spark, key):
+    from tillroll.plans import registry
+    q = registry.queries()[key]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    few = sorted(map(tuple, q(spark, SF_SMALL).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
     try:
-        distributed = sorted(map(tuple, q(spark, SF_SMALL).collect()))
+        many = sorted(map(tuple, q(spark, SF_SMALL).collect()))
     finally:
-        spark.conf.unset(LOCAL_ROWS_CONF)
-    assert distributed == local
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert few == many
+
+
+def test_orphan_products_drop_out_of_category_reports(spark):
+    star = make_star(spark, [fact_row(order_id=1, product_id=1, net="100.00"), fact_row(order_id=2, product_id=99, net="70.00")],
+                     products=spark.createDataFrame([(1, "p", "Beauty", 10)], "product_id int, product_name string, category string, unit_price int")
+                     .selectExpr("product_id", "product_name", "category", "cast(unit_price as decimal(18,2)) as unit_price"))
+    total = lambda df: sum(r.total_revenue for r in df.collect())
+    assert total(reports.product_ranking(star)) == total(reports.category_share(star)) == total(variants.categories_slim(star)) == 100.0
 
 
 def test_category_kpi_and_slim_variant_agree(star_small):

@@ -56,6 +56,14 @@ def main(argv=None) -> int:
         print("\n".join(sorted(queries())))
         return 0
     spark = _session(args)
+    try:
+        return _run(spark, args, queries)
+    finally:
+        from .session import drop_work
+        drop_work(spark, "tables")   # what ranking queries wrote while they were built
+
+
+def _run(spark: SparkSession, args, queries) -> int:
     if args.cmd == "show":
         queries()[args.key](spark, args.sf_dir).show(args.n, truncate=False)
     elif args.cmd == "export":
@@ -65,7 +73,7 @@ def main(argv=None) -> int:
     elif args.cmd == "batch":
         from .plans.batch import run_batch
         res = run_batch(spark, args.sf_dir, args.root)
-        print(json.dumps({"fact_rows_added": res.fact_rows_added, "exports": res.exports,
+        print(json.dumps({"fact_rows_added": res.fact_rows_added, "rows_dropped": res.rows_dropped, "exports": res.exports,
                           "kpis": res.kpi_paths, "seconds": res.seconds}, indent=2))
     return 0
 

@@ -1,34 +1,52 @@
 """Insert-or-ignore, set based.
 
-The first row per key wins, "first" meaning the smallest value of an
-explicit arrival-order column list; keys already in the target are left
-alone.  The pick is an aggregate (``min_by``), so a key repeated across a
-third of the batch is reduced map-side before any shuffle instead of being
-gathered into one window task.
+The first row per key wins, "first" meaning the smallest value of the given
+arrival order; keys already in the target are left alone.  The pick reads the
+key and the order columns only: a hash aggregate with partial sums per task
+(so a key repeated across a third of the batch costs one row a task), and one
+join back to the full rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    order = list(order) if order else rest
-    if not rest:
-        return df.select(*keys).distinct()
-    picked = (df.groupBy(*keys)
-              .agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")))
-    return picked.select(*keys, "_first.*").select(*df.columns)
-
-
-def insert_or_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str],
-                     order: Sequence[str] | None = None) -> DataFrame:
+from pyspark.sql import types as T
+
+ARRIVAL = "_arrival"
+
+
+def number_arrivals(df: DataFrame) -> DataFrame:
+    """Add ``_arrival``: rows numbered in the order in which ``df`` holds them
+    (files, then rows).  Number before any shuffle, and write the result
+    before it is read twice."""
+    return df.withColumn(ARRIVAL, F.monotonically_increasing_id())
+
+
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The row of each key that is smallest in ``order``: an arrival number
+    (see :func:`number_arrivals`), or columns before it such as a batch stamp.
+    An order without an arrival number may leave ties, of which one stays."""
+    keys, order = list(keys), list(order)
+    if not order:
+        raise ValueError("first_per_key needs the order of arrival")
+    if len(order) == 1 and isinstance(df.schema[order[0]].dataType, T.NumericType):
+        firsts = df.groupBy(*keys).agg(F.min(order[0]).alias("_o0"))
+    else:
+        firsts = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_o")).select(
+            *keys, *[F.col(f"_o.{c}").alias(f"_o{i}") for i, c in enumerate(order)])
+    firsts = firsts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[f"_o{i}" for i in range(len(order))])
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    same += [F.col(c).eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(order)]
+    picked = df.join(firsts, reduce(lambda a, b: a & b, same), "left_semi")
+    return picked if ARRIVAL in order else picked.dropDuplicates(keys)
+
+
+def insert_or_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Rows of ``batch`` to append to ``target``: first per key, minus keys
     the target already holds."""
-    firsts = first_per_key(batch, keys, order)
-    return firsts.join(target.select(*keys), list(keys), "left_anti")
+    new = batch.join(target.select(*keys), list(keys), "left_anti")
+    return first_per_key(new, keys, order)

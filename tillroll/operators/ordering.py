@@ -3,21 +3,23 @@
 ``RANK() OVER (ORDER BY x)`` with no ``PARTITION BY`` (or partitioned by a
 handful of regions) makes Spark move every row into one task.  For millions
 of customers or products that task is the job.  :func:`global_order`
-computes the same numbers distributed:
+computes the same numbers distributed, with one plan for every size:
 
 1. ``repartitionByRange`` on the full sort key *including a unique tie
    column*, so bucket ``b`` holds a contiguous slice of the global order and
-   even a key shared by a third of all rows is cut into many buckets;
-2. per bucket, one sort gives local positions, group starts (lag flags),
-   local dense indexes and running sums (running frames); a second,
-   reverse-order pass adds group ends only when they are needed.  The
-   ordered rows are written once;
-3. a per-bucket summary (one row per bucket, so its size is bounded by the
-   bucket count we choose) yields offsets -- rows, sums and distinct keys
-   before each bucket -- plus the true start/end of the key groups that cross
-   a bucket edge.  It is written once as well;
-4. the summary is broadcast back and each row's global value is its local
-   value plus the offset.
+   even a key shared by a third of all rows is cut into many buckets.  One
+   sort per bucket; ``monotonically_increasing_id`` then carries the bucket
+   (high bits) and the row's place in it (low bits).  Only the columns that
+   the order needs are moved.  The rows are written once, bucketed by ``b``;
+2. windows over ``b`` read that table without a shuffle: group starts from the
+   previous row, running sums, and group ends (only when needed) from a
+   window in the reverse order;
+3. the first and the last row of each bucket give the offsets: rows, sums and
+   distinct keys before a bucket, and the true start and end of the key groups
+   that cross a bucket edge.  No aggregate over the rows is needed, only
+   windows over these few rows (:func:`bucket_count` chooses how many);
+4. they are broadcast back, and each row's global value is its local value
+   plus the offset.
 
 Output columns (all within the optional ``partition`` columns, which are
 handled as a leading sort key so few large partitions are also split):
@@ -36,23 +38,17 @@ these.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from ..session import shuffle_partitions, unique_name, work_path
+from ..session import register_table, shuffle_partitions, unique_name, work_path
 
 Order = Sequence[tuple[str, bool]]  # (column, ascending)
 
-LOCAL_ROWS_CONF = "spark.tillroll.ranking.localRows"
-DEFAULT_LOCAL_ROWS = 250_000   # measured crossover on local[8]: the bucketed path wins from ~300k rows
-BUCKET_ROWS = 2_000_000   # target rows per bucket when the input size is known
-
-
-def local_rows_limit(spark) -> int:
-    """Inputs with at most this many rows are ranked with plain windows; the
-    limit bounds what one task sorts, so it does not grow with the data."""
-    return int(spark.conf.get(LOCAL_ROWS_CONF, str(DEFAULT_LOCAL_ROWS)))
+BUCKET_ROWS = 2_000_000   # target rows per bucket
+_PLACE_BITS = 33          # of monotonically_increasing_id: the row's place in its partition
 
 
 def materialize(df: DataFrame, label: str = "table") -> tuple[DataFrame, int]:
@@ -63,15 +59,14 @@ def materialize(df: DataFrame, label: str = "table") -> tuple[DataFrame, int]:
     path = work_path(spark, "tables", unique_name(label))
     obs = Observation(unique_name("rows"))
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path), int(obs.get["rows"])
-
-BROADCAST_ROWS = 100_000
+    return spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])
 
 
-def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a side whose exact row count is known and small; above the
-    limit leave the join to Spark (shuffle join)."""
-    return F.broadcast(df) if rows <= limit else df
+def bucket_count(spark, rows: int | None) -> int:
+    """As many buckets as shuffle partitions, and more when ``rows`` (if the
+    caller knows them) would put over BUCKET_ROWS in one."""
+    nb = shuffle_partitions(spark)
+    return nb if rows is None else max(nb, -(-rows // BUCKET_ROWS))
 
 
 _P0 = "_part0"
@@ -81,6 +76,21 @@ def _sorted(col: str, asc: bool) -> Column:
     return F.col(col).asc() if asc else F.col(col).desc()
 
 
+def ordered_table(df: DataFrame, sort: Sequence[Column], buckets: int) -> DataFrame:
+    """``df`` in buckets of the global order, written bucketed by ``_b`` with
+    each row's place ``_l`` (from 1) in its bucket."""
+    spark = df.sparkSession
+    name = unique_name("ordered").replace("-", "_")
+    m = F.col("_m")
+    rows = (df.repartitionByRange(buckets, *sort).sortWithinPartitions(*sort)
+            .withColumn("_m", F.monotonically_increasing_id())
+            .withColumns({"_b": F.shiftright(m, _PLACE_BITS).cast("int"),
+                          "_l": m.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)) + 1}).drop("_m"))
+    rows.write.bucketBy(buckets, "_b").option("path", work_path(spark, "tables", name)).saveAsTable(name)
+    register_table(spark, name)
+    return spark.table(name)
+
+
 def global_order(df: DataFrame, order: Order, tie: Sequence[str] = (),
                  partition: Sequence[str] = (), sums: Sequence[str] = (),
                  buckets: int | None = None, rows: int | None = None,
@@ -88,38 +98,22 @@ def global_order(df: DataFrame, order: Order, tie: Sequence[str] = (),
     """Add ``_pos, _rank, _dense``, ``_cum_<c>`` and -- with ``need_ends``
     (tiles, percent rank, counts, average rank) -- ``_rank_last, _n``.
 
-    ``rows`` is an upper bound on the input's row count when the caller knows
-    one (see :func:`materialize`); at or below :func:`local_rows_limit` plain
-    windows are used, otherwise -- and whenever the size is unknown -- the
-    distributed bucketed computation."""
-    spark = df.sparkSession
-    if rows is not None and rows <= local_rows_limit(spark):
-        return _local_order(df, order, tie, partition, sums)
-    nb = int(buckets or shuffle_partitions(spark))
-    if rows is not None and not buckets:
-        # keep each bucket's sort near BUCKET_ROWS as the data grows; the
-        # summary then has rows / BUCKET_ROWS entries (7,500 for 15e9 rows)
-        nb = max(nb, -(-rows // BUCKET_ROWS))
+    Pass only the columns that the order needs (:func:`ranked` does) and,
+    if known, the number of ``rows``."""
+    nb = int(buckets or bucket_count(df.sparkSession, rows))
     part = list(partition)
+    columns = df.columns
     if not part:
         df = df.withColumn(_P0, F.lit(0))
         part = [_P0]
     keys = [c for c, _ in order]
-    p_sort = [F.col(c).asc() for c in part]
-    k_sort = [_sorted(c, a) for c, a in order]
-    t_sort = [F.col(c).asc() for c in tie]
-    full_sort = p_sort + k_sort + t_sort
+    full_sort = ([F.col(c).asc() for c in part] + [_sorted(c, a) for c, a in order] + [F.col(c).asc() for c in tie])
 
     p_key = F.struct(*[F.col(c) for c in part])
     pk_key = F.struct(*[F.col(c) for c in part + keys])
-    w_b = Window.partitionBy("_b").orderBy(*full_sort)
+    w_b = Window.partitionBy("_b").orderBy("_l")
     run = w_b.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    # One sort per bucket.  Group starts, the dense index and running sums
-    # come from the previous row (lag) and running frames in that order.
-    loc = (df.repartitionByRange(nb, *full_sort)
-           .withColumn("_b", F.spark_partition_id())
-           .withColumn("_l", F.row_number().over(w_b)))
+    loc = ordered_table(df, full_sort, nb)
     prev_p, prev_pk = F.lag(p_key).over(w_b), F.lag(pk_key).over(w_b)
     loc = loc.withColumns({"_np": prev_p.isNull() | ~p_key.eqNullSafe(prev_p),
                            "_npk": prev_pk.isNull() | ~pk_key.eqNullSafe(prev_pk)})
@@ -128,6 +122,7 @@ def global_order(df: DataFrame, order: Order, tie: Sequence[str] = (),
         "_lp_first": F.max(F.when(F.col("_np"), F.col("_l"))).over(run),
         "_lpk_first": F.max(F.when(F.col("_npk"), F.col("_l"))).over(run),
         "_lp_dfirst": F.max(F.when(F.col("_np"), F.col("_ld"))).over(run),
+        "_end": F.lead("_l").over(w_b).isNull(),
         **{f"_lcum_{c}": F.sum(c).over(run) for c in sums},
     })
     for c in sums:
@@ -135,138 +130,122 @@ def global_order(df: DataFrame, order: Order, tie: Sequence[str] = (),
         loc = loc.withColumn(f"_lcb_{c}", F.last(F.when(F.col("_np"), F.col(f"_lcum_{c}") - F.col(c)),
                                                   ignorenulls=True).over(run))
     if need_ends:
-        # group ends need one look ahead: a second pass in the reverse order
-        # (directions flipped, so nulls mirror too), where a running minimum
-        # of group-end positions is the end of the current group
-        rev = ([F.col(c).desc() for c in part] + [_sorted(c, not a) for c, a in order]
-               + [F.col(c).desc() for c in tie])
-        w_r = Window.partitionBy("_b").orderBy(*rev)
+        # group ends need one look ahead: a window in the reverse order,
+        # where a running minimum of group-end positions is the end of the
+        # current group
+        w_r = Window.partitionBy("_b").orderBy(F.col("_l").desc())
         run_r = w_r.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         next_p, next_pk = F.lag(p_key).over(w_r), F.lag(pk_key).over(w_r)
         loc = loc.withColumns({"_ep": next_p.isNull() | ~p_key.eqNullSafe(next_p),
                                "_epk": next_pk.isNull() | ~pk_key.eqNullSafe(next_pk)})
         loc = loc.withColumns({"_lp_last": F.min(F.when(F.col("_ep"), F.col("_l"))).over(run_r),
                                "_lpk_last": F.min(F.when(F.col("_epk"), F.col("_l"))).over(run_r)})
-    # The range partitioner samples its input with a seed tied to the RDD, so
-    # two evaluations could cut different buckets: the ordered rows are
-    # written once (shared checkpoint folder) and both the per-bucket summary
-    # and the final rows read that copy.
-    loc, _ = materialize(loc.drop("_np", "_npk", "_ep", "_epk"), "ordered")
-
-    stats = loc.groupBy("_b").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max("_ld").alias("dcount"),
-        F.min_by(p_key, "_l").alias("fp"), F.max_by(p_key, "_l").alias("lp"),
-        F.min_by(pk_key, "_l").alias("fpk"), F.max_by(pk_key, "_l").alias("lpk"),
-        F.max_by("_lp_first", "_l").alias("lp_first"), F.max_by("_lpk_first", "_l").alias("lpk_first"),
-        F.max_by("_lp_dfirst", "_l").alias("lp_dfirst"),
-        *([F.min_by("_lp_last", "_l").alias("fp_last"), F.min_by("_lpk_last", "_l").alias("fpk_last")]
-          if need_ends else []),
-        *[F.sum(c).alias(f"s_{c}") for c in sums],
-        *[F.max_by(f"_lcb_{c}", "_l").alias(f"lcb_{c}") for c in sums],
-    )
-    # The summary has one row per bucket: a window without PARTITION BY over
-    # it is a single small task whose size we chose (``nb``).
+    loc = loc.drop("_np", "_npk", "_ep", "_epk")
+
+    # The first and the last row of each bucket, side by side: two rows a
+    # bucket, so windows without PARTITION BY over them are small single tasks
+    # whose size we chose (``nb``).  Written once; all tables below read it.
+    edge_columns = [p_key.alias("p"), pk_key.alias("pk"), "_b", "_l", "_ld", "_lp_first", "_lpk_first", "_lp_dfirst",
+                    *(["_lp_last", "_lpk_last"] if need_ends else []),
+                    *[f"_lcum_{c}" for c in sums], *[f"_lcb_{c}" for c in sums]]
+    edges, _ = materialize(loc.where((F.col("_l") == 1) | F.col("_end")).select(*edge_columns, "_end"), "bucket_edges")
+    w_e = Window.orderBy("_b", "_l")
+    first = F.lag("_b").over(w_e)
+    is_first = first.isNull() | (first != F.col("_b"))
+    # a bucket of one row is its own first and last row
+    spread = edges.withColumns({"f": is_first, "lag_p": F.lag("p").over(w_e), "lag_pk": F.lag("pk").over(w_e)})
+    if need_ends:
+        spread = spread.withColumns({"lag_p_last": F.lag("_lp_last").over(w_e), "lag_pk_last": F.lag("_lpk_last").over(w_e)})
+    stats = spread.where("_end").select(
+        "_b", F.col("_l").alias("n"), F.col("_ld").alias("dcount"),
+        F.when(F.col("f"), F.col("p")).otherwise(F.col("lag_p")).alias("fp"), F.col("p").alias("lp"),
+        F.when(F.col("f"), F.col("pk")).otherwise(F.col("lag_pk")).alias("fpk"), F.col("pk").alias("lpk"),
+        F.col("_lp_first").alias("lp_first"), F.col("_lpk_first").alias("lpk_first"), F.col("_lp_dfirst").alias("lp_dfirst"),
+        *([F.when(F.col("f"), F.col("_lp_last")).otherwise(F.col("lag_p_last")).alias("fp_last"),
+           F.when(F.col("f"), F.col("_lpk_last")).otherwise(F.col("lag_pk_last")).alias("fpk_last")] if need_ends else []),
+        *[F.col(f"_lcum_{c}").alias(f"s_{c}") for c in sums], *[F.col(f"_lcb_{c}").alias(f"lcb_{c}") for c in sums])
     w_s = Window.orderBy("_b")
     before = w_s.rowsBetween(Window.unboundedPreceding, -1)
-    shared = F.coalesce(F.col("fpk").eqNullSafe(F.lag("lpk").over(w_s)).cast("long"), F.lit(0))
-    stats = (stats.withColumn("shared", shared)
-             .withColumn("off", F.coalesce(F.sum("n").over(before), F.lit(0)))
-             .withColumn("ddoff", F.coalesce(F.sum(F.col("dcount") - F.col("shared")).over(before), F.lit(0))
-                         - F.col("shared")))
+    zero = F.lit(0).cast("long")
+    shared = F.coalesce(F.col("fpk").eqNullSafe(F.lag("lpk").over(w_s)) & F.lag("_b").over(w_s).isNotNull(), F.lit(False))
+    stats = (stats.withColumn("shared", shared.cast("long"))
+             .withColumn("off", F.coalesce(F.sum("n").over(before), zero))
+             .withColumn("ddoff", F.coalesce(F.sum(F.col("dcount") - F.col("shared")).over(before), zero) - F.col("shared")))
     for c in sums:
         stats = stats.withColumn(f"soff_{c}", F.coalesce(F.sum(f"s_{c}").over(before), F.lit(0)))
-    # Written once: the boundary tables below all derive from this summary,
-    # and each would otherwise re-aggregate the whole ordered table.
-    stats, _ = materialize(stats, "bucket_summary")
-
-    # Where each key group crossing a bucket edge really starts / ends.
-    start_p = (stats.select(F.col("fp").alias("k"), "_b", (F.col("off") + 1).alias("pos"),
-                            (F.col("ddoff") + 1).alias("dfirst"),
-                            *[F.col(f"soff_{c}").alias(f"cb_{c}") for c in sums])
-               .unionByName(stats.select(F.col("lp").alias("k"), "_b",
-                                         (F.col("off") + F.col("lp_first")).alias("pos"),
-                                         (F.col("ddoff") + F.col("lp_dfirst")).alias("dfirst"),
-                                         *[(F.col(f"soff_{c}") + F.col(f"lcb_{c}")).alias(f"cb_{c}")
-                                           for c in sums]))
-               .groupBy("k").agg(F.min_by(F.struct("pos", "dfirst", *[f"cb_{c}" for c in sums]), "_b").alias("v"))
-               .select(F.col("k").alias("fp"), F.col("v.pos").alias("fp_gstart"),
-                       F.col("v.dfirst").alias("fp_dfirst"),
-                       *[F.col(f"v.cb_{c}").alias(f"fp_cb_{c}") for c in sums]))
-    start_pk = (stats.select(F.col("fpk").alias("k"), (F.col("off") + 1).alias("pos"))
-                .unionByName(stats.select(F.col("lpk").alias("k"), (F.col("off") + F.col("lpk_first")).alias("pos")))
-                .groupBy("k").agg(F.min("pos").alias("fpk_gstart"))
-                .withColumnRenamed("k", "fpk"))
-    per_bucket = (stats.select("_b", "off", "ddoff", "fp", "lp", "fpk", "lpk",
-                               *[f"soff_{c}" for c in sums])
-                  .join(start_p, "fp").join(start_pk, "fpk"))
+
+    # Where each key group crossing a bucket edge really starts / ends: the
+    # last group of an earlier bucket, carried along the buckets it fills.
+    def carried(same: Column, value: Column) -> Column:
+        """``value`` where a group starts; the group's start in later buckets."""
+        return F.last(F.when(~same, value), ignorenulls=True).over(w_s.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    prev = {c: F.lag(c).over(w_s) for c in ("lp", "lpk", "fp", "fpk")}
+    have = F.lag("_b").over(w_s).isNotNull()
+    stats = stats.withColumns({
+        "same_p": have & F.col("fp").eqNullSafe(prev["lp"]), "same_pk": have & F.col("fpk").eqNullSafe(prev["lpk"]),
+        "whole_p": F.col("fp").eqNullSafe(F.col("lp")), "whole_pk": F.col("fpk").eqNullSafe(F.col("lpk"))})
+    # start of the bucket's last group, as this bucket sees it
+    stats = stats.withColumns({
+        "own_p": F.struct((F.col("off") + F.col("lp_first")).alias("pos"), (F.col("ddoff") + F.col("lp_dfirst")).alias("dfirst"),
+                          *[(F.col(f"soff_{c}") + F.col(f"lcb_{c}")).alias(f"cb_{c}") for c in sums]),
+        "own_pk": F.col("off") + F.col("lpk_first")})
+    stats = stats.withColumns({"last_p": carried(F.col("same_p") & F.col("whole_p"), F.col("own_p")),
+                               "last_pk": carried(F.col("same_pk") & F.col("whole_pk"), F.col("own_pk"))})
+    head_p = F.struct((F.col("off") + 1).alias("pos"), (F.col("ddoff") + 1).alias("dfirst"),
+                      *[F.col(f"soff_{c}").alias(f"cb_{c}") for c in sums])
+    stats = stats.withColumns({"first_p": F.when(F.col("same_p"), F.lag("last_p").over(w_s)).otherwise(head_p),
+                               "fpk_gstart": F.when(F.col("same_pk"), F.lag("last_pk").over(w_s)).otherwise(F.col("off") + 1)})
     end_cols = []
     if need_ends:
-        end_p = (stats.select(F.col("fp").alias("k"), (F.col("off") + F.col("fp_last")).alias("pos"))
-                 .unionByName(stats.select(F.col("lp").alias("k"), (F.col("off") + F.col("n")).alias("pos")))
-                 .groupBy("k").agg(F.max("pos").alias("lp_gend"))
-                 .withColumnRenamed("k", "lp"))
-        end_pk = (stats.select(F.col("fpk").alias("k"), (F.col("off") + F.col("fpk_last")).alias("pos"))
-                  .unionByName(stats.select(F.col("lpk").alias("k"), (F.col("off") + F.col("n")).alias("pos")))
-                  .groupBy("k").agg(F.max("pos").alias("lpk_gend"))
-                  .withColumnRenamed("k", "lpk"))
-        per_bucket = per_bucket.join(end_p, "lp").join(end_pk, "lpk")
+        w_back = Window.orderBy(F.col("_b").desc())
+        run_back = w_back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+        def ends(first_key: str, last_key: str, first_last: str) -> Column:
+            """Last position of the bucket's last group."""
+            follows = F.lag("_b").over(w_back).isNotNull() & F.col(last_key).eqNullSafe(F.lag(first_key).over(w_back))
+            whole = F.lag(first_key).over(w_back).eqNullSafe(F.lag(last_key).over(w_back))
+            here = F.when(~follows, F.col("off") + F.col("n")).when(
+                ~whole, F.lag(F.col("off") + F.col(first_last)).over(w_back))
+            return here
+
+        stats = stats.withColumns({"end_p": ends("fp", "lp", "fp_last"), "end_pk": ends("fpk", "lpk", "fpk_last")})
+        stats = stats.withColumns({"lp_gend": F.last("end_p", ignorenulls=True).over(run_back),
+                                   "lpk_gend": F.last("end_pk", ignorenulls=True).over(run_back)})
         end_cols = ["lp_gend", "lpk_gend"]
-    per_bucket = per_bucket.select(
-        "_b", "off", "ddoff", F.col("fp").alias("_fp"), F.col("lp").alias("_lp"),
-        F.col("fpk").alias("_fpk"), F.col("lpk").alias("_lpk"), "fp_gstart", "fp_dfirst", "fpk_gstart",
-        *end_cols, *[f"soff_{c}" for c in sums], *[f"fp_cb_{c}" for c in sums])
+    per_bucket = stats.select(
+        F.col("_b").alias("_bucket"), "off", "ddoff", F.col("fp").alias("_fp"), F.col("lp").alias("_lp"),
+        F.col("fpk").alias("_fpk"), F.col("lpk").alias("_lpk"), F.col("first_p.pos").alias("fp_gstart"),
+        F.col("first_p.dfirst").alias("fp_dfirst"), "fpk_gstart", *end_cols, *[f"soff_{c}" for c in sums],
+        *[F.col(f"first_p.cb_{c}").alias(f"fp_cb_{c}") for c in sums])
 
     # per_bucket has at most ``nb`` rows: a proven bound, so broadcasting it
     # never ships data-sized state.
-    j = loc.join(F.broadcast(per_bucket), "_b")
+    j = loc.join(F.broadcast(per_bucket), F.col("_b") == F.col("_bucket"))
     in_fp = p_key.eqNullSafe(F.col("_fp"))
     in_fpk = pk_key.eqNullSafe(F.col("_fpk"))
     off = F.col("off")
     gstart_p = F.when(in_fp, F.col("fp_gstart")).otherwise(off + F.col("_lp_first"))
     gstart_pk = F.when(in_fpk, F.col("fpk_gstart")).otherwise(off + F.col("_lpk_first"))
     dfirst_p = F.when(in_fp, F.col("fp_dfirst")).otherwise(F.col("ddoff") + F.col("_lp_dfirst"))
-    ends = []
+    last = []
     if need_ends:
         gend_p = F.when(p_key.eqNullSafe(F.col("_lp")), F.col("lp_gend")).otherwise(off + F.col("_lp_last"))
         gend_pk = F.when(pk_key.eqNullSafe(F.col("_lpk")), F.col("lpk_gend")).otherwise(off + F.col("_lpk_last"))
-        ends = [(gend_pk - gstart_p + 1).cast("long").alias("_rank_last"),
+        last = [(gend_pk - gstart_p + 1).cast("long").alias("_rank_last"),
                 (gend_p - gstart_p + 1).cast("long").alias("_n")]
     return j.select(
-        *[F.col(c) for c in df.columns if c != _P0],
+        *columns,
         (off + F.col("_l") - gstart_p + 1).cast("long").alias("_pos"),
         (gstart_pk - gstart_p + 1).cast("long").alias("_rank"),
         (F.col("ddoff") + F.col("_ld") - dfirst_p + 1).cast("long").alias("_dense"),
-        *ends,
+        *last,
         *[((F.col(f"soff_{c}") + F.col(f"_lcum_{c}"))
            - F.when(in_fp, F.col(f"fp_cb_{c}")).otherwise(F.col(f"soff_{c}") + F.col(f"_lcb_{c}"))
            ).alias(f"_cum_{c}") for c in sums],
     )
 
 
-def _local_order(df: DataFrame, order: Order, tie: Sequence[str], partition: Sequence[str],
-                 sums: Sequence[str]) -> DataFrame:
-    """The same columns from plain windows, for inputs of bounded size."""
-    part = list(partition)
-    keys = [c for c, _ in order]
-    k_sort = [_sorted(c, a) for c, a in order]
-    full = k_sort + [F.col(c).asc() for c in tie]
-    w_all = Window.partitionBy(*part)
-    w_keys = Window.partitionBy(*part).orderBy(*k_sort)
-    w_full = Window.partitionBy(*part).orderBy(*full)
-    rank = F.rank().over(w_keys)
-    return df.select(
-        "*",
-        F.row_number().over(w_full).cast("long").alias("_pos"),
-        rank.cast("long").alias("_rank"),
-        (rank + F.count(F.lit(1)).over(Window.partitionBy(*part, *keys)) - 1).cast("long").alias("_rank_last"),
-        F.dense_rank().over(w_keys).cast("long").alias("_dense"),
-        F.count(F.lit(1)).over(w_all).cast("long").alias("_n"),
-        *[F.sum(c).over(w_full.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(f"_cum_{c}")
-          for c in sums],
-    )
-
-
 def ntile(n: int, pos: str = "_pos", count: str = "_n") -> Column:
     """NTILE(n) from a 1-based row position and the partition size: the
     first ``count % n`` tiles hold one row more."""
@@ -291,35 +270,50 @@ def average_rank_int(rank: str = "_rank", last: str = "_rank_last") -> Column:
     return F.floor((F.col(rank) + F.col(last)) / 2).cast("long")
 
 
+def _output(what: str) -> Column:
+    if what.startswith("ntile"):
+        return ntile(int(what[5:]))
+    if what.startswith("cum_"):
+        return F.col(f"_{what}")
+    found = {"rank": lambda: F.col("_rank"), "dense_rank": lambda: F.col("_dense"), "row_number": lambda: F.col("_pos"),
+             "percent_rank": percent_rank, "average_rank": average_rank_int, "count": lambda: F.col("_n"),
+             "rank_desc": lambda: F.col("_n") - F.col("_rank_last") + 1}.get(what)
+    if found is None:
+        raise ValueError(f"unknown ranking output {what!r}")
+    return found()
+
+
+def _needs_ends(what: str) -> bool:
+    return what in ("percent_rank", "average_rank", "count", "rank_desc") or what.startswith("ntile")
+
+
 def ranked(df: DataFrame, order: Order, tie: Sequence[str] = (), partition: Sequence[str] = (),
            outputs: dict[str, str] | None = None, sums: Sequence[str] = (),
            buckets: int | None = None, rows: int | None = None) -> DataFrame:
-    """Convenience wrapper: ``outputs`` maps a new column name to one of
-    ``rank, dense_rank, row_number, percent_rank, average_rank, count,
-    ntile<N>`` or ``cum_<c>``."""
-    ends = any(w in ("percent_rank", "average_rank", "count") or w.startswith("ntile")
-               for w in (outputs or {}).values())
-    out = global_order(df, order, tie=tie, partition=partition, sums=sums, buckets=buckets, rows=rows,
-                       need_ends=ends)
-    cols = {}
-    for name, what in (outputs or {}).items():
-        if what == "rank":
-            cols[name] = F.col("_rank")
-        elif what == "dense_rank":
-            cols[name] = F.col("_dense")
-        elif what == "row_number":
-            cols[name] = F.col("_pos")
-        elif what == "percent_rank":
-            cols[name] = percent_rank()
-        elif what == "average_rank":
-            cols[name] = average_rank_int()
-        elif what == "count":
-            cols[name] = F.col("_n")
-        elif what.startswith("ntile"):
-            cols[name] = ntile(int(what[5:]))
-        elif what.startswith("cum_"):
-            cols[name] = F.col(f"_{what}")
-        else:
-            raise ValueError(f"unknown ranking output {what!r}")
-    helper = ["_pos", "_rank", "_rank_last", "_dense", "_n", *[f"_cum_{c}" for c in sums]]
-    return out.withColumns(cols).drop(*helper)
+    """``df`` with one more column for each of ``outputs``, which maps its
+    name to one of ``rank, dense_rank, row_number, percent_rank,
+    average_rank, count, rank_desc, ntile<N>`` or ``cum_<c>``.  ``tie`` is
+    the rows' unique key."""
+    return ranked_by(df, tie, [dict(order=order, partition=partition, outputs=outputs or {}, sums=sums)], buckets, rows)
+
+
+def ranked_by(df: DataFrame, tie: Sequence[str], orders: Sequence[dict], buckets: int | None = None,
+              rows: int | None = None) -> DataFrame:
+    """Several orders of one table (see :func:`ranked`).  Each moves only its
+    own columns and the key; the results meet the rows by key, once.  ``df``
+    is read once per order, so pass a written table.  The orders are independent
+    jobs and are submitted together."""
+    tie = list(tie)
+
+    def one(spec: dict) -> DataFrame:
+        outputs, part, sums = spec["outputs"], list(spec.get("partition", ())), list(spec.get("sums", ()))
+        narrow = list(dict.fromkeys([*tie, *part, *[c for c, _ in spec["order"]], *sums]))
+        out = global_order(df.select(*narrow), spec["order"], tie=tie, partition=part, sums=sums, buckets=buckets,
+                           rows=rows, need_ends=any(map(_needs_ends, outputs.values())))
+        return out.select(*tie, *[_output(what).alias(name) for name, what in outputs.items()])
+
+    with ThreadPoolExecutor(max_workers=max(1, len(orders))) as pool:
+        found = list(pool.map(one, orders))
+    for f in found:
+        df = df.join(f, tie)
+    return df

@@ -12,7 +12,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.files import export_for_bi, save_all
+from ..operators.clean import clean_transactions, new_clean_counts
+from ..sources.files import REPORT_EXPORTS, export_for_bi, save_all
 from . import insights, kpis, reports
 from .star import load_star
 from .warehouse import Warehouse
@@ -23,6 +24,7 @@ class BatchResult:
     kpi_paths: dict[str, str]
     fact_rows_added: int
     exports: dict[str, str]
+    rows_dropped: int
     insights: dict[str, DataFrame] = field(default_factory=dict)
     seconds: dict[str, float] = field(default_factory=dict)
 
@@ -46,7 +48,8 @@ def run_batch(spark: SparkSession, sf_dir: str, root: str, ts: str | None = None
 
     t = time.time()
     wh = Warehouse(spark, f"{root}/warehouse")
-    added = wh.run_load(sales=dfs["transactions"], customers=star.dim_customer, products=star.dim_product,
+    counts = new_clean_counts()   # P6: filled in by the load's own pass
+    added = wh.run_load(sales=clean_transactions(star.fact, counts), customers=star.dim_customer, products=star.dim_product,
                         monthly=dfs["monthly_kpis"], regional=dfs["regional"])
     secs["load"] = time.time() - t
 
@@ -61,7 +64,7 @@ def run_batch(spark: SparkSession, sf_dir: str, root: str, ts: str | None = None
         "payment": reports.payment_discount(star),
         "top_customers": reports.top_customers(star),
     }
-    exports = export_for_bi(results, f"{root}/outputs", ts)
+    exports = export_for_bi(results, f"{root}/outputs", ts, REPORT_EXPORTS)
     found = {
         "best_month": insights.best_month(results["monthly_growth"]),
         "region_flags": insights.region_flags(results["regional"]),
@@ -72,4 +75,4 @@ def run_batch(spark: SparkSession, sf_dir: str, root: str, ts: str | None = None
         "rfm_mix": insights.rfm_mix(results["customer_ltv"]),
     }
     secs["report"] = time.time() - t
-    return BatchResult(kpi_paths, added, exports, found, {k: round(v, 2) for k, v in secs.items()})
+    return BatchResult(kpi_paths, added, exports, counts.dropped(), found, {k: round(v, 2) for k, v in secs.items()})

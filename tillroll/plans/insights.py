@@ -47,9 +47,9 @@ def region_flags(regional: DataFrame) -> DataFrame:
     return regional.select(*_row("region_flag", F.col("region"), F.col("vs_avg_pct"), label))
 
 
-def underperformers(regional_kpis: DataFrame) -> DataFrame:
-    """Regions more than 5% below the average."""
-    return (regional_kpis.where(F.col("vs_avg_pct") < -5)
+def underperformers(regional_kpis: DataFrame, below: float = -5) -> DataFrame:
+    """Regions more than 5% below the average (or under ``below`` %)."""
+    return (regional_kpis.where(F.col("vs_avg_pct") < below)
             .select(*_row("underperforming_region", F.col("region"), F.col("vs_avg_pct"),
                           F.col("performance"))))
 

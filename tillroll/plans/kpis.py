@@ -19,6 +19,7 @@ from ..functions import labels
 from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct, ratio, rnd, whole, whole_mean,
                                  with_totals)
 from ..operators.clean import clean_transactions
+from ..operators.distinct import per_order_customer
 from ..operators.ordering import materialize, ranked
 from ..operators.quantiles import apply_quintile, quintile_edges
 from .reports import ROWS_TO_HERE
@@ -35,10 +36,8 @@ def _keys_present(df: DataFrame, keys) -> DataFrame:
 
 def monthly_kpis(sales: DataFrame) -> DataFrame:
     keys = ["year", "month", "month_name", "quarter"]
-    m = _keys_present(sales, keys).groupBy(*keys).agg(
-        F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
-        F.countDistinct("order_id").alias("orders"), F.sum("quantity").alias("units"),
-        F.sum("is_returned").alias("returns"), F.countDistinct("customer_id").alias("custs"))
+    m = per_order_customer(_keys_present(sales, keys), keys, {
+        "rev": "net_revenue", "prof": "profit", "units": "quantity", "returns": "is_returned"})
     w = Window.orderBy("year", "month")  # months: bounded by the calendar
     m = (m.withColumn("prev", F.lag("rev").over(w))
          .withColumn("ytd", F.sum("rev").over(w.rowsBetween(*ROWS_TO_HERE))))
@@ -57,10 +56,8 @@ def monthly_kpis(sales: DataFrame) -> DataFrame:
 
 
 def regional_kpis(sales: DataFrame) -> DataFrame:
-    r = _keys_present(sales, ["region"]).groupBy("region").agg(
-        F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
-        F.countDistinct("order_id").alias("orders"), F.countDistinct("customer_id").alias("custs"),
-        mean("net_revenue").alias("avg_net"), F.sum("is_returned").alias("returns"))
+    r = per_order_customer(_keys_present(sales, ["region"]), ["region"], {
+        "rev": "net_revenue", "prof": "profit", "returns": "is_returned"}, {"avg_net": "net_revenue"})
     x = r.withColumn("avg_rev", whole_mean("rev"))
     vs_avg = rnd(F.try_divide(dbl("rev") - F.col("avg_rev"), F.col("avg_rev")) * F.lit(100.0))
     return x.select(
@@ -92,10 +89,8 @@ def product_kpis(sales: DataFrame, buckets: int | None = None) -> DataFrame:
 
 
 def category_kpis(sales: DataFrame) -> DataFrame:
-    c = _keys_present(sales, ["category"]).groupBy("category").agg(
-        F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
-        F.countDistinct("order_id").alias("orders"), F.sum("quantity").alias("units"),
-        F.countDistinct("customer_id").alias("custs"), mean("net_revenue").alias("avg_net"))
+    c = per_order_customer(_keys_present(sales, ["category"]), ["category"], {
+        "rev": "net_revenue", "prof": "profit", "units": "quantity"}, {"avg_net": "net_revenue"})
     return c.withColumn("all_rev", whole(F.sum, "rev")).select(
         "category", money_out("rev").alias("total_revenue"), money_out("prof").alias("total_profit"),
         long_out("orders").alias("total_orders"), long_out("units").alias("total_units"),

@@ -1,8 +1,11 @@
 """Query keys -> callables ``(spark, sf_dir) -> DataFrame``.
 
-Each callable reads the driver tables under ``sf_dir`` (through the star
-materialised once per session) and returns a lazy DataFrame whose columns
-match the oracle SQL of the same key.
+Each callable reads the driver tables under ``sf_dir`` (through the star,
+materialised once per state of its input files) and returns a DataFrame whose
+columns match the oracle SQL of the same key.  The returned plan is lazy, but
+queries that rank or score (R3, R5, R8, V3, K3, K5, K6 and the ``rank_*``,
+``ntile_*`` and ``running_*`` keys) write intermediate tables while it is
+built.
 """
 
 from __future__ import annotations
@@ -13,11 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import long_out, money_out
-from ..operators.clean import clean_transactions
-from ..operators.dedupe import insert_or_ignore
-from ..operators.ordering import ranked
+from ..operators.clean import clean_transactions, dropped_rows
+from ..operators.dedupe import ARRIVAL, insert_or_ignore, number_arrivals
+from ..operators.ordering import materialize, ranked_by
+from ..session import unique_name, work_path
 from . import insights, kpis, reports, variants
 from .star import FACT_COLUMNS, Star, load_star
+from .warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,15 +59,19 @@ def revenue_by_region(star: Star) -> DataFrame:
             .orderBy(F.desc("net_revenue")))
 
 
-def clean_with_defects(star: Star) -> DataFrame:
-    """The cleaner on sales lines with defects injected by rule: net revenue
-    missing on line 7, zero quantity on line 6, missing profit on line 5."""
+def with_defects(star: Star) -> DataFrame:
+    """Sales lines with defects injected by rule: net revenue missing on line
+    7, zero quantity on line 6, missing profit on line 5."""
     ln = F.col("line_number")
-    dirty = (star.fact
-             .withColumn("net_revenue", F.when(ln == 7, F.lit(None)).otherwise(F.col("net_revenue")))
-             .withColumn("quantity", F.when(ln == 6, F.lit(0).cast("bigint")).otherwise(F.col("quantity")))
-             .withColumn("profit", F.when(ln == 5, F.lit(None)).otherwise(F.col("profit"))))
-    c = clean_transactions(dirty)
+    return star.fact.withColumns({
+        "net_revenue": F.when(ln != 7, F.col("net_revenue")),
+        "quantity": F.when(ln == 6, F.lit(0).cast("bigint")).otherwise(F.col("quantity")),
+        "profit": F.when(ln != 5, F.col("profit"))})
+
+
+def clean_with_defects(star: Star) -> DataFrame:
+    """The cleaner on sales lines with defects."""
+    c = clean_transactions(with_defects(star))
     return c.select("order_id", "line_number", "customer_id", "product_id",
                     F.date_format("order_date", "yyyy-MM-dd").alias("order_date"), "quantity",
                     money_out("net_revenue").alias("net_revenue"), money_out("profit").alias("profit"))
@@ -73,26 +82,66 @@ def _empty_like(df: DataFrame) -> DataFrame:
 
 
 def dim_customer_load(star: Star) -> DataFrame:
-    batch = star.dim_customer
-    out = insert_or_ignore(_empty_like(batch), batch, ["customer_id"])
+    batch = number_arrivals(star.dim_customer)
+    out = insert_or_ignore(_empty_like(batch), batch, ["customer_id"], [ARRIVAL]).drop(ARRIVAL)
     return out.withColumn("joined_date", F.date_format("joined_date", "yyyy-MM-dd"))
 
 
+def dim_customer_redelivery(star: Star) -> DataFrame:
+    """Every customer twice, the renamed row first, against a dimension that
+    holds a third of them: the renamed rows of the others are to be added."""
+    d = star.dim_customer
+    batch = (d.withColumn(ARRIVAL, F.col("customer_id") * 2 + 1)
+             .unionByName(d.withColumns({"customer_name": F.concat("customer_name", F.lit(" (later)")),
+                                         ARRIVAL: F.col("customer_id") * 2})))
+    out = insert_or_ignore(d.where("customer_id % 3 = 0"), batch, ["customer_id"], [ARRIVAL])
+    return out.select("customer_id", "customer_name", "segment", "region", "city",
+                      F.date_format("joined_date", "yyyy-MM-dd").alias("joined_date"))
+
+
 def dim_product_load(star: Star) -> DataFrame:
-    batch = star.dim_product
-    out = insert_or_ignore(_empty_like(batch), batch, ["product_id"])
+    batch = number_arrivals(star.dim_product)
+    out = insert_or_ignore(_empty_like(batch), batch, ["product_id"], [ARRIVAL])
     return out.select("product_id", "product_name", "category", money_out("unit_price").alias("unit_price"),
                       money_out("cost_price").alias("cost_price"), "margin_pct")
 
 
+#: An arrival number that both sides of the check can form; unique among the lines of a key.
+LINE_ARRIVAL = "product_id * 1000 + quantity"
+
+
 def fact_insert_or_ignore(star: Star) -> DataFrame:
     """Load the sales lines into an empty fact keyed by (order_id,
-    line_number): the key repeats in the data, the first row in the order
-    of the remaining columns wins."""
-    batch = star.fact
-    keys = ["order_id", "line_number"]
-    order = [c for c in FACT_COLUMNS if c not in keys]
-    return fact_output(insert_or_ignore(_empty_like(batch), batch, keys, order))
+    line_number): the key repeats in the data, the first to arrive wins."""
+    batch = star.fact.withColumn(ARRIVAL, F.expr(LINE_ARRIVAL))
+    return fact_output(insert_or_ignore(_empty_like(batch), batch, ["order_id", "line_number"], [ARRIVAL]))
+
+
+def fact_redelivery(star: Star) -> DataFrame:
+    """Lines to add when all sales arrive again, the last product first, and
+    the fact already holds the keys of early days."""
+    batch = star.fact.withColumn(ARRIVAL, -F.expr(LINE_ARRIVAL))
+    target = batch.where((F.col("order_date") < F.lit("1997-01-01").cast("date")) & (F.col("line_number") <= 3))
+    return fact_output(insert_or_ignore(target, batch, ["order_id", "line_number"], [ARRIVAL]))
+
+
+def fact_load_outcomes(star: Star) -> DataFrame:
+    """A warehouse load of sales lines with injected defects, twice: lines by
+    outcome (reject reasons, lines loaded, lines loaded the second time).  Line
+    7 names an unknown product, line 6 no customer, line 5 a text date."""
+    spark = star.fact.sparkSession
+    wh = Warehouse(spark, work_path(spark, "tables", unique_name("warehouse")))
+    wh.create_tables()
+    ln = F.col("line_number")
+    wh.load_dimension("dim_customer", star.dim_customer)
+    wh.load_dimension("dim_product", star.dim_product)
+    sales = star.fact.withColumns({
+        "product_id": F.when(ln == 7, F.lit(-1)).otherwise(F.col("product_id")),
+        "customer_id": F.when(ln != 6, F.col("customer_id")),
+        "date_id": F.when(ln == 5, F.lit("garbage")).otherwise(F.col("date_id"))})
+    added = [wh.load_fact(sales, batch_id="first"), wh.load_fact(sales, batch_id="first")]
+    loaded = spark.createDataFrame(list(zip(("loaded", "loaded again"), added, strict=True)), "outcome string, lines long")
+    return wh.table("fact_rejects").groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("lines")).unionByName(loaded)
 
 
 def new_keys_only(star: Star) -> DataFrame:
@@ -100,22 +149,21 @@ def new_keys_only(star: Star) -> DataFrame:
     already holds the customers first seen before 1998."""
     early = star.fact.where(F.col("order_date") < F.lit("1998-01-01").cast("date")).select("customer_id")
     target = star.dim_customer.join(early, "customer_id", "left_semi")
-    out = insert_or_ignore(target, star.dim_customer, ["customer_id"])
+    out = insert_or_ignore(target, number_arrivals(star.dim_customer), ["customer_id"], [ARRIVAL]).drop(ARRIVAL)
     return out.withColumn("joined_date", F.date_format("joined_date", "yyyy-MM-dd"))
 
 
-def _customers(star: Star) -> DataFrame:
-    return reports.customer_transactions(star).select("customer_id", "region", "spend", "orders")
+def _customers(star: Star) -> tuple[DataFrame, int]:
+    return materialize(reports.customer_transactions(star).select("customer_id", "region", "spend", "orders"), "customers")
 
 
 def rank_distributed(star: Star) -> DataFrame:
-    c = _customers(star)
-    c = ranked(c, [("spend", False)], tie=["customer_id"],
-               outputs={"spend_rank": "rank", "spend_dense_rank": "dense_rank",
-                        "spend_row_number": "row_number", "spend_percent_rank": "percent_rank"})
-    c = ranked(c, [("orders", False)], tie=["customer_id"], partition=["region"],
-               outputs={"region_orders_rank": "rank", "region_orders_dense_rank": "dense_rank",
-                        "region_customers": "count"})
+    c, n = _customers(star)
+    c = ranked_by(c, ["customer_id"], [
+        dict(order=[("spend", False)], outputs={"spend_rank": "rank", "spend_dense_rank": "dense_rank",
+                                                "spend_row_number": "row_number", "spend_percent_rank": "percent_rank"}),
+        dict(order=[("orders", False)], partition=["region"], outputs={
+            "region_orders_rank": "rank", "region_orders_dense_rank": "dense_rank", "region_customers": "count"})], rows=n)
     return c.select("customer_id", "region", money_out("spend").alias("total_spend"),
                     long_out("orders").alias("total_orders"), "spend_rank", "spend_dense_rank",
                     "spend_row_number", "spend_percent_rank", "region_orders_rank",
@@ -123,35 +171,40 @@ def rank_distributed(star: Star) -> DataFrame:
 
 
 def ntile_distributed(star: Star) -> DataFrame:
-    c = _customers(star)
-    c = ranked(c, [("spend", True)], tie=["customer_id"], outputs={"spend_quintile": "ntile5"})
-    c = ranked(c, [("orders", False)], tie=["customer_id"], outputs={"orders_quartile": "ntile4"})
-    c = ranked(c, [("spend", False)], tie=["customer_id"], partition=["region"],
-               outputs={"region_spend_decile": "ntile10"})
+    c, n = _customers(star)
+    c = ranked_by(c, ["customer_id"], [
+        dict(order=[("spend", True)], outputs={"spend_quintile": "ntile5"}),
+        dict(order=[("orders", False)], outputs={"orders_quartile": "ntile4"}),
+        dict(order=[("spend", False)], partition=["region"], outputs={"region_spend_decile": "ntile10"})], rows=n)
     return c.select("customer_id", "region", money_out("spend").alias("total_spend"),
                     long_out("orders").alias("total_orders"), "spend_quintile", "orders_quartile",
                     "region_spend_decile")
 
 
 def running_total_distributed(star: Star) -> DataFrame:
-    c = _customers(star)
-    c = ranked(c, [("spend", False)], tie=["customer_id"], sums=["spend"], outputs={"cum": "cum_spend"})
-    c = ranked(c, [("orders", False)], tie=["customer_id"], partition=["region"], sums=["spend"],
-               outputs={"region_cum": "cum_spend"})
+    c, n = _customers(star)
+    c = ranked_by(c, ["customer_id"], [
+        dict(order=[("spend", False)], sums=["spend"], outputs={"cum": "cum_spend"}),
+        dict(order=[("orders", False)], partition=["region"], sums=["spend"], outputs={"region_cum": "cum_spend"})], rows=n)
     return c.select("customer_id", "region", money_out("spend").alias("total_spend"),
                     money_out("cum").alias("running_spend"), money_out("region_cum").alias("region_running_spend"))
 
 
 def rank_average_method(star: Star) -> DataFrame:
-    p = star.fact.groupBy("product_id").agg(F.sum("net_revenue").alias("rev"))
-    p = ranked(p, [("rev", False)], tie=["product_id"],
-               outputs={"revenue_rank_average": "average_rank", "revenue_rank_min": "rank"})
+    p, n = materialize(star.fact.groupBy("product_id").agg(F.sum("net_revenue").alias("rev")), "product_revenue")
+    p = ranked_by(p, ["product_id"], [dict(order=[("rev", False)], outputs={
+        "revenue_rank_average": "average_rank", "revenue_rank_min": "rank"})], rows=n)
     return p.select("product_id", money_out("rev").alias("total_revenue"), "revenue_rank_average",
                     "revenue_rank_min")
 
 
 def _kpi_sales(star: Star) -> DataFrame:
-    return clean_transactions(star.fact)
+    return clean_transactions(with_defects(star))
+
+
+def kpi_dropped_rows(star: Star) -> DataFrame:
+    """Lines that the transformation read, kept and dropped."""
+    return dropped_rows(with_defects(star))
 
 
 def _kpi_customers(star: Star) -> DataFrame:
@@ -197,7 +250,11 @@ def queries() -> dict[str, Query]:
         "dim_customer": _on_star(dim_customer_load),
         "dim_product": _on_star(dim_product_load),
         "fact_insert_or_ignore": _on_star(fact_insert_or_ignore),
+        "fact_redelivery": _on_star(fact_redelivery),
+        "dim_customer_redelivery": _on_star(dim_customer_redelivery),
+        "fact_load_outcomes": _on_star(fact_load_outcomes),
         "new_keys_only": _on_star(new_keys_only),
+        "kpi_dropped_rows": _on_star(kpi_dropped_rows),
         "kpi_monthly": _on_star(lambda s: kpis.monthly_kpis(_kpi_sales(s))),
         "kpi_regional": _on_star(lambda s: kpis.regional_kpis(_kpi_sales(s))),
         "kpi_products": _on_star(lambda s: kpis.product_kpis(_kpi_sales(s))),
@@ -208,6 +265,8 @@ def queries() -> dict[str, Query]:
         "ins_region_flags": _on_star(lambda s: insights.region_flags(reports.region_vs_average(s))),
         "ins_underperformers": _on_star(
             lambda s: insights.underperformers(kpis.regional_kpis(_kpi_sales(s)))),
+        "ins_below_average": _on_star(
+            lambda s: insights.underperformers(kpis.regional_kpis(_kpi_sales(s)), below=0)),
         "ins_category": _on_star(lambda s: insights.category_ranks(variants.categories_slim(s))),
         "ins_quarters": _on_star(lambda s: insights.quarter_growth(reports.quarterly_growth(s))),
         "ins_rfm_mix": _on_star(lambda s: insights.rfm_mix(reports.customer_ltv_rfm(s))),

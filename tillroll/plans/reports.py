@@ -8,8 +8,11 @@ Conventions shared by every report:
   bands run as plain windows -- their row count is bounded by the calendar or
   by the dimension's domain, not by the data;
 * rankings, tiles and running totals over customers or products go through
-  :func:`~tillroll.operators.ordering.ranked`, which never gathers all rows
+  :func:`~tillroll.operators.ordering.ranked_by`, which never gathers all rows
   (or a handful of huge regions) into one task;
+* reports that count distinct orders and distinct customers roll up by
+  (key, customer, order) first (:mod:`~tillroll.operators.distinct`), so the
+  fact rows are not expanded;
 * ties in ROWS frames and NTILE are broken by the entity key so results are
   deterministic.
 """
@@ -22,8 +25,8 @@ from pyspark.sql import functions as F
 from ..functions import labels
 from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct, pct_scaled, ratio,
                                  rnd, whole, whole_mean, with_totals)
-from ..operators.ordering import (BROADCAST_ROWS, broadcast_if_small, global_order, materialize, ntile,
-                                  ranked)
+from ..operators.distinct import per_order_customer
+from ..operators.ordering import materialize, ranked_by
 from .star import Star
 
 ROWS_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
@@ -31,18 +34,17 @@ ROWS_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 
 def _calendar(star: Star, cols) -> DataFrame:
     """Fact joined to the date dimension (J1).  The dimension has one row per
-    calendar day with sales, a bound set by the calendar, so it is broadcast."""
-    dd = F.broadcast(star.dim_date.select("date_id", "year", "month", "month_name", "quarter"))
+    calendar day with sales; the loads refuse any date_id that is no ISO day.
+    Spark broadcasts it by its measured size."""
+    dd = star.dim_date.select("date_id", "year", "month", "month_name", "quarter")
     return star.fact.select("date_id", *cols).join(dd, "date_id")
 
 
 # ---------------------------------------------------------------- R1 monthly
 def monthly_growth(star: Star, reset_per_year: bool = False) -> DataFrame:
     f = _calendar(star, ["order_id", "customer_id", "net_revenue", "profit", "is_returned"])
-    m = f.groupBy("year", "month", "month_name", "quarter").agg(
-        F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
-        F.countDistinct("order_id").alias("orders"), F.countDistinct("customer_id").alias("custs"),
-        mean("net_revenue").alias("avg_net"), F.sum("is_returned").alias("returns"))
+    m = per_order_customer(f, ["year", "month", "month_name", "quarter"],
+                           {"rev": "net_revenue", "prof": "profit", "returns": "is_returned"}, {"avg_net": "net_revenue"})
     w = (Window.partitionBy("year").orderBy("month") if reset_per_year
          else Window.orderBy("year", "month"))
     m = (m.withColumn("prev", F.lag("rev").over(w))
@@ -61,12 +63,9 @@ def monthly_growth(star: Star, reset_per_year: bool = False) -> DataFrame:
 
 # ----------------------------------------------------------- R2 region vs avg
 def region_vs_average(star: Star) -> DataFrame:
-    r = star.fact.groupBy("region").agg(
-        F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
-        F.sum("gross_revenue").alias("gross"), F.sum("discount_amt").alias("disc"),
-        F.countDistinct("order_id").alias("orders"), F.countDistinct("customer_id").alias("custs"),
-        mean("net_revenue").alias("avg_net"), F.sum("quantity").alias("units"),
-        F.sum("is_returned").alias("returns"))
+    r = per_order_customer(star.fact, ["region"], {
+        "rev": "net_revenue", "prof": "profit", "gross": "gross_revenue", "disc": "discount_amt",
+        "units": "quantity", "returns": "is_returned"}, {"avg_net": "net_revenue"})
     # the company row (J5): average and total over the handful of region rows
     x = r.withColumns({"avg_rev": whole_mean("rev"), "company_total": whole(F.sum, "rev")})
     vs_avg = F.try_divide(dbl("rev") - F.col("avg_rev"), F.col("avg_rev")) * F.lit(100.0)
@@ -95,13 +94,10 @@ def product_stats(star: Star, with_list_price: bool = True) -> DataFrame:
     Aggregating by ``product_id`` before the join is exact because the join
     is on the dimension's key (each line matches at most one product); the
     join then moves one row per product instead of one per sales line."""
-    agg = star.fact.groupBy("product_id").agg(
-        F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
-        F.sum("gross_revenue").alias("gross"), F.sum("discount_amt").alias("disc"),
-        F.sum("quantity").alias("units"),
-        F.countDistinct("order_id").alias("orders"), F.countDistinct("customer_id").alias("buyers"),
-        mean("unit_price").alias("avg_price"), mean("discount_pct").alias("avg_disc"),
-        F.sum("is_returned").alias("returns"))
+    agg = per_order_customer(star.fact, ["product_id"], {
+        "rev": "net_revenue", "prof": "profit", "gross": "gross_revenue", "disc": "discount_amt",
+        "units": "quantity", "returns": "is_returned"},
+        {"avg_price": "unit_price", "avg_disc": "discount_pct"}, customers="buyers")
     dim = star.dim_product.select("product_id", "product_name", "category",
                                   F.col("unit_price").alias("list_price"))
     out = agg.join(dim, "product_id")
@@ -109,23 +105,16 @@ def product_stats(star: Star, with_list_price: bool = True) -> DataFrame:
 
 
 def product_ranking(star: Star, buckets: int | None = None) -> DataFrame:
-    # one row per product, written once: the rollup, the total and the four
-    # rankings read it, and its observed size picks plain or distributed windows
+    # one row per product, written once: the rollup, the total and the four rankings read it
     ps, n = materialize(product_stats(star), "product_stats")
     cat = ps.groupBy("category").agg(F.sum("rev").alias("cat_rev"))
-    # the rollup has at most as many rows as products; count it only when
-    # the product table itself is too large to bound it
-    n_cat = n if n <= BROADCAST_ROWS else None
-    if n_cat is None:
-        cat, n_cat = materialize(cat, "category_totals")
-    ps = with_totals(ps.join(broadcast_if_small(cat, n_cat), "category"),  # J4, size checked
-                     ps, grand_total=F.sum("rev"))
-    kw = dict(tie=["product_id"], buckets=buckets, rows=n)
-    ps = ranked(ps, [("rev", False)], outputs={"revenue_rank": "rank"}, **kw)
-    ps = ranked(ps, [("prof", False)], outputs={"profit_rank": "rank"}, **kw)
-    ps = ranked(ps, [("units", False)], outputs={"volume_rank": "rank"}, **kw)
-    ps = ranked(ps, [("rev", False)], partition=["category"], sums=["rev"],
-                outputs={"category_rank": "rank", "cat_cum": "cum_rev"}, **kw)
+    ranks = ranked_by(ps, ["product_id"], [
+        dict(order=[("rev", False)], outputs={"revenue_rank": "rank"}),
+        dict(order=[("prof", False)], outputs={"profit_rank": "rank"}),
+        dict(order=[("units", False)], outputs={"volume_rank": "rank"}),
+        dict(order=[("rev", False)], partition=["category"], sums=["rev"],
+             outputs={"category_rank": "rank", "cat_cum": "cum_rev"})], buckets, n)
+    ps = with_totals(ranks.join(cat, "category"), ps, grand_total=F.sum("rev"))   # J4: Spark picks the join by size
     return ps.select(
         "product_id", "product_name", "category",
         money_out("list_price").alias("list_price"), rnd("avg_price").alias("avg_selling_price"),
@@ -145,13 +134,18 @@ def product_ranking(star: Star, buckets: int | None = None) -> DataFrame:
 
 
 # --------------------------------------------------------- R4 category share
+def known_products(star: Star, cols) -> DataFrame:
+    """Sales lines joined to the product dimension (J2), whose category they
+    take; lines of products it does not hold drop out."""
+    return (star.fact.select("product_id", "order_id", "customer_id", *cols)
+            .join(star.dim_product.select("product_id", "category"), "product_id"))
+
+
 def category_metrics(star: Star) -> DataFrame:
-    return star.fact.groupBy("category").agg(
-        F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
-        F.sum("gross_revenue").alias("gross"), F.sum("discount_amt").alias("disc"),
-        F.countDistinct("order_id").alias("orders"), F.countDistinct("customer_id").alias("custs"),
-        F.sum("quantity").alias("units"), mean("net_revenue").alias("avg_net"),
-        mean("unit_price").alias("avg_price"), F.sum("is_returned").alias("returns"))
+    f = known_products(star, ["net_revenue", "profit", "gross_revenue", "discount_amt", "quantity", "is_returned", "unit_price"])
+    return per_order_customer(f, ["category"], {
+        "rev": "net_revenue", "prof": "profit", "gross": "gross_revenue", "disc": "discount_amt",
+        "units": "quantity", "returns": "is_returned"}, {"avg_net": "net_revenue", "avg_price": "unit_price"})
 
 
 def category_share(star: Star) -> DataFrame:
@@ -209,20 +203,14 @@ def customer_ltv_rfm(star: Star, recency_mode: str = "as_published", buckets: in
     if recency_mode not in ("as_published", "corrected"):
         raise ValueError(recency_mode)
     ct, n = materialize(customer_transactions(star), "customer_tx")
-    t = ["customer_id"]
-    ct = ranked(ct, [("last_date", recency_mode == "corrected")], tie=t,
-                outputs={"recency_score": "ntile5"}, buckets=buckets, rows=n)
-    ct = ranked(ct, [("orders", True)], tie=t, outputs={"frequency_score": "ntile5"}, buckets=buckets, rows=n)
     # one ascending order on spend gives both the monetary tile and the
-    # descending spend rank (n - last tied position + 1)
-    g = global_order(ct, [("spend", True)], tie=t, buckets=buckets, rows=n)
-    ct = (g.withColumn("monetary_score", ntile(5))
-          .withColumn("spend_rank", F.col("_n") - F.col("_rank_last") + 1)
-          .drop("_pos", "_rank", "_rank_last", "_dense", "_n"))
-    ct = ranked(ct, [("spend", False)], tie=t, partition=["segment"],
-                outputs={"segment_spend_rank": "rank"}, buckets=buckets, rows=n)
-    ct = ranked(ct, [("spend", False)], tie=t, partition=["region"],
-                outputs={"region_spend_rank": "rank"}, buckets=buckets, rows=n)
+    # descending spend rank
+    ct = ranked_by(ct, ["customer_id"], [
+        dict(order=[("last_date", recency_mode == "corrected")], outputs={"recency_score": "ntile5"}),
+        dict(order=[("orders", True)], outputs={"frequency_score": "ntile5"}),
+        dict(order=[("spend", True)], outputs={"monetary_score": "ntile5", "spend_rank": "rank_desc"}),
+        dict(order=[("spend", False)], partition=["segment"], outputs={"segment_spend_rank": "rank"}),
+        dict(order=[("spend", False)], partition=["region"], outputs={"region_spend_rank": "rank"})], buckets, n)
     score = F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score")
     return ct.select(
         "customer_id", "segment", "region",
@@ -246,12 +234,9 @@ def customer_ltv_rfm(star: Star, recency_mode: str = "as_published", buckets: in
 def quarterly_growth(star: Star) -> DataFrame:
     f = _calendar(star, ["order_id", "customer_id", "net_revenue", "profit", "gross_revenue",
                          "discount_amt", "quantity", "is_returned"])
-    q = f.groupBy("year", "quarter").agg(
-        F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
-        F.sum("gross_revenue").alias("gross"), F.sum("discount_amt").alias("disc"),
-        F.countDistinct("order_id").alias("orders"), F.countDistinct("customer_id").alias("custs"),
-        F.sum("quantity").alias("units"), F.sum("is_returned").alias("returns"),
-        mean("net_revenue").alias("avg_net"))
+    q = per_order_customer(f, ["year", "quarter"], {
+        "rev": "net_revenue", "prof": "profit", "gross": "gross_revenue", "disc": "discount_amt",
+        "units": "quantity", "returns": "is_returned"}, {"avg_net": "net_revenue"})
     w = Window.orderBy("year", "quarter")  # quarters: bounded by the calendar
     q = (q.withColumn("prev", F.lag("rev").over(w))
          .withColumn("prev_orders", F.lag("orders").over(w))
@@ -276,11 +261,9 @@ def quarterly_growth(star: Star) -> DataFrame:
 # -------------------------------------------------- R7 payment and discount
 def payment_discount(star: Star) -> DataFrame:
     f = star.fact
-    ps = f.groupBy(F.col("payment_method").alias("dimension")).agg(
-        F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
-        F.countDistinct("order_id").alias("orders"), F.countDistinct("customer_id").alias("custs"),
-        mean("net_revenue").alias("avg_net"), mean("discount_pct").alias("avg_disc"),
-        F.sum("is_returned").alias("returns"))
+    ps = per_order_customer(f.withColumnRenamed("payment_method", "dimension"), ["dimension"],
+                            {"rev": "net_revenue", "prof": "profit", "returns": "is_returned"},
+                            {"avg_net": "net_revenue", "avg_disc": "discount_pct"})
     db = f.groupBy(labels.discount_band(F.col("discount_pct")).alias("dimension")).agg(   # A9
         F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
         F.countDistinct("order_id").alias("orders"), mean("net_revenue").alias("avg_net"),

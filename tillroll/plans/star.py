@@ -1,7 +1,7 @@
 """The star schema every report reads: one wide fact plus four dimensions.
 
 ``build_star`` is the lazy definition straight from the source tables.
-``load_star`` materialises it once per session and source folder as Parquet
+``load_star`` materialises it once per session and state of the source files as Parquet
 under the session's shared checkpoint folder, so the large joins of the
 adapter run once and every report afterwards is a scan plus aggregation.
 The written tables also cut the lineage: a lost executor re-reads files
@@ -18,8 +18,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import unique_name, work_path
+from ..session import files_state, path_exists, unique_name, work_path
 from ..sources import adapter
+from ..sources.tables import table_path
 
 FACT_COLUMNS = [
     "order_id", "line_number", "customer_id", "product_id", "order_date", "date_id",
@@ -69,20 +70,24 @@ def build_star(spark: SparkSession, sf_dir: str) -> Star:
     )
 
 
-_MEMO: dict[tuple[str, str], Star] = {}
+#: Star and its folder, by application, source folder and the state of its files.
+_MEMO: dict[tuple[str, str, str], tuple[Star, str]] = {}
 _LOCK = threading.Lock()
+SOURCE_TABLES = ("region", "nation", "customer", "orders", "lineitem", "part")
 
 
 def load_star(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Star:
-    """Materialised star for ``sf_dir``: built on first use in this session
-    and reused after; ``refresh=True`` rebuilds it (new source data)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    """Materialised star for ``sf_dir``: built on first use and reused while
+    the source files stay as they are (names, sizes, times) and the written
+    star is still there; ``refresh=True`` rebuilds it anyway."""
+    state = files_state(spark, [table_path(sf_dir, t) for t in SOURCE_TABLES])
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), state)
     with _LOCK:
-        star = None if refresh else _MEMO.get(key)
-        if star is None:
+        star, root = (None, "") if refresh else _MEMO.get(key, (None, ""))
+        if star is None or not path_exists(spark, root):
             root = work_path(spark, "star", unique_name(hashlib.sha1(key[1].encode()).hexdigest()[:10]))
             star = write_star(build_star(spark, sf_dir), root)
-            _MEMO[key] = star
+            _MEMO[key] = (star, root)
         return star
 
 
@@ -90,9 +95,11 @@ def write_star(star: Star, root: str) -> Star:
     """Write all five tables under ``root`` and return readers over them.
     The fact is partitioned by year so time-bounded reads prune files."""
     spark = star.fact.sparkSession
+    schemas: dict = {}
 
     def write(df: DataFrame, name: str, *partition: str) -> None:
         df.write.mode("errorifexists").partitionBy(*partition).parquet(f"{root}/{name}")
+        schemas[name] = df.schema
 
     # Independent writes are separate Spark jobs submitted together, so they
     # share the executors instead of queueing.  The date and region dimensions
@@ -102,27 +109,34 @@ def write_star(star: Star, root: str) -> Star:
                 pool.submit(write, star.dim_customer, "dim_customer"),
                 pool.submit(write, star.dim_product, "dim_product")]
         [f.result() for f in done]
-        fact = read_fact(spark, root)
+        fact = read_fact(spark, root, schemas)
         done = [pool.submit(write, date_dimension(fact), "dim_date"),
                 pool.submit(write, region_dimension(fact), "dim_region")]
         [f.result() for f in done]
-    return read_star(spark, root)
+    return read_star(spark, root, schemas)
 
 
-def read_fact(spark: SparkSession, root: str) -> DataFrame:
+def _read(spark: SparkSession, root: str, name: str, schemas: dict | None) -> DataFrame:
+    """With the schema it was written with, if known: a partitioned table
+    without rows has no file to take one from."""
+    reader = spark.read.schema(schemas[name]) if schemas else spark.read
+    return reader.parquet(f"{root}/{name}")
+
+
+def read_fact(spark: SparkSession, root: str, schemas: dict | None = None) -> DataFrame:
     """The written fact; ``year`` is a partition folder, typed here so the
     result does not depend on partition-type inference settings."""
-    fact = spark.read.parquet(f"{root}/fact_sales").withColumn("year", F.col("year").cast("int"))
+    fact = _read(spark, root, "fact_sales", schemas).withColumn("year", F.col("year").cast("int"))
     return fact.select(*FACT_COLUMNS)
 
 
-def read_star(spark: SparkSession, root: str) -> Star:
+def read_star(spark: SparkSession, root: str, schemas: dict | None = None) -> Star:
     return Star(
-        fact=read_fact(spark, root),
-        dim_customer=spark.read.parquet(f"{root}/dim_customer"),
-        dim_product=spark.read.parquet(f"{root}/dim_product"),
-        dim_date=spark.read.parquet(f"{root}/dim_date"),
-        dim_region=spark.read.parquet(f"{root}/dim_region"),
+        fact=read_fact(spark, root, schemas),
+        dim_customer=_read(spark, root, "dim_customer", schemas),
+        dim_product=_read(spark, root, "dim_product", schemas),
+        dim_date=_read(spark, root, "dim_date", schemas),
+        dim_region=_read(spark, root, "dim_region", schemas),
     )
 
 

@@ -13,18 +13,17 @@ from pyspark.sql import functions as F
 from ..functions import labels
 from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct, pct_scaled, rnd,
                                  whole, whole_mean, with_totals)
-from ..operators.ordering import materialize, ranked
-from .reports import ROWS_TO_HERE, _calendar, customer_transactions, product_stats
+from ..operators.distinct import per_order_customer
+from ..operators.ordering import materialize, ranked_by
+from .reports import ROWS_TO_HERE, _calendar, customer_transactions, known_products, product_stats
 from .star import Star
 
 
 def monthly_slim(star: Star) -> DataFrame:
     """V1: monthly revenue with running total and growth (no returns)."""
     f = _calendar(star, ["order_id", "customer_id", "net_revenue", "profit"])
-    m = f.groupBy("year", "month", "month_name", "quarter").agg(
-        F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
-        F.countDistinct("order_id").alias("orders"), F.countDistinct("customer_id").alias("custs"),
-        mean("net_revenue").alias("avg_net"))
+    m = per_order_customer(f, ["year", "month", "month_name", "quarter"], {"rev": "net_revenue", "prof": "profit"},
+                           {"avg_net": "net_revenue"})
     w = Window.orderBy("year", "month")
     m = (m.withColumn("prev", F.lag("rev").over(w))
          .withColumn("ytd", F.sum("rev").over(w.rowsBetween(*ROWS_TO_HERE))))
@@ -40,10 +39,8 @@ def monthly_slim(star: Star) -> DataFrame:
 
 def regional_3tier(star: Star) -> DataFrame:
     """V2: regions against the average with three tiers on the unrounded %."""
-    r = star.fact.groupBy("region").agg(
-        F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
-        F.countDistinct("order_id").alias("orders"), F.countDistinct("customer_id").alias("custs"),
-        mean("net_revenue").alias("avg_net"), F.sum("is_returned").alias("returns"))
+    r = per_order_customer(star.fact, ["region"], {"rev": "net_revenue", "prof": "profit", "returns": "is_returned"},
+                           {"avg_net": "net_revenue"})
     x = r.withColumn("avg_rev", whole_mean("rev"))     # the one-row average (J6)
     vs_avg = F.try_divide(dbl("rev") - F.col("avg_rev"), F.col("avg_rev")) * F.lit(100.0)
     return x.select(
@@ -58,10 +55,10 @@ def regional_3tier(star: Star) -> DataFrame:
 def products_slim(star: Star, buckets: int | None = None) -> DataFrame:
     """V3: product ranking without list price, shares or running totals."""
     ps, n = materialize(product_stats(star, with_list_price=False), "product_stats")
-    kw = dict(tie=["product_id"], buckets=buckets, rows=n)
-    ps = ranked(ps, [("rev", False)], outputs={"revenue_rank": "rank"}, **kw)
-    ps = ranked(ps, [("prof", False)], outputs={"profit_rank": "rank"}, **kw)
-    ps = ranked(ps, [("rev", False)], partition=["category"], outputs={"category_rank": "rank"}, **kw)
+    ps = ranked_by(ps, ["product_id"], [
+        dict(order=[("rev", False)], outputs={"revenue_rank": "rank"}),
+        dict(order=[("prof", False)], outputs={"profit_rank": "rank"}),
+        dict(order=[("rev", False)], partition=["category"], outputs={"category_rank": "rank"})], buckets, n)
     return ps.select(
         "product_id", "product_name", "category",
         money_out("rev").alias("total_revenue"), money_out("prof").alias("total_profit"),
@@ -76,10 +73,8 @@ def products_slim(star: Star, buckets: int | None = None) -> DataFrame:
 
 def categories_slim(star: Star) -> DataFrame:
     """V4: category totals with revenue share and rank."""
-    c = star.fact.groupBy("category").agg(
-        F.sum("net_revenue").alias("rev"), F.sum("profit").alias("prof"),
-        F.countDistinct("order_id").alias("orders"), F.sum("quantity").alias("units"),
-        F.countDistinct("customer_id").alias("custs"))
+    c = per_order_customer(known_products(star, ["net_revenue", "profit", "quantity"]), ["category"],
+                           {"rev": "net_revenue", "prof": "profit", "units": "quantity"})
     x = c.withColumn("grand_rev", whole(F.sum, "rev")).withColumn("revenue_rank", F.rank().over(Window.orderBy(F.desc("rev"))))
     return x.select(
         "category", money_out("rev").alias("total_revenue"), money_out("prof").alias("total_profit"),

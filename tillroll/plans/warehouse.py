@@ -3,12 +3,14 @@
 Tables are Parquet folders under one root (a shared, durable location on a
 cluster).  Loads are set based:
 
-* dimensions and facts are *insert-or-ignore*: first row per key from the
-  batch, minus keys already present (loading twice equals loading once);
-* facts are cast with ``try_cast``; rows that fail a cast, miss a key or
-  name a customer/product the dimensions do not hold go to ``fact_rejects``
-  with a reason instead of being silently dropped (the declared foreign keys
-  are enforced, so every report sees conformed keys);
+* dimensions and facts are *insert-or-ignore*: the first row to arrive per
+  key, minus keys already present (loading twice equals loading once); rows
+  without a key are refused;
+* facts are cast with ``try_cast``; rows that fail a cast, miss a key, hold a
+  date that is no ISO day or name a customer/product the dimensions do not
+  hold go to ``fact_rejects`` with a reason instead of being silently dropped
+  (the declared foreign keys are enforced, so every report sees conformed
+  keys); the days and regions of accepted lines enter their dimensions first;
 * KPI tables are append-only snapshots stamped ``created_at`` (the latest
   snapshot is ``max(created_at)``);
 * ``pipeline_run_log`` gets one row per stage run, the row count coming from
@@ -27,8 +29,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.dedupe import insert_or_ignore
+from ..functions.calendar import calendar_columns
+from ..operators.dedupe import ARRIVAL, insert_or_ignore, number_arrivals
 from ..operators.ordering import materialize as _materialize
+from ..session import path_exists
 
 S, I, L, D, M = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.DecimalType(18, 2)
 
@@ -50,7 +54,7 @@ SCHEMAS: dict[str, T.StructType] = {
                           ("discount_pct", I), ("discount_amt", M), ("gross_revenue", M),
                           ("net_revenue", M), ("cost", M), ("profit", M), ("is_returned", I),
                           ("payment_method", S), ("ingested_at", T.TimestampType())),
-    "fact_rejects": _schema(("reason", S), ("row", S), ("rejected_at", T.TimestampType())),
+    "fact_rejects": _schema(("reason", S), ("row", S), ("batch_id", S), ("rejected_at", T.TimestampType())),
     "agg_monthly_kpis": _schema(("year", L), ("month", L), ("month_name", S), ("quarter", S),
                                 ("total_revenue", D), ("total_profit", D), ("total_orders", L),
                                 ("avg_order_value", D), ("profit_margin_pct", D), ("mom_growth_pct", D),
@@ -66,6 +70,13 @@ KEYS = {"dim_customer": ["customer_id"], "dim_product": ["product_id"], "dim_dat
         "dim_region": ["region_name"]}
 
 
+def _iso_day(column: str):
+    """The ISO text of a day, or null if the column's text is none."""
+    text = F.col(column).cast("string")
+    day = F.try_to_date(text, "yyyy-MM-dd")
+    return F.when(F.date_format(day, "yyyy-MM-dd") == text, text)
+
+
 @dataclass
 class Warehouse:
     """``fact_keys``: ``("order_id",)`` for one line per order (the raw
@@ -89,11 +100,7 @@ class Warehouse:
         return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
 
     def _exists(self, name: str) -> bool:
-        try:
-            self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name)).limit(0).collect()
-            return True
-        except Exception:  # noqa: BLE001 - a missing path is an AnalysisException
-            return False
+        return path_exists(self.spark, self.path(name))
 
     def _append(self, name: str, df: DataFrame) -> int:
         obs = Observation(f"append_{name}_{time.monotonic_ns()}")
@@ -102,58 +109,84 @@ class Warehouse:
         return int(obs.get.get("rows", 0))
 
     # S8-S10 ---------------------------------------------------------------
-    def load_dimension(self, name: str, batch: DataFrame, order=None) -> int:
-        batch = batch.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) if f.name in batch.columns
-                               else F.lit(None).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields])
-        new = insert_or_ignore(self.table(name), batch, KEYS[name], order)
+    def load_dimension(self, name: str, batch: DataFrame, order=()) -> int:
+        """Append new keys; the first row to arrive wins (by the ``order``
+        columns, if given, then by place in ``batch``).  Rows with a null key
+        are refused."""
+        batch = number_arrivals(batch)
+        typed = batch.select(
+            *[F.col(f.name).try_cast(f.dataType).alias(f.name) if f.name in batch.columns
+              else F.lit(None).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields],
+            ARRIVAL, *[F.col(c).alias(f"_order_{c}") for c in order]).dropna(subset=KEYS[name])
+        typed, _ = _materialize(typed, name)
+        new = insert_or_ignore(self.table(name), typed, KEYS[name], [*[f"_order_{c}" for c in order], ARRIVAL])
         return self._append(name, new)
 
+    def load_calendar(self, dates: DataFrame) -> int:
+        """Days of ``dates(date_id)``, ISO text, into the date dimension."""
+        day = F.to_date("date_id", "yyyy-MM-dd")
+        cal = calendar_columns(day)
+        return self.load_dimension("dim_date", dates.select("date_id").distinct().select(
+            "date_id", *[v.alias(k) for k, v in cal.items()], F.lit(0).alias("is_holiday")))
+
+    def load_regions(self, regions: DataFrame) -> int:
+        return self.load_dimension("dim_region", regions.select(F.col("region").alias("region_name")).distinct())
+
     def load_dimensions(self, sales: DataFrame, customers: DataFrame, products: DataFrame) -> dict[str, int]:
-        dates = (sales.select("date_id", "month", "month_name", "quarter", "year").distinct()
-                 .withColumn("is_holiday", F.lit(0)))
-        regions = sales.select(F.col("region").alias("region_name")).distinct()
+        dates = sales.select("date_id").where(_iso_day("date_id").isNotNull())
         return {
             "dim_customer": self.load_dimension("dim_customer", customers),
             "dim_product": self.load_dimension("dim_product", products),
-            "dim_date": self.load_dimension("dim_date", dates),
-            "dim_region": self.load_dimension("dim_region", regions),
+            "dim_date": self.load_calendar(dates),
+            "dim_region": self.load_regions(sales),
         }
 
     # S11 ------------------------------------------------------------------
-    def load_fact(self, sales: DataFrame, order=None) -> int:
-        """Insert-or-ignore sales lines; returns the number actually added."""
+    def load_fact(self, sales: DataFrame, order=(), batch_id: str | None = None) -> int:
+        """Insert-or-ignore sales lines; returns the number actually added.
+
+        The first line to arrive per key wins (by the ``order`` columns, if
+        given, then by place in ``sales``).  Rejects of a ``batch_id`` are
+        written once, however often the batch comes.  Dimensions first, then
+        rejects, then the fact."""
         schema = SCHEMAS["fact_sales"]
+        sales = number_arrivals(sales)
+        raw = [c for c in sales.columns if c != ARRIVAL]
         if "date_id" not in sales.columns and "order_date" in sales.columns:
-            sales = sales.withColumn("date_id", F.date_format(F.to_date("order_date"), "yyyy-MM-dd"))
+            sales = sales.withColumn("date_id", F.date_format(F.try_to_date(F.col("order_date").cast("string")), "yyyy-MM-dd"))
         typed = sales.select(
             *[F.col(f.name).try_cast(f.dataType).alias(f.name) if f.name in sales.columns
               else F.lit(None).cast(f.dataType).alias(f.name)
-              for f in schema.fields if f.name != "ingested_at"],
-            F.struct(*sales.columns).alias("_orig"))
-        required = [*self.fact_keys, "customer_id", "product_id", "date_id", "net_revenue"]
+              for f in schema.fields if f.name not in ("ingested_at", "date_id")],
+            _iso_day("date_id").alias("date_id"), ARRIVAL, *[F.col(c).alias(f"_order_{c}") for c in order],
+            F.struct(*raw).alias("_orig"))
         reason = None
-        for c in dict.fromkeys(required):
+        for c in dict.fromkeys([*self.fact_keys, "customer_id", "product_id", "date_id", "net_revenue"]):
             cond = F.when(F.col(c).isNull(), F.lit(f"missing or invalid {c}"))
             reason = cond if reason is None else F.coalesce(reason, cond)
-        typed = typed.withColumn("_reason", reason)
+        # The raw text is kept for rejected rows only, and settled before the joins.
+        typed = (typed.withColumn("_reason", reason)
+                 .withColumn("_raw", F.when(F.col("_reason").isNotNull(), F.to_json("_orig"))).drop("_orig"))
+        typed, _ = _materialize(typed, "fact_batch")
+        rejects = typed.where("_reason is not null").select(F.col("_reason").alias("reason"), F.col("_raw").alias("row"))
+        good = typed.where("_reason is null").drop("_reason", "_raw")
+        lines = [c for c in good.columns if c != ARRIVAL and not c.startswith("_order_")]
         if self.enforce_foreign_keys:
-            # one semi-join per dimension key, at load time rather than in
-            # every report; the flags ride along with the row
             for dim, key in (("dim_customer", "customer_id"), ("dim_product", "product_id")):
-                known = self.table(dim).select(F.col(key), F.lit(True).alias(f"_known_{key}"))
-                typed = (typed.join(known, key, "left")
-                         .withColumn("_reason", F.coalesce(
-                             "_reason", F.when(F.col(f"_known_{key}").isNull(), F.lit(f"unknown {key}"))))
-                         .drop(f"_known_{key}"))
-        # the raw text is kept for rejected rows only
-        typed = typed.withColumn("_raw", F.when(F.col("_reason").isNotNull(), F.to_json("_orig"))).drop("_orig")
-        typed, _ = _materialize(typed, "fact_batch")
-        rejects = typed.where(F.col("_reason").isNotNull()).select(
-            F.col("_reason").alias("reason"), F.col("_raw").alias("row"), F.current_timestamp().alias("rejected_at"))
-        self._append("fact_rejects", rejects)
-        good = typed.where(F.col("_reason").isNull()).drop("_reason", "_raw")
-        new = insert_or_ignore(self.table("fact_sales").select(*good.columns), good,
-                               list(self.fact_keys), order)
+                known = self.table(dim).select(key, F.lit(True).alias(f"_known_{key}"))
+                good = good.join(known, key, "left")
+            unknown = F.when(F.col("_known_customer_id").isNull(), F.lit("unknown customer_id")).when(
+                F.col("_known_product_id").isNull(), F.lit("unknown product_id"))
+            good, _ = _materialize(good.withColumn("_reason", unknown).drop("_known_customer_id", "_known_product_id"), "fact_keys")
+            rejects = rejects.unionByName(good.where("_reason is not null").select(
+                F.col("_reason").alias("reason"), F.to_json(F.struct(*lines)).alias("row")))
+            good = good.where("_reason is null").drop("_reason")
+        self.load_calendar(good)
+        self.load_regions(good)
+        if batch_id is None or self.table("fact_rejects").where(F.col("batch_id") == batch_id).isEmpty():
+            self._append("fact_rejects", rejects.withColumn("batch_id", F.lit(batch_id).cast("string"))
+                         .withColumn("rejected_at", F.current_timestamp()))
+        new = insert_or_ignore(self.table("fact_sales"), good, list(self.fact_keys), [*[f"_order_{c}" for c in order], ARRIVAL])
         return self._append("fact_sales", new.withColumn("ingested_at", F.current_timestamp()))
 
     # S12-S13 --------------------------------------------------------------

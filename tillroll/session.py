@@ -7,6 +7,7 @@ pointing at a shared, durable folder).  Local runs and tests call
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -41,16 +42,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's shared checkpoint folder.
 
     The cluster names it in ``spark.checkpoint.dir`` (read, never changed);
-    only a session with none at all -- local runs and tests -- gets a scratch
-    folder, registered with ``SparkContext.setCheckpointDir``."""
+    only a local session with none at all -- tests, the bench -- gets a scratch
+    folder, registered with ``SparkContext.setCheckpointDir``; any other
+    master without the setting is an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.split("[")[0] == "local":
+        raise RuntimeError(f"spark.checkpoint.dir is not set: on {sc.master} the executors need a shared folder")
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tillroll-ckpt-"))
     return sc.getCheckpointDir()
 
 
+_TABLES: list[tuple[str, str]] = []
+
+
+def register_table(spark: SparkSession, name: str) -> None:
+    """Note a bucketed work table, so that :func:`drop_work` forgets it too."""
+    _TABLES.append((spark.sparkContext.applicationId, name))
+
+
 def work_path(spark: SparkSession, *parts: str) -> str:
     """A path inside the shared checkpoint folder (never machine-local on a
     cluster: the folder is whatever the cluster configured)."""
@@ -70,7 +82,40 @@ def drop_work(spark: SparkSession, *parts: str) -> bool:
     """Delete a folder under the session's checkpoint folder (e.g.
     ``"tables"`` for the intermediate ranking inputs; no argument: everything
     this session wrote there) through the cluster's file system."""
+    if not parts or parts[0] == "tables":
+        own = [t for t in _TABLES if t[0] == spark.sparkContext.applicationId]
+        for t in own:
+            spark.sql(f"DROP TABLE IF EXISTS {t[1]}")
+            _TABLES.remove(t)
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(work_path(spark, *parts))
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.delete(path, True))
+
+
+def files_state(spark: SparkSession, paths) -> str:
+    """Names, sizes and modification times of the files under ``paths``, as one
+    digest, from listings through the cluster's file system."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    seen = []
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            seen.append(f"{p} missing")
+            continue
+        found = fs.listFiles(path, True)
+        while found.hasNext():
+            st = found.next()
+            seen.append(f"{st.getPath().toString()} {st.getLen()} {st.getModificationTime()}")
+    return hashlib.sha1("\n".join(sorted(seen)).encode()).hexdigest()
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))

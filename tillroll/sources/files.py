@@ -11,9 +11,12 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import remove_path, unique_name
+
 BATCH_COL = "batch_ts"
 
 RAW_TRANSACTIONS = T.StructType([
@@ -88,17 +91,33 @@ def save_all(dfs: dict[str, DataFrame], out_dir: str, ts: str, fmt: str = "parqu
 def export_report(df: DataFrame, out_dir: str, output_name: str, ts: str,
                   single_file: bool = False) -> str | None:
     """CSV export of a report; skipped (None) when the result is empty.
-    ``single_file`` coalesces to one part and is meant for small reports
-    (a few hundred rows), never for per-customer or per-line outputs."""
-    if df.isEmpty():
-        return None
+    The report is evaluated once: the write counts its rows, and an empty
+    folder is removed again.  ``single_file`` coalesces to one part and is
+    meant for small reports (a few hundred rows), never for per-customer or
+    per-line outputs."""
     path = f"{out_dir.rstrip('/')}/{output_name}_{ts}"
-    out = df.coalesce(1) if single_file else df
+    rows = Observation(unique_name("export"))
+    out = (df.coalesce(1) if single_file else df).observe(rows, F.count(F.lit(1)).alias("rows"))
     out.write.mode("errorifexists").option("header", True).csv(path)
-    return path
-
+    if int(rows.get["rows"]):
+        return path
+    remove_path(df.sparkSession, path)
+    return None
+
+
+# Output names of the eight reports' export, in report order.
+REPORT_EXPORTS = [
+    ("monthly_growth", "PowerBI_01_Monthly_Revenue"),
+    ("regional", "PowerBI_02_Regional_KPIs"),
+    ("product_ranking", "PowerBI_03_Product_Ranking"),
+    ("category", "PowerBI_04_Category_Analysis"),
+    ("customer_ltv", "PowerBI_05_Customer_LTV_RFM"),
+    ("qoq", "PowerBI_06_Quarterly_Growth"),
+    ("payment", "PowerBI_07_Payment_Discounts"),
+    ("top_customers", "PowerBI_08_Top_Customers"),
+]
 
-# Output names of the BI export, in report order.
+# Output names of the slim reports' export, in report order.
 BI_EXPORTS = [
     ("monthly_growth", "PowerBI_Monthly_Revenue"),
     ("regional", "PowerBI_Regional_KPIs"),
@@ -110,10 +129,11 @@ BI_EXPORTS = [
 ]
 
 
-def export_for_bi(results: dict[str, DataFrame], out_dir: str, ts: str) -> dict[str, str]:
-    """Export the named report set; missing or empty results are skipped.
-    The exports are independent jobs, submitted together."""
-    todo = [(name, results[key]) for key, name in BI_EXPORTS if results.get(key) is not None]
+def export_for_bi(results: dict[str, DataFrame], out_dir: str, ts: str, names=BI_EXPORTS) -> dict[str, str]:
+    """S4 (``names=REPORT_EXPORTS``) and S5: export the named report set;
+    missing or empty results are skipped.  The exports are independent jobs,
+    submitted together."""
+    todo = [(name, results[key]) for key, name in names if results.get(key) is not None]
     with ThreadPoolExecutor(max_workers=4) as pool:
         paths = list(pool.map(lambda t: export_report(t[1], out_dir, t[0], ts), todo))
-    return {name: path for (name, _), path in zip(todo, paths) if path}
+    return {name: path for (name, _), path in zip(todo, paths, strict=True) if path}

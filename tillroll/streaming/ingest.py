@@ -3,8 +3,10 @@
 The batch run picks up the newest raw file each time.  As a stream,
 the file source remembers which batch folders it has already processed (in
 its checkpoint), and each micro-batch is cleaned and loaded with
-the warehouse's insert-or-ignore, so a re-delivered batch or a restarted
-query adds nothing twice.  ``availableNow`` processes whatever has arrived
+the warehouse's insert-or-ignore, the older batch stamp first, so a
+re-delivered batch or a restarted query adds nothing twice.  Each load brings
+its days and regions into their dimensions before its lines, keys its rejects
+by the batch, and logs the lines added and those the cleaner dropped.  ``availableNow`` processes whatever has arrived
 and stops, which suits scheduled runs; a processing-time trigger keeps it
 running.
 """
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.clean import clean_transactions
+from ..operators.clean import CleanCounts, clean_transactions, new_clean_counts
 from ..plans.warehouse import Warehouse
 from ..sources.files import BATCH_COL, RAW_TRANSACTIONS
 
@@ -34,12 +36,14 @@ def raw_transaction_stream(spark: SparkSession, raw_dir: str, max_files: int | N
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     root = raw_dir.rstrip("/")
-    return reader.csv(f"{root}/transactions" if layout == "folders" else f"{root}/transactions_*.csv")
+    if layout == "folders":
+        return reader.csv(f"{root}/transactions")
+    return reader.csv(f"{root}/transactions_*.csv").withColumn("_file", F.col("_metadata.file_name"))
 
 
-def to_sales_lines(raw: DataFrame) -> DataFrame:
+def to_sales_lines(raw: DataFrame, counts: CleanCounts | None = None) -> DataFrame:
     """Raw transactions (one line per order) in the warehouse's fact shape."""
-    return (clean_transactions(raw)
+    return (clean_transactions(raw, counts)
             .withColumn("date_id", F.date_format("order_date", "yyyy-MM-dd"))
             .withColumn("line_number", F.lit(1)))
 
@@ -49,7 +53,12 @@ def start_fact_ingest(spark: SparkSession, raw_dir: str, warehouse: Warehouse, c
     """Start the stream; each micro-batch goes through ``warehouse.load_fact``."""
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        warehouse.load_fact(to_sales_lines(batch.drop(BATCH_COL)))
+        counts = new_clean_counts()
+        order = [BATCH_COL] if BATCH_COL in batch.columns else ["_file"]
+        lines = to_sales_lines(batch, counts)
+        added = warehouse.load_fact(lines, order=order, batch_id=f"{checkpoint}#{epoch_id}")
+        warehouse.log_run(f"stream_batch_{epoch_id}", "SUCCESS", added,
+                          error=f"{counts.dropped()} of {counts.seen.get['rows']} lines dropped by the cleaner")
 
     writer = (raw_transaction_stream(spark, raw_dir, max_files, layout).writeStream
               .foreachBatch(load_batch).option("checkpointLocation", checkpoint))
