@@ -11,11 +11,12 @@ from itertools import combinations
 
 import numpy as np
 import pytest
-from conftest import LOWER, prose, terms, words
 
 from tillroll.llm import ann, bwt, ctw, decontam, eodscan, jaccard, mixing, ordinal, redirects, toxicity
 from tillroll.llm.common import components
 
+from .conftest import LOWER, prose, terms, words
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
