@@ -44,14 +44,17 @@ def test_top_customers_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
-def test_distributed_order_final_plan_is_a_scan_and_a_broadcast(spark):
+def test_distributed_order_final_plan_reads_buckets_and_a_broadcast(spark):
     df = spark.range(0, 500).selectExpr("id", "id % 7 as x")
     plan = _plan(global_order(df, [("x", True)], tie=["id"], buckets=4))
     tree = plan.split("\n\n\n")[0]
-    # ordering, bucket windows and the summary were written once; the rows
-    # are read back and joined to the (bounded) per-bucket table
-    assert "BroadcastExchange" in tree
-    assert "RangePartitioning" not in plan and "Window" not in tree and "Exchange SinglePartition" not in plan
+    # the ordered rows were written once, bucketed: their windows need no
+    # shuffle.  Only the written edges of the buckets (two rows each) meet in
+    # one partition, and they are joined back by broadcast
+    assert "BroadcastExchange" in tree and "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
+    single = [b for b in plan.split("\n\n") if "Exchange" in b.split("\n")[0] and "SinglePartition" in b]
+    assert single and all("_b" in b and "#" in b for b in single)
+    assert tree.count("Scan parquet") == 2
 
 
 def test_one_exchange_per_order_and_no_sorted_aggregate(spark):
@@ -59,7 +62,7 @@ def test_one_exchange_per_order_and_no_sorted_aggregate(spark):
     plan = _plan(global_order(df, [("x", True)], tie=["id"], partition=["p"], buckets=4))
     tree = plan.split("\n\n\n")[0]
     # the rows' one exchange, by range, was spent on the written table; its windows read buckets
-    assert "Exchange hashpartitioning" not in plan and "RangePartitioning" not in plan and "SortAggregate" not in tree
+    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan and "SortAggregate" not in tree
 
 
 @pytest.mark.parametrize("key", ["rpt_monthly_growth", "rpt_region_vs_average", "rpt_product_ranking", "rpt_category_share",

@@ -21,15 +21,16 @@ NOTES = {
     "adapter (sales_lines)": "orders x customers (calendar columns derived per order) and line items x parts "
                              "first, then one join on the order key; nation/region broadcast from file statistics; "
                              "scans read only named columns.",
-    "rpt_monthly_growth": "date dimension broadcast into the fact scan's stage; two exact distinct counts via "
-                          "Expand + partial aggregation; one small window over months.",
+    "rpt_monthly_growth": "date dimension joined by its measured size; distinct orders and customers from the "
+                          "(month, customer, order) roll-up, without Expand; one small window over months.",
     "rpt_top_customers": "WindowGroupLimit below the exchange (partial top-k per task), customer aggregate "
                          "read from its written copy.",
-    "rpt_product_ranking": "product aggregate written once; category rollup broadcast after a size check; "
-                           "rankings over the bounded product table.",
-    "rank_distributed": "range-bucketed ordering: the ordered rows and the per-bucket summary were written "
-                        "once (range exchange + one sort per bucket), so the final plan only reads the rows "
-                        "and joins the bounded summary by broadcast; no single-partition exchange over the data.",
+    "rpt_product_ranking": "product aggregate written once; four orders over narrow copies of it, each written "
+                           "bucketed; their results and the category rollup meet the products by key.",
+    "rank_distributed": "range-bucketed ordering: the ordered rows were written once, bucketed (one range "
+                        "exchange and one sort per bucket), so the windows read them without a shuffle; the "
+                        "edges of the buckets (two rows each) are the only single-partition input and come "
+                        "back by broadcast.",
 }
 
 
