@@ -230,12 +230,13 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOL
     found = stored(_verified(paired, threshold), "links")
     groups = components(found.select(F.col("class").alias("a"), F.col("root").alias("b")), "verified-links")
     linked = found.groupBy("class").agg(F.sum("linked").alias("linked"))
-    of_class = (classes.select("class", "copies").join(linked, "class", "left")
+    # Both sides of the next two joins are read from files, so that a class or group with a third of all rows can be split.
+    of_class = stored(classes.select("class", "copies").join(linked, "class", "left")
                 .join(groups.select(F.col("node").alias("class"), "root"), "class", "left")
                 .select("class", F.coalesce("root", "class").alias("group_root"),
-                        (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).cast("long").alias("n_links")))
+                        (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).cast("long").alias("n_links")), "class-links")
     rows = stored(signed.select("key", "doc_id", "class").join(of_class, "class", "left"), "near-duplicates")
-    first = rows.where("group_root is not null").groupBy("group_root").agg(F.min("doc_id").alias("class_id"))
+    first = stored(rows.where("group_root is not null").groupBy("group_root").agg(F.min("doc_id").alias("class_id")), "group-ids")
     return (rows.join(first, "group_root", "left")
             .select("key", "doc_id", "group_root", F.when(F.col("group_root").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
