@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import unique_name, work_path
+from ..session import remove_path, unique_name, work_path
 
 #: White space of the word definition ``[^\x20\x09-\x0D]+``.
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -18,14 +18,35 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
 
 
-def stored(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+_WORK: list[tuple[str, str, str | None]] = []   #: application, folder, and table name if it is in the catalog
+
+
+def note_work(spark: SparkSession, path: str, name: str | None = None) -> None:
+    """Note a work table for :func:`release_work`."""
+    _WORK.append((spark.sparkContext.applicationId, path, name))
+
+
+def release_work(spark: SparkSession) -> None:
+    """Delete the work tables that this application's operators have written
+    so far.  Call it when all their results have been written elsewhere."""
+    for entry in [w for w in _WORK if w[0] == spark.sparkContext.applicationId]:
+        if entry[2]:
+            spark.sql(f"DROP TABLE IF EXISTS {entry[2]}")
+        remove_path(spark, entry[1])
+        _WORK.remove(entry)
+
+
+def stored(df: DataFrame, label: str, partition_by: str | None = None, work: bool = True) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: later uses do
     not compute it again, and a lost executor re-reads files.  The schema is
-    given on reading, so an empty table stays readable."""
+    given on reading, so an empty table stays readable.  A ``work`` table goes
+    with :func:`release_work`; others stay."""
     spark = df.sparkSession
     path = work_path(spark, "llm", unique_name(label))
     writer = df.write.mode("errorifexists")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    if work:
+        note_work(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import unique_name, work_path
+from .common import note_work
 
 BLOCK_TOKENS = 1 << 20
 RUN = 1024
@@ -84,6 +85,7 @@ def write_flat(docs: DataFrame, make_encoder: Callable, eod: int, width: int = 2
     id_col, text = docs.columns
     (docs.select(F.col(id_col).cast("long"), text).mapInArrow(flat, schema)
      .write.partitionBy("kind").option("compression", "zstd").parquet(path))
+    note_work(spark, path)
     written = spark.read.schema(schema).parquet(path)
     return (written.where("kind = 'flat'").select("file", F.col("number").alias("block"), "tokens"),
             written.where("kind = 'ids'").select("file", F.col("number").alias("first"), "doc_ids"))

@@ -38,13 +38,14 @@ def word_count(text: str) -> Column:
 
 
 def water_fill(sources: DataFrame, weights: Sequence[int], max_epochs: int) -> DataFrame:
-    """``sources(source, source_size, ...)`` with ``target``.  Sources in code
-    point order, null last, weigh ``weights`` in turn; they share the sum of
-    all sizes."""
+    """``sources(source, source_size, ...)`` with ``number`` and ``target``.
+    Sources in code point order, null last, are numbered from 1 and weigh
+    ``weights`` in turn; they share the sum of all sizes."""
     every = Window.partitionBy()
-    turn = F.pmod(F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1, F.lit(len(weights)))
+    turn = F.pmod(F.col("number") - 1, F.lit(len(weights)))
     big = "decimal(38,0)"
-    s = (sources.withColumn("weight", F.element_at(F.array(*[F.lit(w) for w in weights]), turn + 1).cast("bigint"))
+    s = (sources.withColumn("number", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())))
+         .withColumn("weight", F.element_at(F.array(*[F.lit(w) for w in weights]), turn + 1).cast("bigint"))
          .withColumn("cap", F.col("source_size") * max_epochs)
          .withColumn("total", F.sum("source_size").over(every)))
     order = Window.orderBy((F.col("cap") / F.col("weight")).asc(), F.col("source").asc_nulls_last())
@@ -57,7 +58,7 @@ def water_fill(sources: DataFrame, weights: Sequence[int], max_epochs: int) -> D
          .withColumn("free_weight", F.sum(F.when(free, F.col("weight"))).over(every))
          .withColumn("target", F.when(F.col("clamped"), F.col("cap").cast("double"))
                      .otherwise(F.col("weight") * (F.col("rest").cast("double") / F.col("free_weight").cast("double")))))
-    return s.select(*sources.columns, "target")
+    return s.select(*sources.columns, "number", "target")
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_epochs: int = 3, seed: int = 17,
@@ -85,14 +86,16 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_epochs: int = 3
             .withColumn("bucket", F.floor(spread * F.ceil(F.col("source_docs") / F.lit(BUCKET_DOCS))))
             .withColumn("whole", whole)
             .withColumn("quota", F.floor("target").cast("bigint") - F.col("whole") * F.col("source_size")))
-    ahead = (rows.groupBy("its_source", "bucket").agg(F.sum("size").alias("in_bucket"))
+    # The rows (with the kept columns) are dealt by (number, bucket) once, for the window; the join finds them so.
+    ahead = (rows.groupBy("number", "bucket").agg(F.sum("size").alias("in_bucket"))
              .withColumn("before_bucket", F.coalesce(F.sum("in_bucket").over(
-                 Window.partitionBy("its_source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-             .select(F.col("its_source").alias("a_source"), F.col("bucket").alias("a_bucket"), "before_bucket"))
-    inside = Window.partitionBy("its_source", "bucket").orderBy("place", "size")
-    rows = (rows.join(ahead, F.col("its_source").eqNullSafe(F.col("a_source")) & (F.col("bucket") == F.col("a_bucket")))
-            .withColumn("before", F.col("before_bucket") + F.coalesce(
-                F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                 Window.partitionBy("number").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+             .select("number", "bucket", "before_bucket"))
+    inside = Window.partitionBy("number", "bucket").orderBy("place", "size")
+    rows = (rows.withColumn("before_here", F.coalesce(F.sum("size").over(
+                inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+            .join(ahead, ["number", "bucket"])
+            .withColumn("before", F.col("before_bucket") + F.col("before_here"))
             .withColumn("part", F.greatest(F.lit(0).cast("bigint"), F.least(F.col("size"), F.col("quota") - F.col("before"))))
             .withColumn("taken", F.col("whole") * F.col("size") + F.col("part")))
     return rows.select("doc_id", "size", "source_size", "target", "taken", "whole", "part",
