@@ -113,7 +113,9 @@ def fit(x: np.ndarray, grade: np.ndarray, steps: int = 300, rate: float = 0.05,
     x[:, :BUCKETS] /= many + PRIOR
     scale = (1.0 / (x.std(axis=0) + 1e-4)).astype(np.float32)
     middle = x.mean(axis=0) * scale
-    z = x * scale - middle
+    z = x              # in place: the sample is the driver's largest array
+    z *= scale
+    z -= middle
     held = np.full(x.shape[1], penalty)
     held[-1] = 0.0
     share = np.cumsum(np.bincount(y, minlength=k))[:-1] / len(y)
