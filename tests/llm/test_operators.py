@@ -374,6 +374,25 @@ def test_repeats_of_nothing_and_long_texts(spark, no_docs):
     assert got == {1: (len(("Start#" + long[100:] + " end").encode()), 0), 2: (len(long.encode()), len(long[100:].encode())), 3: (0, 0)}
 
 
+def test_a_line_in_many_surroundings_is_dealt_by_string(spark, monkeypatch):
+    line = "= = shared header line of forty bytes = ="
+    texts = [(i, prose(i, 12) + line + prose(i // 3 if i % 5 else i, 12)) for i in range(1000, 1120)]
+    texts += [(i, prose(i - 400, 12) + line + "tail of " + prose(7, 9)) for i in range(1400, 1460)]
+    whole = bwt.smallest_holders
+
+    def bounded(slices, *rest):
+        assert len(slices) <= 60, "one shard got the slices of a common line"
+        return whole(slices, *rest)
+
+    monkeypatch.setattr(bwt, "SPLIT", 20, raising=False)
+    monkeypatch.setattr(bwt, "CHUNK", 4000)
+    monkeypatch.setattr(bwt, "SHARD_TEXT", 1000)
+    monkeypatch.setattr(bwt, "smallest_holders", bounded)
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in bwt.remove_repeats(df).collect()), key=repr)
+    assert got == slow_cut(texts) and sum(r[2] for r in got) > 0
+
+
 def test_transform_separates_at_the_common_prefix():
     rng = np.random.default_rng(4)
     text = np.concatenate([np.append(rng.integers(97, 100, 60), 255) for _ in range(30)] * 2).astype(np.uint8)
