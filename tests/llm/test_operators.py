@@ -334,6 +334,25 @@ def test_url_rules_and_aliases(spark):
     assert rows(redirects.filter_urls(df.where("page_id < 0"), rules)) == []
 
 
+def test_targets_are_resolved_and_all_links_count(spark):
+    at = "http://H.org/a/b/p.html?x=1#f"
+    targets = {"index.html": "http://h.org/a/b/index.html", "?page=1": "http://h.org/a/b/p.html?page=1", "./q": "http://h.org/a/b/q",
+               "../q/": "http://h.org/a/q/", "../../../q": "http://h.org/q", "..": "http://h.org/a/", "/c/../d?u=a/../b": "http://h.org/d?u=a/../b",
+               "//I.org": "http://i.org", "go?u=http://z.org/": "http://h.org/a/b/go?u=http://z.org/", "#top": "http://h.org/a/b/p.html?x=1",
+               "HTTPS://J.org/x/./y": "https://j.org/x/y", "mailto:me@h.org": None, "javascript:void(0)": None}
+    df = spark.createDataFrame([(at, t) for t in targets], "url string, target string")
+    got = df.select("target", redirects.node_of(redirects.resolved(df.target, "url")).alias("node")).collect()
+    assert {r.target: r.node for r in got} == targets
+    bare = spark.createDataFrame([("http://k.org", "x"), ("http://k.org?q", "?r"), ("no-scheme", "x"), ("no-scheme", "/x")], "url string, target string")
+    assert [r[0] for r in bare.select(redirects.resolved(bare.target, "url")).collect()] == ["http://k.org/x", "http://k.org?r", None, None]
+    index = '<link rel=canonical href="index.html">'
+    pages = [(1, "http://good.org/1", index), (2, "http://bad.net/es/1", index), (3, "http://n.org/", index + '<link rel="canonical" href="http://bad.net/es/2">'),
+             (4, "http://m.org/", """<meta http-equiv="refresh" content="0; url='http://bad.net/es/3'">"""), (5, "http://bad.net/es/index.html", "")]
+    pages = spark.createDataFrame(pages, "page_id long, url string, html string")
+    verdicts = {r.page_id: r.verdict for r in redirects.filter_urls(pages, [("block", "net", "/es/")]).collect()}
+    assert verdicts == {1: "allow", 2: "block", 3: "block", 4: "block", 5: "block"}
+
+
 # 9 ------------------------------------------------------------------ repeated passages
 def slow_cut(data, length=50):
     order = sorted(data, key=lambda r: (r[0] is None, r[0] or 0))
