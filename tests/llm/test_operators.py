@@ -238,6 +238,18 @@ def test_ordinal_without_ratings(spark, docs, no_docs):
     assert ordinal.score(docs, model).count() == docs.count() and ordinal.score(no_docs, model).count() == 0
 
 
+def test_samples_stay_bounded_when_documents_repeat(spark, monkeypatch):
+    fitted = {}
+    fit, logistic = ordinal.fit, toxicity.logistic
+    monkeypatch.setattr(ordinal, "fit", lambda x, grade, *a: fitted.update(quality=sorted(grade)) or fit(x, grade, *a))
+    monkeypatch.setattr(toxicity, "logistic", lambda x, y, *a: fitted.update(toxic=sorted(y)) or logistic(x, y, *a))
+    df = spark.createDataFrame([(1, f"{prose(i, 9)} moron") for i in range(300)] + [(2, prose(2)), (2, None), (3, None), (4, prose(4))], "doc_id long, text string")
+    said = spark.createDataFrame([(1, 1), (2, 0), (2, 0), (2, 1), (3, 0), (9, 1), (None, 1)], "doc_id long, said int")
+    ordinal.train(df, said.withColumnRenamed("said", "grade"))
+    toxicity.train(df, said.withColumnRenamed("said", "label"))
+    assert fitted == {"quality": [0, 0, 0, 1, 1], "toxic": [0, 0, 0, 1, 1]}
+
+
 # 6 ------------------------------------------------------------------ Jaccard join
 def shingles(text, n=5):
     w = terms(text)

@@ -78,6 +78,16 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000null")) for c in columns])
 
 
+def sampled(docs: DataFrame, chosen: DataFrame, value: str) -> DataFrame:
+    """``doc_id, text, value``: one row for each row of ``chosen(doc_id,
+    value)`` whose document is in ``docs``, whatever the repeats there (the
+    smallest text of a repeated document)."""
+    asked = chosen.groupBy(F.col("doc_id").alias("asked_id")).agg(F.sort_array(F.collect_list(value)).alias("__values"))
+    return (docs.select("doc_id", "text").join(F.broadcast(asked), F.col("doc_id") == F.col("asked_id"))
+            .groupBy("doc_id", "__values").agg(F.min("text").alias("text"))
+            .select("doc_id", "text", F.explode("__values").alias(value)))
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Connected components of ``edges(a, b)``: ``(node, root)``, root being
     the component's smallest node.

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytesops import column_bytes, slices, word_bytes, words
-from .common import with_columns
+from .common import sampled, with_columns
 
 BUCKETS = 4096
 SAMPLE = 6000
@@ -145,11 +145,11 @@ def fit(x: np.ndarray, grade: np.ndarray, steps: int = 300, rate: float = 0.05,
 def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE, seed: int = 5) -> Ordinal:
     """Fit on ``ratings(doc_id, grade)`` joined to ``docs(doc_id, text)``;
     rows with a null grade or id are left out, a document rated twice counts
-    twice."""
+    twice, one that ``docs`` repeats once a rating."""
     chosen = (ratings.where("grade is not null and doc_id is not null")
               .orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "grade").limit(sample)
-              .select(F.col("doc_id").alias("rated_id"), F.col("grade").cast("double").alias("grade")))
-    rated = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("rated_id")).select("doc_id", "text", "grade")  # at most ``sample`` rows
+              .select("doc_id", F.col("grade").cast("double").alias("grade")))
+    rated = sampled(docs, chosen, "grade")  # at most ``sample`` rows
 
     def features(batches):
         for batch in batches:

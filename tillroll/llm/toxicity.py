@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytesops import column_bytes, lowered, prefix_hash, slices, span_hash, word_bytes, word_spans
-from .common import stored, with_columns
+from .common import sampled, stored, with_columns
 
 SAMPLE = 20_000       #: labelled rows, at most, that the model is fitted on
 TERMS = 2048          #: entries of the lexicon, at most
@@ -285,12 +285,12 @@ def learn_lexicon(toxic: DataFrame, clean: DataFrame, base: float, most: int = T
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int = TERMS, seed: int = 10) -> Model:
     """Fit on ``labels(doc_id, label)`` (0 or 1; others and nulls are left
-    out) joined to ``docs(doc_id, text)``, on at most ``sample`` of them."""
+    out) joined to ``docs(doc_id, text)``, on at most ``sample`` of them; a
+    document that ``docs`` repeats counts once a label."""
     chosen = (labels.where("label in (0, 1) and doc_id is not null")
               .orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "label").limit(sample)
-              .select(F.col("doc_id").alias("labelled_id"), F.col("label").cast("int").alias("label")))
-    rows = stored(docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id")).select("text", "label"),  # at most ``sample`` rows
-                  "toxicity-sample")
+              .select("doc_id", F.col("label").cast("int").alias("label")))
+    rows = stored(sampled(docs, chosen, "label").select("text", "label"), "toxicity-sample")  # at most ``sample`` rows
     n, positive = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
     base = (positive + 0.5) / (n + 1.0)
     lexicon = Lexicon(learn_lexicon(rows.where("label = 1"), rows.where("label = 0"), base, terms) if positive else [])
