@@ -1,12 +1,11 @@
-"""N-gram Jaccard join with a MinHash LSH forest.
+"""N-gram Jaccard join by MinHash banding with fixed keys.
 
 1. Texts with equal word sequences form a *class*; everything below works on
    one text a class, so thousands of copies cost one row.
-2. A class's word shingles give a MinHash signature for each of
-   :data:`TREES` prefix tries.  Signatures lie in the tries in sorted order, a
-   node being the run of signatures with one prefix.  Prefixes start at
-   :data:`DEEPEST` values and are shortened, a value at a time, until two texts
-   at the threshold meet in some trie with the target recall.
+2. A class's word shingles give :data:`TREES` keys, each a hash of a few
+   MinHash values; a node is the classes with one key.  The number of values
+   is the largest, up to :data:`DEEPEST`, at which two texts at the threshold
+   share some key with the target recall; it does not depend on the data.
 3. The classes under a node are linked to the node's first class only (never
    to each other), and the connected components of those links are the
    candidate clusters.  A cluster of more than :data:`BLOCK` classes is cut
