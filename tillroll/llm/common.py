@@ -88,6 +88,25 @@ def sampled(docs: DataFrame, chosen: DataFrame, value: str) -> DataFrame:
             .select("doc_id", "text", F.explode("__values").alias(value)))
 
 
+#: Keys that hold more than this share's inverse of all rows are at most as many as it.
+HOT = 1000
+
+
+def join_hot(rows: DataFrame, keyed: DataFrame, key: str, weight: str) -> DataFrame:
+    """``rows`` joined to ``keyed`` (one row for each of their keys, none
+    null), of which ``weight`` says how many of the rows have that key.
+
+    Keys of more than a thousandth of all rows, under a thousand of them, are
+    broadcast, so that their rows stay where they are; the others are shuffled,
+    and none of them can fill a task.  Pass written tables: both are read twice."""
+    total = keyed.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    hot = keyed.where(F.col(weight) * HOT > total)
+    cold = keyed.where(F.col(weight) * HOT <= total).drop(weight)
+    of_hot = rows.join(F.broadcast(hot.drop(weight)), key)
+    others = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    return of_hot.unionByName(others)
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Connected components of ``edges(a, b)``: ``(node, root)``, root being
     the component's smallest node.
@@ -96,21 +115,21 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     neighbours are linked to the smallest one, first the larger neighbours,
     then the smaller ones.  Each step is one aggregate for the smallest
     neighbour (combined before the shuffle, so a hub costs one row a task) and
-    one join, which may be split where a hub is hot.  Every round is written to
-    the shared folder; rounds end when nothing changes (about the logarithm
-    of the longest path)."""
+    one join, in which hubs stay where they are (:func:`join_hot`).  Every round
+    is written to the shared folder; rounds end when nothing changes (about the
+    logarithm of the longest path)."""
     spark = edges.sparkSession
     e = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                .where("a <> b").distinct(), label)
     before = None
     while True:
         both = e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = (both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count(F.lit(1)).alias("links")), label)
+        large = (join_hot(both, least, "a", "links").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.where("m < a").select("a", F.col("m").alias("b"))).where("a <> b").distinct())
         large = stored(large, label)
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = stored(large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("links")), label)
+        small = (join_hot(large, least, "a", "links").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
         e = stored(small, label)
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

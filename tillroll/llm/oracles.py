@@ -121,5 +121,102 @@ SELECT d.doc_id, CASE WHEN len(d.w) = 0 THEN d.doc_id ELSE class_id END AS class
 FROM d LEFT JOIN member USING (r) LEFT JOIN grp USING (c) LEFT JOIN first_id USING (g) LEFT JOIN deg USING (c)"""
 
 
+
+#: The table of CRC-32, from its rule, and the CRC of the UTF-8 bytes of a text column.
+CRC_TABLE = """
+crc AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+
+
+def crc32(text: str) -> str:
+    """``text`` with the table ``crc.t`` in scope."""
+    return (f"xor(list_reduce(list_prepend(4294967295, list_transform(range(strlen({text})), lambda i: ('0x' || substr(hex({text}), 2 * i + 1, 2))::BIGINT)),"
+            f" lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+SPELLING = rf"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  GROUP BY ALL),
+hashed AS (SELECT run, times, {crc32("(id || ':' || run)")} AS h FROM runs, crc),
+words AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times FROM hashed),
+v AS MATERIALIZED (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM words WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+cut AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i) AS p, substr(word, i + 2) AS s FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)),
+near AS MATERIALIZED (
+  SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.i = b.i AND a.p = b.p AND a.s = b.s AND a.word <> b.word
+  UNION SELECT cut.word, v.word, v.n FROM cut JOIN v ON v.word = cut.p || cut.s
+  UNION SELECT v.word, cut.word, cut.n FROM cut JOIN v ON v.word = cut.p || cut.s),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS n FROM near GROUP BY word),
+f AS MATERIALIZED (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN best.n >= 5 * v.n THEN other END AS form,
+         CASE WHEN best.n >= 5 * v.n THEN best.n END AS form_n
+  FROM v LEFT JOIN best USING (word)),
+chain(word, pos) AS (SELECT word, word FROM f UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON f.word = chain.pos WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, ends.pos AS root, f.n, f.n_near, f.form_n
+FROM f JOIN (SELECT chain.word, chain.pos FROM chain JOIN f ON f.word = chain.pos WHERE f.form IS NULL) ends USING (word)"""
+
+
+def _merkle_levels(name: str, tree: str, most: int) -> str:
+    """Levels ``{name}0 .. {name}{most}`` (tree, pos, n, digest) of the trees of
+    ``{name}0``, and the digests beside each node of a level."""
+    out = []
+    for k in range(most):
+        out.append(f"""{name}{k + 1} AS MATERIALIZED (
+  SELECT {tree}, pos // 8 AS pos, count(*) OVER (PARTITION BY {tree}) AS n, sha256(string_agg(digest, '' ORDER BY pos)) AS digest
+  FROM {name}{k} WHERE n > 1 GROUP BY {tree}, pos // 8),
+{name}_beside{k} AS MATERIALIZED (
+  SELECT {tree}, pos, coalesce(string_agg(digest, '') OVER (before ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(digest, '') OVER (before ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}{k} WHERE n > 1 WINDOW before AS (PARTITION BY {tree}, pos // 8 ORDER BY pos))""")
+    return ",\n".join(out)
+
+
+def _merkle() -> str:
+    """The manifest's SQL: up to 8 levels in a language, 3 over the languages."""
+    def digest(*fields):
+        return "sha256(" + " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in fields) + ")"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    own, over = 8, 3
+    steps = []
+    for k in range(own):
+        steps.append(f"""p{k + 1} AS MATERIALIZED (
+  SELECT p.* REPLACE (p.pos // 8 AS pos, CASE WHEN b.pos IS NULL THEN p.node ELSE sha256(b.l || p.node || b.r) END AS node, p.proof || coalesce(b.l || b.r, '') AS proof)
+  FROM p{k} p LEFT JOIN a_beside{k} b ON p.pos = b.pos AND p.tree = b.tree)""")
+    for k in range(over):
+        steps.append(f"""q{k + 1} AS MATERIALIZED (
+  SELECT q.* REPLACE (q.place // 8 AS place, CASE WHEN b.pos IS NULL THEN q.node ELSE sha256(b.l || q.node || b.r) END AS node, q.proof || coalesce(b.l || b.r, '') AS proof)
+  FROM q{k} q LEFT JOIN b_beside{k} b ON q.place = b.pos)""")
+    tops = " UNION ALL ".join(f"SELECT tree, digest FROM a{k} WHERE n = 1" for k in range(own + 1))
+    roots = " UNION ALL ".join(f"SELECT digest FROM b{k} WHERE n = 1" for k in range(over + 1))
+    return f"""
+WITH {CRC_TABLE},
+d AS MATERIALIZED (
+  SELECT doc_id, coalesce('=' || lang, '-') AS tree, {digest("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+         CASE WHEN {crc32("CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN {digest("doc_id", "source", "lang", "n_chars", lower)} END AS other
+  FROM documents, crc),
+a0 AS MATERIALIZED (
+  SELECT *, leaf AS digest, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM d),
+{_merkle_levels("a", "tree", own)},
+b0 AS MATERIALIZED (SELECT 0 AS every, tree, digest, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM ({tops})),
+{_merkle_levels("b", "every", over)},
+p0 AS (SELECT doc_id, tree, pos, leaf, coalesce(other, leaf) AS node, '' AS proof FROM a0),
+{", ".join(steps[:own])},
+q0 AS (SELECT p.*, b0.pos AS place, b0.digest AS subroot FROM p{own} p JOIN b0 USING (tree)),
+{", ".join(steps[own:])},
+root AS ({roots})
+SELECT doc_id, leaf, subroot, root.digest AS root, sha256(proof) AS proof_sha256, node AS folded_root, node = root.digest AS verified
+FROM q{over} CROSS JOIN root"""
+
+
+MANIFEST = _merkle()
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": MIXING, "op4_decontamination": DECONTAMINATION, "op6_jaccard": JACCARD, "op8_url_filters": URL_FILTERS}
+    return {"op2_mixing": MIXING, "op4_decontamination": DECONTAMINATION, "op6_jaccard": JACCARD, "op8_url_filters": URL_FILTERS,
+            "op12_spelling": SPELLING, "op13_manifest": MANIFEST}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bwt, ctw, decontam, eodscan, jaccard, mixing, ordinal, redirects, toxicity
+from . import ann, bwt, ctw, decontam, eodscan, jaccard, merkle, mixing, ordinal, redirects, simhash, spelling, toxicity
 from .common import table
 
 #: Folder of the public tokenizers' vocabulary files, on the driver.
@@ -84,6 +84,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents", "doc_id", "text"), slip=199)
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", *merkle.FIELDS)
+    tampered = merkle.tampered_leaf(when=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0)
+    return merkle.prove(merkle.build(docs, changed=tampered)).withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_neighbours, op2_mixing, op3_lm_scoring, op4_decontamination, op5_quality, op6_jaccard, op7_token_counts,
-                                      op8_url_filters, op9_repeated_passages, op10_toxicity)}
+                                      op8_url_filters, op9_repeated_passages, op10_toxicity, op11_simhash, op12_spelling, op13_manifest)}
