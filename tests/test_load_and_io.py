@@ -237,12 +237,6 @@ def test_other_masters_need_a_shared_folder():
         ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None)))
 
 
-def test_an_order_with_two_customers_is_seen(spark):
-    from tillroll.operators.distinct import one_customer_per_order
-    df = spark.createDataFrame([(1, 7), (1, 7), (2, 7), (2, 8), (3, None)], "order_id long, customer_id long")
-    assert one_customer_per_order(df) == 1
-
-
 def test_cli_list_and_show(spark, capsys):
     from conftest import SF_SMALL
     from tillroll.__main__ import main

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 
 from tillroll.operators.clean import clean_transactions, new_clean_counts
 from tillroll.operators.dedupe import first_per_key, insert_or_ignore
-from tillroll.operators.quantiles import exact_quantiles, quintile_score
+from tillroll.operators.quantiles import exact_quantiles, quintile_score, values_at
 
 
 def test_cleaner_fixture(spark):
@@ -65,26 +65,37 @@ def test_first_per_key_under_a_hot_key(spark):
 def test_qcut_fixture_collapse_and_strict(spark):
     vals = [1, 1, 1, 1, 1, 1, 2, 2, 3, 9]
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)], "id long, x double")
-    e = exact_quantiles(df, "x", [0.2, 0.4, 0.6, 0.8], ["id"], buckets=3).first()
-    assert [e.q0, e.q1, e.q2, e.q3] == pytest.approx([1, 1, 1.4, 2.2])
-    scored = quintile_score(df, "x", ["id"], "s", buckets=3)
+    edges, least, most = exact_quantiles(df, "x", [0.2, 0.4, 0.6, 0.8])
+    assert edges == pytest.approx([1, 1, 1.4, 2.2]) and (least, most) == (1, 9)
+    scored = quintile_score(df, "x", "s")
     assert [r.s for r in scored.orderBy("id").collect()] == [1] * 6 + [4, 4, 5, 5]
     with pytest.raises(ValueError):
-        quintile_score(df, "x", ["id"], "s", mode="strict", buckets=3)
+        quintile_score(df, "x", "s", mode="strict")
     with pytest.raises(ValueError):
         pd.qcut(pd.Series(vals), 5, labels=[1, 2, 3, 4, 5], duplicates="drop")
 
 
-@pytest.mark.parametrize("rows", [None, 10_000])
-def test_quintiles_equal_pandas_without_ties(spark, rows):
+@pytest.mark.parametrize("fetch", [20_000, 60, 7])
+def test_selected_values_are_those_of_the_sorted_rows(spark, fetch):
+    """Positions found by narrowing brackets: hot values, nulls, many positions."""
+    rnd = random.Random(fetch)
+    vals = [None] * 30 + [5] * 700 + [6] * 400 + [rnd.randint(0, 3000) for _ in range(900)] + [9000, -4]
+    df = spark.createDataFrame([(v,) for v in vals], "x long").repartition(3)
+    kept = sorted(v for v in vals if v is not None)
+    at = [1, 2, 3, 350, 701, 702, 1100, 1101, 1102, 1103, 1500, len(kept) - 1, len(kept)]
+    assert values_at(df, "x", at, len(kept), fetch) == {p: kept[p - 1] for p in at}
+
+
+@pytest.mark.parametrize("fetch", [20_000, 50])
+def test_quintiles_equal_pandas_without_ties(spark, fetch):
     rnd = random.Random(3)
     vals = rnd.sample(range(100_000), 997)
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)], "id long, x double")
-    scored = quintile_score(df, "x", ["id"], "s", buckets=4, rows=rows)
+    scored = quintile_score(df, "x", "s", fetch=fetch)
     got = [r.s for r in scored.orderBy("id").collect()]
     exp = pd.qcut(pd.Series(vals, dtype=float), 5, labels=[1, 2, 3, 4, 5]).astype(int).tolist()
     assert got == exp
-    rev = quintile_score(df, "x", ["id"], "r", reverse=True, buckets=4, rows=rows)
+    rev = quintile_score(df, "x", "r", reverse=True, fetch=fetch)
     assert [r.r for r in rev.orderBy("id").collect()] == [6 - s for s in exp]
 
 

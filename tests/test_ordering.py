@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tillroll.operators.ordering import global_order, materialize, ordered_table, ranked
+from tillroll.operators.ordering import bucket_of, cut_points, materialize, ranked, ranked_by
 
 OUTPUTS = {"rk": "rank", "dr": "dense_rank", "rn": "row_number", "pr": "percent_rank",
            "ar": "average_rank", "n": "count", "nt": "ntile5", "cm": "cum_m"}
@@ -62,13 +62,52 @@ def test_distributed_matches_window(skewed, part, asc, buckets):
 def test_hot_key_is_split_across_buckets(skewed):
     """A key with a third of the rows lies in several buckets, none of which
     holds much more than its share, and is ranked as one group."""
-    rows = ordered_table(skewed.select("id", "x"), [F.col("x").asc(), F.col("id").asc()], 8)
+    order = [("x", True), ("id", True)]
+    cuts = cut_points([(r.x, r.id) for r in skewed.collect()], order, 8)
+    rows = skewed.withColumn("_b", bucket_of(skewed, order, cuts))
     per_bucket = {r._b: (r["count"], r.hot) for r in rows.groupBy("_b").agg(
         F.count("*").alias("count"), F.sum((F.col("x") == 7).cast("int")).alias("hot")).collect()}
     assert sum(1 for _, hot in per_bucket.values() if hot) >= 3
     assert max(n for n, _ in per_bucket.values()) < 2 * 2500 / 8
-    g = global_order(skewed, [("x", True)], tie=["id"], buckets=8)
-    assert g.where("x = 7").select("_rank").distinct().count() == 1
+    g = ranked(skewed, [("x", True)], tie=["id"], outputs={"rk": "rank"}, buckets=8)
+    assert g.where("x = 7").select("rk").distinct().count() == 1
+
+
+def test_buckets_follow_sparks_order(spark):
+    """Nulls, NaN and both directions: buckets ascend with Spark's sort."""
+    rows = [(i, v) for i, v in enumerate([None, 1.0, float("nan"), -0.5, None, float("inf"), 3.0, 1.0, float("nan"), 2.0] * 4)]
+    df = spark.createDataFrame(rows, "id long, x double")
+    for asc in (True, False):
+        order = [("x", asc), ("id", True)]
+        cuts = cut_points([(v, i) for i, v in rows], order, 7)
+        placed = df.withColumn("b", bucket_of(df, order, cuts)).orderBy(F.col("x").asc() if asc else F.col("x").desc(), "id").collect()
+        assert len(cuts) == 6 and [r.b for r in placed] == sorted(r.b for r in placed) and {r.b for r in placed} == set(range(7))
+
+
+@pytest.mark.parametrize("asc", [True, False])
+def test_orders_that_share_buckets_and_one_that_does_not(skewed, asc):
+    """Several specs of one order, of another, and sums over a partition, at once."""
+    got = ranked_by(skewed, ["id"], [
+        dict(order=[("x", asc)], outputs={"rk": "rank", "ar": "average_rank", "dr": "dense_rank", "pr": "percent_rank"}),
+        dict(order=[("x", asc)], partition=["p"], outputs={"prk": "rank", "from_end": "rank_desc"}),
+        dict(order=[("m", True), ("x", False)], partition=["p"], sums=["m"], outputs={"rn": "row_number", "cm": "cum_m", "nt": "ntile5"})], 9)
+    x = F.col("x").asc() if asc else F.col("x").desc()
+    back = F.col("x").desc() if asc else F.col("x").asc()
+    w, p, q = Window.orderBy(x), Window.partitionBy("p"), Window.partitionBy("p").orderBy("m", F.col("x").desc(), "id")
+    ties = F.count(F.lit(1)).over(Window.partitionBy("x"))
+    exp = skewed.withColumns({
+        "rk": F.rank().over(w), "dr": F.dense_rank().over(w), "pr": F.percent_rank().over(w), "prk": F.rank().over(p.orderBy(x)),
+        "from_end": F.rank().over(p.orderBy(back)), "rn": F.row_number().over(q), "nt": F.ntile(5).over(q),
+        "cm": F.sum("m").over(q.rowsBetween(Window.unboundedPreceding, 0))}).withColumn("ar", F.floor((2 * F.col("rk") + ties - 1) / 2))
+    names = ["id", "rk", "dr", "prk", "from_end", "rn", "nt", "cm", "ar", "pr"]
+    assert sorted(map(tuple, got.select(*names).collect())) == sorted(map(tuple, exp.select(*names).collect()))
+
+
+def test_counts_beyond_the_broadcast_bound_are_joined(skewed, monkeypatch):
+    from tillroll.operators import ordering
+    monkeypatch.setattr(ordering, "BROADCAST_ROWS", 0)
+    got = ranked(skewed, [("x", False)], tie=["id"], partition=["p"], sums=["m"], buckets=5, outputs=OUTPUTS)
+    _compare(got, _expected(skewed, ["p"], False))
 
 
 @settings(max_examples=12, deadline=None)
@@ -131,4 +170,4 @@ def test_empty_input(spark, rows):
     got = ranked(df, [("x", False)], tie=["id"], partition=["p"], sums=["m"], buckets=3, rows=rows,
                  outputs=OUTPUTS)
     assert got.count() == 0 and "nt" in got.columns
-    assert quintile_score(df, "x", ["id"], "s", buckets=3, rows=rows).count() == 0
+    assert quintile_score(df, "x", "s").count() == 0

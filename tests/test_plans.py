@@ -9,7 +9,7 @@ import io
 import pytest
 
 from conftest import SF_SMALL
-from tillroll.operators.ordering import global_order
+from tillroll.operators.ordering import ranked_by
 from tillroll.plans import registry, reports
 from tillroll.plans.star import load_star
 
@@ -44,25 +44,26 @@ def test_top_customers_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
-def test_distributed_order_final_plan_reads_buckets_and_a_broadcast(spark):
-    df = spark.range(0, 500).selectExpr("id", "id % 7 as x")
-    plan = _plan(global_order(df, [("x", True)], tie=["id"], buckets=4))
-    tree = plan.split("\n\n\n")[0]
-    # the ordered rows were written once, bucketed: their windows need no
-    # shuffle.  Only the written edges of the buckets (two rows each) meet in
-    # one partition, and they are joined back by broadcast
-    assert "BroadcastExchange" in tree and "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
-    single = [b for b in plan.split("\n\n") if "Exchange" in b.split("\n")[0] and "SinglePartition" in b]
-    assert single and all("_b" in b and "#" in b for b in single)
-    assert tree.count("Scan parquet") == 2
-
-
-def test_one_exchange_per_order_and_no_sorted_aggregate(spark):
+def test_orders_share_one_exchange_by_bucket(spark):
     df = spark.range(0, 500).selectExpr("id", "id % 7 as x", "id % 3 as p")
-    plan = _plan(global_order(df, [("x", True)], tie=["id"], partition=["p"], buckets=4))
+    plan = _plan(ranked_by(df, ["id"], [
+        dict(order=[("x", True)], outputs={"rk": "rank", "nt": "ntile5"}),
+        dict(order=[("x", True)], partition=["p"], outputs={"prk": "rank_desc", "n": "count"})], buckets=4, rows=500))
     tree = plan.split("\n\n\n")[0]
-    # the rows' one exchange, by range, was spent on the written table; its windows read buckets
-    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan and "SortAggregate" not in tree
+    # one exchange of the rows, by bucket; the counts of the buckets come by broadcast
+    assert tree.count("Exchange") - tree.count("BroadcastExchange") == 1 and tree.count("BroadcastExchange") == 2
+    assert "Exchange hashpartitioning" not in tree or "_b0" in plan
+    assert "SinglePartition" not in plan and "SortAggregate" not in tree
+
+
+def test_customer_report_writes_counts_and_no_ordered_table(spark, monkeypatch):
+    """R5 writes the customers and a count for each bucket of its three orders, no rows in order."""
+    from tillroll.operators import ordering
+    written = []
+    plain = ordering.materialize
+    monkeypatch.setattr(ordering, "materialize", lambda df, label="table": written.append(label) or plain(df, label))
+    registry.queries()["rpt_customer_ltv_rfm"](spark, SF_SMALL)
+    assert written == ["bucket_counts"] * 5
 
 
 @pytest.mark.parametrize("key", ["rpt_monthly_growth", "rpt_region_vs_average", "rpt_product_ranking", "rpt_category_share",

@@ -2,53 +2,41 @@
 
 ``RANK() OVER (ORDER BY x)`` with no ``PARTITION BY`` (or partitioned by a
 handful of regions) makes Spark move every row into one task.  For millions
-of customers or products that task is the job.  :func:`global_order`
-computes the same numbers distributed, with one plan for every size:
-
-1. ``repartitionByRange`` on the full sort key *including a unique tie
-   column*, so bucket ``b`` holds a contiguous slice of the global order and
-   even a key shared by a third of all rows is cut into many buckets.  One
-   sort per bucket; ``monotonically_increasing_id`` then carries the bucket
-   (high bits) and the row's place in it (low bits).  Only the columns that
-   the order needs are moved.  The rows are written once, bucketed by ``b``;
-2. windows over ``b`` read that table without a shuffle: group starts from the
-   previous row, running sums, and group ends (only when needed) from a
-   window in the reverse order;
-3. the first and the last row of each bucket give the offsets: rows, sums and
-   distinct keys before a bucket, and the true start and end of the key groups
-   that cross a bucket edge.  No aggregate over the rows is needed, only
-   windows over these few rows (:func:`bucket_count` chooses how many);
-4. they are broadcast back, and each row's global value is its local value
-   plus the offset.
-
-Output columns (all within the optional ``partition`` columns, which are
-handled as a leading sort key so few large partitions are also split):
-
-``_pos``        ROW_NUMBER over (order, tie)
-``_rank``       RANK over order
-``_rank_last``  position of the last row tied with this one (average rank) *
-``_dense``      DENSE_RANK over order
-``_n``          rows in the partition *
-``_cum_<c>``    SUM(c) over (order, tie) ROWS UNBOUNDED PRECEDING..CURRENT ROW
-
-(* only with ``need_ends``.)  Helpers derive NTILE and PERCENT_RANK from
-these.
+of customers or products that task is the job.  :func:`ranked_by` computes the
+same numbers from counts per bucket, with one plan for every size:
+
+1. A bounded sample of the sort keys, *including the rows' unique key*, gives
+   cut points, so that bucket ``b`` holds a contiguous slice of the global order
+   and even a value shared by a third of all rows is cut into many buckets.
+2. One aggregate counts each bucket's rows, sums and distinct values, and the
+   rows that hold the value of the cut before or after it.  Windows over
+   these counts (a row for each bucket and partition) give what lies before
+   each bucket, and where the groups that cross a cut begin and end.
+3. Windows within a bucket rank its rows; a row's global value is its local one
+   plus the bucket's offset.  All outputs of one order share one exchange, by
+   bucket, and none of it is written.
+
+The counts are written, so their size is known: up to :data:`BROADCAST_ROWS`
+they are broadcast, beyond that they are joined by key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import cmp_to_key, reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import register_table, shuffle_partitions, unique_name, work_path
+from ..session import shuffle_partitions, unique_name, work_path
 
 Order = Sequence[tuple[str, bool]]  # (column, ascending)
 
-BUCKET_ROWS = 2_000_000   # target rows per bucket
-_PLACE_BITS = 33          # of monotonically_increasing_id: the row's place in its partition
+BUCKET_ROWS = 1_000_000    # target rows per bucket
+SAMPLE = 60                # sampled keys per bucket, on the driver
+BROADCAST_ROWS = 200_000   # counts that are broadcast, at most
 
 
 def materialize(df: DataFrame, label: str = "table") -> tuple[DataFrame, int]:
@@ -63,187 +51,160 @@ def materialize(df: DataFrame, label: str = "table") -> tuple[DataFrame, int]:
 
 
 def bucket_count(spark, rows: int | None) -> int:
-    """As many buckets as shuffle partitions, and more when ``rows`` (if the
-    caller knows them) would put over BUCKET_ROWS in one."""
-    nb = shuffle_partitions(spark)
-    return nb if rows is None else max(nb, -(-rows // BUCKET_ROWS))
-
-
-_P0 = "_part0"
+    """Two buckets for each shuffle partition (buckets are dealt to tasks by
+    hash), and more when ``rows`` would put over BUCKET_ROWS in one."""
+    return max(2 * shuffle_partitions(spark), -(-(rows or 0) // BUCKET_ROWS))
 
 
 def _sorted(col: str, asc: bool) -> Column:
     return F.col(col).asc() if asc else F.col(col).desc()
 
 
-def ordered_table(df: DataFrame, sort: Sequence[Column], buckets: int) -> DataFrame:
-    """``df`` in buckets of the global order, written bucketed by ``_b`` with
-    each row's place ``_l`` (from 1) in its bucket."""
-    spark = df.sparkSession
-    name = unique_name("ordered").replace("-", "_")
-    m = F.col("_m")
-    rows = (df.repartitionByRange(buckets, *sort).sortWithinPartitions(*sort)
-            .withColumn("_m", F.monotonically_increasing_id())
-            .withColumns({"_b": F.shiftright(m, _PLACE_BITS).cast("int"),
-                          "_l": m.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)) + 1}).drop("_m"))
-    rows.write.bucketBy(buckets, "_b").option("path", work_path(spark, "tables", name)).saveAsTable(name)
-    register_table(spark, name)
-    return spark.table(name)
-
-
-def global_order(df: DataFrame, order: Order, tie: Sequence[str] = (),
-                 partition: Sequence[str] = (), sums: Sequence[str] = (),
-                 buckets: int | None = None, rows: int | None = None,
-                 need_ends: bool = True) -> DataFrame:
-    """Add ``_pos, _rank, _dense``, ``_cum_<c>`` and -- with ``need_ends``
-    (tiles, percent rank, counts, average rank) -- ``_rank_last, _n``.
-
-    Pass only the columns that the order needs (:func:`ranked` does) and,
-    if known, the number of ``rows``."""
-    nb = int(buckets or bucket_count(df.sparkSession, rows))
-    part = list(partition)
-    columns = df.columns
-    if not part:
-        df = df.withColumn(_P0, F.lit(0))
-        part = [_P0]
-    keys = [c for c, _ in order]
-    full_sort = ([F.col(c).asc() for c in part] + [_sorted(c, a) for c, a in order] + [F.col(c).asc() for c in tie])
-
-    p_key = F.struct(*[F.col(c) for c in part])
-    pk_key = F.struct(*[F.col(c) for c in part + keys])
-    w_b = Window.partitionBy("_b").orderBy("_l")
-    run = w_b.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    loc = ordered_table(df, full_sort, nb)
-    prev_p, prev_pk = F.lag(p_key).over(w_b), F.lag(pk_key).over(w_b)
-    loc = loc.withColumns({"_np": prev_p.isNull() | ~p_key.eqNullSafe(prev_p),
-                           "_npk": prev_pk.isNull() | ~pk_key.eqNullSafe(prev_pk)})
-    loc = loc.withColumn("_ld", F.sum(F.col("_npk").cast("long")).over(run))
-    loc = loc.withColumns({
-        "_lp_first": F.max(F.when(F.col("_np"), F.col("_l"))).over(run),
-        "_lpk_first": F.max(F.when(F.col("_npk"), F.col("_l"))).over(run),
-        "_lp_dfirst": F.max(F.when(F.col("_np"), F.col("_ld"))).over(run),
-        "_end": F.lead("_l").over(w_b).isNull(),
-        **{f"_lcum_{c}": F.sum(c).over(run) for c in sums},
-    })
-    for c in sums:
-        # running sum just before the partition's first row inside this bucket
-        loc = loc.withColumn(f"_lcb_{c}", F.last(F.when(F.col("_np"), F.col(f"_lcum_{c}") - F.col(c)),
-                                                  ignorenulls=True).over(run))
-    if need_ends:
-        # group ends need one look ahead: a window in the reverse order,
-        # where a running minimum of group-end positions is the end of the
-        # current group
-        w_r = Window.partitionBy("_b").orderBy(F.col("_l").desc())
-        run_r = w_r.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        next_p, next_pk = F.lag(p_key).over(w_r), F.lag(pk_key).over(w_r)
-        loc = loc.withColumns({"_ep": next_p.isNull() | ~p_key.eqNullSafe(next_p),
-                               "_epk": next_pk.isNull() | ~pk_key.eqNullSafe(next_pk)})
-        loc = loc.withColumns({"_lp_last": F.min(F.when(F.col("_ep"), F.col("_l"))).over(run_r),
-                               "_lpk_last": F.min(F.when(F.col("_epk"), F.col("_l"))).over(run_r)})
-    loc = loc.drop("_np", "_npk", "_ep", "_epk")
-
-    # The first and the last row of each bucket, side by side: two rows a
-    # bucket, so windows without PARTITION BY over them are small single tasks
-    # whose size we chose (``nb``).  Written once; all tables below read it.
-    edge_columns = [p_key.alias("p"), pk_key.alias("pk"), "_b", "_l", "_ld", "_lp_first", "_lpk_first", "_lp_dfirst",
-                    *(["_lp_last", "_lpk_last"] if need_ends else []),
-                    *[f"_lcum_{c}" for c in sums], *[f"_lcb_{c}" for c in sums]]
-    edges, _ = materialize(loc.where((F.col("_l") == 1) | F.col("_end")).select(*edge_columns, "_end"), "bucket_edges")
-    w_e = Window.orderBy("_b", "_l")
-    first = F.lag("_b").over(w_e)
-    is_first = first.isNull() | (first != F.col("_b"))
-    # a bucket of one row is its own first and last row
-    spread = edges.withColumns({"f": is_first, "lag_p": F.lag("p").over(w_e), "lag_pk": F.lag("pk").over(w_e)})
-    if need_ends:
-        spread = spread.withColumns({"lag_p_last": F.lag("_lp_last").over(w_e), "lag_pk_last": F.lag("_lpk_last").over(w_e)})
-    stats = spread.where("_end").select(
-        "_b", F.col("_l").alias("n"), F.col("_ld").alias("dcount"),
-        F.when(F.col("f"), F.col("p")).otherwise(F.col("lag_p")).alias("fp"), F.col("p").alias("lp"),
-        F.when(F.col("f"), F.col("pk")).otherwise(F.col("lag_pk")).alias("fpk"), F.col("pk").alias("lpk"),
-        F.col("_lp_first").alias("lp_first"), F.col("_lpk_first").alias("lpk_first"), F.col("_lp_dfirst").alias("lp_dfirst"),
-        *([F.when(F.col("f"), F.col("_lp_last")).otherwise(F.col("lag_p_last")).alias("fp_last"),
-           F.when(F.col("f"), F.col("_lpk_last")).otherwise(F.col("lag_pk_last")).alias("fpk_last")] if need_ends else []),
-        *[F.col(f"_lcum_{c}").alias(f"s_{c}") for c in sums], *[F.col(f"_lcb_{c}").alias(f"lcb_{c}") for c in sums])
-    w_s = Window.orderBy("_b")
-    before = w_s.rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("long")
-    shared = F.coalesce(F.col("fpk").eqNullSafe(F.lag("lpk").over(w_s)) & F.lag("_b").over(w_s).isNotNull(), F.lit(False))
-    stats = (stats.withColumn("shared", shared.cast("long"))
-             .withColumn("off", F.coalesce(F.sum("n").over(before), zero))
-             .withColumn("ddoff", F.coalesce(F.sum(F.col("dcount") - F.col("shared")).over(before), zero) - F.col("shared")))
-    for c in sums:
-        stats = stats.withColumn(f"soff_{c}", F.coalesce(F.sum(f"s_{c}").over(before), F.lit(0)))
-
-    # Where each key group crossing a bucket edge really starts / ends: the
-    # last group of an earlier bucket, carried along the buckets it fills.
-    def carried(same: Column, value: Column) -> Column:
-        """``value`` where a group starts; the group's start in later buckets."""
-        return F.last(F.when(~same, value), ignorenulls=True).over(w_s.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-
-    prev = {c: F.lag(c).over(w_s) for c in ("lp", "lpk", "fp", "fpk")}
-    have = F.lag("_b").over(w_s).isNotNull()
-    stats = stats.withColumns({
-        "same_p": have & F.col("fp").eqNullSafe(prev["lp"]), "same_pk": have & F.col("fpk").eqNullSafe(prev["lpk"]),
-        "whole_p": F.col("fp").eqNullSafe(F.col("lp")), "whole_pk": F.col("fpk").eqNullSafe(F.col("lpk"))})
-    # start of the bucket's last group, as this bucket sees it
-    stats = stats.withColumns({
-        "own_p": F.struct((F.col("off") + F.col("lp_first")).alias("pos"), (F.col("ddoff") + F.col("lp_dfirst")).alias("dfirst"),
-                          *[(F.col(f"soff_{c}") + F.col(f"lcb_{c}")).alias(f"cb_{c}") for c in sums]),
-        "own_pk": F.col("off") + F.col("lpk_first")})
-    stats = stats.withColumns({"last_p": carried(F.col("same_p") & F.col("whole_p"), F.col("own_p")),
-                               "last_pk": carried(F.col("same_pk") & F.col("whole_pk"), F.col("own_pk"))})
-    head_p = F.struct((F.col("off") + 1).alias("pos"), (F.col("ddoff") + 1).alias("dfirst"),
-                      *[F.col(f"soff_{c}").alias(f"cb_{c}") for c in sums])
-    stats = stats.withColumns({"first_p": F.when(F.col("same_p"), F.lag("last_p").over(w_s)).otherwise(head_p),
-                               "fpk_gstart": F.when(F.col("same_pk"), F.lag("last_pk").over(w_s)).otherwise(F.col("off") + 1)})
-    end_cols = []
-    if need_ends:
-        w_back = Window.orderBy(F.col("_b").desc())
-        run_back = w_back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-        def ends(first_key: str, last_key: str, first_last: str) -> Column:
-            """Last position of the bucket's last group."""
-            follows = F.lag("_b").over(w_back).isNotNull() & F.col(last_key).eqNullSafe(F.lag(first_key).over(w_back))
-            whole = F.lag(first_key).over(w_back).eqNullSafe(F.lag(last_key).over(w_back))
-            here = F.when(~follows, F.col("off") + F.col("n")).when(
-                ~whole, F.lag(F.col("off") + F.col(first_last)).over(w_back))
-            return here
-
-        stats = stats.withColumns({"end_p": ends("fp", "lp", "fp_last"), "end_pk": ends("fpk", "lpk", "fpk_last")})
-        stats = stats.withColumns({"lp_gend": F.last("end_p", ignorenulls=True).over(run_back),
-                                   "lpk_gend": F.last("end_pk", ignorenulls=True).over(run_back)})
-        end_cols = ["lp_gend", "lpk_gend"]
-    per_bucket = stats.select(
-        F.col("_b").alias("_bucket"), "off", "ddoff", F.col("fp").alias("_fp"), F.col("lp").alias("_lp"),
-        F.col("fpk").alias("_fpk"), F.col("lpk").alias("_lpk"), F.col("first_p.pos").alias("fp_gstart"),
-        F.col("first_p.dfirst").alias("fp_dfirst"), "fpk_gstart", *end_cols, *[f"soff_{c}" for c in sums],
-        *[F.col(f"first_p.cb_{c}").alias(f"fp_cb_{c}") for c in sums])
-
-    # per_bucket has at most ``nb`` rows: a proven bound, so broadcasting it
-    # never ships data-sized state.
-    j = loc.join(F.broadcast(per_bucket), F.col("_b") == F.col("_bucket"))
-    in_fp = p_key.eqNullSafe(F.col("_fp"))
-    in_fpk = pk_key.eqNullSafe(F.col("_fpk"))
-    off = F.col("off")
-    gstart_p = F.when(in_fp, F.col("fp_gstart")).otherwise(off + F.col("_lp_first"))
-    gstart_pk = F.when(in_fpk, F.col("fpk_gstart")).otherwise(off + F.col("_lpk_first"))
-    dfirst_p = F.when(in_fp, F.col("fp_dfirst")).otherwise(F.col("ddoff") + F.col("_lp_dfirst"))
-    last = []
-    if need_ends:
-        gend_p = F.when(p_key.eqNullSafe(F.col("_lp")), F.col("lp_gend")).otherwise(off + F.col("_lp_last"))
-        gend_pk = F.when(pk_key.eqNullSafe(F.col("_lpk")), F.col("lpk_gend")).otherwise(off + F.col("_lpk_last"))
-        last = [(gend_pk - gstart_p + 1).cast("long").alias("_rank_last"),
-                (gend_p - gstart_p + 1).cast("long").alias("_n")]
-    return j.select(
-        *columns,
-        (off + F.col("_l") - gstart_p + 1).cast("long").alias("_pos"),
-        (gstart_pk - gstart_p + 1).cast("long").alias("_rank"),
-        (F.col("ddoff") + F.col("_ld") - dfirst_p + 1).cast("long").alias("_dense"),
-        *last,
-        *[((F.col(f"soff_{c}") + F.col(f"_lcum_{c}"))
-           - F.when(in_fp, F.col(f"fp_cb_{c}")).otherwise(F.col(f"soff_{c}") + F.col(f"_lcb_{c}"))
-           ).alias(f"_cum_{c}") for c in sums],
-    )
+def _all(conditions: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conditions)
+
+
+def _follows(order: Order):
+    """Python's comparison of sampled keys, as Spark sorts them: nulls first
+    when ascending, last when descending; NaN above all numbers."""
+    def weight(v):
+        return (v is not None, v != v, 0 if v is None or v != v else v)
+
+    def compare(a, b) -> int:
+        for x, y, (_, asc) in zip(a, b, order, strict=True):
+            x, y = weight(x), weight(y)
+            if x != y:
+                return (-1 if x < y else 1) * (1 if asc else -1)
+        return 0
+    return cmp_to_key(compare)
+
+
+def cut_points(keys: Sequence[tuple], order: Order, buckets: int) -> list[tuple]:
+    """Up to ``buckets - 1`` different keys that cut the sampled ``keys`` evenly."""
+    ordered = sorted(keys, key=_follows(order))
+    cuts = [ordered[len(ordered) * i // buckets] for i in range(1, buckets)] if ordered else []
+    return [c for i, c in enumerate(cuts) if not i or c != cuts[i - 1]]
+
+
+def literal(value, kind: T.DataType) -> str:
+    """A sampled value as SQL text."""
+    if value is None:
+        return f"CAST(NULL AS {kind.simpleString()})"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"CAST('{text}' AS {kind.simpleString()})"
+
+
+def bucket_of(df: DataFrame, order: Order, cuts: Sequence[tuple]) -> Column:
+    """The bucket of a row: how many cuts its key has reached, by bisection.
+    As SQL text, which the driver forms much faster than column objects."""
+    kinds = [df.schema[c].dataType for c, _ in order]
+
+    def before(cut) -> str:
+        """The row's key precedes the cut."""
+        out = "false"
+        for (c, asc), v, kind in reversed(list(zip(order, cut, kinds, strict=True))):
+            x, value = f"`{c}`", literal(v, kind)
+            if v is None:
+                less = "false" if asc else f"{x} IS NOT NULL"
+            else:
+                less = f"({x} IS NULL OR {x} < {value})" if asc else f"coalesce({x} > {value}, false)"
+            out = f"({less} OR ({x} <=> {value} AND {out}))"
+        return out
+
+    def pick(low: int, high: int) -> str:
+        if low == high:
+            return str(low)
+        mid = (low + high) // 2
+        return f"CASE WHEN {before(cuts[mid])} THEN {pick(low, mid)} ELSE {pick(mid + 1, high)} END"
+    return F.expr(pick(0, len(cuts)))
+
+
+class _Slices:
+    """One order of ``df``, cut into buckets (column ``name``)."""
+
+    def __init__(self, df: DataFrame, order: Order, tie: Sequence[str], keys: Sequence[tuple], buckets: int, name: str):
+        self.order, self.name = list(order), name
+        full = [*order, *[(c, True) for c in tie]]
+        cuts = cut_points(keys, full, buckets)
+        self.bucket = bucket_of(df, full, cuts)
+        # the values of the cuts (without the tie); runs of cuts that share them
+        values = [c[:len(order)] for c in cuts]
+        runs = [0] * len(values)
+        for i in range(1, len(values)):
+            runs[i] = runs[i - 1] if values[i] == values[i - 1] else i
+        self.columns = [F.expr(f"array({', '.join(literal(v[k], df.schema[c].dataType) for v in values)})") for k, (c, _) in enumerate(order)]
+        self.runs = F.expr(f"array({', '.join(map(str, runs))})") if runs else None
+        self.tie = list(tie)
+
+    def at_cut(self, after: bool) -> Column:
+        """The row holds the value of the cut after (or before) its bucket."""
+        if self.runs is None:
+            return F.lit(False)
+        b = F.col(self.name)
+        place = b if after else b - 1
+        same = _all([F.col(c).eqNullSafe(F.get(values, place)) for values, (c, _) in zip(self.columns, self.order, strict=True)])
+        return same & (place >= 0) & F.get(self.runs, place).isNotNull()
+
+    def run(self, after: bool) -> Column:
+        """Which run of cuts of one value the cut after (before) the bucket is in."""
+        if self.runs is None:
+            return F.lit(None).cast("int")
+        return F.get(self.runs, F.col(self.name) if after else F.col(self.name) - 1)
+
+    def counts(self, df: DataFrame, part: Sequence[str], sums: Sequence[str], distinct: bool) -> DataFrame:
+        """A row for each partition and bucket: what the rows' local values need to become global."""
+        b = self.name
+        keys = [*part, b]
+        rows = df.withColumn(b, self.bucket).withColumns({"_head": self.at_cut(False), "_tail": self.at_cut(True)})
+        adds = [F.count(F.lit(1)).alias("_n"), F.sum(F.col("_head").cast("long")).alias("_heads"),
+                F.sum(F.col("_tail").cast("long")).alias("_tails"), *[F.sum(c).alias(f"_s_{c}") for c in sums]]
+        if distinct:      # values first, then buckets: no expansion of the rows
+            held = ["_n", "_heads", "_tails", *[f"_s_{c}" for c in sums]]
+            rows = rows.groupBy(*keys, *[c for c, _ in self.order if c not in part]).agg(*adds)
+            adds = [*[F.sum(c).alias(c) for c in held], F.count(F.lit(1)).alias("_d")]
+        w = Window.partitionBy(*part).orderBy(b)
+        before = w.rowsBetween(Window.unboundedPreceding, -1)
+        here = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        zero = F.lit(0).cast("long")
+        t = rows.groupBy(*keys).agg(*adds).withColumns({"_off": F.coalesce(F.sum("_n").over(before), zero), "_t": self.run(True), "_h": self.run(False)})
+        # A value crosses a cut where the rows before hold it too; between two cuts of one value there is nothing else.
+        t = t.withColumn("_cont", (F.col("_heads") > 0) & F.coalesce((F.lag("_t").over(w) == F.col("_h")) & (F.lag("_tails").over(w) > 0), F.lit(False)))
+        whole = F.coalesce((F.col("_h") == F.col("_t")) & (F.col("_tails") == F.col("_n")), F.lit(False))
+        t = t.withColumns({"_whole": whole, "_next": F.coalesce(F.lead("_cont").over(w), F.lit(False))})
+        t = t.withColumn("_start", F.last(F.when(~(F.col("_whole") & F.col("_cont")), F.col("_off") + F.col("_n") - F.col("_tails") + 1), ignorenulls=True).over(here))
+        back = Window.partitionBy(*part).orderBy(F.col(b).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        t = t.withColumn("_end", F.last(F.when(~(F.col("_whole") & F.col("_next")), F.col("_off") + F.col("_heads")), ignorenulls=True).over(back))
+        out = {"_first": F.when(F.col("_cont"), F.lag("_start").over(w)), "_last": F.when(F.col("_next"), F.lead("_end").over(w)),
+               "_all": F.sum("_n").over(Window.partitionBy(*part)), **{f"_soff_{c}": F.sum(f"_s_{c}").over(before) for c in sums}}
+        if distinct:
+            out["_doff"] = F.coalesce(F.sum(F.col("_d") - F.col("_cont").cast("long")).over(before), zero) - F.col("_cont").cast("long")
+        return t.select(*keys, "_off", *[c.alias(n) for n, c in out.items()])
+
+    def add(self, df: DataFrame, counts: DataFrame, few: bool, spec: dict) -> DataFrame:
+        """``df``, which holds the bucket, with one spec's outputs."""
+        part, sums, outputs = list(spec.get("partition", ())), list(spec.get("sums", ())), spec["outputs"]
+        order, tie = [_sorted(c, a) for c, a in self.order], [F.col(c).asc() for c in self.tie]
+        w = Window.partitionBy(self.name, *part)
+        keys = [*part, self.name]
+        side = counts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *counts.columns[len(keys):])
+        met = df.join(F.broadcast(side) if few else side, _all([F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]))
+        off = F.col("_off")
+        parts = {
+            "_rank": lambda: F.when(self.at_cut(False) & F.col("_first").isNotNull(), F.col("_first")).otherwise(off + F.rank().over(w.orderBy(*order))),
+            "_pos": lambda: off + F.row_number().over(w.orderBy(*order, *tie)),
+            "_rank_last": lambda: F.when(self.at_cut(True) & F.col("_last").isNotNull(), F.col("_last")).otherwise(
+                off + F.rank().over(w.orderBy(*order)) + F.count(F.lit(1)).over(Window.partitionBy(self.name, *part, *[c for c, _ in self.order])) - 1),
+            "_dense": lambda: F.col("_doff") + F.dense_rank().over(w.orderBy(*order)),
+            "_n": lambda: F.col("_all"),
+            **{f"_cum_{c}": lambda c=c: F.when(F.col(f"_soff_{c}").isNull(), F.sum(c).over(self._running(w, order, tie))).otherwise(
+                F.col(f"_soff_{c}") + F.coalesce(F.sum(c).over(self._running(w, order, tie)), F.lit(0))) for c in sums}}
+        wanted = list(dict.fromkeys(p for what in outputs.values() for p in _parts(what)))
+        met = met.withColumns({p: parts[p]().cast("long") if not p.startswith("_cum_") else parts[p]() for p in wanted})
+        return met.select(*df.columns, *[_output(what).alias(name) for name, what in outputs.items()])
+
+    @staticmethod
+    def _running(w, order, tie):
+        return w.orderBy(*order, *tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def ntile(n: int, pos: str = "_pos", count: str = "_n") -> Column:
@@ -270,21 +231,24 @@ def average_rank_int(rank: str = "_rank", last: str = "_rank_last") -> Column:
     return F.floor((F.col(rank) + F.col(last)) / 2).cast("long")
 
 
-def _output(what: str) -> Column:
+def _parts(what: str) -> list[str]:
+    """The numbers that an output is made of."""
     if what.startswith("ntile"):
-        return ntile(int(what[5:]))
+        return ["_pos", "_n"]
     if what.startswith("cum_"):
-        return F.col(f"_{what}")
-    found = {"rank": lambda: F.col("_rank"), "dense_rank": lambda: F.col("_dense"), "row_number": lambda: F.col("_pos"),
-             "percent_rank": percent_rank, "average_rank": average_rank_int, "count": lambda: F.col("_n"),
-             "rank_desc": lambda: F.col("_n") - F.col("_rank_last") + 1}.get(what)
-    if found is None:
+        return [f"_{what}"]
+    made_of = {"rank": ["_rank"], "dense_rank": ["_dense"], "row_number": ["_pos"], "percent_rank": ["_rank", "_n"],
+               "average_rank": ["_rank", "_rank_last"], "count": ["_n"], "rank_desc": ["_n", "_rank_last"]}
+    if what not in made_of:
         raise ValueError(f"unknown ranking output {what!r}")
-    return found()
+    return made_of[what]
 
 
-def _needs_ends(what: str) -> bool:
-    return what in ("percent_rank", "average_rank", "count", "rank_desc") or what.startswith("ntile")
+def _output(what: str) -> Column:
+    if what.startswith("ntile"):
+        return ntile(int(what[5:]))
+    return {"percent_rank": percent_rank, "average_rank": average_rank_int,
+            "rank_desc": lambda: F.col("_n") - F.col("_rank_last") + 1}.get(what, lambda: F.col(_parts(what)[0]))()
 
 
 def ranked(df: DataFrame, order: Order, tie: Sequence[str] = (), partition: Sequence[str] = (),
@@ -299,21 +263,35 @@ def ranked(df: DataFrame, order: Order, tie: Sequence[str] = (), partition: Sequ
 
 def ranked_by(df: DataFrame, tie: Sequence[str], orders: Sequence[dict], buckets: int | None = None,
               rows: int | None = None) -> DataFrame:
-    """Several orders of one table (see :func:`ranked`).  Each moves only its
-    own columns and the key; the results meet the rows by key, once.  ``df``
-    is read once per order, so pass a written table.  The orders are independent
-    jobs and are submitted together."""
-    tie = list(tie)
-
-    def one(spec: dict) -> DataFrame:
-        outputs, part, sums = spec["outputs"], list(spec.get("partition", ())), list(spec.get("sums", ()))
-        narrow = list(dict.fromkeys([*tie, *part, *[c for c, _ in spec["order"]], *sums]))
-        out = global_order(df.select(*narrow), spec["order"], tie=tie, partition=part, sums=sums, buckets=buckets,
-                           rows=rows, need_ends=any(map(_needs_ends, outputs.values())))
-        return out.select(*tie, *[_output(what).alias(name) for name, what in outputs.items()])
-
-    with ThreadPoolExecutor(max_workers=max(1, len(orders))) as pool:
-        found = list(pool.map(one, orders))
-    for f in found:
-        df = df.join(f, tie)
-    return df
+    """Several orders of one table (see :func:`ranked`).  ``df`` is read once
+    for the sample, once for each order's counts and once for the result, so
+    pass a written table and its number of ``rows``; the counts are independent
+    small jobs and are submitted together.  Specs that give the same ``order``
+    share its buckets and their exchange."""
+    tie, spark = list(tie), df.sparkSession
+    rows = df.count() if rows is None else rows
+    nb = int(buckets or bucket_count(spark, rows))
+    groups: dict[tuple, list[dict]] = {}
+    for spec in orders:
+        groups.setdefault(tuple(spec["order"]), []).append(spec)
+    needed = list(dict.fromkeys([*[c for order in groups for c, _ in order], *tie]))
+    sample = df.select(*needed).sample(min(1.0, SAMPLE * nb / max(rows, 1)), 7).collect()
+    slices = [_Slices(df, order, tie, [tuple(r[c] for c in [*[c for c, _ in order], *tie]) for r in sample], nb, f"_b{i}")
+              for i, order in enumerate(groups)]
+    todo = [(s, spec) for s, specs in zip(slices, groups.values(), strict=True) for spec in specs]
+
+    def count(job: tuple[_Slices, dict]) -> tuple[DataFrame, int]:
+        s, spec = job
+        distinct = any("_dense" in _parts(what) for what in spec["outputs"].values())
+        return materialize(s.counts(df, list(spec.get("partition", ())), list(spec.get("sums", ())), distinct), "bucket_counts")
+
+    with ThreadPoolExecutor(max_workers=max(1, len(todo))) as pool:
+        counted = list(pool.map(count, todo))
+    out = df
+    for s in slices:
+        out = out.withColumn(s.name, s.bucket)
+        for (owner, spec), (counts, size) in zip(todo, counted, strict=True):
+            if owner is s:
+                out = s.add(out, counts, size <= BROADCAST_ROWS, spec)
+        out = out.drop(s.name)
+    return out

@@ -19,7 +19,7 @@ from ..functions import labels
 from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct, ratio, rnd, whole, whole_mean,
                                  with_totals)
 from ..operators.clean import clean_transactions
-from ..operators.distinct import per_order_customer
+from ..operators.distinct import orders_and_customers
 from ..operators.ordering import materialize, ranked
 from ..operators.quantiles import apply_quintile, quintile_edges
 from .reports import ROWS_TO_HERE
@@ -36,7 +36,7 @@ def _keys_present(df: DataFrame, keys) -> DataFrame:
 
 def monthly_kpis(sales: DataFrame) -> DataFrame:
     keys = ["year", "month", "month_name", "quarter"]
-    m = per_order_customer(_keys_present(sales, keys), keys, {
+    m = orders_and_customers(_keys_present(sales, keys), keys, {
         "rev": "net_revenue", "prof": "profit", "units": "quantity", "returns": "is_returned"})
     w = Window.orderBy("year", "month")  # months: bounded by the calendar
     m = (m.withColumn("prev", F.lag("rev").over(w))
@@ -56,7 +56,7 @@ def monthly_kpis(sales: DataFrame) -> DataFrame:
 
 
 def regional_kpis(sales: DataFrame) -> DataFrame:
-    r = per_order_customer(_keys_present(sales, ["region"]), ["region"], {
+    r = orders_and_customers(_keys_present(sales, ["region"]), ["region"], {
         "rev": "net_revenue", "prof": "profit", "returns": "is_returned"}, {"avg_net": "net_revenue"})
     x = r.withColumn("avg_rev", whole_mean("rev"))
     vs_avg = rnd(F.try_divide(dbl("rev") - F.col("avg_rev"), F.col("avg_rev")) * F.lit(100.0))
@@ -89,7 +89,7 @@ def product_kpis(sales: DataFrame, buckets: int | None = None) -> DataFrame:
 
 
 def category_kpis(sales: DataFrame) -> DataFrame:
-    c = per_order_customer(_keys_present(sales, ["category"]), ["category"], {
+    c = orders_and_customers(_keys_present(sales, ["category"]), ["category"], {
         "rev": "net_revenue", "prof": "profit", "units": "quantity"}, {"avg_net": "net_revenue"})
     return c.withColumn("all_rev", whole(F.sum, "rev")).select(
         "category", money_out("rev").alias("total_revenue"), money_out("prof").alias("total_profit"),
@@ -99,24 +99,22 @@ def category_kpis(sales: DataFrame) -> DataFrame:
     ).orderBy(F.desc("total_revenue"))
 
 
-def rfm_quintiles(sales: DataFrame, mode: str = "collapse", buckets: int | None = None) -> DataFrame:
+def rfm_quintiles(sales: DataFrame, mode: str = "collapse") -> DataFrame:
     """K5: recency in days before the latest sale date, distinct orders,
     revenue; each scored by quintile (recency reversed)."""
     s = _keys_present(sales, ["customer_id"])
     c = s.groupBy("customer_id").agg(
         F.max("order_date").alias("last"), F.countDistinct("order_id").alias("frequency"),
         F.sum("net_revenue").alias("monetary_dec"))
-    c, n = materialize(c, "rfm_customers")
+    c, _ = materialize(c, "rfm_customers")
     # the snapshot (latest sale) is the latest of the customers' last dates:
     # a scalar subquery over the small written table, not a second fact pass
     c = (with_totals(c, c, snapshot=F.max("last"))
          .select("customer_id", F.datediff("snapshot", "last").cast("long").alias("recency"),
                  long_out("frequency").alias("frequency"), money_out("monetary_dec").alias("monetary")))
-    kw = dict(mode=mode, buckets=buckets, rows=n)
-    t = ["customer_id"]
-    # the three edge rows are independent small jobs: submit them together
+    # the three selections are independent small jobs: submit them together
     with ThreadPoolExecutor(max_workers=3) as pool:
-        r_e, f_e, m_e = pool.map(lambda col: quintile_edges(c, col, t, **kw), ["recency", "frequency", "monetary"])
+        r_e, f_e, m_e = pool.map(lambda col: quintile_edges(c, col, mode), ["recency", "frequency", "monetary"])
     c = apply_quintile(c, "recency", r_e, "r_score", reverse=True)
     c = apply_quintile(c, "frequency", f_e, "f_score")
     c = apply_quintile(c, "monetary", m_e, "m_score")

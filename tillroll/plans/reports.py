@@ -10,9 +10,9 @@ Conventions shared by every report:
 * rankings, tiles and running totals over customers or products go through
   :func:`~tillroll.operators.ordering.ranked_by`, which never gathers all rows
   (or a handful of huge regions) into one task;
-* reports that count distinct orders and distinct customers roll up by
-  (key, customer, order) first (:mod:`~tillroll.operators.distinct`), so the
-  fact rows are not expanded;
+* reports that count distinct orders and distinct customers have a roll-up for
+  each (:mod:`~tillroll.operators.distinct`), so the fact rows are not expanded
+  and an order may name several customers;
 * ties in ROWS frames and NTILE are broken by the entity key so results are
   deterministic.
 """
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..functions import labels
 from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct, pct_scaled, ratio,
                                  rnd, whole, whole_mean, with_totals)
-from ..operators.distinct import per_order_customer
+from ..operators.distinct import orders_and_customers
 from ..operators.ordering import materialize, ranked_by
 from .star import Star
 
@@ -43,7 +43,7 @@ def _calendar(star: Star, cols) -> DataFrame:
 # ---------------------------------------------------------------- R1 monthly
 def monthly_growth(star: Star, reset_per_year: bool = False) -> DataFrame:
     f = _calendar(star, ["order_id", "customer_id", "net_revenue", "profit", "is_returned"])
-    m = per_order_customer(f, ["year", "month", "month_name", "quarter"],
+    m = orders_and_customers(f, ["year", "month", "month_name", "quarter"],
                            {"rev": "net_revenue", "prof": "profit", "returns": "is_returned"}, {"avg_net": "net_revenue"})
     w = (Window.partitionBy("year").orderBy("month") if reset_per_year
          else Window.orderBy("year", "month"))
@@ -63,7 +63,7 @@ def monthly_growth(star: Star, reset_per_year: bool = False) -> DataFrame:
 
 # ----------------------------------------------------------- R2 region vs avg
 def region_vs_average(star: Star) -> DataFrame:
-    r = per_order_customer(star.fact, ["region"], {
+    r = orders_and_customers(star.fact, ["region"], {
         "rev": "net_revenue", "prof": "profit", "gross": "gross_revenue", "disc": "discount_amt",
         "units": "quantity", "returns": "is_returned"}, {"avg_net": "net_revenue"})
     # the company row (J5): average and total over the handful of region rows
@@ -94,7 +94,7 @@ def product_stats(star: Star, with_list_price: bool = True) -> DataFrame:
     Aggregating by ``product_id`` before the join is exact because the join
     is on the dimension's key (each line matches at most one product); the
     join then moves one row per product instead of one per sales line."""
-    agg = per_order_customer(star.fact, ["product_id"], {
+    agg = orders_and_customers(star.fact, ["product_id"], {
         "rev": "net_revenue", "prof": "profit", "gross": "gross_revenue", "disc": "discount_amt",
         "units": "quantity", "returns": "is_returned"},
         {"avg_price": "unit_price", "avg_disc": "discount_pct"}, customers="buyers")
@@ -143,7 +143,7 @@ def known_products(star: Star, cols) -> DataFrame:
 
 def category_metrics(star: Star) -> DataFrame:
     f = known_products(star, ["net_revenue", "profit", "gross_revenue", "discount_amt", "quantity", "is_returned", "unit_price"])
-    return per_order_customer(f, ["category"], {
+    return orders_and_customers(f, ["category"], {
         "rev": "net_revenue", "prof": "profit", "gross": "gross_revenue", "disc": "discount_amt",
         "units": "quantity", "returns": "is_returned"}, {"avg_net": "net_revenue", "avg_price": "unit_price"})
 
@@ -203,14 +203,14 @@ def customer_ltv_rfm(star: Star, recency_mode: str = "as_published", buckets: in
     if recency_mode not in ("as_published", "corrected"):
         raise ValueError(recency_mode)
     ct, n = materialize(customer_transactions(star), "customer_tx")
-    # one ascending order on spend gives both the monetary tile and the
-    # descending spend rank
+    # one ascending order on spend gives the monetary tile and, counted from
+    # its end, the descending ranks of all customers and of each segment and region
     ct = ranked_by(ct, ["customer_id"], [
         dict(order=[("last_date", recency_mode == "corrected")], outputs={"recency_score": "ntile5"}),
         dict(order=[("orders", True)], outputs={"frequency_score": "ntile5"}),
         dict(order=[("spend", True)], outputs={"monetary_score": "ntile5", "spend_rank": "rank_desc"}),
-        dict(order=[("spend", False)], partition=["segment"], outputs={"segment_spend_rank": "rank"}),
-        dict(order=[("spend", False)], partition=["region"], outputs={"region_spend_rank": "rank"})], buckets, n)
+        dict(order=[("spend", True)], partition=["segment"], outputs={"segment_spend_rank": "rank_desc"}),
+        dict(order=[("spend", True)], partition=["region"], outputs={"region_spend_rank": "rank_desc"})], buckets, n)
     score = F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score")
     return ct.select(
         "customer_id", "segment", "region",
@@ -234,7 +234,7 @@ def customer_ltv_rfm(star: Star, recency_mode: str = "as_published", buckets: in
 def quarterly_growth(star: Star) -> DataFrame:
     f = _calendar(star, ["order_id", "customer_id", "net_revenue", "profit", "gross_revenue",
                          "discount_amt", "quantity", "is_returned"])
-    q = per_order_customer(f, ["year", "quarter"], {
+    q = orders_and_customers(f, ["year", "quarter"], {
         "rev": "net_revenue", "prof": "profit", "gross": "gross_revenue", "disc": "discount_amt",
         "units": "quantity", "returns": "is_returned"}, {"avg_net": "net_revenue"})
     w = Window.orderBy("year", "quarter")  # quarters: bounded by the calendar
@@ -261,7 +261,7 @@ def quarterly_growth(star: Star) -> DataFrame:
 # -------------------------------------------------- R7 payment and discount
 def payment_discount(star: Star) -> DataFrame:
     f = star.fact
-    ps = per_order_customer(f.withColumnRenamed("payment_method", "dimension"), ["dimension"],
+    ps = orders_and_customers(f.withColumnRenamed("payment_method", "dimension"), ["dimension"],
                             {"rev": "net_revenue", "prof": "profit", "returns": "is_returned"},
                             {"avg_net": "net_revenue", "avg_disc": "discount_pct"})
     db = f.groupBy(labels.discount_band(F.col("discount_pct")).alias("dimension")).agg(   # A9

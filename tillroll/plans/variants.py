@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import labels
 from ..functions.numeric import (dbl, growth_pct, long_out, mean, money_out, pct, pct_scaled, rnd,
                                  whole, whole_mean, with_totals)
-from ..operators.distinct import per_order_customer
+from ..operators.distinct import orders_and_customers
 from ..operators.ordering import materialize, ranked_by
 from .reports import ROWS_TO_HERE, _calendar, customer_transactions, known_products, product_stats
 from .star import Star
@@ -22,7 +22,7 @@ from .star import Star
 def monthly_slim(star: Star) -> DataFrame:
     """V1: monthly revenue with running total and growth (no returns)."""
     f = _calendar(star, ["order_id", "customer_id", "net_revenue", "profit"])
-    m = per_order_customer(f, ["year", "month", "month_name", "quarter"], {"rev": "net_revenue", "prof": "profit"},
+    m = orders_and_customers(f, ["year", "month", "month_name", "quarter"], {"rev": "net_revenue", "prof": "profit"},
                            {"avg_net": "net_revenue"})
     w = Window.orderBy("year", "month")
     m = (m.withColumn("prev", F.lag("rev").over(w))
@@ -39,7 +39,7 @@ def monthly_slim(star: Star) -> DataFrame:
 
 def regional_3tier(star: Star) -> DataFrame:
     """V2: regions against the average with three tiers on the unrounded %."""
-    r = per_order_customer(star.fact, ["region"], {"rev": "net_revenue", "prof": "profit", "returns": "is_returned"},
+    r = orders_and_customers(star.fact, ["region"], {"rev": "net_revenue", "prof": "profit", "returns": "is_returned"},
                            {"avg_net": "net_revenue"})
     x = r.withColumn("avg_rev", whole_mean("rev"))     # the one-row average (J6)
     vs_avg = F.try_divide(dbl("rev") - F.col("avg_rev"), F.col("avg_rev")) * F.lit(100.0)
@@ -73,7 +73,7 @@ def products_slim(star: Star, buckets: int | None = None) -> DataFrame:
 
 def categories_slim(star: Star) -> DataFrame:
     """V4: category totals with revenue share and rank."""
-    c = per_order_customer(known_products(star, ["net_revenue", "profit", "quantity"]), ["category"],
+    c = orders_and_customers(known_products(star, ["net_revenue", "profit", "quantity"]), ["category"],
                            {"rev": "net_revenue", "prof": "profit", "units": "quantity"})
     x = c.withColumn("grand_rev", whole(F.sum, "rev")).withColumn("revenue_rank", F.rank().over(Window.orderBy(F.desc("rev"))))
     return x.select(

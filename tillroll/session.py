@@ -21,6 +21,8 @@ _LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Spark notes the Python call site of every column expression otherwise, which slows the forming of large plans
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -55,14 +57,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-_TABLES: list[tuple[str, str]] = []
-
-
-def register_table(spark: SparkSession, name: str) -> None:
-    """Note a bucketed work table, so that :func:`drop_work` forgets it too."""
-    _TABLES.append((spark.sparkContext.applicationId, name))
-
-
 def work_path(spark: SparkSession, *parts: str) -> str:
     """A path inside the shared checkpoint folder (never machine-local on a
     cluster: the folder is whatever the cluster configured)."""
@@ -82,11 +76,6 @@ def drop_work(spark: SparkSession, *parts: str) -> bool:
     """Delete a folder under the session's checkpoint folder (e.g.
     ``"tables"`` for the intermediate ranking inputs; no argument: everything
     this session wrote there) through the cluster's file system."""
-    if not parts or parts[0] == "tables":
-        own = [t for t in _TABLES if t[0] == spark.sparkContext.applicationId]
-        for t in own:
-            spark.sql(f"DROP TABLE IF EXISTS {t[1]}")
-            _TABLES.remove(t)
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(work_path(spark, *parts))
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
