@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
+import os
 import tempfile
 from decimal import Decimal
 
@@ -14,6 +16,11 @@ from tillroll.sources import files
 from tillroll.streaming.ingest import start_fact_ingest
 
 
+def _files_in(folder):
+    """Names in a folder, without the local file system's checksums."""
+    return sorted(f for f in os.listdir(folder) if not f.startswith("."))
+
+
 def _raw(spark, rows):
     return spark.createDataFrame(rows, files.RAW_TRANSACTIONS)
 
@@ -122,7 +129,9 @@ def test_kpi_snapshots_append_and_run_log(spark, wh):
     wh.append_kpis(monthly, regional)
     wh.append_kpis(monthly, regional)
     assert wh.table("agg_monthly_kpis").count() == 2
-    assert wh.latest("agg_monthly_kpis").count() >= 1
+    newest = wh.latest("agg_monthly_kpis")
+    assert newest.count() == 1 and {f.split("load_id=")[1].split("/")[0] for f in newest.inputFiles()} == {wh.commits()[-1][1]["folders"]["agg_monthly_kpis"][0]}
+    assert newest.first().created_at == wh.table("agg_monthly_kpis").agg(F.max("created_at")).first()[0]
     wh.log_run("db_load", "SUCCESS", 5, duration=1.5)
     log = wh.table("pipeline_run_log").first()
     assert (log.stage, log.status, log.records_processed) == ("db_load", "SUCCESS", 5)
@@ -137,8 +146,13 @@ def test_latest_batch_and_exports(spark):
     assert sorted(r.order_id for r in latest.collect()) == ["ORD_000002", "ORD_000003"]
     out = tempfile.mkdtemp(prefix="out-")
     assert files.export_report(latest.limit(0), out, "Empty", "ts") is None
-    path = files.export_report(latest, out, "PowerBI_Test", "ts", single_file=True)
-    assert spark.read.option("header", True).csv(path).count() == 2
+    path = files.export_report(latest.repartition(4).orderBy("order_id"), out, "PowerBI_Test", "ts")
+    assert path == f"{out}/PowerBI_Test_ts.csv" and _files_in(out) == ["PowerBI_Test_ts.csv"]
+    with open(path, newline="") as fh:
+        table = list(csv.reader(fh))
+    assert table[0] == latest.columns and [r[0] for r in table[1:]] == ["ORD_000002", "ORD_000003"]
+    with pytest.raises(FileExistsError):
+        files.export_report(latest, out, "PowerBI_Test", "ts")
     written = files.export_for_bi({"regional": latest}, out, "t2")
     assert list(written) == ["PowerBI_Regional_KPIs"]
     saved = files.save_all({"a": latest}, out, "t3")
@@ -190,7 +204,8 @@ def test_batch_run_end_to_end_twice(spark):
     assert first.fact_rows_added == distinct_keys == wh.table("fact_sales").count()
     assert wh.table("dim_customer").count() == spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
     assert len(first.exports) == 8 and first.rows_dropped == 0 and set(first.kpi_paths) >= {"monthly_kpis", "rfm", "customers"}
-    assert all(spark.read.option("header", True).csv(path).count() > 0 for path in first.exports.values())
+    assert all(os.path.isfile(path) and spark.read.option("header", True).csv(path).count() > 0 for path in first.exports.values())
+    assert _files_in(f"{root}/outputs") == sorted(f"{name}_r1.csv" for name in first.exports)
     assert [name[:11] for name in first.exports] == [f"PowerBI_0{i}_" for i in range(1, 9)]
     assert first.insights["best_month"].count() == 3
     second = run_batch(spark, SF_SMALL, root, ts="r2")
@@ -202,6 +217,133 @@ def test_batch_run_end_to_end_twice(spark):
     assert wh.table("fact_rejects").count() == 0
 
 
+def _customers(spark, ids, name="c"):
+    return spark.createDataFrame([(i, f"{name}{i}", "Regular", "West", "x", None) for i in ids], "customer_id string, customer_name string, "
+                                 "segment string, region string, city string, joined_date date")
+
+
+def test_first_file_wins_whatever_its_size(spark, wh):
+    """A small file before a large one, and a file that is read in several splits."""
+    folder = tempfile.mkdtemp(prefix="files-")
+    cols = wh.table("dim_customer").columns
+    for name, rows in (("a.csv", [("K1", "first"), ("K2", "first")]),
+                       ("b.csv", [(f"F{i}", "x") for i in range(2000)] + [("K1", "later"), ("K3", "early")] + [(f"G{i}", "x") for i in range(6000)] + [("K3", "late")]),
+                       ("c.csv", [("K3", "last"), ("K4", "own")])):
+        with open(f"{folder}/{name}", "w", newline="") as fh:
+            w = csv.writer(fh)
+            w.writerow(cols)
+            w.writerows([(k, n, "Regular", "West", "x", None) for k, n in rows])
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        batch = spark.read.schema(wh.table("dim_customer").schema).option("header", True).csv(folder)
+        assert batch.rdd.getNumPartitions() > 3
+        assert wh.load_dimension("dim_customer", batch.where("customer_id is not null")) == 8004
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    names = {r.customer_id: r.customer_name for r in wh.table("dim_customer").where("customer_id like 'K%'").collect()}
+    assert names == {"K1": "first", "K2": "first", "K3": "early", "K4": "own"}
+
+
+def test_a_load_reads_its_target_where_it_lies(spark, wh):
+    """No exchange over the fact or a dimension in the plan of a load's anti join."""
+    import contextlib
+    import io
+
+    from tillroll.operators.dedupe import insert_or_ignore
+    wh.load_fact(_raw(spark, [_txn(f"ORD_{i:06d}") for i in range(50)]).withColumn("date_id", F.col("order_date")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, key, batch in (("fact_sales", "order_id", spark.range(90).selectExpr("printf('ORD_%06d', id) as order_id", "id as _arrival")),
+                                 ("dim_customer", "customer_id", spark.range(9).selectExpr("printf('CUST_%04d', id) as customer_id", "id as _arrival"))):
+            new = insert_or_ignore(wh.table(name), batch, [key], ["_arrival"])
+            out = io.StringIO()
+            with contextlib.redirect_stdout(out):
+                new.explain()
+            plan = out.getvalue().split("== Initial Plan ==")[0].splitlines()
+            at = next(n for n, line in enumerate(plan) if "Scan parquet" in line and "wh_" in line)
+            assert "Bucketed: true" in plan[at]
+            depth = len(plan[at]) - len(plan[at].lstrip(" :+-"))
+            above = []                                  # the operators over the target, up to the join
+            for line in reversed(plan[:at]):
+                d = len(line) - len(line.lstrip(" :+-"))
+                if d < depth:
+                    depth = d
+                    above.append(line)
+                    if "Join" in line:
+                        break
+            assert "Join" in above[-1] and not any("Exchange" in line for line in above), above
+            assert new.count() == (40 if name == "fact_sales" else 8)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("failing", [0, 4, 7])
+def test_a_load_that_fails_at_any_write_leaves_nothing(spark, wh, monkeypatch, failing):
+    """Fail at the n-th append (or at the commit), run again: the state of one run."""
+    sales = _raw(spark, [_txn("ORD_000001"), _txn("ORD_000002"), _txn("ORD_000003", product="PROD_X")]).withColumn("date_id", F.col("order_date"))
+    monthly = spark.createDataFrame([(2025, 1)], "year long, month long").selectExpr("*", *[
+        f"cast(null as {t}) {c}" for c, t in (("month_name", "string"), ("quarter", "string"), ("total_revenue", "double"), ("total_profit", "double"),
+                                              ("total_orders", "long"), ("avg_order_value", "double"), ("profit_margin_pct", "double"),
+                                              ("mom_growth_pct", "double"), ("ytd_revenue", "double"))])
+    regional = spark.createDataFrame([("West",)], "region string").selectExpr("*", *[
+        f"cast(null as {t}) {c}" for c, t in (("total_revenue", "double"), ("total_profit", "double"), ("total_orders", "long"),
+                                              ("profit_margin", "double"), ("vs_avg_pct", "double"), ("performance", "string"))])
+    tables = ("dim_customer", "dim_product", "dim_date", "dim_region", "fact_sales", "fact_rejects", "agg_monthly_kpis")
+    count = lambda: {t: wh.table(t).count() for t in tables}
+    before, calls, plain = count(), [], Warehouse._append
+
+    def append(self, name, df):
+        rows = plain(self, name, df)
+        if self._load and name != "pipeline_run_log":
+            calls.append(name)
+            if len(calls) == failing + 1:
+                raise RuntimeError("lost")
+        return rows
+    monkeypatch.setattr(Warehouse, "_append", append)
+    run = lambda: wh.run_load(sales, _customers(spark, ["CUST_0002"]), wh.table("dim_product"), monthly, regional)
+    with pytest.raises(RuntimeError):
+        run()
+    assert len(calls) == failing + 1 and count() == before
+    monkeypatch.setattr(Warehouse, "_append", plain)
+    assert run() == 2
+    assert count() == {"dim_customer": 2, "dim_product": 1, "dim_date": 1, "dim_region": 1, "fact_sales": 2, "fact_rejects": 1, "agg_monthly_kpis": 1}
+    assert [r.status for r in wh.table("pipeline_run_log").orderBy("run_timestamp").collect()] == ["FAILED", "SUCCESS"]
+    assert wh.remove_orphans() == 0 and count()["fact_sales"] == 2
+
+
+def test_two_loads_at_once_add_a_key_once(spark, wh, monkeypatch):
+    """Another session commits the same keys after this load has read the tables: it runs again."""
+    other = Warehouse(spark, wh.root, fact_keys=("order_id",))
+    plain, met = Warehouse._write_commit, []
+
+    def commit(self, number, record):
+        if self is wh and not met:
+            met.append(number)
+            assert other.load_dimension("dim_customer", _customers(spark, ["N1", "N2"], "other ")) == 2
+        return plain(self, number, record)
+    monkeypatch.setattr(Warehouse, "_write_commit", commit)
+    assert wh.load_dimension("dim_customer", _customers(spark, ["N1", "N2", "N3"], "own ")) == 1
+    names = sorted(r.customer_name for r in wh.table("dim_customer").where("customer_id like 'N%'").collect())
+    assert names == ["other N1", "other N2", "own N3"] and sorted(r.customer_name for r in other.table("dim_customer").where(
+        "customer_id like 'N%'").collect()) == names
+    assert wh.remove_orphans() == 0
+
+
+def test_a_stream_that_fails_is_logged(spark, wh, monkeypatch):
+    raw, ckpt = tempfile.mkdtemp(prefix="raw-"), tempfile.mkdtemp(prefix="ckpt-")
+    files.write_raw_batch(_raw(spark, [_txn("ORD_000001")]), raw, "transactions", "b1")
+    plain = Warehouse._load_fact
+    monkeypatch.setattr(Warehouse, "_load_fact", lambda *a: (_ for _ in ()).throw(RuntimeError("no disk")))
+    q = start_fact_ingest(spark, raw, wh, ckpt)
+    with pytest.raises(Exception, match="no disk"):
+        q.awaitTermination(120)
+    monkeypatch.setattr(Warehouse, "_load_fact", plain)
+    start_fact_ingest(spark, raw, wh, ckpt).awaitTermination(120)
+    log = [(r.status, r.records_processed) for r in wh.table("pipeline_run_log").orderBy("run_timestamp").collect()]
+    assert log == [("FAILED", 0), ("SUCCESS", 1)] and wh.table("fact_sales").count() == 1
+
+
 def test_work_folder_follows_the_session_checkpoint_dir(spark):
     from tillroll.session import ensure_checkpoint_dir, work_path
     root = ensure_checkpoint_dir(spark)

@@ -12,18 +12,46 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ARRIVAL = "_arrival"
+_FILE, _BLOCK, _PLACE = "_arrival_file", "_arrival_block", "_arrival_place"
+ARRIVAL_COLUMNS = (_FILE, _BLOCK, _PLACE)
+_PLACE_BITS = 33                # of monotonically_increasing_id: the row's place in its partition
 
 
-def number_arrivals(df: DataFrame) -> DataFrame:
-    """Add ``_arrival``: rows numbered in the order in which ``df`` holds them
-    (files, then rows).  Number before any shuffle, and write the result
-    before it is read twice."""
-    return df.withColumn(ARRIVAL, F.monotonically_increasing_id())
+def note_file(df: DataFrame) -> DataFrame:
+    """Add the file and the block of it that each row was read from.  A stream
+    must ask for them at its source."""
+    return df.withColumns({_FILE: F.col("_metadata.file_path"), _BLOCK: F.col("_metadata.file_block_start")})
+
+
+def note_arrivals(df: DataFrame) -> DataFrame:
+    """Add where each row was read: its file, the block of the file and the
+    place among the rows read with it.  (Spark deals the blocks of many files to
+    partitions by size, so the partition says nothing about their order.)  Rows
+    that come from no file have their partition for a block.  Call it before
+    any shuffle, write the result, and number it with :func:`number_arrivals`."""
+    at = F.monotonically_increasing_id()
+    if _FILE not in df.columns:
+        try:
+            df = note_file(df)
+        except AnalysisException:
+            df = df.withColumns({_FILE: F.lit(""), _BLOCK: F.shiftright(at, _PLACE_BITS)})
+    return df.withColumns({_FILE: F.coalesce(_FILE, F.lit("")), _PLACE: at.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))})
+
+
+def number_arrivals(noted: DataFrame) -> DataFrame:
+    """``_arrival`` in place of what :func:`note_arrivals` added to a table
+    written since: rows by file path, then by place in the file.  The blocks,
+    a row for each split that was read, are numbered in one small window."""
+    blocks = noted.select(F.col(_FILE).alias("_f"), F.col(_BLOCK).alias("_b")).distinct()
+    blocks = blocks.withColumn("_nth", F.row_number().over(Window.orderBy("_f", "_b")).cast("long"))
+    return (noted.join(blocks, (F.col(_FILE) == F.col("_f")) & F.col(_BLOCK).eqNullSafe(F.col("_b")))
+            .withColumn(ARRIVAL, F.shiftleft("_nth", _PLACE_BITS) + F.col(_PLACE)).drop("_f", "_b", "_nth", *ARRIVAL_COLUMNS))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

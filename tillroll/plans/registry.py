@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import long_out, money_out
 from ..operators.clean import clean_transactions, dropped_rows
-from ..operators.dedupe import ARRIVAL, insert_or_ignore, number_arrivals
+from ..operators.dedupe import ARRIVAL, insert_or_ignore
 from ..operators.ordering import materialize, ranked_by
 from ..session import unique_name, work_path
 from . import insights, kpis, reports, variants
@@ -83,7 +83,7 @@ def _empty_like(df: DataFrame) -> DataFrame:
 
 
 def dim_customer_load(star: Star) -> DataFrame:
-    batch = number_arrivals(star.dim_customer)
+    batch = star.dim_customer.withColumn(ARRIVAL, F.col("customer_id"))
     out = insert_or_ignore(_empty_like(batch), batch, ["customer_id"], [ARRIVAL]).drop(ARRIVAL)
     return out.withColumn("joined_date", F.date_format("joined_date", "yyyy-MM-dd"))
 
@@ -100,8 +100,23 @@ def dim_customer_redelivery(star: Star) -> DataFrame:
                       F.date_format("joined_date", "yyyy-MM-dd").alias("joined_date"))
 
 
+def dim_customer_two_files(star: Star) -> DataFrame:
+    """Customers delivered as files of two folders: every third, renamed, in the
+    first, all in the second, whose files are larger.  The first by file
+    path wins, whatever order Spark reads them in."""
+    spark = star.dim_customer.sparkSession
+    folder = work_path(spark, "tables", unique_name("deliveries"))
+    renamed = star.dim_customer.where("customer_id % 3 = 0").withColumn("customer_name", F.concat("customer_name", F.lit(" (first)")))
+    for name, df in (("1-first", renamed), ("2-all", star.dim_customer)):
+        df.write.option("header", True).csv(f"{folder}/{name}")
+    wh = Warehouse(spark, work_path(spark, "tables", unique_name("warehouse")))
+    wh.create_tables()
+    wh.load_dimension("dim_customer", spark.read.schema(star.dim_customer.schema).option("header", True).csv([f"{folder}/2-all", f"{folder}/1-first"]))
+    return wh.table("dim_customer").select(F.col("customer_id").cast("bigint").alias("customer_id"), "customer_name", "segment", "region")
+
+
 def dim_product_load(star: Star) -> DataFrame:
-    batch = number_arrivals(star.dim_product)
+    batch = star.dim_product.withColumn(ARRIVAL, F.col("product_id"))
     out = insert_or_ignore(_empty_like(batch), batch, ["product_id"], [ARRIVAL])
     return out.select("product_id", "product_name", "category", money_out("unit_price").alias("unit_price"),
                       money_out("cost_price").alias("cost_price"), "margin_pct")
@@ -150,7 +165,7 @@ def new_keys_only(star: Star) -> DataFrame:
     already holds the customers first seen before 1998."""
     early = star.fact.where(F.col("order_date") < F.lit("1998-01-01").cast("date")).select("customer_id")
     target = star.dim_customer.join(early, "customer_id", "left_semi")
-    out = insert_or_ignore(target, number_arrivals(star.dim_customer), ["customer_id"], [ARRIVAL]).drop(ARRIVAL)
+    out = insert_or_ignore(target, star.dim_customer.withColumn(ARRIVAL, F.col("customer_id")), ["customer_id"], [ARRIVAL]).drop(ARRIVAL)
     return out.withColumn("joined_date", F.date_format("joined_date", "yyyy-MM-dd"))
 
 
@@ -267,6 +282,7 @@ def queries() -> dict[str, Query]:
         "fact_insert_or_ignore": _on_star(fact_insert_or_ignore),
         "fact_redelivery": _on_star(fact_redelivery),
         "dim_customer_redelivery": _on_star(dim_customer_redelivery),
+        "dim_customer_two_files": _on_star(dim_customer_two_files),
         "fact_load_outcomes": _on_star(fact_load_outcomes),
         "new_keys_only": _on_star(new_keys_only),
         "kpi_dropped_rows": _on_star(kpi_dropped_rows),

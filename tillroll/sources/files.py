@@ -3,19 +3,20 @@
 Raw batches are written as ``{raw}/{name}/batch_ts={ts}/part-*.csv``: the
 batch stamp is a partition column for readers of all batches, and "the
 latest batch" is found from the folder names alone, so older batches are
-never read.  Flat files named ``{name}_{ts}.csv`` are handled the same way.  Report exports write folders of CSV parts; only callers that
-know a result is small ask for a single file.
+never read.  Flat files named ``{name}_{ts}.csv`` are handled the same way.
+Report exports are written in parts and end as one named file each.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import remove_path, unique_name
+from ..session import path_exists, remove_path, unique_name
 
 BATCH_COL = "batch_ts"
 
@@ -88,21 +89,55 @@ def save_all(dfs: dict[str, DataFrame], out_dir: str, ts: str, fmt: str = "parqu
     return paths
 
 
-def export_report(df: DataFrame, out_dir: str, output_name: str, ts: str,
-                  single_file: bool = False) -> str | None:
-    """CSV export of a report; skipped (None) when the result is empty.
-    The report is evaluated once: the write counts its rows, and an empty
-    folder is removed again.  ``single_file`` coalesces to one part and is
-    meant for small reports (a few hundred rows), never for per-customer or
-    per-line outputs."""
-    path = f"{out_dir.rstrip('/')}/{output_name}_{ts}"
+def _merge_parts(spark: SparkSession, folder: str, target: str, header: str) -> None:
+    """One file ``target``: the header, then the folder's parts in their order.
+    File systems that can join files (HDFS) are told to; on others the parts are
+    copied one after another through a small buffer."""
+    jvm = spark.sparkContext._jvm
+    path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = sorted(st.getPath().toString() for st in fs.listStatus(path(folder)) if st.getPath().getName().startswith("part-") and st.getLen())
+    rough = path(f"{folder}/_merged")
+    out = fs.create(rough, True)
+    out.write(f"{header}\n".encode())
+    out.close()
+    try:
+        array = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(parts))
+        for n, part in enumerate(parts):
+            array[n] = path(part)
+        if parts:
+            fs.concat(rough, array)
+    except UnsupportedOperationException:
+        out = fs.create(rough, True)
+        out.write(f"{header}\n".encode())
+        for part in parts:
+            given = fs.open(path(part))
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(given, out, 1 << 20, False)
+            given.close()
+        out.close()
+    if fs.exists(path(target)) or not fs.rename(rough, path(target)):
+        raise FileExistsError(target)
+
+
+def export_report(df: DataFrame, out_dir: str, output_name: str, ts: str) -> str | None:
+    """A report as one CSV file ``{output_name}_{ts}.csv`` with a header;
+    skipped (None) when the result is empty; an existing file is an error.  The
+    report is evaluated once, in parallel: its parts are written to a
+    folder beside it, which counts the rows, and then merged in their order."""
+    spark = df.sparkSession
+    target = f"{out_dir.rstrip('/')}/{output_name}_{ts}.csv"
+    if path_exists(spark, target):
+        raise FileExistsError(target)
+    folder = f"{out_dir.rstrip('/')}/_{unique_name(output_name)}"
     rows = Observation(unique_name("export"))
-    out = (df.coalesce(1) if single_file else df).observe(rows, F.count(F.lit(1)).alias("rows"))
-    out.write.mode("errorifexists").option("header", True).csv(path)
-    if int(rows.get["rows"]):
-        return path
-    remove_path(df.sparkSession, path)
-    return None
+    df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").option("header", False).csv(folder)
+    try:
+        if not int(rows.get["rows"]):
+            return None
+        _merge_parts(spark, folder, target, ",".join(df.columns))
+        return target
+    finally:
+        remove_path(spark, folder)
 
 
 # Output names of the eight reports' export, in report order.

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import CleanCounts, clean_transactions, new_clean_counts
+from ..operators.dedupe import note_file
 from ..plans.warehouse import Warehouse
 from ..sources.files import BATCH_COL, RAW_TRANSACTIONS
 
@@ -36,9 +37,7 @@ def raw_transaction_stream(spark: SparkSession, raw_dir: str, max_files: int | N
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     root = raw_dir.rstrip("/")
-    if layout == "folders":
-        return reader.csv(f"{root}/transactions")
-    return reader.csv(f"{root}/transactions_*.csv").withColumn("_file", F.col("_metadata.file_name"))
+    return note_file(reader.csv(f"{root}/transactions" if layout == "folders" else f"{root}/transactions_*.csv"))
 
 
 def to_sales_lines(raw: DataFrame, counts: CleanCounts | None = None) -> DataFrame:
@@ -50,15 +49,25 @@ def to_sales_lines(raw: DataFrame, counts: CleanCounts | None = None) -> DataFra
 
 def start_fact_ingest(spark: SparkSession, raw_dir: str, warehouse: Warehouse, checkpoint: str,
                       once: bool = True, max_files: int | None = None, layout: str = "folders") -> StreamingQuery:
-    """Start the stream; each micro-batch goes through ``warehouse.load_fact``."""
+    """Start the stream; each micro-batch goes through ``warehouse.load_fact``,
+    and its lines and its log entry become visible together.  A batch that
+    fails is logged as FAILED and stops the stream, which takes it up again when restarted."""
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        counts = new_clean_counts()
-        order = [BATCH_COL] if BATCH_COL in batch.columns else ["_file"]
-        lines = to_sales_lines(batch, counts)
-        added = warehouse.load_fact(lines, order=order, batch_id=f"{checkpoint}#{epoch_id}")
-        warehouse.log_run(f"stream_batch_{epoch_id}", "SUCCESS", added,
-                          error=f"{counts.dropped()} of {counts.seen.get['rows']} lines dropped by the cleaner")
+        stage = f"stream_batch_{epoch_id}"
+
+        def load() -> None:
+            counts = new_clean_counts()
+            order = [BATCH_COL] if BATCH_COL in batch.columns else []
+            added = warehouse.load_fact(to_sales_lines(batch, counts), order=order, batch_id=f"{checkpoint}#{epoch_id}")
+            warehouse.log_run(stage, "SUCCESS", added,
+                              error=f"{counts.dropped()} of {counts.seen.get['rows']} lines dropped by the cleaner")
+
+        try:
+            warehouse.transact(load)
+        except Exception as failure:
+            warehouse.log_run(stage, "FAILED", error=str(failure))
+            raise
 
     writer = (raw_transaction_stream(spark, raw_dir, max_files, layout).writeStream
               .foreachBatch(load_batch).option("checkpointLocation", checkpoint))
