@@ -13,6 +13,7 @@ most of the blocks doesn't make one task.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -30,6 +31,26 @@ RUN = 1024
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+#: Fixed value: the white space of the split pattern.
+SPACE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+LONG_SPACE = re.compile(f"{SPACE}{{1024,}}")
+
+
+def encode_whole(encoding, text: str) -> list[int]:
+    """The ids of a text with runs of white space of any length, over which the
+    split pattern would overflow its stack.  The pattern makes one piece of
+    such a run, but for its last character if a word follows (which goes with
+    the word, or alone), so the run is encoded as that piece and the texts
+    before and after by the pattern; the ids are the same."""
+    out, at = [], 0
+    for run in LONG_SPACE.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        out += encoding.encode_ordinary(text[at:run.start()])
+        out += encoding._encode_single_piece(text[run.start():end].encode())
+        at = end
+    return out + encoding.encode_ordinary(text[at:])
+
+
 def byte_pair_encoder(path: str) -> Callable[[], Callable[[list[str]], list[list[int]]]]:
     """What makes a task's encoder from a vocabulary file (base64 token and
     rank a line).  The file is read here, once; the executors get its content."""
@@ -41,7 +62,7 @@ def byte_pair_encoder(path: str) -> Callable[[], Callable[[list[str]], list[list
 
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines()) if a}
         encoding = tiktoken.Encoding("given", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-        return lambda texts: [encoding.encode_ordinary(t) for t in texts]
+        return lambda texts: [encode_whole(encoding, t) for t in texts]
 
     return make
 
