@@ -93,10 +93,14 @@ def lowered() -> np.ndarray:
 def word_spans(data: np.ndarray, off: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each word, and words before each row's start; words
     never cross rows."""
-    n = len(data)
+    return run_spans(inside[data], off)
+
+
+def run_spans(w: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each run of true bytes, and runs before each row's start."""
+    n = len(w)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(off), np.int64)
-    w = inside[data]
     before = np.zeros(n, bool)
     before[1:] = w[:-1]
     before[off[:-1][off[:-1] < n]] = False

@@ -3,12 +3,14 @@
 1. *Lexicon.*  From a bounded, seeded sample of labelled rows: a term is taken
    when it stands in toxic texts far more often than chance allows.  Support
    is counted in distinct (word before, word after) pairs, so a passage copied
-   a thousand times counts once.
+   a thousand times counts once.  Every word with enough of it is tested, of any
+   length; scripts written without spaces give pairs of characters as words.
 2. *Matching.*  Each distinct word of a batch runs through the trie of all
    terms with the banded Levenshtein automaton: a node keeps, for the words
    still within the allowed distance, one band of the edit matrix.  Terms of
-   :data:`LONG` or more bytes allow distance 2, others 1, so misspelled terms
-   are found.
+   :data:`LONG` or more bytes allow distance 2, those of :data:`SHORT` or more
+   1, so misspelled terms are found; shorter ones, and those of more than
+   :data:`LONGEST` bytes, match as they are.
 3. *Context.*  A match's strength is the log-odds of its spelling in the
    sample (a spelling seen only in clean texts counts against); a spelling not
    met there has that of the term's spellings at its distance.  Matches
@@ -29,13 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytesops import column_bytes, lowered, prefix_hash, slices, span_hash, word_bytes, word_spans
+from .bytesops import column_bytes, lowered, prefix_hash, run_spans, slices, span_hash, word_bytes, word_spans
 from .common import sampled, stored, with_columns
 
 SAMPLE = 20_000       #: labelled rows, at most, that the model is fitted on
 TERMS = 2048          #: entries of the lexicon, at most
-LONG = 8
-LONGEST = 24          #: bytes of a term, at most; longer words match none
+SHORT, LONG = 4, 8    #: bytes of a term from which distance 1 and 2 are allowed
+LONGEST = 64          #: longer terms are matched exactly
+SUPPORT = 5           #: contexts of a term in toxic texts, at least
 WINDOW = 16           #: words
 QUOTE_BYTES = 80      #: a quoted match has marks this near on both sides
 STRONGEST = 6.0
@@ -93,19 +96,28 @@ class Trie:
 @dataclass
 class Lexicon:
     terms: list[bytes]
+    short: Trie = field(init=False)
     near: Trie = field(init=False)
     far: Trie = field(init=False)
+    whole: dict[bytes, int] = field(init=False)
 
     def __post_init__(self):
-        self.near, self.far = Trie(1), Trie(2)
+        self.short, self.near, self.far = Trie(0), Trie(1), Trie(2)
+        self.whole = {t: i for i, t in enumerate(self.terms) if len(t) > LONGEST}
         for i, t in enumerate(self.terms):
-            (self.far if len(t) >= LONG else self.near).add(t, i)
+            if len(t) <= LONGEST:
+                (self.far if len(t) >= LONG else self.near if len(t) >= SHORT else self.short).add(t, i)
 
     def lookup(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Nearest term and distance of the words at the given spans of lower-cased bytes."""
         length = ends - starts
         found, dist = np.full(len(starts), -1, np.int32), np.full(len(starts), 9, np.int8)
-        for trie, low, high in ((self.near, 2, LONG), (self.far, LONG - 2, LONGEST + 2)):
+        if self.whole:
+            for i in np.flatnonzero(length > LONGEST):
+                term = self.whole.get(data[starts[i]:ends[i]].tobytes(), -1)
+                if term >= 0:
+                    found[i], dist[i] = term, 0
+        for trie, low, high in ((self.short, 1, SHORT - 1), (self.near, SHORT - 1, LONG), (self.far, LONG - 2, LONGEST + 2)):
             pick = np.flatnonzero((length >= low) & (length <= high))
             if not trie.children or not len(pick):
                 continue
@@ -152,17 +164,45 @@ def _quoted(data: np.ndarray, off: np.ndarray, row: np.ndarray, start: np.ndarra
     return odd & (start - left <= QUOTE_BYTES) & (right >= end) & (right - end <= QUOTE_BYTES) & (right < off[row + 1])
 
 
+def unspaced(data: np.ndarray) -> np.ndarray:
+    """Where a character begins that is written without spaces between words:
+    Thai, Lao, Burmese, Khmer, kana and the Han characters (three bytes each)."""
+    out = np.zeros(len(data), bool)
+    if len(data) < 3:
+        return out
+    a, b = data[:-2], data[1:-1]
+    out[:-2] = (((a == 0xE0) & (b >= 0xB8) & (b <= 0xBB)) | ((a == 0xE1) & (((b >= 0x80) & (b <= 0x82)) | (b == 0x9E) | (b == 0x9F)))
+                | ((a == 0xE3) & (b >= 0x81)) | ((a >= 0xE4) & (a <= 0xE9)))
+    return out
+
+
+def term_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words as :func:`word_spans` gives them; a run of characters written
+    without spaces is a word for each two neighbours in it (or its only one)."""
+    at = unspaced(data)
+    if not at.any():
+        return word_spans(data, off, word_bytes("term"))
+    held = at.copy()
+    held[1:] |= at[:-1]
+    held[2:] |= at[:-2]
+    starts, ends, _ = run_spans(word_bytes("term")[data] & ~held, off)
+    low, high, _ = run_spans(held, off)
+    size = (high - low) // 3
+    pairs = np.maximum(size - 1, 1)
+    first = np.repeat(low, pairs) + 3 * (np.arange(pairs.sum()) - np.repeat(np.cumsum(pairs) - pairs, pairs))
+    starts, ends = np.concatenate([starts, first]), np.concatenate([ends, first + np.repeat(np.where(size > 1, 6, 3), pairs)])
+    order = np.argsort(starts, kind="stable")
+    return starts[order], ends[order], np.searchsorted(starts[order], off)
+
+
 def find_hits(data: np.ndarray, off: np.ndarray, lexicon: Lexicon) -> Hits:
     """All matches in a slice of rows, in order."""
-    starts, ends, edges = word_spans(data, off, word_bytes("term"))
+    starts, ends, edges = term_spans(data, off)
     low = lowered()[data]
     prefix = prefix_hash(data, lower=True)
     h = span_hash(prefix, starts, ends)
-    small = (ends - starts) <= LONGEST + 2
     unique, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-    ask = small[first]
-    found, dist = np.full(len(unique), -1, np.int32), np.full(len(unique), 9, np.int8)
-    found[ask], dist[ask] = lexicon.lookup(low, starts[first[ask]], ends[first[ask]])
+    found, dist = lexicon.lookup(low, starts[first], ends[first])
     at = np.flatnonzero(found[inverse] >= 0)
     row = np.searchsorted(edges, at, "right") - 1
     before = np.where(at > edges[row], h[np.maximum(at - 1, 0)], np.uint64(0))
@@ -231,27 +271,20 @@ def logistic(x: np.ndarray, y: np.ndarray, base: float, penalty: float = 10.0) -
     return w
 
 
-def _support(docs: DataFrame, wanted: np.ndarray | None) -> DataFrame:
-    """Distinct contexts of words in ``docs(text)``: ``(word, contexts)``; of
-    those whose hash is in ``wanted`` only, if given."""
+def _support(docs: DataFrame) -> DataFrame:
+    """Distinct contexts of words in ``docs(text)``: ``(word, contexts)``."""
     def pairs(batches):
         for batch in batches:
             data, off = column_bytes(batch.column(0))
             for _, _, part, at in slices(data, off):
-                starts, ends, edges = word_spans(part, at, word_bytes("term"))
+                starts, ends, edges = term_spans(part, at)
                 h = span_hash(prefix_hash(part, lower=True), starts, ends)
                 row = np.repeat(np.arange(len(at) - 1), np.diff(edges))
                 same = np.concatenate([[False], row[1:] == row[:-1]]) if len(row) else np.zeros(0, bool)
                 before = np.where(same, np.roll(h, 1), np.uint64(0))
                 after = np.where(np.roll(same, -1), np.roll(h, -1), np.uint64(0))
                 context = before * np.uint64(3) + after
-                length = ends - starts
-                keep = (length >= 4) & (length <= LONGEST)
-                if wanted is not None:
-                    keep &= np.isin(h, wanted)
-                keep = np.flatnonzero(keep)
-                _, first = np.unique(h[keep] * np.uint64(31) + context[keep], return_index=True)
-                keep = keep[first]
+                _, keep = np.unique(h * np.uint64(31) + context, return_index=True)
                 low = lowered()[part].tobytes()
                 words = [low[s:e] for s, e in zip(starts[keep].tolist(), ends[keep].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(context[keep].view(np.int64))],
@@ -264,23 +297,17 @@ def _support(docs: DataFrame, wanted: np.ndarray | None) -> DataFrame:
 def learn_lexicon(toxic: DataFrame, clean: DataFrame, base: float, most: int = TERMS) -> list[bytes]:
     """Terms whose contexts are toxic more often than the share ``base`` of
     toxic texts explains: log-likelihood gain above that of the best of all
-    the words by chance, with a margin of 1 in 100."""
-    common = _support(toxic, None).where("contexts >= 5").orderBy(F.desc("contexts"), "word").limit(8 * most).collect()
-    if not common:
-        return []
-    spans = [bytes(r.word) for r in common]
-    data = np.frombuffer(b"".join(spans), np.uint8)
-    ends = np.cumsum([len(w) for w in spans])
-    wanted = np.sort(span_hash(prefix_hash(data, lower=True), ends - [len(w) for w in spans], ends))
-    clean_of = {bytes(r.word): r.contexts for r in _support(clean, wanted).collect()}
-    chosen = []
-    for r in common:
-        a, b = r.contexts, clean_of.get(bytes(r.word), 0)
-        rate = a / (a + b)
-        gain = a * np.log(rate / base) + (b * np.log((1 - rate) / (1 - base)) if b else 0.0)
-        if rate > max(0.5, 3 * base) and gain > np.log(len(common) * 1e4):
-            chosen.append((-gain, bytes(r.word)))
-    return [w for _, w in sorted(chosen)[:most]]
+    the words by chance, with a margin of 1 in 100.  The gain is computed for
+    every word of :data:`SUPPORT` toxic contexts; the best ``most`` are returned."""
+    found = _support(toxic).where(F.col("contexts") >= SUPPORT).withColumnRenamed("contexts", "a")
+    both = stored(found.join(_support(clean).withColumnRenamed("contexts", "b"), "word", "left").select("word", "a", F.coalesce("b", F.lit(0)).alias("b")),
+                  "term-support")
+    tested = both.count()
+    rate = F.col("a") / (F.col("a") + F.col("b"))
+    gain = F.col("a") * F.log(rate / F.lit(base)) + F.when(F.col("b") > 0, F.col("b") * F.log((1 - rate) / F.lit(1 - base))).otherwise(0.0)
+    best = (both.withColumn("gain", gain).where((rate > max(0.5, 3 * base)) & (F.col("gain") > float(np.log(max(tested, 1) * 1e4))))
+            .orderBy(F.desc("gain"), "word").limit(most))
+    return [bytes(r.word) for r in best.select("word").collect()]
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int = TERMS, seed: int = 10) -> Model:
