@@ -3,6 +3,9 @@ sizes, and connected components."""
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,21 +21,33 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
 
 
-_WORK: list[tuple[str, str, str | None]] = []   #: application, folder, and table name if it is in the catalog
+_WORK: list[tuple[str, str, str, str | None]] = []   #: application, owner, folder, and table name if it is in the catalog
+_OWNER = ContextVar("work_owner", default="")
+
+
+@contextmanager
+def work_owner(name: str):
+    """Work tables written inside belong to ``name``."""
+    before = _OWNER.set(name)
+    try:
+        yield
+    finally:
+        _OWNER.reset(before)
 
 
 def note_work(spark: SparkSession, path: str, name: str | None = None) -> None:
     """Note a work table for :func:`release_work`."""
-    _WORK.append((spark.sparkContext.applicationId, path, name))
+    _WORK.append((spark.sparkContext.applicationId, _OWNER.get(), path, name))
 
 
-def release_work(spark: SparkSession) -> None:
+def release_work(spark: SparkSession, owner: str = "") -> None:
     """Delete the work tables that this application's operators have written
-    so far.  Call it when all their results have been written elsewhere."""
-    for entry in [w for w in _WORK if w[0] == spark.sparkContext.applicationId]:
-        if entry[2]:
-            spark.sql(f"DROP TABLE IF EXISTS {entry[2]}")
-        remove_path(spark, entry[1])
+    for ``owner`` so far (outside any owner: those of single queries).  Call it
+    when all results that read them have been written elsewhere."""
+    for entry in [w for w in _WORK if w[:2] == (spark.sparkContext.applicationId, owner)]:
+        if entry[3]:
+            spark.sql(f"DROP TABLE IF EXISTS {entry[3]}")
+        remove_path(spark, entry[2])
         _WORK.remove(entry)
 
 
