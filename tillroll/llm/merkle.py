@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import lower_ascii, pieces, stored
 
 FAN = 8
-DEPTH = 5                       # levels that one task derives, from FAN ** DEPTH consecutive nodes
+DEPTH = 4                       # levels that one task derives, from FAN ** DEPTH consecutive nodes
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 ROOT_TREE = ""                  # the tree of the subroots; groups are "-" (null) or "=" and their name
 
