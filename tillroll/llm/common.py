@@ -122,7 +122,7 @@ def join_hot(rows: DataFrame, keyed: DataFrame, key: str, weight: str) -> DataFr
     return of_hot.unionByName(others)
 
 
-def components(edges: DataFrame, label: str = "components") -> DataFrame:
+def components(edges: DataFrame, label: str = "components", hubs: bool = False) -> DataFrame:
     """Connected components of ``edges(a, b)``: ``(node, root)``, root being
     the component's smallest node.
 
@@ -130,21 +130,26 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     neighbours are linked to the smallest one, first the larger neighbours,
     then the smaller ones.  Each step is one aggregate for the smallest
     neighbour (combined before the shuffle, so a hub costs one row a task) and
-    one join, in which hubs stay where they are (:func:`join_hot`).  Every round
-    is written to the shared folder; rounds end when nothing changes (about the
-    logarithm of the longest path)."""
+    one join, which Spark may split where a hub is hot; with ``hubs`` they stay
+    where they are (:func:`join_hot`), for two more written tables a round.  Every
+    round is written to the shared folder; rounds end when nothing changes (about
+    the logarithm of the longest path)."""
     spark = edges.sparkSession
     e = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                .where("a <> b").distinct(), label)
     before = None
     while True:
         both = e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count(F.lit(1)).alias("links")), label)
-        large = (join_hot(both, least, "a", "links").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count(F.lit(1)).alias("links"))
+        least = stored(least, label) if hubs else least.drop("links")
+        met = join_hot(both, least, "a", "links") if hubs else both.join(least, "a")
+        large = (met.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.where("m < a").select("a", F.col("m").alias("b"))).where("a <> b").distinct())
         large = stored(large, label)
-        least = stored(large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("links")), label)
-        small = (join_hot(large, least, "a", "links").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("links"))
+        least = stored(least, label) if hubs else least.drop("links")
+        met = join_hot(large, least, "a", "links") if hubs else large.join(least, "a")
+        small = (met.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
         e = stored(small, label)
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

@@ -220,7 +220,7 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, radius: int = RADIUS) ->
     signed = stored(fingerprints(docs, n), "fingerprints")
     prints = stored(signed.groupBy("fingerprint").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")), "distinct-fingerprints")
     found = stored(links(prints.select("fingerprint"), prints.count(), radius), "fingerprint-links")
-    groups = stored(components(found, "fingerprint-components"), "components")
+    groups = stored(components(found, "fingerprint-components", hubs=True), "components")
     rooted = (prints.join(groups, prints["fingerprint"] == groups["node"], "left")
               .select("fingerprint", "first", "copies", F.coalesce("root", "fingerprint").alias("root")))
     rooted = stored(rooted, "rooted-fingerprints")
