@@ -94,7 +94,7 @@ def test_stages_keep_the_columns(spark, corpus):
 
 def test_every_operator_is_registered():
     names = {n.split("_")[0] for n in entry.queries() if n.startswith("op")}
-    assert names == {f"op{i}" for i in range(1, 11)} and "pipeline" in entry.queries()
+    assert names == {f"op{i}" for i in range(1, 14)} and "pipeline" in entry.queries()
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
