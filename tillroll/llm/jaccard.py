@@ -8,14 +8,16 @@
    that order share the longest prefixes, so each tree is a prefix trie laid
    flat, and a node is a run of equal prefixes.  A run of any length spreads over
    as many partitions as it fills; runs that cross a border meet by their prefix.
-3. The forest is first matched at the full depth.  Classes of a node are linked
-   to its first class (never to each other), the components of these links are
-   the candidate clusters, and their pairs are verified exactly.  Each link found
-   has a similarity, hence a known chance to be met at that depth, so the found
+3. Classes of a node are linked to its first class (never to each other); the
+   components of the links at the shortest prefix are the candidate clusters.  The
+   forest is first matched at the full depth: pairs of a cluster that
+   share a whole signature of some tree are verified exactly.  Each link found
+   has a similarity, hence a known chance to be met at any depth, so the found
    links say how many were missed.  While the recall so estimated is under the
-   target, all prefixes are shortened by one value, and the pairs that meet
-   only then are verified.  It ends at the latest at the depth at which a pair
-   just at the threshold meets with the target recall (:func:`prefix_length`).
+   target, all prefixes are shortened to the longest that would reach it, and
+   the pairs that meet only then are verified.  It ends at the latest at the depth
+   at which a pair just at the threshold meets with the target recall
+   (:func:`prefix_length`).
 4. Verification intersects shingle sets of classes that meet in a node.  A
    cluster of more than :data:`BLOCK` classes is cut into blocks, or taken node
    by node where that copies fewer sets, and only nodes above the block size are
@@ -258,9 +260,9 @@ def _groups(cluster: DataFrame, sets: DataFrame, depth: int) -> DataFrame:
             .select("part", "tree", "i", "j", "block", "class", "copies", "signature", "shingles"))
 
 
-def _verified(members: DataFrame, threshold: float, depth: int, depths: list[int]) -> DataFrame:
+def _verified(members: DataFrame, threshold: float, depth: int, before: int, depths: list[int]) -> DataFrame:
     """``(class, linked, root, links, unseen)`` of :func:`_groups`, from the
-    pairs that meet at ``depth`` and not before: a row for each class that
+    pairs that meet at ``depth`` and not at ``before``: a row for each class that
     has links in the group; ``links`` counts those on which it comes first,
     ``unseen`` estimates for each of ``depths`` how many like them don't meet."""
     def verify(table: pa.Table) -> pa.Table:
@@ -269,7 +271,7 @@ def _verified(members: DataFrame, threshold: float, depth: int, depths: list[int
         block, copies = table["block"].to_numpy(), table["copies"].to_numpy()
         values = column_bytes(table["signature"])[0].view(">u2").reshape(-1, TREES, DEEPEST)
         nodes = prefixes(values, depth)
-        deeper = prefixes(values, depth + 1) if depth < DEEPEST else None
+        deeper = prefixes(values, before) if before <= DEEPEST else None
         tree = table["tree"][0].as_py()
         i, j = table["i"][0].as_py(), table["j"][0].as_py()
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
@@ -318,11 +320,11 @@ def _verified(members: DataFrame, threshold: float, depth: int, depths: list[int
         root = np.arange(len(names))
         while len(a):
             low = np.minimum(root[a], root[b])
-            before = root.copy()
+            settled = root.copy()
             np.minimum.at(root, root[a], low)
             np.minimum.at(root, root[b], low)
             root = root[root]
-            if (root == before).all() and (root[a] == root[b]).all():
+            if (root == settled).all() and (root[a] == root[b]).all():
                 break
         some = np.flatnonzero(linked)
         return pa.table({"class": pa.array([names[x] for x in some], pa.binary()), "linked": linked[some],
@@ -345,17 +347,19 @@ def forest_links(classes: DataFrame, texts: DataFrame, n: int, threshold: float,
     met = some.select("class").unionByName(some.select(F.col("head").alias("class"))).distinct()
     asked = classes.join(met, "class", "left_semi")
     sets = stored(_shingle_sets(asked.join(texts, "key").select("class", "copies", "signature", "text"), n), "shingle-sets")
-    found = None
-    for depth in reversed(depths):
-        here = links.where(F.col("depth") == depth)
-        fresh = here.where("fresh").select(F.col("class").alias("node")).distinct()
-        cluster = stored(components(here.select(F.col("class").alias("a"), F.col("head").alias("b")), "candidate-links"), "clusters")
-        if depth < DEEPEST:
-            cluster = cluster.join(cluster.join(fresh, "node").select("root").distinct(), "root", "left_semi").select("node", "root")
-        new = stored(_verified(_groups(cluster, sets, depth), threshold, depth, depths), "links")
+    cluster = stored(components(some.select(F.col("class").alias("a"), F.col("head").alias("b")), "candidate-links"), "clusters")
+    found, before, depth = None, DEEPEST + 1, DEEPEST
+    while True:
+        fresh = links.where(F.col("depth").between(depth, before - 1) & F.col("fresh")).select(F.col("class").alias("node")).distinct()
+        here = cluster.join(cluster.join(fresh, "node").select("root").distinct(), "root", "left_semi").select("node", "root")
+        new = stored(_verified(_groups(here, sets, depth), threshold, depth, before, depths), "links")
         found = new if found is None else found.unionByName(new)
-        seen, unseen = found.agg(F.coalesce(F.sum("links"), F.lit(0)), F.coalesce(F.sum(F.col("unseen")[depth - shortest]), F.lit(0.0))).first()
-        if seen >= recall * (seen + unseen + 1 / meeting_chance(threshold, depth) - 1) and seen:
+        seen, *unseen = found.agg(F.coalesce(F.sum("links"), F.lit(0)),
+                                  *[F.coalesce(F.sum(F.col("unseen")[k]), F.lit(0.0)) for k in range(len(depths))]).first()
+        left = [d for d in depths if d <= depth and seen and
+                seen >= recall * (seen + unseen[d - shortest] + 1 / meeting_chance(threshold, d) - 1)]
+        before, depth = depth, max(left, default=shortest)
+        if depth == before:
             break
     return found.select("class", "linked", "root")
 
