@@ -122,6 +122,10 @@ def join_hot(rows: DataFrame, keyed: DataFrame, key: str, weight: str) -> DataFr
     return of_hot.unionByName(others)
 
 
+#: Edges of one task of :func:`components`, at least.
+EDGES = 50_000
+
+
 def components(edges: DataFrame, label: str = "components", hubs: bool = False) -> DataFrame:
     """Connected components of ``edges(a, b)``: ``(node, root)``, root being
     the component's smallest node.
@@ -132,29 +136,30 @@ def components(edges: DataFrame, label: str = "components", hubs: bool = False)
     neighbour (combined before the shuffle, so a hub costs one row a task) and
     one join, which Spark may split where a hub is hot; with ``hubs`` they stay
     where they are (:func:`join_hot`), for two more written tables a round.  Every
-    round is written to the shared folder; rounds end when nothing changes (about
-    the logarithm of the longest path)."""
-    spark = edges.sparkSession
+    round is written to the shared folder; rounds end when all edges lead from
+    a node with no other edge to its root (about the logarithm of the longest
+    path).  A step's tasks are as many as the edges counted so far ask for."""
     e = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                .where("a <> b").distinct(), label)
-    before = None
     while True:
+        tasks = pieces(2 * e.count(), EDGES)
+        ends = (e.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+                .unionByName(e.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+                .groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")))
+        if not ends.coalesce(tasks).where("up > 1 or up = 1 and down = 1").count():
+            break
         both = e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count(F.lit(1)).alias("links"))
         least = stored(least, label) if hubs else least.drop("links")
         met = join_hot(both, least, "a", "links") if hubs else both.join(least, "a")
         large = (met.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .unionByName(least.where("m < a").select("a", F.col("m").alias("b"))).where("a <> b").distinct())
-        large = stored(large, label)
+                 .unionByName(least.where("m < a").select("a", F.col("m").alias("b"))).where("a <> b").coalesce(tasks).distinct())
+        large = stored(large.coalesce(tasks), label)
         least = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("links"))
         least = stored(least, label) if hubs else least.drop("links")
         met = join_hot(large, least, "a", "links") if hubs else large.join(least, "a")
         small = (met.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
-        e = stored(small, label)
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
-    stars = e.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root")
+                 .unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").coalesce(tasks).distinct())
+        e = stored(small.coalesce(tasks), label)
+    stars = e.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())

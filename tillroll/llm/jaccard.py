@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytesops import U64, column_bytes, mix, powers, slices, symbols, word_bytes, words
-from .common import components, row_key, stored
+from .common import components, pieces, row_key, stored
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -47,6 +47,7 @@ DEEPEST = 6
 VALUE = 2                                #: bytes kept of a MinHash value
 RECALL = 0.9997
 BLOCK = 1000
+BRANCHES = 40_000                        #: sorted signatures of a task, about
 _LINKS = "class binary, head binary, depth int, fresh boolean, border binary"
 _SEEDS = np.random.default_rng(64).integers(0, 1 << 63, (TREES, DEEPEST), dtype=U64) * U64(2) + U64(1)
 
@@ -203,7 +204,7 @@ def sorted_tries(classes: DataFrame, shortest: int) -> DataFrame:
 
     laid = (classes.select("class", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
             .select("tree", _branch(F.col("tree")).alias("branch"), "class")
-            .repartitionByRange("tree", "branch", "class").sortWithinPartitions("tree", "branch", "class"))
+            .repartitionByRange(pieces(TREES * classes.count(), BRANCHES), "tree", "branch", "class").sortWithinPartitions("tree", "branch", "class"))
     found = stored(laid.mapInArrow(runs, _LINKS), "forest")
     ends = found.where("border is not null").select("class", "depth", "border").distinct()       # two a partition and depth
     first = ends.groupBy("depth", "border").agg(F.min("class").alias("head"))
