@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillroll.llm import ann, bwt, ctw, decontam, eodscan, jaccard, mixing, ordinal, redirects, toxicity
@@ -209,6 +210,29 @@ def test_decontamination_matches_brute_force(spark, docs, awkward):
     assert [[i for i in g[3] if i is not None] for g in got] == [w[3] for w in want]
 
 
+def test_runs_of_many_spans_in_linear_time():
+    """Rows of random spans against a plain loop, and one row of a million."""
+    spans = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
+    rng = np.random.default_rng(1)
+    for _ in range(100):
+        rows = [sorted((int(a), int(a + rng.integers(1, 9))) for a in rng.integers(0, 80, rng.integers(0, 12))) for _ in range(5)]
+        batch = pa.RecordBatch.from_arrays([pa.array([[{"s": a, "e": b} for a, b in row] for row in rows], spans)], names=["spans"])
+        want = []
+        for row in rows:
+            runs = []
+            for a, b in row:
+                if runs and a <= runs[-1][1]:
+                    runs[-1] = (runs[-1][0], max(runs[-1][1], b))
+                else:
+                    runs.append((a, b))
+            want.append(runs)
+        (out,) = decontam._merged([batch])
+        assert [[(x["s"], x["e"]) for x in row] for row in out.column("spans").to_pylist()] == want
+    low = np.arange(1_000_000) * 2
+    start, end = decontam.merged_runs(low, low + 1 + (low % 4 == 0))
+    assert len(start) == 500_000 and (end - start == 3).all()
+
+
 def test_proximity_and_empty_tables(spark, docs, no_docs):
     df = spark.createDataFrame([(1, "alpha x beta y gamma"), (2, "gamma beta alpha"), (3, "alpha " + "z " * 50 + "beta gamma")], "d long, t string")
     bench = spark.createDataFrame([("i", "alpha beta gamma")], "item_id string, text string")

@@ -148,6 +148,35 @@ def _intersect(block: dict, q: Queries, slack: int | None):
             yield "near", g, who, place
 
 
+def merged_runs(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs that sorted spans cover; spans that touch are one run."""
+    if not len(start):
+        return start, end
+    reach = np.maximum.accumulate(end)
+    new = np.concatenate([[True], start[1:] > reach[:-1]])
+    return start[new], reach[np.append(np.flatnonzero(new)[1:], len(end)) - 1]
+
+
+def _spans(start: np.ndarray, end: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Spans as a column; ``edges`` says where each row's begin."""
+    fields = [pa.array(start, pa.int32()), pa.array(end, pa.int32())]
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.StructArray.from_arrays(fields, ["s", "e"]))
+
+
+def _merged(batches):
+    """Rows whose sorted ``spans`` become runs, in time linear in their number."""
+    for batch in batches:
+        spans = batch.column("spans")
+        flat = spans.flatten()
+        start, end = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("s", "e"))
+        row = np.repeat(np.arange(batch.num_rows), np.diff(spans.offsets.to_numpy()))
+        apart = row << 32                                # spans of different rows never touch
+        start, end = merged_runs(start + apart, end + apart)
+        edges = np.searchsorted(start, np.arange(batch.num_rows + 1) << 32)
+        runs = _spans(start & 0xFFFFFFFF, end & 0xFFFFFFFF, edges)
+        yield pa.RecordBatch.from_arrays([runs if c == "spans" else batch.column(c) for c in batch.schema.names], names=batch.schema.names)
+
+
 def search(index: DataFrame, items: DataFrame, size: int = 10, slack: int | None = None) -> DataFrame:
     """One row for each indexed document: ``block, row, id, n_words, spans,
     items, near_items``: the merged runs of matched words (start, end), the
@@ -205,14 +234,10 @@ def search(index: DataFrame, items: DataFrame, size: int = 10, slack: int | None
                 .mapInArrow(match, "block long, row int, spans array<struct<s:int,e:int>>, items array<string>, near_items array<string>"))
         found = hits if found is None else found.unionByName(hits)
     gathered = (found.groupBy("block", "row")
-                .agg(F.expr("array_sort(flatten(collect_list(spans)))").alias("raw"),
+                .agg(F.expr("array_sort(flatten(collect_list(spans)))").alias("spans"),
                      F.expr("array_sort(array_distinct(flatten(collect_list(items))))").alias("items"),
                      F.expr("array_sort(array_distinct(flatten(collect_list(near_items))))").alias("near_items")))
-    merged = F.expr("""aggregate(raw, cast(array() as array<struct<s:int,e:int>>), (a, x) ->
-        if(size(a) > 0 and x.s <= element_at(a, -1).e,
-           concat(slice(a, 1, size(a) - 1), array(named_struct('s', element_at(a, -1).s, 'e', greatest(element_at(a, -1).e, x.e)))),
-           concat(a, array(x))))""")
-    gathered = gathered.withColumn("spans", merged).drop("raw")
+    gathered = gathered.mapInArrow(_merged, "block long, row int, spans array<struct<s:int,e:int>>, items array<string>, near_items array<string>")
     every = index.select("block", F.posexplode(F.arrays_zip("ids", "n_words")).alias("row", "doc"))
     none = F.expr("cast(array() as array<string>)")
     return (every.join(gathered, ["block", "row"], "left")
