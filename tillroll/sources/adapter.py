@@ -25,7 +25,9 @@ is_returned        1 when l_returnflag = 'R'
 Join order is chosen for scale (Spark does not reorder joins without CBO
 statistics): the two large fact-side inputs are each joined to their own
 dimension first -- orders to customers, line items to parts -- so that the
-line-item-sized data is shuffled only twice (by part key, then by order key).
+line-item-sized data is shuffled only twice (by part key, then by order key),
+as keys and base measures in small types; what can be derived from them (money
+columns, calendar) is derived after the last shuffle.
 Nation and region are fixed-size (25 and 5 rows); Spark broadcasts them on
 its own from the file statistics, so no hint is needed anywhere here.
 """
@@ -39,6 +41,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar_columns, iso_date
 from ..functions.numeric import MONEY, SNAP
+from ..session import shuffle_partitions
 from .tables import read_table
 
 # ---------------------------------------------------------------------------
@@ -95,65 +98,76 @@ def product_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Lines that one task of the large joins sorts, at most on average.
+TASK_LINES = 1_000_000
+
+
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide sales fact (lazy).  See the module docstring for the mapping."""
     orders = read_table(spark, sf_dir, "orders",
                         ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
     cust = customer_attributes(spark, sf_dir).select("customer_id", "segment", "region")
-    # calendar columns belong to the order: derived on the orders side, once
-    # per order instead of once per line
-    d = F.col("o_orderdate").cast("date")
-    cal = calendar_columns(d)
     order_side = (orders.join(cust, orders.o_custkey == cust.customer_id)
                   .select(F.col("o_orderkey").alias("order_id"), "customer_id", "segment", "region",
-                          d.alias("order_date"), iso_date(d).alias("date_id"),
-                          *[v.alias(k) for k, v in cal.items()],
+                          F.col("o_orderdate").cast("date").alias("order_date"),
                           F.col("o_orderpriority").alias("payment_method")))
 
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
                      "l_extendedprice", "l_discount", "l_returnflag"])
     prod = product_attributes(spark, sf_dir).select("product_id", "product_name", "category")
-    line_side = li.join(prod, li.l_partkey == prod.product_id)
+    tasks = join_tasks(spark, li)
+    line_side = dealt(base_measures(li), "l_partkey", tasks).join(
+        dealt(prod, "product_id", tasks), F.col("l_partkey") == F.col("product_id")).drop("l_partkey")
 
-    joined = line_side.join(order_side, line_side.l_orderkey == order_side.order_id)
+    joined = dealt(line_side, "l_orderkey", tasks).join(
+        dealt(order_side, "order_id", tasks), F.col("l_orderkey") == F.col("order_id"))
     return enrich_lines(joined)
 
 
+def join_tasks(spark: SparkSession, lines: DataFrame) -> int | None:
+    """How many tasks the large joins need so that none sorts more than about
+    TASK_LINES lines (more would spill); None if the session's partitions
+    are enough.  The count comes from the files' footers."""
+    need = -(-lines.count() // TASK_LINES)
+    return need if need > shuffle_partitions(spark) else None
+
+
+def dealt(df: DataFrame, key: str, tasks: int | None) -> DataFrame:
+    return df.repartition(tasks, key) if tasks else df
+
+
+def base_measures(lines: DataFrame) -> DataFrame:
+    """Keys and base measures of the line items in their final types, which are
+    smaller in a shuffle than the given doubles and texts."""
+    return lines.select(
+        "l_orderkey", "l_partkey", F.col("l_linenumber").alias("line_number"),
+        F.col("l_quantity").cast("bigint").alias("quantity"),
+        F.round(F.col("l_discount") * 100).cast("int").alias("discount_pct"),
+        F.col("l_extendedprice").cast(MONEY).alias("gross_revenue"),
+        F.when(F.col("l_returnflag") == RETURNED_FLAG, 1).otherwise(0).alias("is_returned"))
+
+
 def enrich_lines(df: DataFrame) -> DataFrame:
-    """Measures and calendar columns for joined line rows (P24 on this data)."""
-    gross = F.col("l_extendedprice").cast(MONEY)
-    qty = F.col("l_quantity").cast("bigint")
-    disc_pct = F.round(F.col("l_discount") * 100).cast("int")
+    """Derived measures and calendar columns for joined line rows (P24 on this
+    data), after the last shuffle, so that none of them is moved."""
+    gross, disc_pct = F.col("gross_revenue"), F.col("discount_pct")
     disc_amt = F.round(gross * disc_pct * F.lit(Decimal("0.01")), 2).cast(MONEY)
     cost = F.round(gross * cost_factor(F.col("category")), 2).cast(MONEY)
-    unit_price = F.round((gross.cast("double") / qty).cast(SNAP), 2).cast(MONEY)
+    unit_price = F.round((gross.cast("double") / F.col("quantity")).cast(SNAP), 2).cast(MONEY)
     d = F.col("order_date")
-    cal = {k: F.col(k) if k in df.columns else v for k, v in calendar_columns(d).items()}
-    date_id = F.col("date_id") if "date_id" in df.columns else iso_date(d)
+    cal = calendar_columns(d)
     return df.select(
-        F.col("order_id"),
-        F.col("l_linenumber").alias("line_number"),
-        F.col("customer_id"),
-        F.col("product_id"),
-        d.alias("order_date"),
-        date_id.alias("date_id"),
-        cal["year"].alias("year"),
-        cal["month"].alias("month"),
-        cal["month_name"].alias("month_name"),
-        cal["quarter"].alias("quarter"),
-        F.col("region"),
-        F.col("segment"),
-        F.col("category"),
-        F.col("product_name"),
-        F.col("payment_method"),
-        qty.alias("quantity"),
+        "order_id", "line_number", "customer_id", "product_id", "order_date",
+        iso_date(d).alias("date_id"),
+        *[v.alias(k) for k, v in cal.items()],
+        "region", "segment", "category", "product_name", "payment_method", "quantity",
         unit_price.alias("unit_price"),
-        disc_pct.alias("discount_pct"),
+        "discount_pct",
         disc_amt.alias("discount_amt"),
-        gross.alias("gross_revenue"),
+        "gross_revenue",
         (gross - disc_amt).cast(MONEY).alias("net_revenue"),
         cost.alias("cost"),
         (gross - cost - disc_amt).cast(MONEY).alias("profit"),
-        F.when(F.col("l_returnflag") == RETURNED_FLAG, 1).otherwise(0).alias("is_returned"),
+        "is_returned",
     )
