@@ -47,10 +47,11 @@ def note_arrivals(df: DataFrame) -> DataFrame:
 def number_arrivals(noted: DataFrame) -> DataFrame:
     """``_arrival`` in place of what :func:`note_arrivals` added to a table
     written since: rows by file path, then by place in the file.  The blocks,
-    a row for each split that was read, are numbered in one small window."""
+    a row for each split that was read, are numbered in one small window and
+    broadcast, so that the rows stay where they are."""
     blocks = noted.select(F.col(_FILE).alias("_f"), F.col(_BLOCK).alias("_b")).distinct()
     blocks = blocks.withColumn("_nth", F.row_number().over(Window.orderBy("_f", "_b")).cast("long"))
-    return (noted.join(blocks, (F.col(_FILE) == F.col("_f")) & F.col(_BLOCK).eqNullSafe(F.col("_b")))
+    return (noted.join(F.broadcast(blocks), (F.col(_FILE) == F.col("_f")) & F.col(_BLOCK).eqNullSafe(F.col("_b")))
             .withColumn(ARRIVAL, F.shiftleft("_nth", _PLACE_BITS) + F.col(_PLACE)).drop("_f", "_b", "_nth", *ARRIVAL_COLUMNS))
 
 

@@ -46,7 +46,7 @@ def materialize(df: DataFrame, label: str = "table") -> tuple[DataFrame, int]:
     spark = df.sparkSession
     path = work_path(spark, "tables", unique_name(label))
     obs = Observation(unique_name("rows"))
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])
 
 

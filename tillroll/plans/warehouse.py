@@ -42,6 +42,7 @@ from pyspark.sql import types as T
 
 from ..functions.calendar import calendar_columns
 from ..operators.dedupe import ARRIVAL, ARRIVAL_COLUMNS, insert_or_ignore, note_arrivals, number_arrivals
+from ..operators.ordering import BROADCAST_ROWS
 from ..operators.ordering import materialize as _materialize
 from ..session import path_exists, remove_path, shuffle_partitions, unique_name, work_path
 
@@ -88,6 +89,11 @@ def _iso_day(column: str):
     return F.when(F.date_format(day, "yyyy-MM-dd") == text, text)
 
 
+def _plain(schema: T.StructType, columns) -> bool:
+    """All columns are of types that Parquet gives back as they were."""
+    return all(isinstance(schema[c].dataType, (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType)) for c in columns)
+
+
 class _Conflict(Exception):
     """Another load has committed since this one read the tables."""
 
@@ -228,9 +234,10 @@ class Warehouse:
         table = self._in_catalog(name, folders)
         return self.spark.table(table).where(F.col("load_id").isin(folders) if folders else F.lit(False)).drop("load_id")
 
-    def _append(self, name: str, df: DataFrame) -> int:
+    def _append(self, name: str, df: DataFrame, dealt: bool = False) -> int:
+        """``dealt``: the rows of a keyed table are in its buckets' partitions already."""
         if not self._load:
-            return self.transact(lambda: self._append(name, df))
+            return self.transact(lambda: self._append(name, df, dealt))
         written = self._load.folders.setdefault(name, [])
         folder = f"{self._load.id}-{len(written)}"
         path = f"{self.path(name)}/load_id={folder}"
@@ -239,10 +246,11 @@ class Warehouse:
         if self.keys(name):
             # Spark writes buckets through the catalog; the name is given up again, the files stay.
             buckets, once = self._buckets(), unique_name("write").replace("-", "_")
-            rows.repartition(buckets, *self.keys(name)).write.bucketBy(buckets, *self.keys(name)).option("path", path).saveAsTable(once)
+            rows = rows if dealt else rows.repartition(buckets, *self.keys(name))
+            rows.write.bucketBy(buckets, *self.keys(name)).option("path", path).option("compression", "zstd").saveAsTable(once)
             self.spark.sql(f"DROP TABLE {once}")
         else:
-            rows.write.parquet(path)
+            rows.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(SCHEMAS[name]).parquet(path).count()
 
     def remove_orphans(self) -> int:
@@ -319,31 +327,67 @@ class Warehouse:
         for c in dict.fromkeys([*self.fact_keys, "customer_id", "product_id", "date_id", "net_revenue"]):
             cond = F.when(F.col(c).isNull(), F.lit(f"missing or invalid {c}"))
             reason = cond if reason is None else F.coalesce(reason, cond)
-        # The raw text is kept for rejected rows only, and settled before the joins.
-        typed = (typed.withColumn("_reason", reason)
-                 .withColumn("_raw", F.when(F.col("_reason").isNotNull(), F.to_json("_orig"))).drop("_orig"))
-        typed, _ = _materialize(typed, "fact_batch")
+        # The raw row is kept for rejected rows only, as columns where Parquet can hold them, and not for a batch whose rejects are there.
+        wanted = batch_id is None or self.table("fact_rejects").where(F.col("batch_id") == batch_id).isEmpty()
+        plain = _plain(sales.schema, raw)
+        # Of a rejected line nothing else is kept, nor the line itself if its rejects are there.
+        typed = typed.withColumn("_reason", reason)
+        kept = [c for c in typed.columns if c not in (*ARRIVAL_COLUMNS, "_reason", "_orig")]
+        raw_row = F.when(F.col("_reason").isNotNull(), F.col("_orig") if plain else F.to_json("_orig")).alias("_raw")
+        typed = typed.select(*[F.when(F.col("_reason").isNull(), F.col(c)).alias(c) for c in kept], *ARRIVAL_COLUMNS, "_reason",
+                             *([raw_row] if wanted else []))
+        typed, _ = _materialize(typed if wanted else typed.where("_reason is null"), "fact_batch")
         typed = number_arrivals(typed)
-        rejects = typed.where("_reason is not null").select(F.col("_reason").alias("reason"), F.col("_raw").alias("row"))
         good = typed.where("_reason is null").drop("_reason", "_raw")
         lines = [c for c in good.columns if c != ARRIVAL and not c.startswith("_order_")]
+        unknown = None
         if self.enforce_foreign_keys:
-            for dim, key in (("dim_customer", "customer_id"), ("dim_product", "product_id")):
-                known = self.table(dim).select(key, F.lit(True).alias(f"_known_{key}"))
-                good = good.join(known, key, "left")
-            unknown = F.when(F.col("_known_customer_id").isNull(), F.lit("unknown customer_id")).when(
-                F.col("_known_product_id").isNull(), F.lit("unknown product_id"))
-            good, _ = _materialize(good.withColumn("_reason", unknown).drop("_known_customer_id", "_known_product_id"), "fact_keys")
-            rejects = rejects.unionByName(good.where("_reason is not null").select(
-                F.col("_reason").alias("reason"), F.to_json(F.struct(*lines)).alias("row")))
-            good = good.where("_reason is null").drop("_reason")
+            good, unknown = self._known_keys(good, lines)
         self.load_calendar(good)
         self.load_regions(good)
-        if batch_id is None or self.table("fact_rejects").where(F.col("batch_id") == batch_id).isEmpty():
+        if wanted:
+            rejects = typed.where("_reason is not null").select(
+                F.col("_reason").alias("reason"), (F.to_json("_raw") if plain else F.col("_raw")).alias("row"))
+            rejects = rejects if unknown is None else rejects.unionByName(unknown)
             self._append("fact_rejects", rejects.withColumn("batch_id", F.lit(batch_id).cast("string"))
                          .withColumn("rejected_at", F.current_timestamp()))
-        new = insert_or_ignore(self.table("fact_sales"), good, list(self.fact_keys), [*[f"_order_{c}" for c in order], ARRIVAL])
-        return self._append("fact_sales", new.withColumn("ingested_at", F.current_timestamp()))
+        return self._append_first(good, [*[f"_order_{c}" for c in order], ARRIVAL])
+
+    def _known_keys(self, good: DataFrame, lines: list[str]) -> tuple[DataFrame, DataFrame]:
+        """Lines whose customer and product the dimensions hold, and the rejects
+        ``(reason, row)`` of the others.  The distinct keys meet the
+        dimensions; those not found are broadcast to the lines, which stay where
+        they are, or joined by key and the lines written, if there are many."""
+        reason, many = None, False
+        for dim, key in (("dim_customer", "customer_id"), ("dim_product", "product_id")):
+            absent, count = _materialize(good.select(key).distinct().join(self.table(dim).select(key), key, "left_anti")
+                                         .withColumn(f"_no_{key}", F.lit(True)), "unknown_keys")
+            many |= count > BROADCAST_ROWS
+            good = good.join(absent if count > BROADCAST_ROWS else F.broadcast(absent), key, "left")
+            cond = F.when(F.col(f"_no_{key}"), F.lit(f"unknown {key}"))
+            reason = cond if reason is None else F.coalesce(reason, cond)
+        good = good.withColumn("_reason", reason).drop("_no_customer_id", "_no_product_id")
+        if many:
+            good, _ = _materialize(good, "fact_keys")
+        rejects = good.where("_reason is not null").select(F.col("_reason").alias("reason"), F.to_json(F.struct(*lines)).alias("row"))
+        return good.where("_reason is null").drop("_reason"), rejects
+
+    def _append_first(self, good: DataFrame, order: list[str]) -> int:
+        """Append the first line of each key that the fact does not hold.  Keys
+        and order alone decide, and are written; then the lines are
+        shuffled once, to the fact's buckets."""
+        keys = list(self.fact_keys)
+        won, n = _materialize(insert_or_ignore(self.table("fact_sales"), good.select(*keys, *order), keys, order), "fact_winners")
+        if not n:
+            return self._append("fact_sales", good.sparkSession.createDataFrame([], SCHEMAS["fact_sales"]))
+        buckets = self._buckets()
+        won = won.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(ARRIVAL).alias("_won"))
+        mine = F.lit(True)
+        for i, k in enumerate(keys):
+            mine = mine & (F.col(k) == F.col(f"_k{i}"))
+        new = (good.repartition(buckets, *keys).join(won.repartition(buckets, *[f"_k{i}" for i in range(len(keys))]), mine)
+               .where(F.col(ARRIVAL) == F.col("_won")))
+        return self._append("fact_sales", new.withColumn("ingested_at", F.current_timestamp()), dealt=True)
 
     # S12-S13 --------------------------------------------------------------
     def append_kpis(self, monthly: DataFrame, regional: DataFrame) -> dict[str, int]:
