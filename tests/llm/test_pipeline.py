@@ -110,3 +110,23 @@ def test_queries_with_sql_match_it(spark):
         want = con.execute(sql)
         assert [d[0] for d in want.description] == df.columns, name
         assert sorted(map(repr, map(tuple, df.collect()))) == sorted(map(repr, want.fetchall())), name
+
+
+def test_fit_makes_no_copy_of_its_sample():
+    """The sample is the driver's largest array: its peak above it stays under a fifth of it."""
+    import tracemalloc
+
+    import numpy as np
+
+    from tillroll.llm import ordinal
+
+    random = np.random.default_rng(3)
+    x = random.poisson(0.4, (1500, ordinal.BUCKETS + 1)).astype(np.float32)
+    grade = random.integers(0, 2, 1500).astype(float)
+    tracemalloc.start()
+    try:
+        ordinal.fit(x, grade, steps=2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < x.nbytes / 5

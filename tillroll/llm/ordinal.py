@@ -31,6 +31,7 @@ from .common import sampled, with_columns
 BUCKETS = 4096
 SAMPLE = 6000
 PRIOR = 100
+COLUMNS = 256          #: columns of the sample whose deviation is taken at a time
 
 
 def trigram_buckets(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,13 +108,14 @@ def fit(x: np.ndarray, grade: np.ndarray, steps: int = 300, rate: float = 0.05,
         return Ordinal(grades.astype(float), np.zeros(0), np.zeros(BUCKETS + 1))
     y = np.searchsorted(grades, grade)
     many = x[:, :BUCKETS].sum(axis=1, keepdims=True)
-    common = x[y == np.bincount(y).argmax(), :BUCKETS]
-    usual = common.sum(axis=0) / max(1.0, common.sum())
+    usual = x[:, :BUCKETS].sum(axis=0, where=(y == np.bincount(y).argmax())[:, None])
+    usual /= max(1.0, usual.sum())
     x[:, :BUCKETS] += PRIOR * usual
     x[:, :BUCKETS] /= many + PRIOR
-    scale = (1.0 / (x.std(axis=0) + 1e-4)).astype(np.float32)
+    spread = np.concatenate([x[:, at:at + COLUMNS].std(axis=0) for at in range(0, x.shape[1], COLUMNS)])
+    scale = (1.0 / (spread + 1e-4)).astype(np.float32)
     middle = x.mean(axis=0) * scale
-    z = x              # in place: the sample is the driver's largest array
+    z = x              # in place: the sample is the driver's largest array, and no copy of it is made
     z *= scale
     z -= middle
     held = np.full(x.shape[1], penalty)
@@ -165,7 +167,9 @@ def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE, seed: int =
     x = np.zeros((len(got), BUCKETS + 1), np.float32)
     for i, r in enumerate(got):
         x[i, np.frombuffer(r.at, np.uint16)] = np.frombuffer(r.share, np.float32)
-    return fit(x, np.array([r.grade for r in got], float))
+    grade = np.array([r.grade for r in got], float)
+    del got
+    return fit(x, grade)
 
 
 def score(docs: DataFrame, model: Ordinal, tail: float | None = None, text: str = "text",
