@@ -4,8 +4,8 @@ Each callable reads the driver tables under ``sf_dir`` (through the star,
 materialised once per state of its input files) and returns a DataFrame whose
 columns match the oracle SQL of the same key.  The returned plan is lazy, but
 queries that rank or score (R3, R5, R8, V3, K3, K5, K6 and the ``rank_*``,
-``ntile_*`` and ``running_*`` keys) write intermediate tables while it is
-built.
+``ntile_*`` and ``running_*`` keys), and fact_insert_or_ignore,
+write intermediate tables while it is built.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import long_out, money_out
 from ..operators.clean import clean_transactions, dropped_rows
-from ..operators.dedupe import ARRIVAL, insert_or_ignore
+from ..operators.dedupe import ARRIVAL, insert_or_ignore, number_places
 from ..operators.ordering import materialize, ranked_by
 from ..session import unique_name, work_path
 from . import insights, kpis, reports, variants
@@ -130,7 +130,7 @@ def fact_insert_or_ignore(star: Star) -> DataFrame:
     """Load the sales lines into an empty fact keyed by (order_id,
     line_number): the key repeats in the data, the first to arrive wins."""
     batch = star.fact.withColumn(ARRIVAL, F.expr(LINE_ARRIVAL))
-    return fact_output(insert_or_ignore(_empty_like(batch), batch, ["order_id", "line_number"], [ARRIVAL]))
+    return fact_output(insert_or_ignore(_empty_like(batch), number_places(batch), ["order_id", "line_number"], [ARRIVAL]))
 
 
 def fact_redelivery(star: Star) -> DataFrame:
