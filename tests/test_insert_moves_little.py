@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillroll.operators import dedupe
 from tillroll.operators.dedupe import insert_or_ignore
 from tillroll.plans import registry
+from tillroll.plans.star import load_star
 
 from conftest import SF_SMALL
 
@@ -33,14 +34,14 @@ def _below(plan: str, node: str) -> str:
     return "\n".join(lines[at + 1:end])
 
 
-@pytest.mark.parametrize("key", ["fact_insert_or_ignore"])
+@pytest.mark.parametrize("key", ["fact_insert_or_ignore", "fact_redelivery"])
 def test_lines_of_the_fact_are_not_shuffled(spark, no_small_broadcasts, key):
     plan = registry.queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan
     assert not [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "_f#" not in line]
 
 
-@pytest.mark.parametrize("key", ["fact_insert_or_ignore"])
+@pytest.mark.parametrize("key", ["fact_insert_or_ignore", "fact_redelivery"])
 def test_lines_joined_by_block_are_the_same(spark, no_small_broadcasts, monkeypatch, key):
     def rows():
         return sorted(map(tuple, registry.queries()[key](spark, SF_SMALL).collect()))
@@ -58,6 +59,16 @@ def test_target_meets_keys_and_order_only(spark):
     assert plan.count("Join LeftAnti") == 1 and "v#" not in _below(plan, "Join LeftAnti").split("LogicalRDD")[0]
 
 
+def test_placed_rows_are_reduced_before_they_meet_the_target(spark, no_small_broadcasts, monkeypatch):
+    """Only bits of places are written, and a hot key is one row a task in the anti join's shuffle."""
+    seen, plain = [], dedupe.materialize
+    monkeypatch.setattr(dedupe, "materialize", lambda df, label="table": seen.append(df) or plain(df, label))
+    star = load_star(spark, SF_SMALL)
+    registry.fact_redelivery(star)
+    assert [df.columns for df in seen] == [["_block", "_bits"]]
+    assert "Aggregate [order_id" in _below(seen[0]._jdf.queryExecution().optimizedPlan().toString(), "Join LeftAnti")
+
+
 @pytest.mark.parametrize("blocks", [500_000, 0])
 @pytest.mark.parametrize("order", [["a"], ["a", "b"]])
 def test_placed_rows_match_python(spark, monkeypatch, blocks, order):

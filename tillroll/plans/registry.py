@@ -4,7 +4,7 @@ Each callable reads the driver tables under ``sf_dir`` (through the star,
 materialised once per state of its input files) and returns a DataFrame whose
 columns match the oracle SQL of the same key.  The returned plan is lazy, but
 queries that rank or score (R3, R5, R8, V3, K3, K5, K6 and the ``rank_*``,
-``ntile_*`` and ``running_*`` keys), and fact_insert_or_ignore,
+``ntile_*`` and ``running_*`` keys), and fact_insert_or_ignore and fact_redelivery,
 write intermediate tables while it is built.
 """
 
@@ -138,7 +138,7 @@ def fact_redelivery(star: Star) -> DataFrame:
     the fact already holds the keys of early days."""
     batch = star.fact.withColumn(ARRIVAL, -F.expr(LINE_ARRIVAL))
     target = batch.where((F.col("order_date") < F.lit("1997-01-01").cast("date")) & (F.col("line_number") <= 3))
-    return fact_output(insert_or_ignore(target, batch, ["order_id", "line_number"], [ARRIVAL]))
+    return fact_output(insert_or_ignore(target, number_places(batch), ["order_id", "line_number"], [ARRIVAL]))
 
 
 def fact_load_outcomes(star: Star) -> DataFrame:
