@@ -234,10 +234,15 @@ class Warehouse:
         table = self._in_catalog(name, folders)
         return self.spark.table(table).where(F.col("load_id").isin(folders) if folders else F.lit(False)).drop("load_id")
 
-    def _append(self, name: str, df: DataFrame, dealt: bool = False) -> int:
-        """``dealt``: the rows of a keyed table are in its buckets' partitions already."""
+    def _dealt(self, name: str, rows: DataFrame) -> DataFrame:
+        """Rows for a keyed table, shuffled to its buckets."""
+        return rows.repartition(self._buckets(), *self.keys(name))
+
+    def _append(self, name: str, df: DataFrame) -> int:
+        """The rows of a keyed table should be in its buckets' partitions (see
+        :meth:`_dealt`); if not, every task writes a file for each bucket."""
         if not self._load:
-            return self.transact(lambda: self._append(name, df, dealt))
+            return self.transact(lambda: self._append(name, df))
         written = self._load.folders.setdefault(name, [])
         folder = f"{self._load.id}-{len(written)}"
         path = f"{self.path(name)}/load_id={folder}"
@@ -246,7 +251,6 @@ class Warehouse:
         if self.keys(name):
             # Spark writes buckets through the catalog; the name is given up again, the files stay.
             buckets, once = self._buckets(), unique_name("write").replace("-", "_")
-            rows = rows if dealt else rows.repartition(buckets, *self.keys(name))
             rows.write.bucketBy(buckets, *self.keys(name)).option("path", path).option("compression", "zstd").saveAsTable(once)
             self.spark.sql(f"DROP TABLE {once}")
         else:
@@ -280,7 +284,7 @@ class Warehouse:
             *ARRIVAL_COLUMNS, *[F.col(c).alias(f"_order_{c}") for c in order]).dropna(subset=KEYS[name])
         typed, _ = _materialize(typed, name)
         new = insert_or_ignore(self.table(name), number_arrivals(typed), KEYS[name], [*[f"_order_{c}" for c in order], ARRIVAL])
-        return self._append(name, new)
+        return self._append(name, self._dealt(name, new))
 
     def load_calendar(self, dates: DataFrame) -> int:
         """Days of ``dates(date_id)``, ISO text, into the date dimension."""
@@ -385,9 +389,9 @@ class Warehouse:
         mine = F.lit(True)
         for i, k in enumerate(keys):
             mine = mine & (F.col(k) == F.col(f"_k{i}"))
-        new = (good.repartition(buckets, *keys).join(won.repartition(buckets, *[f"_k{i}" for i in range(len(keys))]), mine)
+        new = (self._dealt("fact_sales", good).join(won.repartition(buckets, *[f"_k{i}" for i in range(len(keys))]), mine)
                .where(F.col(ARRIVAL) == F.col("_won")))
-        return self._append("fact_sales", new.withColumn("ingested_at", F.current_timestamp()), dealt=True)
+        return self._append("fact_sales", new.withColumn("ingested_at", F.current_timestamp()))
 
     # S12-S13 --------------------------------------------------------------
     def append_kpis(self, monthly: DataFrame, regional: DataFrame) -> dict[str, int]:
