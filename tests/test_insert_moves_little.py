@@ -59,6 +59,13 @@ def test_target_meets_keys_and_order_only(spark):
     assert plan.count("Join LeftAnti") == 1 and "v#" not in _below(plan, "Join LeftAnti").split("LogicalRDD")[0]
 
 
+def test_rows_of_keys_and_order_alone_are_not_joined_again(spark):
+    batch = spark.createDataFrame([(3, "K1"), (1, "K1"), (2, None), (None, "K4"), (5, "K2"), (4, None)], "_arrival int, k string")
+    new = insert_or_ignore(spark.createDataFrame([("K2",)], "k string"), batch, ["k"], ["_arrival"])
+    assert new.columns == ["_arrival", "k"] and "LeftSemi" not in new._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, new.collect()), key=str) == [(1, "K1"), (2, None), (None, "K4")]
+
+
 def test_placed_rows_are_reduced_before_they_meet_the_target(spark, no_small_broadcasts, monkeypatch):
     """Only bits of places are written, and a hot key is one row a task in the anti join's shuffle."""
     seen, plain = [], dedupe.materialize

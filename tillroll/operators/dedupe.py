@@ -111,12 +111,17 @@ def insert_or_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str], o
     """Rows of ``batch`` to append to ``target``: first per key, minus keys
     the target already holds.  Rows that have been through :func:`number_places` stay
     in their tasks (and the places that won are written while the plan is
-    built); other rows are shuffled once, by key and order."""
+    built); other rows are shuffled once, by key and order, unless they consist of
+    these alone."""
     keys, order = list(keys), list(order)
     held = target.select(*keys)
     if PLACE not in batch.columns:
         new = batch.select(*dict.fromkeys([*keys, *order])).join(held, keys, "left_anti")
-        return _rows_of(_firsts(new, keys, order), batch, keys, order)
+        firsts = _firsts(new, keys, order)
+        found = {c: f"_o{i}" for i, c in enumerate(order)} | {c: f"_k{i}" for i, c in enumerate(keys)}
+        if set(batch.columns) <= set(found):
+            return firsts.select(*[F.col(found[c]).alias(c) for c in batch.columns])
+        return _rows_of(firsts, batch, keys, order)
     if not order:
         raise ValueError("insert_or_ignore needs the order of arrival")
     first = F.min_by(PLACE, order[0] if _one_number(batch, order) else F.struct(*order))
